@@ -1 +1,100 @@
-"""Registered queries (filled in as operators land)."""
+"""Cleaning and JSON queries (SRC1, SRC5, PRJ2-PRJ8, PRJ15, PRJ16)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tarmac.operators.clean import coerce_rows, prepare_features
+from tarmac.plans.registry import register
+from tarmac.plans.tables import events, lineitem
+from tarmac.sources.events import decode_events, encode_events
+from tarmac.sources.tables import read_table
+
+LINEITEM_SCHEMA = T.StructType([
+    T.StructField("l_orderkey", T.LongType()),
+    T.StructField("l_partkey", T.LongType()),
+    T.StructField("l_suppkey", T.LongType()),
+    T.StructField("l_linenumber", T.IntegerType()),
+    T.StructField("l_quantity", T.DoubleType()),
+    T.StructField("l_extendedprice", T.DoubleType()),
+    T.StructField("l_discount", T.DoubleType()),
+    T.StructField("l_tax", T.DoubleType()),
+    T.StructField("l_returnflag", T.StringType()),
+    T.StructField("l_linestatus", T.StringType()),
+    T.StructField("l_shipdate", T.TimestampNTZType()),
+])
+
+
+@register("scan_with_schema", ("SRC1", "SRC2"), sql="SELECT * FROM lineitem")
+def scan_with_schema(spark, sf_dir):
+    return read_table(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet", schema=LINEITEM_SCHEMA)
+
+
+@register("json_round_trip", ("SRC5", "PRJ2", "PRJ3", "PRJ16"), headline=True, sql="SELECT * FROM lineitem")
+def json_round_trip(spark, sf_dir):
+    """lineitem -> typed JSON events (ship date as epoch seconds) -> decoded rows."""
+    wire = T.StructType([f if f.name != "l_shipdate" else T.StructField("l_shipdate", T.TimestampType())
+                         for f in LINEITEM_SCHEMA.fields])
+    encoded = encode_events(lineitem(spark, sf_dir), wire, ts_col="l_shipdate", ts_name="l_shipdate")
+    decoded = decode_events(encoded, wire)
+    return decoded.withColumn("l_shipdate", F.col("l_shipdate").cast("timestamp_ntz"))
+
+
+@register("props_decode", "PRJ2", sql="""
+SELECT event_id, json_extract_string(props, '$.k')::INTEGER AS k FROM events
+""")
+def props_decode(spark, sf_dir):
+    schema = T.StructType([T.StructField("k", T.IntegerType())])
+    return decode_events(events(spark, sf_dir), schema, value_col="props", keep=["event_id"])
+
+
+@register("prepared_features", ("PRJ4", "PRJ5", "PRJ6", "PRJ7", "PRJ8"), sql="""
+SELECT l_orderkey,
+       l_linenumber::DOUBLE AS l_linenumber,
+       l_quantity,
+       coalesce(nullif(l_tax, 0.0), 0.0) AS l_tax,
+       coalesce(nullif(l_linestatus, 'O'), 'N/A') AS l_linestatus,
+       (CASE l_returnflag WHEN 'R' THEN 1 WHEN 'A' THEN 0 END)::INTEGER AS label
+FROM lineitem WHERE l_returnflag IN ('R', 'A')
+""")
+def prepared_features(spark, sf_dir):
+    raw = lineitem(spark, sf_dir).select(
+        "l_orderkey", "l_linenumber", "l_quantity",
+        F.nullif("l_tax", F.lit(0.0)).alias("l_tax"),
+        F.nullif("l_linestatus", F.lit("O")).alias("l_linestatus"),
+        # label arrives as text; 'N' rows have no label
+        F.when(F.col("l_returnflag") == "R", "1").when(F.col("l_returnflag") == "A", "0").alias("label"),
+    )
+    return prepare_features(raw, numeric=["l_linenumber", "l_quantity", "l_tax"], categorical=["l_linestatus"],
+                            label="label", drop_null_label=True)
+
+
+@register("coerced_rows", "PRJ15", sql="""
+SELECT l_orderkey,
+       trunc(l_quantity)::INTEGER AS l_quantity,
+       trunc(l_extendedprice)::INTEGER AS l_extendedprice,
+       l_discount,
+       nullif(l_tax, 0.0) AS l_tax,
+       l_returnflag
+FROM lineitem
+""")
+def coerced_rows(spark, sf_dir):
+    """Raw text rows (as a CSV read without inference yields) coerced to types."""
+    raw = lineitem(spark, sf_dir).select(
+        F.col("l_orderkey").cast("string").alias("l_orderkey"),
+        F.col("l_quantity").cast("string").alias("l_quantity"),
+        F.col("l_extendedprice").cast("string").alias("l_extendedprice"),
+        F.col("l_discount").cast("string").alias("l_discount"),
+        F.coalesce(F.nullif("l_tax", F.lit(0.0)).cast("string"), F.lit("")).alias("l_tax"),
+        "l_returnflag",
+    )
+    target = T.StructType([
+        T.StructField("l_orderkey", T.LongType()),
+        T.StructField("l_quantity", T.IntegerType()),
+        T.StructField("l_extendedprice", T.IntegerType()),
+        T.StructField("l_discount", T.DoubleType()),
+        T.StructField("l_tax", T.DoubleType()),
+        T.StructField("l_returnflag", T.StringType()),
+    ])
+    return coerce_rows(raw, target)
