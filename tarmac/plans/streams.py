@@ -1 +1,106 @@
-"""Registered queries (filled in as operators land)."""
+"""Streaming queries on ``events`` replayed through the file source.
+
+Each query stages ``events`` as time-ordered files in a fresh folder under the
+shared checkpoint dir, runs the stream with ``availableNow`` and one file per
+micro-batch, and returns the sink's content read back. The SQL twins state
+what the stream must produce: in append mode, every window closed by the
+final watermark (``end <= max(ts) - 3 minutes``); in update mode collapsed by
+key, every window.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tarmac.operators.dedupe import dedupe
+from tarmac.operators.windows import quality_rows, window_quality, window_stats
+from tarmac.plans.registry import register
+from tarmac.plans.tables import events
+from tarmac.plans.windows import QUALITY, TUMBLING, VALUE_DECIMALS, _stats_sql, quality_input, quality_sql
+from tarmac.schema import KEYED_STATISTICS_SCHEMA
+from tarmac.session import scratch_path
+from tarmac.sinks.payload import from_stat_json, to_stat_json
+from tarmac.sinks.writers import batch_writer, read_upserted, upsert_writer
+from tarmac.sources.results import read_results
+from tarmac.sources.streams import stage_event_files, stream_table
+from tarmac.streaming.runner import run_to_completion, with_event_time
+
+EVENT_FILES = 5
+WATERMARK = "3 minutes"
+QUALITY_KEYS = ["window_start", "window_end", "airport_name"]
+UPSERT_KEYS = ["window_start", "group_value"]
+
+QUALITY_RESULT_SCHEMA = T.StructType([
+    T.StructField("window_start", T.TimestampType()),
+    T.StructField("window_end", T.TimestampType()),
+    T.StructField("airport_name", T.StringType()),
+    T.StructField("LATITUDE", T.DoubleType()),
+    T.StructField("LONGITUDE", T.DoubleType()),
+    T.StructField("total_flights", T.LongType()),
+    T.StructField("actual_delays", T.LongType()),
+    T.StructField("predicted_delays_count", T.DoubleType()),
+    T.StructField("accuracy_percent", T.DoubleType()),
+])
+
+
+def stage_events(spark, sf_dir, tag: str):
+    """Fresh folder with ``events`` as ordered files; returns (root, input path, schema)."""
+    root = scratch_path(spark, tag)
+    src = events(spark, sf_dir)
+    stage_event_files(src, f"{root}/input", "ts", EVENT_FILES)
+    return root, f"{root}/input", src.schema
+
+
+def _ntz(df, *cols):
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols})
+
+
+def run_quality_stream(spark, sf_dir, root=None, src=None, schema=None, checkpoint=None, output=None):
+    if root is None:
+        root, src, schema = stage_events(spark, sf_dir, "quality-stream")
+    stream = stream_table(spark, src, schema, max_files=1)
+    scored = quality_input(stream).withColumn("ts", F.col("ts").cast("timestamp"))
+    q = window_quality(scored, QUALITY, "place", "label", "pred", ts="ts", lat="lat", lon="lon",
+                       watermark=WATERMARK)
+    output = output or f"{root}/output"
+    run_to_completion(quality_rows(q), checkpoint or f"{root}/checkpoint",
+                      writer=batch_writer(output, fmt="csv"), mode="append")
+    return root, output
+
+
+@register("stream_window_quality",
+          ("STR4", "STR5", "STR7", "STR8", "STR9", "SNK2", "SNK3", "SRC4", "SRC6", "SET2", "SET3", "PRJ14"),
+          sql=quality_sql(QUALITY, "WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 3 MINUTE"))
+def stream_window_quality(spark, sf_dir):
+    _, output = run_quality_stream(spark, sf_dir)
+    results = read_results(spark, output, QUALITY_RESULT_SCHEMA, key_as_string="airport_name")
+    return _ntz(dedupe(results, QUALITY_KEYS), "window_start", "window_end")
+
+
+def run_stats_stream(spark, sf_dir, root=None, src=None, schema=None, checkpoint=None, table=None, reset=True):
+    if root is None:
+        root, src, schema = stage_events(spark, sf_dir, "stats-stream")
+    stream = stream_table(spark, src, schema, max_files=1)
+    timed = with_event_time(stream.select("ts", "event_type", "value"), "ts", WATERMARK)
+    stats = window_stats(timed, TUMBLING, "event_type", "value", ts="ts", mean_decimals=VALUE_DECIMALS)
+    table = table or f"{root}/table"
+    writer = upsert_writer(table, UPSERT_KEYS, transform=from_stat_json, spark=spark,
+                           reset_schema=KEYED_STATISTICS_SCHEMA if reset else None)
+    run_to_completion(to_stat_json(stats, "event_type"), checkpoint or f"{root}/checkpoint",
+                      writer=writer, mode="update")
+    return root, table
+
+
+def _keyed_sql() -> str:
+    return f"""
+SELECT window_start, window_end, event_type AS group_value,
+       min_value, max_value, avg_value, std_value, count
+FROM ({_stats_sql(TUMBLING)})"""
+
+
+@register("stream_stats_upsert", ("STR6", "STR10", "SNK1", "SNK4", "SNK5", "STR3"), sql=_keyed_sql())
+def stream_stats_upsert(spark, sf_dir):
+    _, table = run_stats_stream(spark, sf_dir)
+    out = read_upserted(spark, table, UPSERT_KEYS, KEYED_STATISTICS_SCHEMA)
+    return _ntz(out, "window_start", "window_end")
