@@ -75,17 +75,18 @@ def marker_size(total: str | Column, floor: float = 50.0, divisor: float = 5.0)
     return F.greatest(F.lit(floor), col_of(total).cast("double") / F.lit(divisor))
 
 
-def unit_hash(key: str | Column, method: str = "xxhash64") -> Column:
-    """Deterministic value in [0, 1) derived from a key.
+def unit_hash(key: str | Column, method: str = "xxhash64", seed: int = 42) -> Column:
+    """Deterministic value in [0, 1) derived from a key and a seed.
 
     ``xxhash64`` is the fast default. ``md5`` (first 32 bits of the hex
-    digest) is slower but reproducible in other engines, which lets a split
-    or sample be checked against plain SQL.
+    digest of ``"<seed>:<key>"``) is slower but reproducible in other engines,
+    which lets a split or sample be checked against plain SQL. Different
+    seeds give independent draws for the same key.
     """
     k = col_of(key)
     if method == "xxhash64":
-        return F.pmod(F.xxhash64(k), F.lit(1 << 32)).cast("double") / F.lit(float(1 << 32))
+        return F.pmod(F.xxhash64(k, F.lit(seed)), F.lit(1 << 32)).cast("double") / F.lit(float(1 << 32))
     if method == "md5":
-        hex8 = F.substring(F.md5(k.cast("string")), 1, 8)
+        hex8 = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), k.cast("string"))), 1, 8)
         return F.conv(hex8, 16, 10).cast("long").cast("double") / F.lit(float(1 << 32))
     raise ValueError(f"unknown hash method {method!r}; use 'xxhash64' or 'md5'")

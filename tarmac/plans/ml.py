@@ -1 +1,184 @@
-"""Registered queries (filled in as operators land)."""
+"""Machine-learning queries (ML1-ML12, SRC8, SNK6, STR11, SET1, AGG12).
+
+Split and sample draws use the ``md5`` hash in the SQL-checked queries so
+that any SQL engine can reproduce them; the library default is ``xxhash64``.
+"""
+
+from __future__ import annotations
+
+from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from tarmac.ml.evaluate import auc, weighted_f1
+from tarmac.ml.model import decide, score, train_model
+from tarmac.ml.sampling import SAMPLE_SEED, SPLIT_SEED, hash_split, split_column, undersample
+from tarmac.operators.clean import prepare_features
+from tarmac.operators.dedupe import dedupe
+from tarmac.operators.windows import quality_rows, window_quality
+from tarmac.plans.registry import register, sql_round
+from tarmac.plans.tables import events, is_error, lineitem, orders
+from tarmac.plans.windows import QUALITY
+from tarmac.session import scratch_path
+from tarmac.sinks.writers import batch_writer, save_model
+from tarmac.sources.results import read_results
+from tarmac.sources.streams import stage_event_files, stream_table
+from tarmac.streaming.runner import run_to_completion
+
+
+def sql_unit(key_sql: str, seed: int) -> str:
+    """SQL twin of ``unit_hash(key, "md5", seed)``."""
+    return (f"('0x' || substr(md5('{seed}:' || ({key_sql})::VARCHAR), 1, 8))::BIGINT::DOUBLE"
+            f" / 4294967296.0::DOUBLE")
+
+
+@register("train_test_split", "ML1", sql=f"""
+SELECT *, CASE WHEN {sql_unit('o_orderkey', SPLIT_SEED)} < 0.8 THEN 'train' ELSE 'test' END AS split
+FROM orders
+""")
+def train_test_split(spark, sf_dir):
+    return orders(spark, sf_dir).withColumn("split", split_column("o_orderkey", (0.8, 0.2), method="md5"))
+
+
+@register("balanced_training_set", ("ML2", "SET1", "AGG12"), sql=f"""
+WITH t AS (
+  SELECT event_id, (event_type = 'error')::INTEGER AS label,
+         {sql_unit('event_id', SPLIT_SEED)} AS u_split, {sql_unit('event_id', SAMPLE_SEED)} AS u_sample
+  FROM events),
+train AS (SELECT * FROM t WHERE u_split < 0.8),
+f AS (SELECT least(1.0::DOUBLE, 3.0::DOUBLE * count(*) FILTER (WHERE label = 1)::DOUBLE
+                                / count(*) FILTER (WHERE label = 0)::DOUBLE) AS frac FROM train)
+SELECT event_id, label FROM train, f WHERE label = 1 OR (label = 0 AND u_sample < frac)
+""")
+def balanced_training_set(spark, sf_dir):
+    ev = events(spark, sf_dir).select("event_id", is_error().cast("int").alias("label"))
+    train, _ = hash_split(ev, "event_id", (0.8, 0.2), method="md5")
+    balanced, _ = undersample(train, "label", "event_id", ratio=3.0, method="md5")
+    return balanced
+
+
+@register("category_index", "ML3", sql="""
+WITH f AS (SELECT user_id::VARCHAR AS v, count(*) AS c FROM events GROUP BY 1),
+idx AS (SELECT v, (row_number() OVER (ORDER BY c DESC, v ASC) - 1)::DOUBLE AS user_indexed FROM f)
+SELECT e.event_id, idx.user_indexed FROM events e JOIN idx ON e.user_id::VARCHAR = idx.v
+""")
+def category_index(spark, sf_dir):
+    ev = events(spark, sf_dir).select("event_id", F.col("user_id").cast("string").alias("user"))
+    model = StringIndexer(inputCol="user", outputCol="user_indexed", handleInvalid="keep").fit(ev)
+    return model.transform(ev).select("event_id", "user_indexed")
+
+
+@register("standardized_price", "ML5", sql=f"""
+SELECT l_orderkey, l_linenumber,
+       {sql_round('(l_extendedprice - avg(l_extendedprice) OVER ()) / stddev_samp(l_extendedprice) OVER ()', 6)}
+           AS price_scaled
+FROM lineitem
+""")
+def standardized_price(spark, sf_dir):
+    li = lineitem(spark, sf_dir).select("l_orderkey", "l_linenumber", "l_extendedprice")
+    vec = VectorAssembler(inputCols=["l_extendedprice"], outputCol="v").transform(li)
+    scaled = StandardScaler(inputCol="v", outputCol="s", withMean=True, withStd=True).fit(vec).transform(vec)
+    return scaled.select("l_orderkey", "l_linenumber", F.round(vector_to_array("s")[0], 6).alias("price_scaled"))
+
+
+@register("threshold_decisions", "ML9", sql="""
+SELECT l_orderkey, l_linenumber, l_discount * 10 AS score, (l_discount * 10 > 0.25)::INTEGER::DOUBLE AS prediction
+FROM lineitem
+""")
+def threshold_decisions(spark, sf_dir):
+    li = lineitem(spark, sf_dir).select("l_orderkey", "l_linenumber", (F.col("l_discount") * 10).alias("score"))
+    return li.withColumn("prediction", decide("score", 0.25))
+
+
+@register("holdout_auc", "ML10", sql=f"""
+WITH s AS (
+  SELECT value AS score,
+         sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END)::DOUBLE AS pos,
+         sum(CASE WHEN event_type = 'error' THEN 0 ELSE 1 END)::DOUBLE AS neg
+  FROM events GROUP BY value),
+r AS (SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+             AS below FROM s)
+SELECT {sql_round('sum(pos * (below + neg / 2)) / (sum(pos) * sum(neg))', 12)} AS auc,
+       sum(pos)::BIGINT AS n_positive, sum(neg)::BIGINT AS n_negative
+FROM r
+""")
+def holdout_auc(spark, sf_dir):
+    return auc(events(spark, sf_dir), is_error().cast("int"), "value")
+
+
+@register("holdout_f1", "ML11", sql=f"""
+WITH c AS (
+  SELECT (event_type = 'error')::INTEGER::DOUBLE AS label, (value > 50)::INTEGER::DOUBLE AS prediction,
+         count(*) AS n FROM events GROUP BY 1, 2),
+l AS (SELECT label, sum(n) AS support, sum(CASE WHEN label = prediction THEN n ELSE 0 END) AS tp
+      FROM c GROUP BY label),
+p AS (SELECT prediction AS label, sum(n) AS predicted FROM c GROUP BY prediction),
+k AS (SELECT l.label, support, tp, coalesce(predicted, 0) AS predicted FROM l LEFT JOIN p USING (label))
+SELECT {sql_round('sum(support * CASE WHEN tp = 0 THEN 0.0 ELSE 2.0 * tp / (support + predicted) END)'
+                  ' / sum(support)::DOUBLE', 12)} AS weighted_f1,
+       {sql_round('sum(tp)::DOUBLE / sum(support)::DOUBLE', 12)} AS accuracy
+FROM k
+""")
+def holdout_f1(spark, sf_dir):
+    ev = events(spark, sf_dir)
+    return weighted_f1(ev, is_error().cast("int"), (F.col("value") > 50).cast("int"))
+
+
+# --- model fit and scoring (checked by invariants: no SQL twin) -----------------
+
+NUMERIC = ["value", "k", "hour"]
+CATEGORICAL = ["user"]
+LABEL = "label"
+SCORED_COLUMNS = ["event_timestamp", LABEL, "predicted_delay", "user", "event_type", "value", "k"]
+
+
+def event_features(df):
+    """``events`` in the model's input shape (place = user, label = error)."""
+    return df.select(
+        "event_id",
+        F.col("ts").cast("timestamp").alias("event_timestamp"),
+        F.col("user_id").cast("string").alias("user"),
+        "event_type",
+        is_error().cast("int").alias(LABEL),
+        "value",
+        F.from_json("props", "k int")["k"].alias("k"),
+        F.hour("ts").alias("hour"),
+    )
+
+
+def fit_event_model(spark, sf_dir, classifier="gbt"):
+    ev = event_features(events(spark, sf_dir))
+    result, _ = train_model(ev, NUMERIC, CATEGORICAL, LABEL, "event_id", classifier=classifier)
+    path = scratch_path(spark, "model")
+    save_model(result.model, path)
+    return result, path
+
+
+@register("model_scores", ("ML4", "ML6", "ML8", "ML12", "SRC8", "SNK6"))
+def model_scores(spark, sf_dir):
+    """Fit on the balanced training split, save, load and score the hold-out."""
+    _, path = fit_event_model(spark, sf_dir)
+    ev = event_features(events(spark, sf_dir))
+    _, test = hash_split(prepare_features(ev, NUMERIC, CATEGORICAL, label=LABEL, drop_null_label=True),
+                         "event_id", (0.8, 0.2))
+    out = score(test, path, SCORED_COLUMNS)
+    return out.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp_ntz"))
+
+
+@register("stream_scored_quality", ("STR11", "ML12", "AGG11"))
+def stream_scored_quality(spark, sf_dir):
+    """Score the event stream with the saved model, then windowed quality per user."""
+    _, path = fit_event_model(spark, sf_dir)
+    root = scratch_path(spark, "scored-stream")
+    src = events(spark, sf_dir)
+    stage_event_files(src, f"{root}/input", "ts", 5)
+    stream = stream_table(spark, f"{root}/input", src.schema, max_files=1)
+    prepared = prepare_features(event_features(stream), NUMERIC, CATEGORICAL, categorical_fill="N/A")
+    scored = score(prepared, path, SCORED_COLUMNS)
+    q = window_quality(scored, QUALITY, "user", LABEL, "predicted_delay", ts="event_timestamp",
+                       lat="value", lon="k", watermark="3 minutes")
+    run_to_completion(quality_rows(q), f"{root}/checkpoint", writer=batch_writer(f"{root}/output"), mode="append")
+    from tarmac.plans.streams import QUALITY_RESULT_SCHEMA
+    res = read_results(spark, f"{root}/output", QUALITY_RESULT_SCHEMA, key_as_string="airport_name")
+    res = dedupe(res, ["window_start", "window_end", "airport_name"])
+    return res.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
