@@ -44,7 +44,10 @@ def auc(df: DataFrame, label: str | Column, score: str | Column, buckets: int =
     probs = [i / buckets for i in range(1, buckets)]
     edges = sorted(set(counts.approxQuantile("score", probs, rel_error))) if buckets > 1 else []
     splits = [float("-inf"), *[e for e in edges if e not in (float("-inf"), float("inf"))], float("inf")]
-    bucketed = Bucketizer(splits=splits, inputCol="score", outputCol="bucket").transform(counts)
+    if len(splits) < 3:  # a single bucket
+        bucketed = counts.withColumn("bucket", F.lit(0.0))
+    else:
+        bucketed = Bucketizer(splits=splits, inputCol="score", outputCol="bucket").transform(counts)
 
     # One row per bucket (at most ``buckets``): total negatives, then the
     # negatives in all lower buckets.

@@ -147,4 +147,6 @@ def score(df: DataFrame, model: PipelineModel | str | None, output_cols: Sequenc
         out = df.withColumn(prediction_alias, F.lit(float(sentinel)))
     else:
         out = model.transform(df).withColumnRenamed("prediction", prediction_alias)
+    # Same schema on both paths: a plain double without ML attribute metadata.
+    out = out.withColumn(prediction_alias, F.col(prediction_alias).cast("double").alias(prediction_alias, metadata={}))
     return out.select(*output_cols)

@@ -168,8 +168,10 @@ def class_balance(df: DataFrame, label: Predicate, ratio: float = 3.0) -> DataFr
         "n_positive",
         "n_negative",
         (F.col("n_positive") + F.col("n_negative")).alias("n_labelled"),
-        F.least(F.lit(1.0), F.try_divide(F.lit(ratio) * F.col("n_positive"), F.col("n_negative"))
-                ).alias("sample_fraction"),
+        # least() skips NULLs, so the no-negative case is guarded explicitly
+        F.when(F.col("n_negative") > 0,
+               F.least(F.lit(1.0), F.lit(ratio) * F.col("n_positive") / F.col("n_negative"))
+               ).alias("sample_fraction"),
         F.try_divide(F.col("n_negative").cast("double"), F.col("n_positive")).alias("imbalance"),
     )
 

@@ -158,7 +158,7 @@ def table_profile(spark, sf_dir):
 
 @register("class_balance", "AGG12", sql="""
 SELECT n_positive, n_negative, n_positive + n_negative AS n_labelled,
-       least(1.0, 3.0 * n_positive / n_negative) AS sample_fraction,
+       CASE WHEN n_negative > 0 THEN least(1.0, 3.0 * n_positive / n_negative) END AS sample_fraction,
        n_negative::double / n_positive AS imbalance
 FROM (SELECT count(*) FILTER (WHERE l_returnflag = 'R') AS n_positive,
              count(*) FILTER (WHERE l_returnflag <> 'R') AS n_negative FROM lineitem)

@@ -1,0 +1,105 @@
+"""ML invariants: split/sample, evaluator agreement, threshold, persistence, fallback."""
+
+import os
+
+import pytest
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from tarmac.ml.evaluate import auc, weighted_f1
+from tarmac.ml.model import build_pipeline, decide, load_model, score, train_model, with_threshold
+from tarmac.ml.sampling import hash_split, undersample
+from tarmac.sinks.writers import save_model
+
+
+@pytest.fixture(scope="module")
+def learnable(spark):
+    """Synthetic learnable label: depends on x1 and the category."""
+    df = spark.range(4000).select(
+        F.col("id").alias("row_id"),
+        (F.rand(1) * 10).alias("x1"),
+        (F.rand(2) * 10).alias("x2"),
+        F.when(F.rand(3) < 0.5, "A").otherwise("B").alias("cat"),
+    )
+    noise = F.rand(4)
+    label = ((F.col("x1") + F.when(F.col("cat") == "A", 3.0).otherwise(0.0) + noise * 4) > 11).cast("int")
+    return df.withColumn("y", label).cache()
+
+
+def test_split_is_disjoint_and_complete(spark):
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    train, test = hash_split(ev, "event_id", (0.8, 0.2))
+    assert train.count() + test.count() == ev.count()
+    assert train.join(test, "event_id").count() == 0
+    # independent of partitioning
+    t2, _ = hash_split(ev.repartition(3), "event_id", (0.8, 0.2))
+    assert sorted(r.event_id for r in train.select("event_id").collect()) == \
+        sorted(r.event_id for r in t2.select("event_id").collect())
+
+
+def test_undersample_ratio_bounds(learnable):
+    balanced, frac = undersample(learnable, "y", "row_id", ratio=1.0)
+    pos = learnable.filter("y = 1").count()
+    neg = balanced.filter("y = 0").count()
+    assert balanced.filter("y = 1").count() == pos
+    assert frac is not None and 0 < frac <= 1
+    assert abs(neg - pos) / pos < 0.15
+
+
+def test_rank_sum_auc_equals_mllib(spark, learnable):
+    scored = learnable.withColumn("s", F.round(F.col("x1") + F.col("x2") / 3, 1))  # many ties
+    ours = auc(scored, "y", "s", buckets=16).first()["auc"]
+    ev = BinaryClassificationEvaluator(labelCol="y", rawPredictionCol="s", metricName="areaUnderROC", numBins=0)
+    assert abs(ours - ev.evaluate(scored.withColumn("y", F.col("y").cast("double")))) < 1e-9
+    assert auc(scored, "y", "s", buckets=1).first()["auc"] == ours
+
+
+def test_confusion_f1_equals_mllib(learnable):
+    pred = learnable.withColumn("p", (F.col("x1") > 6).cast("double")).withColumn("y", F.col("y").cast("double"))
+    ours = weighted_f1(pred, "y", "p").first()["weighted_f1"]
+    ev = MulticlassClassificationEvaluator(labelCol="y", predictionCol="p", metricName="f1")
+    assert abs(ours - ev.evaluate(pred)) < 1e-9
+
+
+def test_pipeline_fit_threshold_and_round_trip(spark, learnable, tmp_dir):
+    result, scored = train_model(learnable, ["x1", "x2"], ["cat"], "y", "row_id", classifier="gbt")
+    assert 0.75 < result.auc <= 1.0 and 0 < result.f1 <= 1.0
+    # the threshold is persisted with the model: p1 > t  <=>  prediction 1
+    p1 = F.udf(lambda v: float(v[1]), "double")("probability")  # test-only check of the vector
+    check = scored.select("prediction", decide(p1, 0.25).alias("mine"))
+    assert check.filter(F.col("prediction") != F.col("mine")).count() == 0
+    path = os.path.join(tmp_dir, "model")
+    save_model(result.model, path)
+    loaded = load_model(path)
+    assert loaded is not None and loaded.stages[-1].getThresholds() == [0.75, 0.25]
+    again = loaded.transform(learnable).select("prediction").collect()
+    assert again == result.model.transform(learnable).select("prediction").collect()
+
+
+def test_same_seed_same_metrics(learnable):
+    a, _ = train_model(learnable, ["x1", "x2"], ["cat"], "y", "row_id", classifier="lr")
+    b, _ = train_model(learnable, ["x1", "x2"], ["cat"], "y", "row_id", classifier="lr")
+    assert (a.auc, a.f1, a.n_train) == (b.auc, b.f1, b.n_train)
+
+
+def test_unseen_and_null_categories_share_extra_index(spark, learnable):
+    model = build_pipeline(["x1"], ["cat"], "y", classifier="lr").fit(learnable)
+    new = spark.createDataFrame([(1.0, "Z"), (1.0, None)], "x1 double, cat string")
+    idx = [r.cat_indexed for r in model.stages[0].transform(new).collect()]
+    assert idx == [2.0, 2.0]
+
+
+def test_missing_model_falls_back_to_sentinel_with_same_schema(spark, learnable, tmp_dir):
+    cols = ["row_id", "y", "predicted_delay"]
+    model = build_pipeline(["x1"], ["cat"], "y", classifier="lr").fit(learnable)
+    good = score(learnable, with_threshold(model, 0.25), cols)
+    bad = score(learnable, os.path.join(tmp_dir, "no-model-here"), cols)
+    assert good.schema == bad.schema
+    assert {r.predicted_delay for r in bad.collect()} == {-1.0}
+
+
+def test_threshold_validation(learnable):
+    model = build_pipeline(["x1"], [], "y", classifier="lr").fit(learnable)
+    with pytest.raises(ValueError):
+        with_threshold(model, 1.5)
