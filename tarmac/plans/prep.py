@@ -9,7 +9,7 @@ from tarmac.operators.clean import coerce_rows, prepare_features
 from tarmac.plans.registry import register
 from tarmac.plans.tables import events, lineitem
 from tarmac.sources.events import decode_events, encode_events
-from tarmac.sources.tables import read_table
+from tarmac.sources.tables import read_table, spread
 
 LINEITEM_SCHEMA = T.StructType([
     T.StructField("l_orderkey", T.LongType()),
@@ -36,7 +36,7 @@ def json_round_trip(spark, sf_dir):
     """lineitem -> typed JSON events (ship date as epoch seconds) -> decoded rows."""
     wire = T.StructType([f if f.name != "l_shipdate" else T.StructField("l_shipdate", T.TimestampType())
                          for f in LINEITEM_SCHEMA.fields])
-    encoded = encode_events(lineitem(spark, sf_dir), wire, ts_col="l_shipdate", ts_name="l_shipdate")
+    encoded = encode_events(spread(lineitem(spark, sf_dir)), wire, ts_col="l_shipdate", ts_name="l_shipdate")
     decoded = decode_events(encoded, wire)
     return decoded.withColumn("l_shipdate", F.col("l_shipdate").cast("timestamp_ntz"))
 

@@ -7,10 +7,11 @@ from tarmac.operators.windows import quality_rows, window_quality
 from tarmac.plans.registry import register
 from tarmac.plans.tables import events
 from tarmac.plans.windows import QUALITY, quality_input, quality_sql
+from tarmac.sources.tables import spread
 
 
 def _quality(spark, sf_dir):
-    scored = quality_input(events(spark, sf_dir))
+    scored = quality_input(spread(events(spark, sf_dir)))
     q = window_quality(scored, QUALITY, "place", "label", "pred", ts="ts", lat="lat", lon="lon", watermark=None)
     return quality_rows(q)
 

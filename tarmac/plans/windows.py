@@ -8,6 +8,7 @@ from tarmac.operators.windows import flatten_window, quality_rows, window_qualit
 from tarmac.plans.registry import register, sql_round
 from tarmac.plans.tables import events, is_error
 from tarmac.roles import WindowSpec
+from tarmac.sources.tables import spread
 
 # events.value is a 2-decimal fixed-point reading: means are summed exactly.
 VALUE_DECIMALS = 2
@@ -48,7 +49,7 @@ def window_stats_tumbling(spark, sf_dir):
 
 @register("window_stats_sliding", ("AGG10", "STR2", "STR10"), headline=True, sql=_stats_sql(SLIDING))
 def window_stats_sliding(spark, sf_dir):
-    return flatten_window(window_stats(events(spark, sf_dir), SLIDING, "event_type", "value", ts="ts",
+    return flatten_window(window_stats(spread(events(spark, sf_dir)), SLIDING, "event_type", "value", ts="ts",
                                        mean_decimals=VALUE_DECIMALS))
 
 
@@ -85,6 +86,6 @@ def quality_input(df):
 
 @register("window_quality", ("AGG11", "STR2"), headline=True, sql=quality_sql(QUALITY))
 def window_quality_batch(spark, sf_dir):
-    scored = quality_input(events(spark, sf_dir))
+    scored = quality_input(spread(events(spark, sf_dir)))
     q = window_quality(scored, QUALITY, "place", "label", "pred", ts="ts", lat="lat", lon="lon", watermark=None)
     return quality_rows(q)

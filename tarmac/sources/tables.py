@@ -40,3 +40,17 @@ def stage_parquet(df: DataFrame, path: str, partitions: int | None = None) -> st
     out = df.repartition(partitions) if partitions else df
     out.write.mode("overwrite").parquet(path)
     return path
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a scan that yields fewer partitions than the cluster has
+    task slots, before CPU-heavy per-row work (JSON codec, window expansion).
+
+    A large input (many files or row groups) already scans in parallel and is
+    returned untouched, so no shuffle is added at scale; only small or
+    single-row-group inputs are fanned out.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
