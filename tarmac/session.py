@@ -28,6 +28,32 @@ BASE_CONF = {
 }
 
 
+def cluster_conf(executors: int = 1000, cores_per_executor: int = 4) -> dict[str, str]:
+    """Settings for a large cluster run (defaults: ~100 TB input, 1000 executors).
+
+    * Scan splits of 256 MB: ~400k scan tasks for 100 TB, each small enough to
+      decode without spilling.
+    * Shuffle starts wide (4x the task slots, at least 2000) and AQE coalesces
+      to ~256 MB partitions after each stage, splitting skewed ones.
+    * Streaming state in RocksDB with changelog checkpointing: state size is
+      bounded by disk, not heap, and each commit uploads only the changes.
+    """
+    slots = executors * cores_per_executor
+    base = {k: v for k, v in BASE_CONF.items() if not k.startswith("spark.ui.")}
+    return {
+        **base,
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+        "spark.sql.shuffle.partitions": str(max(2000, 4 * slots)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * 1024 * 1024),
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        "spark.sql.execution.sortBeforeRepartition": "true",
+        "spark.speculation": "true",
+    }
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "tarmac", extra: dict | None = None) -> SparkSession:
     """A local session for tests and benchmarks."""
