@@ -1,7 +1,9 @@
 from tarmac.functions.scalar import (  # noqa: F401
-    as_event_time,
     coerce_to,
     epoch_seconds,
+    event_time_of,
+    instant_to_ntz,
+    ntz_to_instant,
     flag,
     geo_point,
     marker_size,

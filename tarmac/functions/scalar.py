@@ -46,14 +46,29 @@ def coerce_to(c: str | Column, dtype: T.DataType) -> Column:
     return raw.try_cast(dtype.simpleString())
 
 
-def epoch_seconds(ts: str | Column) -> Column:
-    """Whole epoch seconds of a timestamp (either flavour), as long."""
-    return F.unix_timestamp(col_of(ts).cast("timestamp"))
+def ntz_to_instant(c: str | Column) -> Column:
+    """A ``timestamp_ntz`` wall clock as the ``timestamp`` instant at that UTC
+    wall clock, whatever the session time zone (windows on the result align
+    exactly like windows on the wall clock). Apply to ``timestamp_ntz`` only."""
+    return F.from_utc_timestamp(col_of(c).cast("timestamp"), F.current_timezone())
+
+
+def instant_to_ntz(c: str | Column) -> Column:
+    """Inverse of :func:`ntz_to_instant`: an instant's UTC wall clock as ``timestamp_ntz``."""
+    return F.to_utc_timestamp(col_of(c), F.current_timezone()).cast("timestamp_ntz")
 
 
-def as_event_time(c: str | Column) -> Column:
-    """Event-time column usable by ``withWatermark`` (needs ``timestamp``)."""
-    return col_of(c).cast("timestamp")
+def event_time_of(df, c: str) -> Column:
+    """Column ``c`` of ``df`` as a ``timestamp`` usable by ``withWatermark``:
+    wall-clock ``timestamp_ntz`` is read as UTC, other types are cast."""
+    if isinstance(df.schema[c].dataType, T.TimestampNTZType):
+        return ntz_to_instant(c)
+    return F.col(c).cast("timestamp")
+
+
+def epoch_seconds(ts: str | Column) -> Column:
+    """Whole epoch seconds of a ``timestamp`` instant, as long."""
+    return F.unix_timestamp(col_of(ts))
 
 
 def window_bounds(window_col: str = "window", ntz: bool = False) -> list[Column]:

@@ -10,6 +10,7 @@ from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from tarmac.functions.scalar import event_time_of, instant_to_ntz
 from tarmac.ml.evaluate import auc, weighted_f1
 from tarmac.ml.model import decide, score, train_model
 from tarmac.ml.sampling import SAMPLE_SEED, SPLIT_SEED, hash_split, split_column, undersample
@@ -136,7 +137,7 @@ def event_features(df):
     """``events`` in the model's input shape (place = user, label = error)."""
     return df.select(
         "event_id",
-        F.col("ts").cast("timestamp").alias("event_timestamp"),
+        event_time_of(df, "ts").alias("event_timestamp"),
         F.col("user_id").cast("string").alias("user"),
         "event_type",
         is_error().cast("int").alias(LABEL),
@@ -162,7 +163,7 @@ def model_scores(spark, sf_dir):
     _, test = hash_split(prepare_features(ev, NUMERIC, CATEGORICAL, label=LABEL, drop_null_label=True),
                          "event_id", (0.8, 0.2))
     out = score(test, path, SCORED_COLUMNS)
-    return out.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp_ntz"))
+    return out.withColumn("event_timestamp", instant_to_ntz("event_timestamp"))
 
 
 @register("stream_scored_quality", ("STR11", "ML12", "AGG11"))
@@ -181,4 +182,4 @@ def stream_scored_quality(spark, sf_dir):
     from tarmac.plans.streams import QUALITY_RESULT_SCHEMA
     res = read_results(spark, f"{root}/output", QUALITY_RESULT_SCHEMA, key_as_string="airport_name")
     res = dedupe(res, ["window_start", "window_end", "airport_name"])
-    return res.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+    return res.withColumns({c: instant_to_ntz(c) for c in ("window_start", "window_end")})

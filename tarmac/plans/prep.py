@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tarmac.functions.scalar import instant_to_ntz
 from tarmac.operators.clean import coerce_rows, prepare_features
 from tarmac.plans.registry import register
 from tarmac.plans.tables import events, lineitem
@@ -38,7 +39,7 @@ def json_round_trip(spark, sf_dir):
                          for f in LINEITEM_SCHEMA.fields])
     encoded = encode_events(spread(lineitem(spark, sf_dir)), wire, ts_col="l_shipdate", ts_name="l_shipdate")
     decoded = decode_events(encoded, wire)
-    return decoded.withColumn("l_shipdate", F.col("l_shipdate").cast("timestamp_ntz"))
+    return decoded.withColumn("l_shipdate", instant_to_ntz("l_shipdate"))
 
 
 @register("props_decode", "PRJ2", sql="""

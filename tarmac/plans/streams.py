@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tarmac.functions.scalar import instant_to_ntz, ntz_to_instant
 from tarmac.operators.dedupe import dedupe
 from tarmac.operators.windows import quality_rows, window_quality, window_stats
 from tarmac.plans.registry import register
@@ -53,14 +54,14 @@ def stage_events(spark, sf_dir, tag: str):
 
 
 def _ntz(df, *cols):
-    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols})
+    return df.withColumns({c: instant_to_ntz(c) for c in cols})
 
 
 def run_quality_stream(spark, sf_dir, root=None, src=None, schema=None, checkpoint=None, output=None):
     if root is None:
         root, src, schema = stage_events(spark, sf_dir, "quality-stream")
     stream = stream_table(spark, src, schema, max_files=1)
-    scored = quality_input(stream).withColumn("ts", F.col("ts").cast("timestamp"))
+    scored = quality_input(stream).withColumn("ts", ntz_to_instant("ts"))
     q = window_quality(scored, QUALITY, "place", "label", "pred", ts="ts", lat="lat", lon="lon",
                        watermark=WATERMARK)
     output = output or f"{root}/output"

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tarmac.functions.scalar import ntz_to_instant
 from tarmac.schema import stat_payload_schema
 
 STAT_FIELDS = ["min_value", "max_value", "avg_value", "std_value", "count"]
@@ -15,9 +17,11 @@ def to_stat_json(df: DataFrame, group_col: str, window_col: str = "window") -> D
     as a JSON ``value``; NULL fields are omitted. The group column is passed by
     name, never found by position.
     """
+    wtype = df.schema[window_col].dataType["start"].dataType
+    conv = ntz_to_instant if isinstance(wtype, T.TimestampNTZType) else (lambda c: F.col(c).cast("timestamp"))
     payload = F.struct(
-        F.col(f"{window_col}.start").cast("timestamp").alias("window_start"),
-        F.col(f"{window_col}.end").cast("timestamp").alias("window_end"),
+        conv(f"{window_col}.start").alias("window_start"),
+        conv(f"{window_col}.end").alias("window_end"),
         F.col(group_col).alias("group"),
         F.struct(*[F.col(c) for c in STAT_FIELDS]).alias("statistics"),
     )

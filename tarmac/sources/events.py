@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tarmac.functions.scalar import coerce_to, epoch_seconds
+from tarmac.functions.scalar import coerce_to, epoch_seconds, event_time_of
 from tarmac.roles import col_of
 
 
@@ -25,7 +25,8 @@ def encode_events(df: DataFrame, schema: T.StructType | None = None, ts_col: str
     * ``schema``: coerce every column present in it to its type first
       (integers by truncation), so a fraction in an integer field is not lost
       to a NULL at decode time; blank text becomes NULL and is omitted.
-    * ``ts_col``: event time, written as epoch seconds under ``ts_name``
+    * ``ts_col``: event time, written as epoch seconds under ``ts_name`` (a
+      ``timestamp_ntz`` wall clock is taken as UTC)
       (replacing a column of that name). ``stamp_now`` stamps the processing
       time instead, as a live producer does.
     NULL fields are omitted from the JSON text.
@@ -40,7 +41,8 @@ def encode_events(df: DataFrame, schema: T.StructType | None = None, ts_col: str
         else:
             cols.append(F.col(c))
     if ts_col is not None:
-        cols.append(epoch_seconds(ts_col).alias(ts_name))
+        t = event_time_of(df, ts_col) if isinstance(ts_col, str) else col_of(ts_col).cast("timestamp")
+        cols.append(epoch_seconds(t).alias(ts_name))
     elif stamp_now:
         cols.append(F.unix_timestamp(F.current_timestamp()).alias(ts_name))
     return df.select(F.to_json(F.struct(*cols)).alias("value"))

@@ -12,15 +12,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from tarmac.functions.scalar import event_time_of
 from tarmac.roles import duration_seconds
 
 MODES = ("append", "update", "complete")
 
 
 def with_event_time(df: DataFrame, ts: str, watermark: str | None) -> DataFrame:
-    """Event time as ``timestamp`` (watermarks reject ``timestamp_ntz``), plus an
-    optional watermark bounding lateness and state."""
-    out = df.withColumn(ts, df[ts].cast("timestamp"))
+    """Event time as ``timestamp`` (watermarks reject ``timestamp_ntz``; a
+    wall-clock value is read as UTC), plus an optional watermark bounding
+    lateness and state."""
+    out = df.withColumn(ts, event_time_of(df, ts))
     if watermark:
         duration_seconds(watermark)  # validate early
         out = out.withWatermark(ts, watermark)

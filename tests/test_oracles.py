@@ -55,3 +55,17 @@ def test_entry_smoke(spark):
     assert 0 < len(rows) <= 10
     assert df.columns == ["l_partkey", "DelayedFlightsNum"]
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+@pytest.mark.parametrize("name", ["stream_window_quality", "stream_stats_upsert", "json_round_trip",
+                                  "window_stats_sliding"])
+def test_time_zone_independent(spark, con_small, name):
+    """Wall-clock inputs give the same windows under a half-hour-offset session zone."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        q = QUERIES[name]
+        r = compare(spark, name, q.fn, q.sql, SF_SMALL, con_small)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert r["ok"], r

@@ -100,7 +100,8 @@ def main(argv):
     from tarmac.plans.registry import all_queries
     from tarmac.session import local_session
 
-    spark = local_session(8, 8)
+    tz = os.environ.get("ORACLE_SESSION_TZ")
+    spark = local_session(8, 8, extra={"spark.sql.session.timeZone": tz} if tz else None)
     con = duck(sf_dir)
     qs = all_queries()
     failed = 0
