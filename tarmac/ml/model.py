@@ -94,13 +94,13 @@ class TrainResult:
     n_train: int
 
 
-def train_model(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], label: str, key: str,
+def train_model(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], label: str, key: str | None,
                 classifier: str | Estimator = "gbt", threshold: float = DEFAULT_THRESHOLD,
                 weights: Sequence[float] = (0.8, 0.2), ratio: float = 3.0, hash_method: str = "xxhash64",
                 seed: int = 42) -> tuple[TrainResult, DataFrame]:
-    """Prepare, split by key hash, undersample the majority, fit, set the
-    threshold and evaluate on the hold-out. Returns the result and the scored
-    hold-out rows."""
+    """Prepare, split by key hash (``key=None``: whole-row hash), undersample
+    the majority, fit, set the threshold and evaluate on the hold-out. Returns
+    the result and the scored hold-out rows."""
     prepared = prepare_features(df, numeric, categorical, label=label, drop_null_label=True)
     train, test = hash_split(prepared, key, weights, method=hash_method)
     balanced, fraction = undersample(train, label, key, ratio, method=hash_method)

@@ -32,6 +32,15 @@ def _bounds(weights: Sequence[float]) -> list[float]:
     return out
 
 
+def row_key(df: DataFrame, key: str | Column | None) -> Column:
+    """The hashing key: ``key`` if given, else the whole row (identical rows
+    then always land on the same side of a split, so duplicates cannot leak
+    from train into test)."""
+    if key is not None:
+        return F.col(key) if isinstance(key, str) else key
+    return F.concat_ws("\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in df.columns])
+
+
 def split_column(key: str | Column, weights: Sequence[float] = (0.8, 0.2), names: Sequence[str] = ("train", "test"),
                  method: str = "xxhash64", seed: int = SPLIT_SEED) -> Column:
     """Name of the split each row falls in, from a hash of ``key``."""
@@ -46,10 +55,11 @@ def split_column(key: str | Column, weights: Sequence[float] = (0.8, 0.2), names
     return expr
 
 
-def hash_split(df: DataFrame, key: str | Column, weights: Sequence[float] = (0.8, 0.2),
+def hash_split(df: DataFrame, key: str | Column | None, weights: Sequence[float] = (0.8, 0.2),
                method: str = "xxhash64", seed: int = SPLIT_SEED) -> list[DataFrame]:
-    """Disjoint parts of ``df`` whose union is ``df``, sized by ``weights``."""
-    u = unit_hash(key, method, seed)
+    """Disjoint parts of ``df`` whose union is ``df``, sized by ``weights``
+    (``key=None`` hashes the whole row)."""
+    u = unit_hash(row_key(df, key), method, seed)
     b = _bounds(weights)
     parts = []
     for i in range(len(weights)):
@@ -61,7 +71,7 @@ def hash_split(df: DataFrame, key: str | Column, weights: Sequence[float] = (0.8
     return parts
 
 
-def undersample(df: DataFrame, label: Predicate, key: str | Column, ratio: float = 3.0,
+def undersample(df: DataFrame, label: Predicate, key: str | Column | None, ratio: float = 3.0,
                 method: str = "xxhash64", seed: int = SAMPLE_SEED) -> tuple[DataFrame, float | None]:
     """Keep every positive row and a hash sample of negatives sized to about
     ``ratio`` negatives per positive.
@@ -77,5 +87,5 @@ def undersample(df: DataFrame, label: Predicate, key: str | Column, ratio: float
         return pos, None
     neg = df.filter(label_is(label, 0))
     if fraction < 1.0:
-        neg = neg.filter(unit_hash(key, method, seed) < F.lit(float(fraction)))
+        neg = neg.filter(unit_hash(row_key(df, key), method, seed) < F.lit(float(fraction)))
     return neg.unionByName(pos), float(fraction)

@@ -138,18 +138,21 @@ def avg_by_keys(df: DataFrame, keys: Sequence[str | Column], measure: str, n: in
 
 
 def contrast(df: DataFrame, label: Predicate, measures: Sequence[str], scale: int = 2,
-             suffixes: tuple[str, str] = ("delayed", "on_time")) -> DataFrame:
+             suffixes: tuple[str, str] = ("delayed", "on_time"), stems: dict[str, str] | None = None) -> DataFrame:
     """Means of ``measures`` for the positive and the negative class, in one pass.
 
     ``avg(when(positive, m))`` and ``avg(when(negative, m))`` side by side: a
     single scan with one global partial aggregate, instead of two filtered
-    scans. Rows with a NULL label count in neither class.
+    scans. Rows with a NULL label count in neither class. Output columns are
+    ``avg_<stem>_<suffix>``; the stem defaults to the measure name.
     """
+    stems = stems or {}
     pos, neg = label_is(label, 1), label_is(label, 0)
     aggs = []
     for m in measures:
-        aggs.append(F.round(F.avg(F.when(pos, F.col(m))), scale).alias(f"avg_{m}_{suffixes[0]}"))
-        aggs.append(F.round(F.avg(F.when(neg, F.col(m))), scale).alias(f"avg_{m}_{suffixes[1]}"))
+        stem = stems.get(m, m)
+        aggs.append(F.round(F.avg(F.when(pos, F.col(m))), scale).alias(f"avg_{stem}_{suffixes[0]}"))
+        aggs.append(F.round(F.avg(F.when(neg, F.col(m))), scale).alias(f"avg_{stem}_{suffixes[1]}"))
     return df.agg(*aggs)
 
 

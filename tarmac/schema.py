@@ -55,8 +55,10 @@ SCORED_OUTPUT_COLUMNS = [
     "event_timestamp", "DEP_DEL15", "predicted_delay",
     "CARRIER_NAME", "DEPARTING_AIRPORT", "LATITUDE", "LONGITUDE",
 ]
-# Weather measures contrasted between delayed and on-time flights.
+# Weather measures contrasted between delayed and on-time flights, and the
+# stems of their result columns (avg_<stem>_delayed / avg_<stem>_on_time).
 FLIGHT_WEATHER_MEASURES = ["PRCP", "SNOW", "TMAX", "AWND"]
+FLIGHT_WEATHER_STEMS = {"PRCP": "prcp", "SNOW": "snow", "TMAX": "temp", "AWND": "wind"}
 # ------------------------------------------------------------------------------
 
 _TYPES = {

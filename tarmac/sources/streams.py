@@ -27,6 +27,12 @@ def topic_options(servers: str, topic: str, start: str = "latest", max_offsets:
     return opts
 
 
+def topic_sink_options(servers: str, topic: str) -> dict[str, str]:
+    """Writer options for a topic sink (``run_stream(fmt="kafka", options=...)``;
+    the frame must carry a ``value`` column, e.g. from ``to_stat_json``)."""
+    return {"kafka.bootstrap.servers": servers, "topic": topic}
+
+
 def read_topic(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     """Streaming read of a topic (needs the Kafka connector on the classpath)."""
     return spark.readStream.format("kafka").options(**options).load()
