@@ -19,6 +19,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tarmac.session import ensure_checkpoint_dir
+
 MAX_CLASSES = 10_000
 
 
@@ -37,10 +39,28 @@ def score_counts(df: DataFrame, label: str | Column, score: str | Column) -> Dat
     )
 
 
-def auc(df: DataFrame, label: str | Column, score: str | Column, buckets: int = 1024,
-        rel_error: float = 1e-3, scale: int | None = 12) -> DataFrame:
-    """One row: ``auc``, ``n_positive``, ``n_negative``. NULL ``auc`` when a class is absent."""
-    counts = score_counts(df, label, score)
+ROWS_PER_BUCKET = 1_000_000
+MAX_BUCKETS = 65_536
+
+
+def auc(df: DataFrame, label: str | Column, score: str | Column, buckets: int | None = None,
+        rel_error: float = 1e-4, scale: int | None = 12) -> DataFrame:
+    """One row: ``auc``, ``n_positive``, ``n_negative``. NULL ``auc`` when a class is absent.
+
+    ``buckets`` defaults to one per ~million distinct scores (at most
+    65,536), so no bucket sorts more than a few million small rows; the
+    per-bucket offsets broadcast is bounded by the same cap. The distinct-score
+    table is checkpointed (reliably, under ``spark.checkpoint.dir``).
+    """
+    # Written once to the shared checkpoint dir: the passes below (count,
+    # quantiles, ranking) read it instead of re-aggregating the input.
+    ensure_checkpoint_dir(df.sparkSession)
+    counts = score_counts(df, label, score).checkpoint(eager=True)
+    if buckets is None:
+        n_scores = counts.count()
+        buckets = min(MAX_BUCKETS, max(1, -(-n_scores // ROWS_PER_BUCKET)))
+    if not 1 <= buckets <= MAX_BUCKETS:
+        raise ValueError(f"buckets must be in [1, {MAX_BUCKETS}]")
     probs = [i / buckets for i in range(1, buckets)]
     edges = sorted(set(counts.approxQuantile("score", probs, rel_error))) if buckets > 1 else []
     splits = [float("-inf"), *[e for e in edges if e not in (float("-inf"), float("inf"))], float("inf")]

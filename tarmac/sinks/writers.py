@@ -5,9 +5,10 @@ is re-run after a failure or a restart overwrites exactly its own output, so
 replays never duplicate rows.
 
 The keyed table is log-structured: each batch lands in its own
-``upsert_batch=<id>`` partition (a cheap, parallel, O(batch) write) and the
-current state per key is resolved on read by a map-side-combined max over
-``(batch, row)``. :func:`compact_upserts` folds the log into a snapshot.
+``log/upsert_batch=<id>`` partition (a cheap, parallel, O(batch) write) and
+the current state per key is resolved on read by a map-side-combined max over
+``(batch, row)``. Every few batches the state is folded into
+``snapshot/as_of=<id>``, which bounds what a read has to scan.
 """
 
 from __future__ import annotations
@@ -60,20 +61,47 @@ def _fs(spark: SparkSession, path: str):
     return hpath, hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def _log(path: str) -> str:
+    return f"{path.rstrip('/')}/log"
+
+
+def _snapshots(path: str) -> str:
+    return f"{path.rstrip('/')}/snapshot"
+
+
+def latest_snapshot(spark: SparkSession, path: str) -> int | None:
+    """Batch id of the newest complete snapshot (one with ``_SUCCESS``), if any."""
+    hpath, fs = _fs(spark, _snapshots(path))
+    if not fs.exists(hpath):
+        return None
+    best = None
+    for st in fs.listStatus(hpath):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("as_of="):
+            done = st.getPath().toString() + "/_SUCCESS"
+            if fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(done)):
+                n = int(name.split("=", 1)[1])
+                best = n if best is None or n > best else best
+    return best
+
+
 def reset_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
     """Drop the keyed table at ``path`` and recreate it empty with ``schema``."""
     hpath, fs = _fs(spark, path)
     if fs.exists(hpath):
         fs.delete(hpath, True)
-    empty_table(spark, schema).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BATCH_COL}=-1")
+    empty_table(spark, schema).write.mode("overwrite").parquet(f"{_log(path)}/{BATCH_COL}=-1")
 
 
 def upsert_writer(path: str, keys: Sequence[str], transform: Callable[[DataFrame], DataFrame] | None = None,
-                  spark: SparkSession | None = None, reset_schema: T.StructType | None = None) -> BatchFn:
+                  spark: SparkSession | None = None, reset_schema: T.StructType | None = None,
+                  compact_every: int | None = 50) -> BatchFn:
     """``foreachBatch`` callback appending each batch to the keyed log at ``path``.
 
     ``keys`` is the upsert key (checked on every batch); last write wins, where
-    "last" is the highest batch id. ``reset_schema`` (with ``spark``) drops and
+    "last" is the highest batch id. Every ``compact_every`` batches the state
+    is folded into a snapshot, so reads never scan more than one snapshot plus
+    ``compact_every`` log entries. ``reset_schema`` (with ``spark``) drops and
     recreates the table before the first batch.
     """
     keys = list(keys)
@@ -85,7 +113,9 @@ def upsert_writer(path: str, keys: Sequence[str], transform: Callable[[DataFrame
     def write(batch_df: DataFrame, batch_id: int) -> None:
         out = transform(batch_df) if transform else batch_df
         require_columns(out, *keys)
-        out.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BATCH_COL}={batch_id}")
+        out.write.mode("overwrite").parquet(f"{_log(path)}/{BATCH_COL}={batch_id}")
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            compact_upserts(out.sparkSession, path, keys, out.schema, as_of=batch_id)
 
     return write
 
@@ -93,24 +123,35 @@ def upsert_writer(path: str, keys: Sequence[str], transform: Callable[[DataFrame
 def read_upserted(spark: SparkSession, path: str, keys: Sequence[str], schema: T.StructType) -> DataFrame:
     """Current state of the keyed table: per key, the row of the latest batch.
 
-    Ties inside one batch are broken by the row values, so the result never
-    depends on arrival order within a batch.
+    Reads the newest complete snapshot plus the log entries after it (older
+    log partitions are pruned). Ties inside one batch are broken by the row
+    values, so the result never depends on arrival order within a batch.
     """
     keys = list(keys)
     if not path_has_files(spark, path):
         return empty_table(spark, schema)
     full = T.StructType(list(schema.fields) + [T.StructField(BATCH_COL, T.LongType())])
-    log = spark.read.schema(full).parquet(path)
+    snap_id = latest_snapshot(spark, path)
+    log = spark.read.schema(full).parquet(_log(path))
+    if snap_id is not None:
+        snap = spark.read.schema(schema).parquet(f"{_snapshots(path)}/as_of={snap_id}") \
+            .withColumn(BATCH_COL, F.lit(snap_id).cast("long"))
+        log = snap.unionByName(log.filter(F.col(BATCH_COL) > F.lit(snap_id)))
     rest = [f.name for f in schema.fields if f.name not in keys]
     latest = log.groupBy(*keys).agg(F.max(F.struct(F.col(BATCH_COL), *[F.col(c) for c in rest])).alias("_row"))
     return latest.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in schema.fieldNames()])
 
 
 def compact_upserts(spark: SparkSession, path: str, keys: Sequence[str], schema: T.StructType,
-                    snapshot_path: str) -> str:
-    """Write the resolved state as a snapshot (also cuts the read lineage)."""
-    read_upserted(spark, path, keys, schema).write.mode("overwrite").parquet(snapshot_path)
-    return snapshot_path
+                    as_of: int) -> str:
+    """Write the resolved state as snapshot ``as_of`` (the last batch it covers).
+
+    The snapshot only counts once its ``_SUCCESS`` marker exists, so a failed
+    compaction is ignored and simply redone later.
+    """
+    target = f"{_snapshots(path)}/as_of={as_of}"
+    read_upserted(spark, path, keys, schema).write.mode("overwrite").parquet(target)
+    return target
 
 
 def save_model(model, path: str) -> str:

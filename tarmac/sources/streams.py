@@ -60,10 +60,13 @@ def stage_event_files(df: DataFrame, path: str, ts: str, files: int, fmt: str =
     with modification times pinned in time order.
 
     A file-source stream with ``maxFilesPerTrigger=1`` then replays the table
-    in event-time order, one slice per micro-batch. The write is one parallel
-    job; only file metadata is touched on the driver.
+    in event-time order, one slice per micro-batch. Rows are ranged on
+    ``(ts, row hash)``, so even a single timestamp holding a large share of the
+    rows is spread over several files instead of one. The write is one
+    parallel job; only file metadata is touched on the driver.
     """
-    (df.repartitionByRange(files, F.col(ts)).sortWithinPartitions(ts)
+    tie = F.xxhash64(*[F.col(c) for c in df.columns])
+    (df.repartitionByRange(files, F.col(ts), tie).sortWithinPartitions(ts)
        .write.mode("overwrite").format(fmt).save(path))
     pin_file_order(df.sparkSession, path)
     return path

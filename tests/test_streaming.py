@@ -133,3 +133,22 @@ def test_run_stream_argument_checks(spark, tmp_dir):
         run_stream(df, os.path.join(tmp_dir, "c"), mode="sometimes", fmt="memory")
     with pytest.raises(ValueError):
         run_stream(df, os.path.join(tmp_dir, "c"))
+
+
+def test_upsert_log_compaction(spark, tmp_dir):
+    from tarmac.sinks.writers import latest_snapshot, upsert_writer
+
+    schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.LongType())])
+    path = os.path.join(tmp_dir, "table")
+    w = upsert_writer(path, ["k"], spark=spark, reset_schema=schema, compact_every=2)
+    for batch_id in range(5):
+        rows = [("a", batch_id), ("b", 10 + batch_id)] if batch_id % 2 == 0 else [("a", 100 + batch_id)]
+        if batch_id == 4:
+            rows = [("c", 7)]
+        w(spark.createDataFrame(rows, schema), batch_id)
+    assert latest_snapshot(spark, path) == 3
+    got = sorted(tuple(r) for r in read_upserted(spark, path, ["k"], schema).collect())
+    assert got == [("a", 103), ("b", 12), ("c", 7)]
+    # replaying a batch rewrites only its own entry
+    w(spark.createDataFrame([("c", 7)], schema), 4)
+    assert sorted(tuple(r) for r in read_upserted(spark, path, ["k"], schema).collect()) == got
