@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from tarmac.ml.evaluate import auc, weighted_f1
-from tarmac.ml.model import build_pipeline, decide, load_model, score, train_model, with_threshold
+from tarmac.ml.model import (build_pipeline, decide, load_model, positive_probability, score, train_model,
+                             with_threshold)
 from tarmac.ml.sampling import hash_split, undersample
 from tarmac.sinks.writers import save_model
 
@@ -66,8 +67,7 @@ def test_pipeline_fit_threshold_and_round_trip(spark, learnable, tmp_dir):
     result, scored = train_model(learnable, ["x1", "x2"], ["cat"], "y", "row_id", classifier="gbt")
     assert 0.75 < result.auc <= 1.0 and 0 < result.f1 <= 1.0
     # the threshold is persisted with the model: p1 > t  <=>  prediction 1
-    p1 = F.udf(lambda v: float(v[1]), "double")("probability")  # test-only check of the vector
-    check = scored.select("prediction", decide(p1, 0.25).alias("mine"))
+    check = scored.select("prediction", decide(positive_probability(), 0.25).alias("mine"))
     assert check.filter(F.col("prediction") != F.col("mine")).count() == 0
     path = os.path.join(tmp_dir, "model")
     save_model(result.model, path)
@@ -103,3 +103,9 @@ def test_threshold_validation(learnable):
     model = build_pipeline(["x1"], [], "y", classifier="lr").fit(learnable)
     with pytest.raises(ValueError):
         with_threshold(model, 1.5)
+
+
+@pytest.mark.parametrize("kind", ["rf_shallow", "lr"])
+def test_alternative_classifiers(learnable, kind):
+    result, _ = train_model(learnable, ["x1", "x2"], ["cat"], "y", "row_id", classifier=kind)
+    assert 0.7 < result.auc <= 1.0
