@@ -190,11 +190,14 @@ def distinct_values(df: DataFrame, key: str | Column) -> DataFrame:
     return out.orderBy(out.columns[0])
 
 
-def preview(df: DataFrame, n: int, key: str | Column, seed: int = 42) -> DataFrame:
-    """``n`` pseudo-random rows, reproducible: ordered by a seeded hash of ``key``.
+def preview(df: DataFrame, n: int, key: str | Column, seed: int = 42, method: str = "xxhash64") -> DataFrame:
+    """``n`` pseudo-random rows, reproducible: ordered by a seeded hash of
+    ``key`` (then the key itself).
 
     Planned as a per-partition top-n, so it never sorts the whole table and
     does not depend on partitioning (unlike ``sample`` + ``limit``).
     """
-    h = F.xxhash64(col_of(key), F.lit(seed))
-    return df.withColumn("_h", h).orderBy("_h").limit(n).drop("_h")
+    from tarmac.functions.scalar import unit_hash
+
+    k = col_of(key)
+    return df.withColumn("_h", unit_hash(k, method, seed)).orderBy("_h", k).limit(n).drop("_h")

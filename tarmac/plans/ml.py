@@ -17,7 +17,7 @@ from tarmac.ml.sampling import SAMPLE_SEED, SPLIT_SEED, hash_split, split_column
 from tarmac.operators.clean import prepare_features
 from tarmac.operators.dedupe import dedupe
 from tarmac.operators.windows import quality_rows, window_quality
-from tarmac.plans.registry import register, sql_round
+from tarmac.plans.registry import register, sql_round, sql_unit
 from tarmac.plans.tables import events, is_error, lineitem, orders
 from tarmac.plans.windows import QUALITY
 from tarmac.session import scratch_path
@@ -27,12 +27,6 @@ from tarmac.sources.streams import stage_event_files, stream_table
 from tarmac.streaming.runner import run_to_completion
 
 
-def sql_unit(key_sql: str, seed: int) -> str:
-    """SQL twin of ``unit_hash(key, "md5", seed)``."""
-    return (f"('0x' || substr(md5('{seed}:' || ({key_sql})::VARCHAR), 1, 8))::BIGINT::DOUBLE"
-            f" / 4294967296.0::DOUBLE")
-
-
 @register("train_test_split", "ML1", sql=f"""
 SELECT *, CASE WHEN {sql_unit('o_orderkey', SPLIT_SEED)} < 0.8 THEN 'train' ELSE 'test' END AS split
 FROM orders

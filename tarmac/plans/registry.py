@@ -57,3 +57,10 @@ def sql_round(expr: str, scale: int = 2) -> str:
     through text reproduces that (a plain double ``round`` differs on ties).
     """
     return f"round(({expr})::varchar::decimal(38,18), {scale})::double"
+
+
+def sql_unit(key_sql: str, seed: int) -> str:
+    """SQL twin of ``unit_hash(key, "md5", seed)``: a value in [0, 1) from the
+    first 32 bits of ``md5("<seed>:<key>")``."""
+    return (f"('0x' || substr(md5('{seed}:' || ({key_sql})::VARCHAR), 1, 8))::BIGINT::DOUBLE"
+            f" / 4294967296.0::DOUBLE")

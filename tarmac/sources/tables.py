@@ -50,7 +50,10 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     returned untouched, so no shuffle is added at scale; only small or
     single-row-group inputs are fanned out.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= target:
+            return df
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave as is
         return df
     return df.repartition(target)
