@@ -70,6 +70,20 @@ def comparisons(spark, sf_dir: str, repeat: int) -> dict:
                                                    repeat), 3)
     out["contrast_two_scans_sec"] = round(median_of(two_scans, repeat), 3)
 
+    # 1b. delay counts for three keys: one GROUPING SETS pass vs three aggregates
+    from tarmac.operators.metrics import count_by, count_by_dimensions
+
+    li_m = li.withColumn("month", F.month("l_shipdate"))
+    keys = ["month", "l_suppkey", "l_linestatus"]
+
+    def three_passes():
+        for k in keys:
+            run_noop(count_by(li_m, k, returned()))
+
+    out["counts_one_pass_sec"] = round(median_of(lambda: run_noop(count_by_dimensions(li_m, keys, returned())),
+                                                 repeat), 3)
+    out["counts_three_passes_sec"] = round(median_of(three_passes, repeat), 3)
+
     # 2. CSV scan vs Parquet for the group statistics query
     csv_dir = scratch_path(spark, "bench-csv")
     li.write.option("header", True).csv(csv_dir)

@@ -60,6 +60,8 @@ def delay_report(df: DataFrame, month: int | None = None, carrier: str | None =
         "delays_per_month": M.count_by(df, "MONTH", label),
         "delays_per_carrier": M.count_by(df, "CARRIER_NAME", label),
         "top_delay_airports": M.top_n_by(df, "DEPARTING_AIRPORT", label, n=top_n),
+        # the three counts above in one scan and one shuffle (long format)
+        "delays_by_dimension": M.count_by_dimensions(df, ["MONTH", "CARRIER_NAME", "DEPARTING_AIRPORT"], label),
     }
     if spark is not None:
         out["schema"] = schema_table(spark, df)

@@ -75,6 +75,27 @@ def count_by(df: DataFrame, key: str | Column | Sequence[str | Column] | None, l
     return counted.orderBy(*[F.col(n).asc() for n in names])
 
 
+def count_by_dimensions(df: DataFrame, keys: Sequence[str | Column], label: Predicate,
+                        where: Iterable[Predicate] = (), count_col: str = "DelayedFlightsNum") -> DataFrame:
+    """Positive-class rows per value of each key, for several keys in one pass.
+
+    One scan, one ``GROUPING SETS`` aggregate (each row is expanded once per
+    key before the map-side partial count, then a single shuffle), instead of
+    one scan and one shuffle per key. Long format: ``dimension`` (key name),
+    ``value`` (key value as text), count.
+    """
+    rows = labelled_rows(df, label, where).select(*[col_of(k) for k in keys])
+    names = rows.columns
+    flags = [F.grouping(n).alias(f"_g{i}") for i, n in enumerate(names)]
+    grouped = rows.groupingSets([[n] for n in names], *names).agg(F.count(F.lit(1)).alias(count_col), *flags)
+    dim, value = None, []
+    for i, n in enumerate(names):
+        hit = F.col(f"_g{i}") == 0
+        dim = F.when(hit, F.lit(n)) if dim is None else dim.when(hit, F.lit(n))
+        value.append(F.when(hit, F.col(n).cast("string")))
+    return grouped.select(dim.alias("dimension"), F.coalesce(*value).alias("value"), F.col(count_col))
+
+
 def top_n_by(df: DataFrame, key: str | Column | Sequence[str | Column], label: Predicate, n: int = 10,
              where: Iterable[Predicate] = (), count_col: str = "DelayedFlightsNum") -> DataFrame:
     """The ``n`` keys with the most positive-class rows."""

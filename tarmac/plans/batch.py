@@ -35,6 +35,19 @@ def delays_by_supplier(spark, sf_dir):
     return M.count_by(lineitem(spark, sf_dir), "l_suppkey", returned())
 
 
+@register("delays_by_dimension", ("AGG1", "FLT1"), headline=True, sql="""
+SELECT CASE WHEN grouping(month) = 0 THEN 'month' WHEN grouping(l_suppkey) = 0 THEN 'l_suppkey'
+            ELSE 'l_linestatus' END AS dimension,
+       CASE WHEN grouping(month) = 0 THEN month::VARCHAR WHEN grouping(l_suppkey) = 0 THEN l_suppkey::VARCHAR
+            ELSE l_linestatus END AS value,
+       count(*) AS DelayedFlightsNum
+FROM (SELECT month(l_shipdate)::INTEGER AS month, l_suppkey, l_linestatus FROM lineitem WHERE l_returnflag = 'R')
+GROUP BY GROUPING SETS ((month), (l_suppkey), (l_linestatus))
+""")
+def delays_by_dimension(spark, sf_dir):
+    return M.count_by_dimensions(_li_month(spark, sf_dir), ["month", "l_suppkey", "l_linestatus"], returned())
+
+
 @register("top_parts_by_delays", ("AGG2", "SRT2", "SRT3"), headline=True, sql=f"""
 SELECT l_partkey, count(*) AS DelayedFlightsNum
 FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1
