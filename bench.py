@@ -129,7 +129,7 @@ def main() -> None:
     for name, q in all_queries().items():
         if only and name not in only:
             continue
-        fn = (lambda q=q: q.fn(spark, sf_dir)) if name in HEAVY else (lambda q=q: run_noop(q.fn(spark, sf_dir)))
+        fn = (lambda q=q: run_noop(q.fn(spark, sf_dir)))
         if name in HEAVY:
             fn()  # warm-up
             results[name] = round(timed(fn), 3)
