@@ -10,7 +10,6 @@ key, every window.
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarmac.functions.scalar import instant_to_ntz, ntz_to_instant
