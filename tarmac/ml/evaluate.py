@@ -64,22 +64,23 @@ def auc(df: DataFrame, label: str | Column, score: str | Column, buckets: int |
     probs = [i / buckets for i in range(1, buckets)]
     edges = sorted(set(counts.approxQuantile("score", probs, rel_error))) if buckets > 1 else []
     splits = [float("-inf"), *[e for e in edges if e not in (float("-inf"), float("inf"))], float("inf")]
-    if len(splits) < 3:  # a single bucket
-        bucketed = counts.withColumn("bucket", F.lit(0.0))
+    if len(splits) < 3:
+        # A single bucket (at most ROWS_PER_BUCKET distinct scores): one ordered pass, no offsets.
+        below = Window.orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+        ranked = counts.withColumn("neg_below", F.coalesce(F.sum("neg").over(below), F.lit(0.0)))
     else:
         bucketed = Bucketizer(splits=splits, inputCol="score", outputCol="bucket").transform(counts)
-
-    # One row per bucket (at most ``buckets``): total negatives, then the
-    # negatives in all lower buckets.
-    per_bucket = bucketed.groupBy("bucket").agg(F.sum("neg").alias("bucket_neg"))
-    offsets = per_bucket.select(
-        "bucket",
-        F.coalesce(F.sum("bucket_neg").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0.0)).alias("offset"),
-    )
-    within = Window.partitionBy("bucket").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = bucketed.join(F.broadcast(offsets), "bucket").withColumn(
-        "neg_below", F.col("offset") + F.coalesce(F.sum("neg").over(within), F.lit(0.0)))
+        # One row per bucket (at most MAX_BUCKETS): total negatives, then the
+        # negatives in all lower buckets.
+        per_bucket = bucketed.groupBy("bucket").agg(F.sum("neg").alias("bucket_neg"))
+        offsets = per_bucket.select(
+            "bucket",
+            F.coalesce(F.sum("bucket_neg").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)),
+                       F.lit(0.0)).alias("offset"),
+        )
+        within = Window.partitionBy("bucket").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+        ranked = bucketed.join(F.broadcast(offsets), "bucket").withColumn(
+            "neg_below", F.col("offset") + F.coalesce(F.sum("neg").over(within), F.lit(0.0)))
     totals = ranked.agg(
         F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / 2.0)).alias("u"),
         F.sum("pos").alias("p"),

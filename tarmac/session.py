@@ -60,7 +60,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
     builder = SparkSession.builder.master(f"local[{cpus}]").appName(app)
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf["spark.driver.memory"] = os.environ.get("TARMAC_DRIVER_MEMORY", "8g")
+    conf["spark.driver.memory"] = os.environ.get("TARMAC_DRIVER_MEMORY", "4g")
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
