@@ -47,7 +47,7 @@ def auc(df: DataFrame, label: str | Column, score: str | Column, buckets: int |
         rel_error: float = 1e-4, scale: int | None = 12) -> DataFrame:
     """One row: ``auc``, ``n_positive``, ``n_negative``. NULL ``auc`` when a class is absent.
 
-    ``buckets`` defaults to one per ~million distinct scores (at most
+    ``buckets`` is at least one per million distinct scores (at most
     65,536), so no bucket sorts more than a few million small rows; the
     per-bucket offsets broadcast is bounded by the same cap. The distinct-score
     table is checkpointed (reliably, under ``spark.checkpoint.dir``).
@@ -56,11 +56,11 @@ def auc(df: DataFrame, label: str | Column, score: str | Column, buckets: int |
     # quantiles, ranking) read it instead of re-aggregating the input.
     ensure_checkpoint_dir(df.sparkSession)
     counts = score_counts(df, label, score).checkpoint(eager=True)
-    if buckets is None:
-        n_scores = counts.count()
-        buckets = min(MAX_BUCKETS, max(1, -(-n_scores // ROWS_PER_BUCKET)))
-    if not 1 <= buckets <= MAX_BUCKETS:
+    if buckets is not None and not 1 <= buckets <= MAX_BUCKETS:
         raise ValueError(f"buckets must be in [1, {MAX_BUCKETS}]")
+    # Never fewer buckets than keeps each one within ROWS_PER_BUCKET distinct scores.
+    needed = min(MAX_BUCKETS, max(1, -(-counts.count() // ROWS_PER_BUCKET)))
+    buckets = max(buckets or 1, needed)
     probs = [i / buckets for i in range(1, buckets)]
     edges = sorted(set(counts.approxQuantile("score", probs, rel_error))) if buckets > 1 else []
     splits = [float("-inf"), *[e for e in edges if e not in (float("-inf"), float("inf"))], float("inf")]
