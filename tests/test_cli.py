@@ -1,0 +1,43 @@
+"""The command line, driven in-process on flight-shaped data."""
+
+import os
+
+from test_flights import make_flights, write_wire_batches
+from tarmac import cli
+from tarmac.schema import KEYED_STATISTICS_SCHEMA
+from tarmac.sinks.writers import read_upserted
+
+
+def test_cli_end_to_end(spark, tmp_dir, capsys):
+    flights = make_flights(spark, 1500).cache()
+    csv = os.path.join(tmp_dir, "flights.csv")
+    flights.drop("timestamp").write.option("header", True).csv(csv)
+
+    cli.main(["batch", "--input", csv, "--month", "3", "--carrier", "Delta", "--rows", "3"], spark=spark)
+    out = capsys.readouterr().out
+    for name in ("delays_per_month", "top_delay_airports", "group_statistics", "weather_impact", "missing_values"):
+        assert f"--- {name} ---" in out
+
+    produced = os.path.join(tmp_dir, "produced")
+    cli.main(["produce", "--input", csv, "--output", produced, "--files", "2"], spark=spark)
+    assert spark.read.text(produced).count() == 1500
+
+    events = write_wire_batches(flights, os.path.join(tmp_dir, "events"))
+    table = os.path.join(tmp_dir, "stats")
+    cli.main(["stream-stats", "--input", events, "--window_duration", "60", "--window_type", "tumbling",
+              "--group_by", "DEPARTING_AIRPORT", "--target_col", "PLANE_AGE", "--filter", "CARRIER_NAME=='Delta'",
+              "--checkpoint", os.path.join(tmp_dir, "c1"), "--table", table, "--reset", "--trigger", "availableNow"],
+             spark=spark)
+    stats = read_upserted(spark, table, ["window_start", "group_value"], KEYED_STATISTICS_SCHEMA)
+    assert stats.agg({"count": "sum"}).first()[0] == flights.filter("CARRIER_NAME = 'Delta'").count()
+
+    model = os.path.join(tmp_dir, "model")
+    cli.main(["train", "--input", csv, "--model", model, "--classifier", "lr"], spark=spark)
+    assert "AUC=" in capsys.readouterr().out
+
+    preds = os.path.join(tmp_dir, "predictions")
+    cli.main(["stream-predict", "--input", events, "--model", model, "--window_duration", "30",
+              "--window_type", "sliding", "--slide_duration", "5", "--output", preds,
+              "--checkpoint", os.path.join(tmp_dir, "c2"), "--trigger", "availableNow"], spark=spark)
+    cli.main(["report", "--output", preds, "--rows", "3"], spark=spark)
+    assert "--- latest_by_airport ---" in capsys.readouterr().out
