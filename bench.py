@@ -84,6 +84,15 @@ def comparisons(spark, sf_dir: str, repeat: int) -> dict:
                                                  repeat), 3)
     out["counts_three_passes_sec"] = round(median_of(three_passes, repeat), 3)
 
+    # 1c. sliding windows (30 days every day): per-pane merge vs copying every row into 30 windows
+    from tarmac.operators.windows import window_stats as ws
+
+    spec30 = WindowSpec("30 days", "1 day")
+    for method in ("panes", "expand"):
+        out[f"sliding_{method}_sec"] = round(median_of(
+            lambda method=method: run_noop(ws(li, spec30, "l_returnflag", "l_extendedprice", ts="l_shipdate",
+                                              method=method)), repeat), 3)
+
     # 2. CSV scan vs Parquet for the group statistics query
     csv_dir = scratch_path(spark, "bench-csv")
     li.write.option("header", True).csv(csv_dir)

@@ -3,11 +3,20 @@
 The same functions run on batch tables and on streaming DataFrames; on a
 stream, the aggregation state lives in the state store and is evicted by the
 watermark. Columns are pruned to what the aggregate needs *before* the window
-is assigned: a sliding window copies each row ``duration / slide`` times.
+is assigned.
+
+A sliding window puts each row into ``duration / slide`` windows. On batch
+frames the default plan aggregates once per *pane* (a slice of
+``gcd(duration, slide)``) and then merges the pane aggregates into the
+windows that contain them, so only one small row per pane and key is copied
+instead of every input row. Counts, sums, minima and maxima merge exactly;
+the sample variance is rebuilt from the pane sums and sums of squares.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,24 +45,72 @@ def exact_mean(m: Column, decimals: int | None) -> Column:
     return F.try_divide(total, F.count(m).cast("double"))
 
 
+def _use_panes(df: DataFrame, spec: WindowSpec, method: str) -> bool:
+    if method not in ("auto", "panes", "expand"):
+        raise ValueError("method must be 'auto', 'panes' or 'expand'")
+    if method == "expand" or not spec.is_sliding:
+        return False
+    if df.isStreaming:
+        if method == "panes":
+            raise ValueError("pane aggregation needs two aggregations, which a stream cannot chain here")
+        return False
+    return True
+
+
+def _pane(spec: WindowSpec) -> str:
+    return f"{math.gcd(spec.duration_seconds, spec.slide_seconds)} seconds"
+
+
+def _merge_window(spec: WindowSpec, pane_col: str = "pane") -> Column:
+    # Every window that contains a pane's start contains the whole pane (both
+    # are aligned to the pane width), so Spark's own window assignment applied
+    # to the pane start gives exactly the windows the pane belongs to.
+    return spec.column(F.col(f"{pane_col}.start")).alias("window")
+
+
 def window_stats(df: DataFrame, spec: WindowSpec, key: str, measure: str, ts: str = "timestamp",
-                 scale: int = 2, watermark: str | None = None, mean_decimals: int | None = None) -> DataFrame:
+                 scale: int = 2, watermark: str | None = None, mean_decimals: int | None = None,
+                 method: str = "auto") -> DataFrame:
     """Rounded min/max/mean/sample-stddev and non-NULL count of ``measure``
     per window and ``key``.
 
     Output: ``window`` struct, ``key``, ``min_value``, ``max_value``,
     ``avg_value``, ``std_value``, ``count``. ``mean_decimals`` selects the
-    exact fixed-point mean (see :func:`exact_mean`).
+    exact fixed-point mean (see :func:`exact_mean`). ``method``: ``"auto"``
+    (panes for sliding windows on batch frames), ``"panes"`` or ``"expand"``
+    (copy each row into its windows, as Spark's ``window`` does).
     """
     m = F.col(measure)
     pruned = df.select(ts, key, measure) if measure != key else df.select(ts, key)
     pruned = _with_watermark(pruned, ts, watermark)
-    return pruned.groupBy(spec.column(ts).alias("window"), F.col(key)).agg(
-        F.round(F.min(m), scale).alias("min_value"),
-        F.round(F.max(m), scale).alias("max_value"),
-        F.round(exact_mean(m, mean_decimals), scale).alias("avg_value"),
-        F.round(F.stddev_samp(m), scale).alias("std_value"),
-        F.count(m).alias("count"),
+    if not _use_panes(df, spec, method):
+        return pruned.groupBy(spec.column(ts).alias("window"), F.col(key)).agg(
+            F.round(F.min(m), scale).alias("min_value"),
+            F.round(F.max(m), scale).alias("max_value"),
+            F.round(exact_mean(m, mean_decimals), scale).alias("avg_value"),
+            F.round(F.stddev_samp(m), scale).alias("std_value"),
+            F.count(m).alias("count"),
+        )
+    x = m.cast("double")
+    total = m.cast(f"decimal(28,{mean_decimals})") if mean_decimals is not None else x
+    panes = pruned.groupBy(F.window(ts, _pane(spec)).alias("pane"), F.col(key)).agg(
+        F.min(m).alias("p_min"), F.max(m).alias("p_max"), F.count(m).alias("p_n"),
+        F.sum(total).alias("p_sum"), F.sum(x * x).alias("p_sq"),
+    )
+    merged = panes.groupBy(_merge_window(spec), F.col(key)).agg(
+        F.min("p_min").alias("mn"), F.max("p_max").alias("mx"), F.sum("p_n").alias("n"),
+        F.sum("p_sum").cast("double").alias("s"), F.sum("p_sq").alias("q"),
+    )
+    n = F.col("n").cast("double")
+    m2 = F.greatest(F.col("q") - F.col("s") * F.col("s") / n, F.lit(0.0))
+    std = F.when(F.col("n") > 1, F.sqrt(m2 / (n - F.lit(1.0))))
+    return merged.select(
+        "window", key,
+        F.round(F.col("mn"), scale).alias("min_value"),
+        F.round(F.col("mx"), scale).alias("max_value"),
+        F.round(F.try_divide(F.col("s"), n), scale).alias("avg_value"),
+        F.round(std, scale).alias("std_value"),
+        F.col("n").alias("count"),
     )
 
 
@@ -66,7 +123,7 @@ def flatten_window(df: DataFrame, window_col: str = "window", ntz: bool = False)
 def window_quality(df: DataFrame, spec: WindowSpec, place: StrOrCol, label: StrOrCol, prediction: StrOrCol,
                    ts: str = "event_timestamp", lat: StrOrCol | None = None, lon: StrOrCol | None = None,
                    watermark: str | None = "3 minutes", place_alias: str = "airport_name",
-                   scale: int = 2) -> DataFrame:
+                   scale: int = 2, method: str = "auto") -> DataFrame:
     """Prediction quality per window and place.
 
     ``total_flights`` counts non-NULL labels; ``actual_delays`` and
@@ -74,7 +131,8 @@ def window_quality(df: DataFrame, spec: WindowSpec, place: StrOrCol, label: StrO
     the int-cast label equals the int-cast prediction (a NULL label is never
     correct); ``accuracy_percent`` is ``correct / total * 100`` rounded, NULL
     for an all-NULL-label window. ``LATITUDE``/``LONGITUDE`` carry the largest
-    coordinate seen.
+    coordinate seen. ``method`` as in :func:`window_stats` (all of these
+    aggregates merge exactly across panes).
     """
     lab, pred = col_of(label), col_of(prediction)
     cols = [F.col(ts), col_of(place).alias(place_alias), lab.alias("_label"), pred.alias("_pred")]
@@ -90,11 +148,19 @@ def window_quality(df: DataFrame, spec: WindowSpec, place: StrOrCol, label: StrO
         F.sum(F.when(F.col("_label").cast("int") == F.col("_pred").cast("int"), 1).otherwise(0)
               ).alias("correct_predictions"),
     ]
+    merges = [F.sum(c).alias(c) for c in ("total_flights", "actual_delays", "predicted_delays_count",
+                                           "correct_predictions")]
     if lat is not None:
         aggs.append(F.max("_lat").alias("LATITUDE"))
+        merges.append(F.max("LATITUDE").alias("LATITUDE"))
     if lon is not None:
         aggs.append(F.max("_lon").alias("LONGITUDE"))
-    out = pruned.groupBy(spec.column(ts).alias("window"), F.col(place_alias)).agg(*aggs)
+        merges.append(F.max("LONGITUDE").alias("LONGITUDE"))
+    if _use_panes(df, spec, method):
+        panes = pruned.groupBy(F.window(ts, _pane(spec)).alias("pane"), F.col(place_alias)).agg(*aggs)
+        out = panes.groupBy(_merge_window(spec), F.col(place_alias)).agg(*merges)
+    else:
+        out = pruned.groupBy(spec.column(ts).alias("window"), F.col(place_alias)).agg(*aggs)
     return out.withColumn("accuracy_percent", percent("correct_predictions", "total_flights", scale))
 
 

@@ -153,3 +153,41 @@ def test_apply_filters_on_sql_equality(flights):
 
 def test_record_helper_shape():
     assert set(record()) == set(FIELD_NAMES)
+
+
+@pytest.mark.parametrize("duration,slide", [("1 hour", "10 minutes"), ("50 minutes", "20 minutes")])
+def test_pane_windows_equal_expanded_windows(spark, duration, slide):
+    from tarmac.operators.windows import window_quality, window_stats
+
+    df = spark.range(20000).select(
+        (F.timestamp_seconds(F.lit(1704067200) + (F.col("id") * 37) % 86400)).alias("ts"),
+        (F.col("id") % 3).cast("string").alias("k"),
+        F.round((F.col("id") * 7919 % 1000) / 10.0, 2).alias("v"),
+        F.when(F.col("id") % 11 == 0, None).otherwise((F.col("id") % 2).cast("int")).alias("y"),
+    )
+    spec = WindowSpec(duration, slide)
+    for decimals in (None, 2):
+        a = window_stats(df, spec, "k", "v", ts="ts", mean_decimals=decimals, method="panes")
+        b = window_stats(df, spec, "k", "v", ts="ts", mean_decimals=decimals, method="expand")
+        assert a.count() == b.count()
+        diff = a.alias("a").join(b.alias("b"), ["window", "k"]).filter(
+            (F.col("a.min_value") != F.col("b.min_value")) | (F.col("a.max_value") != F.col("b.max_value"))
+            | (F.col("a.count") != F.col("b.count")) | (F.abs(F.col("a.avg_value") - F.col("b.avg_value")) > 0.011)
+            | (F.abs(F.col("a.std_value") - F.col("b.std_value")) > 0.011))
+        assert diff.count() == 0
+    qa = window_quality(df, spec, "k", "y", (F.col("v") > 50).cast("double"), ts="ts", lat="v", watermark=None,
+                        method="panes")
+    qb = window_quality(df, spec, "k", "y", (F.col("v") > 50).cast("double"), ts="ts", lat="v", watermark=None,
+                        method="expand")
+    assert qa.exceptAll(qb.select(*qa.columns)).count() == 0 and qa.count() == qb.count()
+
+
+def test_pane_method_rejected_on_streams(spark, tmp_dir):
+    from tarmac.operators.windows import window_stats
+
+    spark.range(3).selectExpr("timestamp_seconds(id) AS ts", "'a' AS k", "1.0 AS v").write.parquet(tmp_dir + "/p")
+    stream = spark.readStream.schema("ts timestamp, k string, v double").parquet(tmp_dir + "/p")
+    with pytest.raises(ValueError):
+        window_stats(stream, WindowSpec("10 seconds", "5 seconds"), "k", "v", ts="ts", method="panes")
+    # auto falls back to the expanded form on a stream
+    assert window_stats(stream, WindowSpec("10 seconds", "5 seconds"), "k", "v", ts="ts").isStreaming
