@@ -191,3 +191,16 @@ def test_pane_method_rejected_on_streams(spark, tmp_dir):
         window_stats(stream, WindowSpec("10 seconds", "5 seconds"), "k", "v", ts="ts", method="panes")
     # auto falls back to the expanded form on a stream
     assert window_stats(stream, WindowSpec("10 seconds", "5 seconds"), "k", "v", ts="ts").isStreaming
+
+
+@pytest.mark.parametrize("method", ["panes", "expand"])
+def test_window_count_properties(spark, method):
+    from conftest import SF_SMALL
+    from tarmac.operators.windows import window_stats
+
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    n = ev.count()
+    tumbling = window_stats(ev, WindowSpec("1 hour"), "event_type", "value", ts="ts", method=method)
+    assert tumbling.agg(F.sum("count")).first()[0] == n
+    sliding = window_stats(ev, WindowSpec("1 hour", "10 minutes"), "event_type", "value", ts="ts", method=method)
+    assert sliding.agg(F.sum("count")).first()[0] == n * 6

@@ -100,8 +100,13 @@ def main(argv):
     from tarmac.plans.registry import all_queries
     from tarmac.session import local_session
 
-    tz = os.environ.get("ORACLE_SESSION_TZ")
-    spark = local_session(8, 8, extra={"spark.sql.session.timeZone": tz} if tz else None)
+    extra = {}
+    if os.environ.get("ORACLE_SESSION_TZ"):
+        extra["spark.sql.session.timeZone"] = os.environ["ORACLE_SESSION_TZ"]
+    for kv in filter(None, os.environ.get("ORACLE_CONF", "").split(",")):  # "k=v,k=v"
+        k, v = kv.split("=", 1)
+        extra[k] = v
+    spark = local_session(8, int(extra.pop("spark.sql.shuffle.partitions", 8)), extra=extra or None)
     con = duck(sf_dir)
     qs = all_queries()
     failed = 0
