@@ -25,10 +25,10 @@ def encode_events(df: DataFrame, schema: T.StructType | None = None, ts_col: str
     * ``schema``: coerce every column present in it to its type first
       (integers by truncation), so a fraction in an integer field is not lost
       to a NULL at decode time; blank text becomes NULL and is omitted.
-    * ``ts_col``: event time, written as epoch seconds under ``ts_name`` (a
-      ``timestamp_ntz`` wall clock is taken as UTC)
-      (replacing a column of that name). ``stamp_now`` stamps the processing
-      time instead, as a live producer does.
+    * ``ts_col``: event time, written as epoch seconds under ``ts_name``,
+      replacing a column of that name (a ``timestamp_ntz`` wall clock is read
+      as UTC). ``stamp_now`` stamps the processing time instead, as a live
+      producer does.
     NULL fields are omitted from the JSON text.
     """
     types = {f.name: f.dataType for f in schema.fields} if schema is not None else {}
