@@ -24,7 +24,7 @@ from tarmac.session import scratch_path
 from tarmac.sinks.writers import batch_writer, save_model
 from tarmac.sources.results import read_results
 from tarmac.sources.streams import stage_event_files, stream_table
-from tarmac.streaming.runner import run_to_completion
+from tarmac.streaming.runner import run_to_completion, state_slots
 
 
 @register("train_test_split", "ML1", sql=f"""
@@ -172,7 +172,8 @@ def stream_scored_quality(spark, sf_dir):
     scored = score(prepared, path, SCORED_COLUMNS)
     q = window_quality(scored, QUALITY, "user", LABEL, "predicted_delay", ts="event_timestamp",
                        lat="value", lon="k", watermark="3 minutes")
-    run_to_completion(quality_rows(q), f"{root}/checkpoint", writer=batch_writer(f"{root}/output"), mode="append")
+    run_to_completion(quality_rows(q), f"{root}/checkpoint", writer=batch_writer(f"{root}/output"), mode="append",
+                      state_partitions=state_slots(spark))
     from tarmac.plans.streams import QUALITY_RESULT_SCHEMA
     res = read_results(spark, f"{root}/output", QUALITY_RESULT_SCHEMA, key_as_string="airport_name")
     res = dedupe(res, ["window_start", "window_end", "airport_name"])

@@ -24,7 +24,7 @@ from tarmac.sinks.payload import from_stat_json, to_stat_json
 from tarmac.sinks.writers import batch_writer, read_upserted, upsert_writer
 from tarmac.sources.results import read_results
 from tarmac.sources.streams import stage_event_files, stream_table
-from tarmac.streaming.runner import run_to_completion, with_event_time
+from tarmac.streaming.runner import run_to_completion, state_slots, with_event_time
 
 EVENT_FILES = 5
 WATERMARK = "3 minutes"
@@ -65,7 +65,8 @@ def run_quality_stream(spark, sf_dir, root=None, src=None, schema=None, checkpoi
                        watermark=WATERMARK)
     output = output or f"{root}/output"
     run_to_completion(quality_rows(q), checkpoint or f"{root}/checkpoint",
-                      writer=batch_writer(output, fmt="csv"), mode="append")
+                      writer=batch_writer(output, fmt="csv"), mode="append",
+                      state_partitions=state_slots(spark))
     return root, output
 
 
@@ -88,7 +89,7 @@ def run_stats_stream(spark, sf_dir, root=None, src=None, schema=None, checkpoint
     writer = upsert_writer(table, UPSERT_KEYS, transform=from_stat_json, spark=spark,
                            reset_schema=KEYED_STATISTICS_SCHEMA if reset else None)
     run_to_completion(to_stat_json(stats, "event_type"), checkpoint or f"{root}/checkpoint",
-                      writer=writer, mode="update")
+                      writer=writer, mode="update", state_partitions=state_slots(spark))
     return root, table
 
 

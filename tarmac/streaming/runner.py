@@ -31,11 +31,16 @@ def with_event_time(df: DataFrame, ts: str, watermark: str | None) -> DataFrame:
 
 def run_stream(df: DataFrame, checkpoint: str, writer: Callable[[DataFrame, int], None] | None = None,
                mode: str = "append", trigger: str = "availableNow", fmt: str | None = None,
-               path: str | None = None, options: dict | None = None, name: str | None = None) -> StreamingQuery:
+               path: str | None = None, options: dict | None = None, name: str | None = None,
+               state_partitions: int | None = None) -> StreamingQuery:
     """Start ``df`` towards a ``foreachBatch`` ``writer`` or a ``fmt`` sink.
 
     ``trigger``: ``"availableNow"`` (process what is there, then stop),
     ``"once"``, or a processing-time interval such as ``"5 seconds"``.
+    ``state_partitions`` fixes the number of state-store partitions of a new
+    query (every micro-batch commits each of them, so it should follow the
+    cluster's task slots rather than a batch-job shuffle width; a restarted
+    query keeps the number recorded in its checkpoint).
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
@@ -61,7 +66,17 @@ def run_stream(df: DataFrame, checkpoint: str, writer: Callable[[DataFrame, int]
             w = w.option(k, v)
         if path:
             w = w.option("path", path)
-    return w.start()
+    if not state_partitions:
+        return w.start()
+    # The query clones the session when it starts, so the setting applies to
+    # this query only and the caller's session is restored right away.
+    conf = df.sparkSession.conf
+    before = conf.get("spark.sql.shuffle.partitions")
+    conf.set("spark.sql.shuffle.partitions", str(int(state_partitions)))
+    try:
+        return w.start()
+    finally:
+        conf.set("spark.sql.shuffle.partitions", before)
 
 
 def run_to_completion(df: DataFrame, checkpoint: str, timeout_s: int | None = None, **kwargs) -> StreamingQuery:
@@ -75,3 +90,11 @@ def run_to_completion(df: DataFrame, checkpoint: str, timeout_s: int | None = No
     if q.exception() is not None:
         raise RuntimeError(f"stream failed: {q.exception()}")
     return q
+
+
+def state_slots(spark) -> int:
+    """State-store partitions matching the cluster's task slots."""
+    try:
+        return max(1, spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - no context view (remote session)
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
