@@ -30,7 +30,8 @@ from pyspark.sql import functions as F  # noqa: E402
 from tarmac.plans.registry import all_queries  # noqa: E402
 from tarmac.session import local_session, scratch_path  # noqa: E402
 
-HEAVY = {"model_scores", "stream_scored_quality", "stream_window_quality", "stream_stats_upsert"}
+# Queries that write their own intermediate files or fit a model: one warm-up, one timed run.
+HEAVY = {"model_scores", "stream_scored_quality", "stream_window_quality", "stream_stats_upsert", "csv_scan"}
 
 
 def run_noop(df) -> None:

@@ -9,6 +9,7 @@ from tarmac.functions.scalar import instant_to_ntz
 from tarmac.operators.clean import coerce_rows, prepare_features
 from tarmac.plans.registry import register
 from tarmac.plans.tables import events, lineitem
+from tarmac.session import scratch_path
 from tarmac.sources.events import decode_events, encode_events
 from tarmac.sources.tables import read_table, spread
 
@@ -32,6 +33,15 @@ def scan_with_schema(spark, sf_dir):
     return read_table(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet", schema=LINEITEM_SCHEMA)
 
 
+@register("csv_scan", ("SRC1", "SRC2"), sql="SELECT * FROM lineitem")
+def csv_scan(spark, sf_dir):
+    """lineitem staged as header CSV (a Spark write under the shared checkpoint
+    dir), then read back with the declared schema instead of inference."""
+    path = scratch_path(spark, "csv")
+    spread(lineitem(spark, sf_dir)).write.option("header", True).csv(path)
+    return read_table(spark, path, schema=LINEITEM_SCHEMA, fmt="csv")
+
+
 @register("json_round_trip", ("SRC5", "PRJ2", "PRJ3", "PRJ16"), headline=True, sql="SELECT * FROM lineitem")
 def json_round_trip(spark, sf_dir):
     """lineitem -> typed JSON events (ship date as epoch seconds) -> decoded rows."""
