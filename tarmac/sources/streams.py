@@ -35,7 +35,13 @@ def topic_sink_options(servers: str, topic: str) -> dict[str, str]:
 
 def read_topic(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     """Streaming read of a topic (needs the Kafka connector on the classpath)."""
-    return spark.readStream.format("kafka").options(**options).load()
+    try:
+        return spark.readStream.format("kafka").options(**options).load()
+    except Exception as e:  # noqa: BLE001
+        if "kafka" in str(e).lower() and "data source" in str(e).lower():
+            raise RuntimeError("the Kafka connector is not on the classpath; add the "
+                               "spark-sql-kafka-0-10 package matching this Spark version") from e
+        raise
 
 
 def stream_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",

@@ -204,3 +204,19 @@ def test_window_count_properties(spark, method):
     assert tumbling.agg(F.sum("count")).first()[0] == n
     sliding = window_stats(ev, WindowSpec("1 hour", "10 minutes"), "event_type", "value", ts="ts", method=method)
     assert sliding.agg(F.sum("count")).first()[0] == n * 6
+
+
+@pytest.mark.parametrize("method", ["panes", "expand"])
+def test_zero_total_window_has_null_accuracy(spark, method):
+    from tarmac.operators.windows import quality_rows, window_quality
+
+    df = spark.createDataFrame(
+        [("2024-01-01 00:00:01", "ATL", None, 1.0), ("2024-01-01 00:00:02", "ATL", None, 0.0),
+         ("2024-01-01 00:01:01", "BOS", 1, 1.0), ("2024-01-01 00:01:02", "BOS", 0, 1.0)],
+        "ts string, place string, y int, p double").withColumn("ts", F.to_timestamp("ts"))
+    q = quality_rows(window_quality(df, WindowSpec("30 seconds", "10 seconds"), "place", "y", "p", ts="ts",
+                                    watermark=None, method=method))
+    atl = q.filter("airport_name = 'ATL'").collect()
+    assert atl and all(r.total_flights == 0 and r.accuracy_percent is None for r in atl)
+    bos = q.filter("airport_name = 'BOS'").collect()
+    assert {r.accuracy_percent for r in bos} == {50.0} and {r.predicted_delays_count for r in bos} == {2.0}

@@ -80,3 +80,12 @@ def test_event_time_from_epoch_seconds(spark):
     row = decode_events(raw, FLIGHT_SCHEMA, columns=["MONTH", "timestamp"], event_time="timestamp") \
         .select(F.unix_timestamp("event_timestamp").alias("s")).first()
     assert row.s == 1704067200
+
+
+def test_missing_kafka_connector_is_explained(spark):
+    import pytest
+
+    from tarmac.sources.streams import read_topic, topic_options
+
+    with pytest.raises(RuntimeError, match="Kafka connector"):
+        read_topic(spark, topic_options("localhost:9", "flights_topic"))
