@@ -23,7 +23,7 @@ from tarmac.plans.windows import QUALITY
 from tarmac.session import scratch_path
 from tarmac.sinks.writers import batch_writer, save_model
 from tarmac.sources.results import read_results
-from tarmac.sources.streams import stage_event_files, stream_table
+from tarmac.sources.streams import stream_table
 from tarmac.streaming.runner import run_to_completion, state_slots
 
 
@@ -53,14 +53,20 @@ def balanced_training_set(spark, sf_dir):
 
 
 @register("category_index", "ML3", sql="""
-WITH f AS (SELECT user_id::VARCHAR AS v, count(*) AS c FROM events GROUP BY 1),
-idx AS (SELECT v, (row_number() OVER (ORDER BY c DESC, v ASC) - 1)::DOUBLE AS user_indexed FROM f)
-SELECT e.event_id, idx.user_indexed FROM events e JOIN idx ON e.user_id::VARCHAR = idx.v
+WITH e AS (SELECT event_id, json_extract_string(props, '$.k') AS v FROM events),
+f AS (SELECT v, count(*) AS c FROM e GROUP BY 1),
+idx AS (SELECT v, (row_number() OVER (ORDER BY c DESC, v ASC) - 1)::DOUBLE AS k_indexed FROM f)
+SELECT e.event_id, idx.k_indexed FROM e JOIN idx USING (v)
 """)
 def category_index(spark, sf_dir):
-    ev = events(spark, sf_dir).select("event_id", F.col("user_id").cast("string").alias("user"))
-    model = StringIndexer(inputCol="user", outputCol="user_indexed", handleInvalid="keep").fit(ev)
-    return model.transform(ev).select("event_id", "user_indexed")
+    """Frequency-ordered index of a bounded category (the 100 ``props.k`` codes).
+
+    StringIndexer keeps its label list on the driver, so it is meant for
+    categories of bounded cardinality (carriers, airports), as here.
+    """
+    ev = events(spark, sf_dir).select("event_id", F.from_json("props", "k int")["k"].cast("string").alias("k"))
+    model = StringIndexer(inputCol="k", outputCol="k_indexed", handleInvalid="keep").fit(ev)
+    return model.transform(ev).select("event_id", "k_indexed")
 
 
 @register("standardized_price", "ML5", sql=f"""
@@ -164,10 +170,10 @@ def model_scores(spark, sf_dir):
 def stream_scored_quality(spark, sf_dir):
     """Score the event stream with the saved model, then windowed quality per user."""
     _, path = fit_event_model(spark, sf_dir)
-    root = scratch_path(spark, "scored-stream")
-    src = events(spark, sf_dir)
-    stage_event_files(src, f"{root}/input", "ts", 5)
-    stream = stream_table(spark, f"{root}/input", src.schema, max_files=1)
+    from tarmac.plans.streams import stage_events
+
+    root, src, schema, per_batch = stage_events(spark, sf_dir, "scored-stream")
+    stream = stream_table(spark, src, schema, max_files=per_batch)
     prepared = prepare_features(event_features(stream), NUMERIC, CATEGORICAL, categorical_fill="N/A")
     scored = score(prepared, path, SCORED_COLUMNS)
     q = window_quality(scored, QUALITY, "user", LABEL, "predicted_delay", ts="event_timestamp",

@@ -23,10 +23,10 @@ from tarmac.session import scratch_path
 from tarmac.sinks.payload import from_stat_json, to_stat_json
 from tarmac.sinks.writers import batch_writer, read_upserted, upsert_writer
 from tarmac.sources.results import read_results
-from tarmac.sources.streams import stage_event_files, stream_table
+from tarmac.sources.streams import stage_event_batches, stream_table
 from tarmac.streaming.runner import run_to_completion, state_slots, with_event_time
 
-EVENT_FILES = 5
+EVENT_BATCHES = 5
 WATERMARK = "3 minutes"
 QUALITY_KEYS = ["window_start", "window_end", "airport_name"]
 UPSERT_KEYS = ["window_start", "group_value"]
@@ -45,21 +45,21 @@ QUALITY_RESULT_SCHEMA = T.StructType([
 
 
 def stage_events(spark, sf_dir, tag: str):
-    """Fresh folder with ``events`` as ordered files; returns (root, input path, schema)."""
+    """Fresh folder with ``events`` as time-ordered files for EVENT_BATCHES
+    micro-batches; returns (root, input path, schema, files per micro-batch)."""
     root = scratch_path(spark, tag)
     src = events(spark, sf_dir)
-    stage_event_files(src, f"{root}/input", "ts", EVENT_FILES)
-    return root, f"{root}/input", src.schema
+    per_batch = stage_event_batches(src, f"{root}/input", "ts", EVENT_BATCHES)
+    return root, f"{root}/input", src.schema, per_batch
 
 
 def _ntz(df, *cols):
     return df.withColumns({c: instant_to_ntz(c) for c in cols})
 
 
-def run_quality_stream(spark, sf_dir, root=None, src=None, schema=None, checkpoint=None, output=None):
-    if root is None:
-        root, src, schema = stage_events(spark, sf_dir, "quality-stream")
-    stream = stream_table(spark, src, schema, max_files=1)
+def run_quality_stream(spark, sf_dir, staged=None, checkpoint=None, output=None):
+    root, src, schema, per_batch = staged or stage_events(spark, sf_dir, "quality-stream")
+    stream = stream_table(spark, src, schema, max_files=per_batch)
     scored = quality_input(stream).withColumn("ts", ntz_to_instant("ts"))
     q = window_quality(scored, QUALITY, "place", "label", "pred", ts="ts", lat="lat", lon="lon",
                        watermark=WATERMARK)
@@ -79,10 +79,9 @@ def stream_window_quality(spark, sf_dir):
     return _ntz(dedupe(results, QUALITY_KEYS), "window_start", "window_end")
 
 
-def run_stats_stream(spark, sf_dir, root=None, src=None, schema=None, checkpoint=None, table=None, reset=True):
-    if root is None:
-        root, src, schema = stage_events(spark, sf_dir, "stats-stream")
-    stream = stream_table(spark, src, schema, max_files=1)
+def run_stats_stream(spark, sf_dir, staged=None, checkpoint=None, table=None, reset=True):
+    root, src, schema, per_batch = staged or stage_events(spark, sf_dir, "stats-stream")
+    stream = stream_table(spark, src, schema, max_files=per_batch)
     timed = with_event_time(stream.select("ts", "event_type", "value"), "ts", WATERMARK)
     stats = window_stats(timed, TUMBLING, "event_type", "value", ts="ts", mean_decimals=VALUE_DECIMALS)
     table = table or f"{root}/table"

@@ -78,6 +78,23 @@ def stage_event_files(df: DataFrame, path: str, ts: str, files: int, fmt: str =
     return path
 
 
+def stage_event_batches(df: DataFrame, path: str, ts: str, batches: int, fmt: str = "parquet") -> int:
+    """Stage ``df`` for a replay in ``batches`` event-time-ordered micro-batches.
+
+    The number of files grows with the input (about one per input partition,
+    rounded up to a multiple of ``batches``), so no writer task and no
+    micro-batch task ever holds more than one input split's worth of rows.
+    Returns the files per micro-batch, to be used as ``maxFilesPerTrigger``.
+    """
+    try:
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view: one file per batch
+        parts = batches
+    per_batch = max(1, -(-parts // batches))
+    stage_event_files(df, path, ts, batches * per_batch, fmt)
+    return per_batch
+
+
 def pin_file_order(spark: SparkSession, path: str, base_ms: int = 1_000_000_000_000, step_ms: int = 1000) -> None:
     """Set modification times of the data files under ``path`` in name order."""
     jvm = spark.sparkContext._jvm

@@ -73,10 +73,10 @@ def test_restart_with_same_checkpoint_adds_nothing(spark, tmp_dir):
 def test_stream_equals_batch_in_update_mode_after_upsert(spark):
     from tarmac.plans.streams import run_stats_stream, stage_events
 
-    root, src, schema = stage_events(spark, SF_SMALL, "test-update")
-    _, table = run_stats_stream(spark, SF_SMALL, root, src, schema)
+    staged = stage_events(spark, SF_SMALL, "test-update")
+    root, table = run_stats_stream(spark, SF_SMALL, staged)
     # replay with a fresh checkpoint into the same table: the keyed upsert absorbs it
-    run_stats_stream(spark, SF_SMALL, root, src, schema, checkpoint=f"{root}/checkpoint-2", table=table, reset=False)
+    run_stats_stream(spark, SF_SMALL, staged, checkpoint=f"{root}/checkpoint-2", table=table, reset=False)
     got = read_upserted(spark, table, ["window_start", "group_value"], KEYED_STATISTICS_SCHEMA)
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
     from tarmac.plans.windows import TUMBLING, VALUE_DECIMALS
@@ -92,10 +92,10 @@ def test_replay_into_one_target_is_absorbed_by_dedupe(spark):
     from tarmac.operators.dedupe import dedupe
     from tarmac.plans.streams import QUALITY_KEYS, QUALITY_RESULT_SCHEMA, run_quality_stream, stage_events
 
-    root, src, schema = stage_events(spark, SF_SMALL, "test-replay")
-    _, out = run_quality_stream(spark, SF_SMALL, root, src, schema)
+    staged = stage_events(spark, SF_SMALL, "test-replay")
+    root, out = run_quality_stream(spark, SF_SMALL, staged)
     single = read_results(spark, out, QUALITY_RESULT_SCHEMA).count()
-    run_quality_stream(spark, SF_SMALL, root, src, schema, checkpoint=f"{root}/checkpoint-2", output=out)
+    run_quality_stream(spark, SF_SMALL, staged, checkpoint=f"{root}/checkpoint-2", output=out)
     replayed = dedupe(read_results(spark, out, QUALITY_RESULT_SCHEMA), QUALITY_KEYS)
     assert replayed.count() == single
 
@@ -152,3 +152,24 @@ def test_upsert_log_compaction(spark, tmp_dir):
     # replaying a batch rewrites only its own entry
     w(spark.createDataFrame([("c", 7)], schema), 4)
     assert sorted(tuple(r) for r in read_upserted(spark, path, ["k"], schema).collect()) == got
+
+
+def test_staged_files_scale_with_input(spark, tmp_dir):
+    from tarmac.sources.streams import stage_event_batches
+
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet").repartition(12)
+    path = os.path.join(tmp_dir, "staged")
+    per_batch = stage_event_batches(ev, path, "ts", 5)
+    files = [f for f in os.listdir(path) if f.endswith(".parquet")]
+    assert per_batch == 3 and len(files) == 15
+    stream = with_event_time(stream_table(spark, path, ev.schema, max_files=per_batch), "ts", "3 minutes")
+    stats = flatten_window(window_stats(stream.select("ts", "event_type", "value"), WindowSpec("1 hour"),
+                                        "event_type", "value", ts="ts"))
+    out = os.path.join(tmp_dir, "out")
+    q = run_to_completion(stats, os.path.join(tmp_dir, "ckpt"), writer=batch_writer(out, fmt="parquet"),
+                          mode="update")
+    assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 5
+    got = read_results(spark, out, STATS_SCHEMA.fromJson({**STATS_SCHEMA.jsonValue(), "fields": [
+        {**f, "name": "event_type"} if f["name"] == "k" else f for f in STATS_SCHEMA.jsonValue()["fields"]]}),
+        fmt="parquet")
+    assert got.agg(F.sum("count")).first()[0] >= ev.count()  # update mode re-emits changed windows
