@@ -64,7 +64,7 @@ def run_quality_stream(spark, sf_dir, staged=None, checkpoint=None, output=None)
     q = window_quality(scored, QUALITY, "place", "label", "pred", ts="ts", lat="lat", lon="lon",
                        watermark=WATERMARK)
     output = output or f"{root}/output"
-    run_to_completion(quality_rows(q), checkpoint or f"{root}/checkpoint",
+    run_to_completion(quality_rows(q), checkpoint or f"{root}/checkpoint-quality",
                       writer=batch_writer(output, fmt="csv"), mode="append",
                       state_partitions=state_slots(spark))
     return root, output
@@ -87,7 +87,7 @@ def run_stats_stream(spark, sf_dir, staged=None, checkpoint=None, table=None, re
     table = table or f"{root}/table"
     writer = upsert_writer(table, UPSERT_KEYS, transform=from_stat_json, spark=spark,
                            reset_schema=KEYED_STATISTICS_SCHEMA if reset else None)
-    run_to_completion(to_stat_json(stats, "event_type"), checkpoint or f"{root}/checkpoint",
+    run_to_completion(to_stat_json(stats, "event_type"), checkpoint or f"{root}/checkpoint-stats",
                       writer=writer, mode="update", state_partitions=state_slots(spark))
     return root, table
 
