@@ -28,12 +28,16 @@ from tarmac.operators.report import clean_results, place_report
 from tarmac.operators.windows import quality_rows, window_quality, window_stats
 from tarmac.roles import WindowSpec
 from tarmac.schema import (
+    CARRIER_FLIGHTS_ALIAS,
     FLIGHT_CATEGORICAL_FEATURES,
     FLIGHT_LABEL,
     FLIGHT_NUMERIC_FEATURES,
     FLIGHT_WEATHER_MEASURES,
     FLIGHT_WEATHER_STEMS,
     KEYED_STATISTICS_SCHEMA,
+    MONTHLY_WEATHER_ALIASES,
+    PLACE_COL,
+    PREDICTION_COL,
     SCORED_OUTPUT_COLUMNS,
     WINDOW_QUALITY_SCHEMA,
 )
@@ -76,10 +80,10 @@ def delay_report(df: DataFrame, month: int | None = None, carrier: str | None =
         out["group_statistics"] = M.group_stats(df, group_by_col, stats_col)
     out["airport_passengers"] = M.summary(df, "AVG_MONTHLY_PASS_AIRPORT")
     out["delay_weather_by_month"] = M.avg_by_period(df, "MONTH", ["TMAX", "PRCP"], label,
-                                                    aliases={"TMAX": "AvgTMAX", "PRCP": "AvgPRCP"})
+                                                    aliases=MONTHLY_WEATHER_ALIASES)
     out["carrier_flights_per_airport"] = M.avg_by_keys(df, ["DEPARTING_AIRPORT", "CARRIER_NAME"],
                                                        "AIRLINE_FLIGHTS_MONTH", n=top_n,
-                                                       alias="AvgMonthlyFlightsPerCarrier")
+                                                       alias=CARRIER_FLIGHTS_ALIAS)
     out["weather_impact"] = M.contrast(df, label, FLIGHT_WEATHER_MEASURES, stems=FLIGHT_WEATHER_STEMS)
     return out
 
@@ -124,7 +128,7 @@ def predict_stream(events: DataFrame, model, window: WindowSpec, ts: str = "time
     timed = events.withColumn("event_timestamp", F.col(ts).cast("timestamp"))
     prepared = prepare_features(timed, numeric, categorical)
     scored = score(prepared, model, SCORED_OUTPUT_COLUMNS)
-    quality = window_quality(scored, window, "DEPARTING_AIRPORT", FLIGHT_LABEL, "predicted_delay",
+    quality = window_quality(scored, window, "DEPARTING_AIRPORT", FLIGHT_LABEL, PREDICTION_COL,
                              ts="event_timestamp", lat="LATITUDE", lon="LONGITUDE", watermark=watermark)
     return quality_rows(quality)
 
@@ -133,10 +137,10 @@ def prediction_report(spark: SparkSession, output_dir: str) -> dict[str, DataFra
     """Results written per batch -> deduplicated, time-ordered rows, the
     sorted list and count of airports, and the latest row per airport with
     its point and marker size."""
-    rows = clean_results(read_results(spark, output_dir, WINDOW_QUALITY_SCHEMA, key_as_string="airport_name"))
+    rows = clean_results(read_results(spark, output_dir, WINDOW_QUALITY_SCHEMA, key_as_string=PLACE_COL))
     return {
         "results": rows,
-        "airports": M.distinct_values(rows, "airport_name"),
-        "airport_count": M.distinct_count(rows, "airport_name"),
+        "airports": M.distinct_values(rows, PLACE_COL),
+        "airport_count": M.distinct_count(rows, PLACE_COL),
         "latest_by_airport": place_report(rows),
     }

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tarmac.ml.evaluate import auc, weighted_f1
 from tarmac.ml.sampling import hash_split, undersample
 from tarmac.operators.clean import prepare_features
-from tarmac.schema import DEFAULT_THRESHOLD
+from tarmac.schema import DEFAULT_THRESHOLD, PREDICTION_COL
 
 UNSCALED = "features_unscaled"
 FEATURES = "features"
@@ -134,7 +134,7 @@ def load_model(path: str) -> PipelineModel | None:
 
 
 def score(df: DataFrame, model: PipelineModel | str | None, output_cols: Sequence[str],
-          prediction_alias: str = "predicted_delay", sentinel: float = -1.0) -> DataFrame:
+          prediction_alias: str = PREDICTION_COL, sentinel: float = -1.0) -> DataFrame:
     """Score rows (batch or stream) and project to ``output_cols``.
 
     ``model`` may be a fitted pipeline or a path. If no model can be loaded,

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.roles import col_of, require_columns
+from tarmac.schema import DELAY_COUNT_COL, GROUP_COUNT_COL
 
 Predicate = str | Column
 
@@ -56,7 +57,7 @@ def labelled_rows(df: DataFrame, label: Predicate, where: Iterable[Predicate] =
 
 def count_by(df: DataFrame, key: str | Column | Sequence[str | Column] | None, label: Predicate,
              top_n: int | None = None, where: Iterable[Predicate] = (),
-             count_col: str = "DelayedFlightsNum") -> DataFrame:
+             count_col: str = DELAY_COUNT_COL) -> DataFrame:
     """Positive-class rows per key.
 
     Without ``top_n`` the result is ordered by key; with it, the ``top_n`` keys
@@ -76,7 +77,7 @@ def count_by(df: DataFrame, key: str | Column | Sequence[str | Column] | None, l
 
 
 def count_by_dimensions(df: DataFrame, keys: Sequence[str | Column], label: Predicate,
-                        where: Iterable[Predicate] = (), count_col: str = "DelayedFlightsNum") -> DataFrame:
+                        where: Iterable[Predicate] = (), count_col: str = DELAY_COUNT_COL) -> DataFrame:
     """Positive-class rows per value of each key, for several keys in one pass.
 
     One scan, one ``GROUPING SETS`` aggregate (each row is expanded once per
@@ -97,13 +98,13 @@ def count_by_dimensions(df: DataFrame, keys: Sequence[str | Column], label: Pred
 
 
 def top_n_by(df: DataFrame, key: str | Column | Sequence[str | Column], label: Predicate, n: int = 10,
-             where: Iterable[Predicate] = (), count_col: str = "DelayedFlightsNum") -> DataFrame:
+             where: Iterable[Predicate] = (), count_col: str = DELAY_COUNT_COL) -> DataFrame:
     """The ``n`` keys with the most positive-class rows."""
     return count_by(df, key, label, top_n=n, where=where, count_col=count_col)
 
 
 def group_stats(df: DataFrame, key: str, measure: str, scale: int = 2,
-                count_col: str = "total_records") -> DataFrame:
+                count_col: str = GROUP_COUNT_COL) -> DataFrame:
     """Rounded mean/min/max/sample stddev of ``measure`` and row count per key.
 
     Sorted by row count (descending), then key. A one-row group has a NULL

@@ -11,15 +11,16 @@ from pyspark.sql import functions as F
 
 from tarmac.functions.scalar import geo_point, marker_size
 from tarmac.operators.dedupe import dedupe, latest_by
+from tarmac.schema import PLACE_COL
 
 
-def clean_results(df: DataFrame, keys=("window_start", "window_end", "airport_name"),
+def clean_results(df: DataFrame, keys=("window_start", "window_end", PLACE_COL),
                   order_by: str = "window_end") -> DataFrame:
     """Drop repeated result rows (replays, overlapping batches) and sort by time."""
     return dedupe(df, list(keys)).orderBy(order_by, *[k for k in keys if k != order_by])
 
 
-def place_report(df: DataFrame, place: str = "airport_name", ts: str = "window_end",
+def place_report(df: DataFrame, place: str = PLACE_COL, ts: str = "window_end",
                  lat: str = "LATITUDE", lon: str = "LONGITUDE", total: str = "total_flights") -> DataFrame:
     """Latest result row per place, with ``geometry`` (lon, lat) and ``marker_size``."""
     latest = latest_by(df, place, ts)

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from tarmac.functions.scalar import percent, window_bounds
 from tarmac.roles import WindowSpec, col_of
+from tarmac.schema import PLACE_COL, QUALITY_COLUMNS
 
 StrOrCol = str | Column
 
@@ -122,7 +123,7 @@ def flatten_window(df: DataFrame, window_col: str = "window", ntz: bool = False)
 
 def window_quality(df: DataFrame, spec: WindowSpec, place: StrOrCol, label: StrOrCol, prediction: StrOrCol,
                    ts: str = "event_timestamp", lat: StrOrCol | None = None, lon: StrOrCol | None = None,
-                   watermark: str | None = "3 minutes", place_alias: str = "airport_name",
+                   watermark: str | None = "3 minutes", place_alias: str = PLACE_COL,
                    scale: int = 2, method: str = "auto") -> DataFrame:
     """Prediction quality per window and place.
 
@@ -164,12 +165,8 @@ def window_quality(df: DataFrame, spec: WindowSpec, place: StrOrCol, label: StrO
     return out.withColumn("accuracy_percent", percent("correct_predictions", "total_flights", scale))
 
 
-QUALITY_COLUMNS = ["window_start", "window_end", "airport_name", "LATITUDE", "LONGITUDE",
-                   "total_flights", "actual_delays", "predicted_delays_count", "accuracy_percent"]
-
-
-def quality_rows(df: DataFrame, ntz: bool = False, place_alias: str = "airport_name") -> DataFrame:
+def quality_rows(df: DataFrame, ntz: bool = False, place_alias: str = PLACE_COL) -> DataFrame:
     """The flat result record of :func:`window_quality` (what the sinks write)."""
     flat = flatten_window(df, ntz=ntz)
-    cols = [place_alias if c == "airport_name" else c for c in QUALITY_COLUMNS]
+    cols = [place_alias if c == PLACE_COL else c for c in QUALITY_COLUMNS]
     return flat.select(*[c for c in cols if c in flat.columns])

@@ -10,7 +10,6 @@ key, every window.
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
 
 from tarmac.functions.scalar import instant_to_ntz, ntz_to_instant
 from tarmac.operators.dedupe import dedupe
@@ -18,7 +17,7 @@ from tarmac.operators.windows import quality_rows, window_quality, window_stats
 from tarmac.plans.registry import register
 from tarmac.plans.tables import events
 from tarmac.plans.windows import QUALITY, TUMBLING, VALUE_DECIMALS, _stats_sql, quality_input, quality_sql
-from tarmac.schema import KEYED_STATISTICS_SCHEMA
+from tarmac.schema import KEYED_STATISTICS_SCHEMA, WINDOW_QUALITY_SCHEMA
 from tarmac.session import scratch_path
 from tarmac.sinks.payload import from_stat_json, to_stat_json
 from tarmac.sinks.writers import batch_writer, read_upserted, upsert_writer
@@ -31,17 +30,7 @@ WATERMARK = "3 minutes"
 QUALITY_KEYS = ["window_start", "window_end", "airport_name"]
 UPSERT_KEYS = ["window_start", "group_value"]
 
-QUALITY_RESULT_SCHEMA = T.StructType([
-    T.StructField("window_start", T.TimestampType()),
-    T.StructField("window_end", T.TimestampType()),
-    T.StructField("airport_name", T.StringType()),
-    T.StructField("LATITUDE", T.DoubleType()),
-    T.StructField("LONGITUDE", T.DoubleType()),
-    T.StructField("total_flights", T.LongType()),
-    T.StructField("actual_delays", T.LongType()),
-    T.StructField("predicted_delays_count", T.DoubleType()),
-    T.StructField("accuracy_percent", T.DoubleType()),
-])
+QUALITY_RESULT_SCHEMA = WINDOW_QUALITY_SCHEMA
 
 
 def stage_events(spark, sf_dir, tag: str):

@@ -55,10 +55,20 @@ SCORED_OUTPUT_COLUMNS = [
     "event_timestamp", "DEP_DEL15", "predicted_delay",
     "CARRIER_NAME", "DEPARTING_AIRPORT", "LATITUDE", "LONGITUDE",
 ]
-# Weather measures contrasted between delayed and on-time flights, and the
-# stems of their result columns (avg_<stem>_delayed / avg_<stem>_on_time).
+# Weather measures contrasted between delayed and on-time flights.
 FLIGHT_WEATHER_MEASURES = ["PRCP", "SNOW", "TMAX", "AWND"]
+
+# --- fixed values: result column names of the reports -------------------------
+DELAY_COUNT_COL = "DelayedFlightsNum"
+GROUP_COUNT_COL = "total_records"
+PREDICTION_COL = "predicted_delay"
+PLACE_COL = "airport_name"
+# stems of the contrast columns avg_<stem>_delayed / avg_<stem>_on_time
 FLIGHT_WEATHER_STEMS = {"PRCP": "prcp", "SNOW": "snow", "TMAX": "temp", "AWND": "wind"}
+MONTHLY_WEATHER_ALIASES = {"TMAX": "AvgTMAX", "PRCP": "AvgPRCP"}
+CARRIER_FLIGHTS_ALIAS = "AvgMonthlyFlightsPerCarrier"
+QUALITY_COLUMNS = ["window_start", "window_end", "airport_name", "LATITUDE", "LONGITUDE",
+                   "total_flights", "actual_delays", "predicted_delays_count", "accuracy_percent"]
 # ------------------------------------------------------------------------------
 
 _TYPES = {
