@@ -28,13 +28,17 @@ BATCH_COL = "upsert_batch"
 
 
 def batch_writer(path: str, fmt: str = "csv", files: int | None = None, skip_empty: bool = True,
-                 header: bool = True, transform: Callable[[DataFrame], DataFrame] | None = None) -> BatchFn:
+                 header: bool = True, transform: Callable[[DataFrame], DataFrame] | None = None,
+                 partition_by: list[str] | None = None) -> BatchFn:
     """Write every non-empty micro-batch to ``<path>/batch_<id>``.
 
     ``files`` coalesces the batch to that many files (``1`` for one file per
-    batch; no shuffle). The write overwrites its own folder, so a replayed
-    batch replaces rather than appends. The batch is persisted while it is
-    checked for emptiness and written, so it is computed once.
+    batch, as small scoring batches want; leave it unset for large batches so
+    the write stays parallel). ``partition_by`` lays each batch out by those
+    columns (e.g. a window date) for pruning downstream. The write overwrites
+    its own folder, so a replayed batch replaces rather than appends. The
+    batch is persisted while it is checked for emptiness and written, so it is
+    computed once.
     """
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
@@ -46,6 +50,8 @@ def batch_writer(path: str, fmt: str = "csv", files: int | None = None, skip_emp
             if files:
                 out = out.coalesce(files)
             w = out.write.mode("overwrite").format(fmt)
+            if partition_by:
+                w = w.partitionBy(*partition_by)
             if fmt == "csv":
                 w = w.option("header", header)
             w.save(f"{path.rstrip('/')}/batch_{batch_id}")

@@ -173,3 +173,11 @@ def test_staged_files_scale_with_input(spark, tmp_dir):
         {**f, "name": "event_type"} if f["name"] == "k" else f for f in STATS_SCHEMA.jsonValue()["fields"]]}),
         fmt="parquet")
     assert got.agg(F.sum("count")).first()[0] >= ev.count()  # update mode re-emits changed windows
+
+
+def test_batch_writer_partitions(spark, tmp_dir):
+    out = os.path.join(tmp_dir, "out")
+    w = batch_writer(out, fmt="parquet", partition_by=["k"])
+    w(spark.createDataFrame([("2024-01-01 00:00:00", "a", 1.0), ("2024-01-01 00:00:00", "b", 2.0)],
+                            "ts string, k string, v double"), 3)
+    assert sorted(os.listdir(os.path.join(out, "batch_3"))) == ["_SUCCESS", "k=a", "k=b"]
