@@ -181,3 +181,19 @@ def test_batch_writer_partitions(spark, tmp_dir):
     w(spark.createDataFrame([("2024-01-01 00:00:00", "a", 1.0), ("2024-01-01 00:00:00", "b", 2.0)],
                             "ts string, k string, v double"), 3)
     assert sorted(d for d in os.listdir(os.path.join(out, "batch_3")) if d.startswith("k=")) == ["k=a", "k=b"]
+
+
+def test_payload_omits_nulls_and_keeps_null_group(spark):
+    from tarmac.sinks.payload import from_stat_json, to_stat_json
+
+    df = spark.createDataFrame([("2024-01-01 00:00:01", "ATL", 5.0), ("2024-01-01 00:00:02", None, 7.0),
+                                ("2024-01-01 00:00:03", None, 9.0)], "ts string, g string, v double") \
+        .withColumn("ts", F.to_timestamp("ts"))
+    stats = window_stats(df, WindowSpec("1 minute"), "g", "v", ts="ts")
+    payload = {r.value for r in to_stat_json(stats, "g").collect()}
+    single = [p for p in payload if '"group":"ATL"' in p][0]
+    assert '"std_value"' not in single and '"count":1' in single  # single-row group: stddev NULL, omitted
+    back = {r.group_value: r for r in from_stat_json(to_stat_json(stats, "g")).collect()}
+    assert back["ATL"].std_value is None and back["ATL"].min_value == 5.0
+    assert None in back and back[None]["count"] == 2  # NULL group stays NULL, not the text "None"
+    assert back[None].window_start.isoformat().startswith("2024-01-01T00:00")
