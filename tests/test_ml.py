@@ -109,3 +109,11 @@ def test_threshold_validation(learnable):
 def test_alternative_classifiers(learnable, kind):
     result, _ = train_model(learnable, ["x1", "x2"], ["cat"], "y", "row_id", classifier=kind)
     assert 0.7 < result.auc <= 1.0
+
+
+def test_high_cardinality_category_trains_with_scaler_first(learnable):
+    # 100 categories exceed the trees' 32 bins; the scaler drops the nominal
+    # metadata so the index is split as an ordered value instead of failing.
+    df = learnable.withColumn("airport", (F.col("row_id") % 100).cast("string"))
+    model = build_pipeline(["x1", "x2"], ["airport"], "y", classifier="gbt").fit(df)
+    assert model.transform(df).filter("prediction IS NOT NULL").count() == df.count()
