@@ -220,3 +220,11 @@ def test_zero_total_window_has_null_accuracy(spark, method):
     assert atl and all(r.total_flights == 0 and r.accuracy_percent is None for r in atl)
     bos = q.filter("airport_name = 'BOS'").collect()
     assert {r.accuracy_percent for r in bos} == {50.0} and {r.predicted_delays_count for r in bos} == {2.0}
+
+
+def test_count_by_dimensions_with_null_keys(flights):
+    got = sorted((r.dimension, r.value, r.DelayedFlightsNum) for r in
+                 M.count_by_dimensions(flights, ["CARRIER_NAME", "MONTH"], "DEP_DEL15").collect())
+    # null carrier is its own group; malformed rows never reach the label filter
+    assert ("CARRIER_NAME", None, 1) in got and ("CARRIER_NAME", "Delta", 2) in got
+    assert ("MONTH", "1", 4) in got and len(got) == 4
