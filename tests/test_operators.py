@@ -223,8 +223,8 @@ def test_zero_total_window_has_null_accuracy(spark, method):
 
 
 def test_count_by_dimensions_with_null_keys(flights):
-    got = sorted((r.dimension, r.value, r.DelayedFlightsNum) for r in
-                 M.count_by_dimensions(flights, ["CARRIER_NAME", "MONTH"], "DEP_DEL15").collect())
+    got = [(r.dimension, r.value, r.DelayedFlightsNum) for r in
+           M.count_by_dimensions(flights, ["CARRIER_NAME", "MONTH"], "DEP_DEL15").collect()]
     # null carrier is its own group; malformed rows never reach the label filter
     assert ("CARRIER_NAME", None, 1) in got and ("CARRIER_NAME", "Delta", 2) in got
     assert ("MONTH", "1", 4) in got and len(got) == 4
