@@ -10,7 +10,7 @@ give each bucket's offset, and only the rows of one bucket are ordered
 together. No step gathers the data into one task.
 
 ``weighted_f1`` reduces predictions to the confusion counts per
-``(label, prediction)`` pair and combines them per class.
+``(label, prediction)`` pair and combines them per class in one aggregate.
 """
 
 from __future__ import annotations
@@ -102,15 +102,25 @@ def confusion(df: DataFrame, label: str | Column, prediction: str | Column) -> D
 
 def weighted_f1(df: DataFrame, label: str | Column, prediction: str | Column, scale: int | None = 12) -> DataFrame:
     """One row: ``weighted_f1`` (per-class F1 weighted by true-class support)
-    and ``accuracy``."""
+    and ``accuracy``.
+
+    Each confusion cell ``(label, prediction, n)`` adds ``n`` to the support
+    (and, on the diagonal, the true positives) of its label's class and ``n``
+    to the predictions of its predicted class; one aggregate per class then
+    gives everything, with a single scan and no join.
+    """
     conf = confusion(df, label, prediction)
-    per_label = conf.groupBy("label").agg(
-        F.sum("n").alias("support"),
-        F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)).alias("tp"),
-    )
-    per_pred = conf.groupBy(F.col("prediction").alias("label")).agg(F.sum("n").alias("predicted"))
-    # Both sides have one row per class (checked against MAX_CLASSES below).
-    classes = per_label.join(per_pred, "label", "left").fillna(0, ["predicted"])
+    hit = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(F.lit(0))
+    parts = F.explode(F.array(
+        F.struct(F.col("label").alias("cls"), F.col("n").alias("support"), hit.alias("tp"),
+                 F.lit(0).cast("long").alias("predicted")),
+        F.struct(F.col("prediction").alias("cls"), F.lit(0).cast("long").alias("support"),
+                 F.lit(0).cast("long").alias("tp"), F.col("n").alias("predicted")),
+    )).alias("c")
+    per_class = conf.select(parts).groupBy("c.cls").agg(
+        F.sum("c.support").alias("support"), F.sum("c.tp").alias("tp"), F.sum("c.predicted").alias("predicted"))
+    # Classes that were only predicted have no support and weigh nothing.
+    classes = per_class.filter(F.col("support") > 0)
     f1 = F.when(F.col("tp") == 0, F.lit(0.0)).otherwise(
         F.lit(2.0) * F.col("tp") / (F.col("support") + F.col("predicted")))
     out = classes.agg(

@@ -74,7 +74,8 @@ def hash_split(df: DataFrame, key: str | Column | None, weights: Sequence[float]
 def undersample(df: DataFrame, label: Predicate, key: str | Column | None, ratio: float = 3.0,
                 method: str = "xxhash64", seed: int = SAMPLE_SEED) -> tuple[DataFrame, float | None]:
     """Keep every positive row and a hash sample of negatives sized to about
-    ``ratio`` negatives per positive.
+    ``ratio`` negatives per positive (the union of the two classes, taken in
+    one pass).
 
     The fraction ``min(1, ratio * positives / negatives)`` comes from one
     counting pass (a single one-row aggregate brought to the driver). Returns
@@ -82,10 +83,10 @@ def undersample(df: DataFrame, label: Predicate, key: str | Column | None, ratio
     """
     stats = class_balance(df, label, ratio).select("sample_fraction").first()
     fraction = stats["sample_fraction"] if stats else None
-    pos = df.filter(label_is(label, 1))
+    pos, neg = label_is(label, 1), label_is(label, 0)
     if fraction is None:
-        return pos, None
-    neg = df.filter(label_is(label, 0))
+        return df.filter(pos), None
     if fraction < 1.0:
-        neg = neg.filter(unit_hash(row_key(df, key), method, seed) < F.lit(float(fraction)))
-    return neg.unionByName(pos), float(fraction)
+        neg = neg & (unit_hash(row_key(df, key), method, seed) < F.lit(float(fraction)))
+    # positives plus the sampled negatives: one filter, one scan (not a union of two)
+    return df.filter(pos | neg), float(fraction)

@@ -28,7 +28,7 @@ def latest_place_report(spark, sf_dir):
     return flat_points(place_report(_quality(spark, sf_dir)))
 
 
-@register("sorted_results", ("SET3", "SRT1"), sql=f"SELECT * FROM ({quality_sql(QUALITY)}) ORDER BY window_end")
+@register("sorted_results", ("SET1", "SET3", "SRT1"), sql=f"SELECT * FROM ({quality_sql(QUALITY)}) ORDER BY window_end")
 def sorted_results(spark, sf_dir):
     doubled = _quality(spark, sf_dir).unionByName(_quality(spark, sf_dir))  # every row delivered twice
     return clean_results(doubled)
