@@ -28,7 +28,7 @@ from tarmac.schema import FLIGHT_CSV_SCHEMA, FLIGHT_SCHEMA
 from tarmac.sinks.writers import batch_writer
 from tarmac.sources.events import decode_events, encode_events
 from tarmac.sources.streams import read_topic, stream_table, topic_options, topic_sink_options
-from tarmac.sources.tables import read_table
+from tarmac.sources.tables import read_table, stage_parquet
 from tarmac.streaming.runner import run_stream
 
 
@@ -58,6 +58,9 @@ def _show(results: dict[str, DataFrame], rows: int) -> None:
 
 def cmd_batch(spark, args):
     df = _table(spark, args.input, args.format)
+    if args.stage:
+        # one CSV parse, then every report job reads pruned, filter-pushed Parquet
+        df = read_table(spark, stage_parquet(df, args.stage))
     _show(app.delay_report(df, args.month, args.carrier, args.stats_col, args.group_by_col, spark=spark), args.rows)
 
 
@@ -125,6 +128,7 @@ def parser() -> argparse.ArgumentParser:
     b.add_argument("--stats_col", default="PLANE_AGE")
     b.add_argument("--group_by_col", default="CARRIER_NAME")
     b.add_argument("--rows", type=int, default=20)
+    b.add_argument("--stage", help="stage the input as Parquet here first (recommended for CSV)")
     b.set_defaults(fn=cmd_batch)
 
     pr = sub.add_parser("produce")

@@ -13,7 +13,8 @@ def test_cli_end_to_end(spark, tmp_dir, capsys):
     csv = os.path.join(tmp_dir, "flights.csv")
     flights.drop("timestamp").write.option("header", True).csv(csv)
 
-    cli.main(["batch", "--input", csv, "--month", "3", "--carrier", "Delta", "--rows", "3"], spark=spark)
+    cli.main(["batch", "--input", csv, "--month", "3", "--carrier", "Delta", "--rows", "3",
+              "--stage", os.path.join(tmp_dir, "staged")], spark=spark)
     out = capsys.readouterr().out
     for name in ("delays_per_month", "top_delay_airports", "group_statistics", "weather_impact", "missing_values"):
         assert f"--- {name} ---" in out
