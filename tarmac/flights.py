@@ -20,6 +20,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarmac.functions.scalar import event_time_of
 from tarmac.ml.model import TrainResult, score, train_model
 from tarmac.operators import metrics as M
 from tarmac.operators.clean import prepare_features
@@ -125,7 +126,7 @@ def predict_stream(events: DataFrame, model, window: WindowSpec, ts: str = "time
     windowed prediction quality per airport (flat result rows; run in
     ``append`` mode). A missing model yields predictions of -1 with the same
     schema."""
-    timed = events.withColumn("event_timestamp", F.col(ts).cast("timestamp"))
+    timed = events.withColumn("event_timestamp", event_time_of(events, ts))
     prepared = prepare_features(timed, numeric, categorical)
     scored = score(prepared, model, SCORED_OUTPUT_COLUMNS)
     quality = window_quality(scored, window, "DEPARTING_AIRPORT", FLIGHT_LABEL, PREDICTION_COL,
