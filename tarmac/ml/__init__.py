@@ -1,0 +1 @@
+"""Sampling, the MLlib delay pipeline and distributed evaluation."""

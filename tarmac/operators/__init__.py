@@ -1,0 +1 @@
+"""Column-parameterised DataFrame operators (batch and streaming)."""

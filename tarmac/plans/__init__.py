@@ -1,0 +1 @@
+"""Registered queries over the driver tables, each with its SQL twin."""

@@ -1,0 +1 @@
+"""Idempotent micro-batch sinks and payload encoders."""

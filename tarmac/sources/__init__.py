@@ -1,0 +1 @@
+"""Table, stream, JSON-event and result-file sources."""
