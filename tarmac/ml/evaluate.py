@@ -136,3 +136,22 @@ def weighted_f1(df: DataFrame, label: str | Column, prediction: str | Column, sc
     guard = F.when(F.col("n_classes") > MAX_CLASSES,
                    F.raise_error(F.lit(f"more than {MAX_CLASSES} classes"))).otherwise(wf1)
     return out.select(guard.alias("weighted_f1"), acc.alias("accuracy"))
+
+
+def mllib_auc(df: DataFrame, label: str, raw_prediction: str = "rawPrediction", num_bins: int = 0) -> float:
+    """Area under ROC from MLlib's evaluator (``num_bins=0``: exact; MLlib's
+    own default of 1000 down-samples the curve)."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+
+    data = df.withColumn(label, F.col(label).cast("double"))
+    return BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=raw_prediction,
+                                         metricName="areaUnderROC", numBins=num_bins).evaluate(data)
+
+
+def mllib_f1(df: DataFrame, label: str, prediction: str = "prediction") -> float:
+    """Weighted F1 from MLlib's multiclass evaluator."""
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+
+    data = df.withColumn(label, F.col(label).cast("double"))
+    return MulticlassClassificationEvaluator(labelCol=label, predictionCol=prediction,
+                                             metricName="f1").evaluate(data)

@@ -64,8 +64,13 @@ def test_confusion_f1_equals_mllib(learnable):
 
 
 def test_pipeline_fit_threshold_and_round_trip(spark, learnable, tmp_dir):
+    from tarmac.ml.evaluate import mllib_auc, mllib_f1
+
     result, scored = train_model(learnable, ["x1", "x2"], ["cat"], "y", "row_id", classifier="gbt")
     assert 0.75 < result.auc <= 1.0 and 0 < result.f1 <= 1.0
+    # the distributed forms agree with MLlib's evaluators on the scored hold-out
+    assert abs(result.auc - mllib_auc(scored, "y")) < 1e-9
+    assert abs(result.f1 - mllib_f1(scored, "y")) < 1e-9
     # the threshold is persisted with the model: p1 > t  <=>  prediction 1
     check = scored.select("prediction", decide(positive_probability(), 0.25).alias("mine"))
     assert check.filter(F.col("prediction") != F.col("mine")).count() == 0
