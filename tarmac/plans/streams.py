@@ -33,12 +33,12 @@ UPSERT_KEYS = ["window_start", "group_value"]
 QUALITY_RESULT_SCHEMA = WINDOW_QUALITY_SCHEMA
 
 
-def stage_events(spark, sf_dir, tag: str):
-    """Fresh folder with ``events`` as time-ordered files for EVENT_BATCHES
+def stage_events(spark, sf_dir, tag: str, batches: int = EVENT_BATCHES):
+    """Fresh folder with ``events`` as time-ordered files for ``batches``
     micro-batches; returns (root, input path, schema, files per micro-batch)."""
     root = scratch_path(spark, tag)
     src = events(spark, sf_dir)
-    per_batch = stage_event_batches(src, f"{root}/input", "ts", EVENT_BATCHES)
+    per_batch = stage_event_batches(src, f"{root}/input", "ts", batches)
     return root, f"{root}/input", src.schema, per_batch
 
 
