@@ -92,7 +92,7 @@ def comparisons(spark, sf_dir: str, repeat: int) -> dict:
     for method in ("panes", "expand"):
         out[f"sliding_{method}_sec"] = round(median_of(
             lambda method=method: run_noop(ws(li, spec30, "l_returnflag", "l_extendedprice", ts="l_shipdate",
-                                              method=method)), repeat), 3)
+                                              mean_decimals=2, method=method)), repeat), 3)
 
     # 2. CSV scan vs Parquet for the group statistics query
     csv_dir = scratch_path(spark, "bench-csv")

@@ -10,7 +10,8 @@ frames the default plan aggregates once per *pane* (a slice of
 ``gcd(duration, slide)``) and then merges the pane aggregates into the
 windows that contain them, so only one small row per pane and key is copied
 instead of every input row. Counts, sums, minima and maxima merge exactly;
-the sample variance is rebuilt from the pane sums and sums of squares.
+for fixed-point measures the mean and variance merge exactly from decimal
+pane sums and sums of squares.
 """
 
 from __future__ import annotations
@@ -46,7 +47,9 @@ def exact_mean(m: Column, decimals: int | None) -> Column:
     return F.try_divide(total, F.count(m).cast("double"))
 
 
-def _use_panes(df: DataFrame, spec: WindowSpec, method: str) -> bool:
+def _use_panes(df: DataFrame, spec: WindowSpec, method: str, exact: bool = True) -> bool:
+    """Whether to aggregate per pane. ``exact`` says whether every aggregate
+    merges without loss; ``auto`` only uses panes then."""
     if method not in ("auto", "panes", "expand"):
         raise ValueError("method must be 'auto', 'panes' or 'expand'")
     if method == "expand" or not spec.is_sliding:
@@ -55,7 +58,7 @@ def _use_panes(df: DataFrame, spec: WindowSpec, method: str) -> bool:
         if method == "panes":
             raise ValueError("pane aggregation needs two aggregations, which a stream cannot chain here")
         return False
-    return True
+    return method == "panes" or exact
 
 
 def _pane(spec: WindowSpec) -> str:
@@ -77,14 +80,19 @@ def window_stats(df: DataFrame, spec: WindowSpec, key: str, measure: str, ts: st
 
     Output: ``window`` struct, ``key``, ``min_value``, ``max_value``,
     ``avg_value``, ``std_value``, ``count``. ``mean_decimals`` selects the
-    exact fixed-point mean (see :func:`exact_mean`). ``method``: ``"auto"``
-    (panes for sliding windows on batch frames), ``"panes"`` or ``"expand"``
-    (copy each row into its windows, as Spark's ``window`` does).
+    exact fixed-point mean (see :func:`exact_mean`). ``method``: ``"auto"``,
+    ``"panes"`` or ``"expand"`` (copy each row into its windows, as Spark's
+    ``window`` does). ``auto`` aggregates sliding windows of a batch frame
+    per pane when ``mean_decimals`` is given: pane sums and sums of squares
+    are then exact decimals, so mean and variance merge without loss. For
+    plain doubles it keeps Spark's numerically stable expanded form (a
+    variance rebuilt from double sums of squares cancels badly when the mean
+    is large next to the spread); ``"panes"`` forces the pane form anyway.
     """
     m = F.col(measure)
     pruned = df.select(ts, key, measure) if measure != key else df.select(ts, key)
     pruned = _with_watermark(pruned, ts, watermark)
-    if not _use_panes(df, spec, method):
+    if not _use_panes(df, spec, method, exact=mean_decimals is not None):
         return pruned.groupBy(spec.column(ts).alias("window"), F.col(key)).agg(
             F.round(F.min(m), scale).alias("min_value"),
             F.round(F.max(m), scale).alias("max_value"),
@@ -92,26 +100,28 @@ def window_stats(df: DataFrame, spec: WindowSpec, key: str, measure: str, ts: st
             F.round(F.stddev_samp(m), scale).alias("std_value"),
             F.count(m).alias("count"),
         )
-    x = m.cast("double")
-    total = m.cast(f"decimal(28,{mean_decimals})") if mean_decimals is not None else x
+    # Fixed-point measures: exact decimal sums (moderate magnitudes: the
+    # squared total must stay below 1e34). Doubles: plain sums.
+    x = m.cast(f"decimal(28,{mean_decimals})") if mean_decimals is not None else m.cast("double")
     panes = pruned.groupBy(F.window(ts, _pane(spec)).alias("pane"), F.col(key)).agg(
         F.min(m).alias("p_min"), F.max(m).alias("p_max"), F.count(m).alias("p_n"),
-        F.sum(total).alias("p_sum"), F.sum(x * x).alias("p_sq"),
+        F.sum(x).alias("p_sum"), F.sum(x * x).alias("p_sq"),
     )
     merged = panes.groupBy(_merge_window(spec), F.col(key)).agg(
         F.min("p_min").alias("mn"), F.max("p_max").alias("mx"), F.sum("p_n").alias("n"),
-        F.sum("p_sum").cast("double").alias("s"), F.sum("p_sq").alias("q"),
+        F.sum("p_sum").alias("s"), F.sum("p_sq").alias("q"),
     )
-    n = F.col("n").cast("double")
-    m2 = F.greatest(F.col("q") - F.col("s") * F.col("s") / n, F.lit(0.0))
-    std = F.when(F.col("n") > 1, F.sqrt(m2 / (n - F.lit(1.0))))
+    n = F.col("n")
+    nd = n.cast("double")
+    m2 = (F.col("q") - F.col("s") * F.col("s") / n).cast("double")  # exact when decimal
+    std = F.when(n > 1, F.sqrt(F.greatest(m2, F.lit(0.0)) / (nd - F.lit(1.0))))
     return merged.select(
         "window", key,
         F.round(F.col("mn"), scale).alias("min_value"),
         F.round(F.col("mx"), scale).alias("max_value"),
-        F.round(F.try_divide(F.col("s"), n), scale).alias("avg_value"),
+        F.round(F.try_divide(F.col("s").cast("double"), nd), scale).alias("avg_value"),
         F.round(std, scale).alias("std_value"),
-        F.col("n").alias("count"),
+        n.alias("count"),
     )
 
 

@@ -228,3 +228,20 @@ def test_count_by_dimensions_with_null_keys(flights):
     # null carrier is its own group; malformed rows never reach the label filter
     assert ("CARRIER_NAME", None, 1) in got and ("CARRIER_NAME", "Delta", 2) in got
     assert ("MONTH", "1", 4) in got and len(got) == 4
+
+
+def test_large_mean_small_spread_stays_accurate(spark):
+    """Values ~1.7e9 apart by a few units: a double sum-of-squares variance would
+    cancel; auto keeps the stable form for doubles, exact decimals for fixed point."""
+    from tarmac.operators.windows import window_stats
+
+    df = spark.range(6000).select(
+        F.timestamp_seconds(F.lit(1704067200) + F.col("id")).alias("ts"), F.lit("k").alias("k"),
+        (F.lit(1704067200.0) + (F.col("id") % 7) + (F.col("id") % 3) / 100.0).alias("v"))
+    spec = WindowSpec("10 minutes", "2 minutes")
+    truth = {r.window.start: r.s for r in df.groupBy(F.window("ts", "10 minutes", "2 minutes").alias("window"))
+             .agg(F.round(F.stddev_samp("v"), 2).alias("s")).collect()}
+    for decimals in (None, 2):
+        got = window_stats(df, spec, "k", "v", ts="ts", mean_decimals=decimals)
+        for r in got.collect():
+            assert r.std_value == truth[r.window.start], (decimals, r)
