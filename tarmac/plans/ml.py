@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tarmac.functions.scalar import event_time_of, instant_to_ntz
 from tarmac.ml.evaluate import auc, weighted_f1
+from tarmac.ml.indexing import frequency_index
 from tarmac.ml.model import decide, score, train_model
 from tarmac.ml.sampling import SAMPLE_SEED, SPLIT_SEED, hash_split, split_column, undersample
 from tarmac.operators.clean import prepare_features
@@ -69,6 +70,16 @@ def category_index(spark, sf_dir):
     return model.transform(ev).select("event_id", "k_indexed")
 
 
+@register("user_frequency_index", "ML3", sql="""
+SELECT v AS value, c AS count, (row_number() OVER (ORDER BY c DESC, v ASC) - 1)::DOUBLE AS "index"
+FROM (SELECT user_id::VARCHAR AS v, count(*) AS c FROM events GROUP BY 1)
+""")
+def user_frequency_index(spark, sf_dir):
+    """The same frequency order over user ids, whose number grows with the data:
+    computed on the cluster, no label list on the driver."""
+    return frequency_index(events(spark, sf_dir), "user_id", "index")
+
+
 @register("standardized_price", "ML5", sql=f"""
 SELECT l_orderkey, l_linenumber,
        {sql_round('(l_extendedprice - avg(l_extendedprice) OVER ()) / stddev_samp(l_extendedprice) OVER ()', 6)}

@@ -122,3 +122,21 @@ def test_high_cardinality_category_trains_with_scaler_first(learnable):
     df = learnable.withColumn("airport", (F.col("row_id") % 100).cast("string"))
     model = build_pipeline(["x1", "x2"], ["airport"], "y", classifier="gbt").fit(df)
     assert model.transform(df).filter("prediction IS NOT NULL").count() == df.count()
+
+
+def test_distributed_frequency_index_equals_string_indexer(spark):
+    from pyspark.ml.feature import StringIndexer
+
+    from tarmac.ml.indexing import apply_index, frequency_index
+
+    # a hot value (a third of the rows), many ties, and a long tail seen once
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit("hot"))
+                                  .when(F.col("id") < 1500, (F.col("id") % 40).cast("string"))
+                                  .otherwise(F.concat(F.lit("u"), F.col("id").cast("string"))).alias("c"))
+    idx = frequency_index(df, "c", "index", partitions=7)
+    labels = StringIndexer(inputCol="c", outputCol="i").fit(df).labels
+    got = {r["value"]: r["index"] for r in idx.collect()}
+    assert got == {v: float(i) for i, v in enumerate(labels)}
+    new = spark.createDataFrame([("hot",), ("never-seen",), (None,)], "c string")
+    out = {r.c: r.i for r in apply_index(new, idx, "c", "i").collect()}
+    assert out == {"hot": 0.0, "never-seen": float(len(labels)), None: float(len(labels))}
