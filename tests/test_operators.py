@@ -212,7 +212,8 @@ def test_zero_total_window_has_null_accuracy(spark, method):
 
     df = spark.createDataFrame(
         [("2024-01-01 00:00:01", "ATL", None, 1.0), ("2024-01-01 00:00:02", "ATL", None, 0.0),
-         ("2024-01-01 00:01:01", "BOS", 1, 1.0), ("2024-01-01 00:01:02", "BOS", 0, 1.0)],
+         ("2024-01-01 00:01:01", "BOS", 1, 1.0), ("2024-01-01 00:01:02", "BOS", 0, 1.0),
+         ("2024-01-01 00:02:01", "CHI", 1, 1.0), ("2024-01-01 00:02:02", "CHI", None, 1.0)],
         "ts string, place string, y int, p double").withColumn("ts", F.to_timestamp("ts"))
     q = quality_rows(window_quality(df, WindowSpec("30 seconds", "10 seconds"), "place", "y", "p", ts="ts",
                                     watermark=None, method=method))
@@ -220,6 +221,9 @@ def test_zero_total_window_has_null_accuracy(spark, method):
     assert atl and all(r.total_flights == 0 and r.accuracy_percent is None for r in atl)
     bos = q.filter("airport_name = 'BOS'").collect()
     assert {r.accuracy_percent for r in bos} == {50.0} and {r.predicted_delays_count for r in bos} == {2.0}
+    # a NULL label is left out of the total and never counts as correct
+    chi = q.filter("airport_name = 'CHI'").collect()
+    assert {(r.total_flights, r.actual_delays, r.accuracy_percent) for r in chi} == {(1, 1, 100.0)}
 
 
 def test_count_by_dimensions_with_null_keys(flights):
