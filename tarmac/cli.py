@@ -29,7 +29,7 @@ from tarmac.sinks.writers import batch_writer
 from tarmac.sources.events import decode_events, encode_events
 from tarmac.sources.streams import read_topic, stream_table, topic_options, topic_sink_options
 from tarmac.sources.tables import read_table, stage_parquet
-from tarmac.streaming.runner import run_stream
+from tarmac.streaming.runner import run_stream, state_slots
 
 
 def _table(spark: SparkSession, path: str, fmt: str) -> DataFrame:
@@ -50,6 +50,10 @@ def _events(spark: SparkSession, args) -> DataFrame:
     return decode_events(raw, FLIGHT_SCHEMA)
 
 
+def _state_partitions(spark: SparkSession, args) -> int:
+    return args.state_partitions or state_slots(spark)
+
+
 def _show(results: dict[str, DataFrame], rows: int) -> None:
     for name, df in results.items():
         print(f"--- {name} ---")
@@ -75,10 +79,12 @@ def cmd_stream_stats(spark, args):
                                            filters=args.filter, watermark=args.watermark)
     if args.kafka_servers and args.topic:
         q = run_stream(payload, args.checkpoint, mode="update", trigger=args.trigger, fmt="kafka",
-                       options=topic_sink_options(args.kafka_servers, args.topic))
+                       options=topic_sink_options(args.kafka_servers, args.topic),
+                       state_partitions=_state_partitions(spark, args))
     else:
         q = run_stream(payload, args.checkpoint, mode="update", trigger=args.trigger,
-                       writer=app.statistics_table_writer(args.table, spark, reset=args.reset))
+                       writer=app.statistics_table_writer(args.table, spark, reset=args.reset),
+                       state_partitions=_state_partitions(spark, args))
     q.awaitTermination()
 
 
@@ -92,7 +98,8 @@ def cmd_train(spark, args):
 def cmd_stream_predict(spark, args):
     rows = app.predict_stream(_events(spark, args), args.model, _window(args), watermark=args.watermark)
     q = run_stream(rows, args.checkpoint, mode="append", trigger=args.trigger,
-                   writer=batch_writer(args.output, files=args.files_per_batch))
+                   writer=batch_writer(args.output, files=args.files_per_batch),
+                   state_partitions=_state_partitions(spark, args))
     q.awaitTermination()
 
 
@@ -120,6 +127,8 @@ def parser() -> argparse.ArgumentParser:
         sp.add_argument("--slide_duration", default=None, help="seconds (sliding only)")
         sp.add_argument("--checkpoint", required=True)
         sp.add_argument("--trigger", default="5 seconds", help="'availableNow', 'once' or an interval")
+        sp.add_argument("--state_partitions", type=int, default=None,
+                        help="state-store partitions of a new query (default: the cluster's task slots)")
 
     b = sub.add_parser("batch")
     table_args(b)
