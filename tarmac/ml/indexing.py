@@ -27,7 +27,15 @@ def frequency_index(df: DataFrame, col: str | Column, out_col: str = "index",
     c = F.col(col) if isinstance(col, str) else col
     counts = df.select(c.cast("string").alias("value")).filter(F.col("value").isNotNull()) \
         .groupBy("value").agg(F.count(F.lit(1)).alias("count"))
-    n = partitions or max(1, df.sparkSession.sparkContext.defaultParallelism)
+    if partitions is None:
+        # at least one range per task slot and per input split, so a range
+        # never holds more distinct values than one split could carry
+        partitions = df.sparkSession.sparkContext.defaultParallelism
+        try:
+            partitions = max(partitions, df.rdd.getNumPartitions())
+        except Exception:  # noqa: BLE001 - no RDD view: task slots only
+            pass
+    n = max(1, partitions)
     ensure_checkpoint_dir(df.sparkSession)
     ranged = counts.repartitionByRange(n, F.col("count").desc(), F.col("value").asc()) \
         .withColumn("_part", F.spark_partition_id()).checkpoint(eager=True)
