@@ -55,7 +55,12 @@ def auc(df: DataFrame, label: str | Column, score: str | Column, buckets: int |
     # Written once to the shared checkpoint dir: the passes below (count,
     # quantiles, ranking) read it instead of re-aggregating the input.
     ensure_checkpoint_dir(df.sparkSession)
-    counts = score_counts(df, label, score).checkpoint(eager=True)
+    return auc_from_counts(score_counts(df, label, score).checkpoint(eager=True), buckets, rel_error, scale)
+
+
+def auc_from_counts(counts: DataFrame, buckets: int | None = None, rel_error: float = 1e-4,
+                    scale: int | None = 12) -> DataFrame:
+    """:func:`auc` over a materialised ``(score, pos, neg)`` table."""
     if buckets is not None and not 1 <= buckets <= MAX_BUCKETS:
         raise ValueError(f"buckets must be in [1, {MAX_BUCKETS}]")
     # Never fewer buckets than keeps each one within ROWS_PER_BUCKET distinct scores.
@@ -109,7 +114,10 @@ def weighted_f1(df: DataFrame, label: str | Column, prediction: str | Column, sc
     to the predictions of its predicted class; one aggregate per class then
     gives everything, with a single scan and no join.
     """
-    conf = confusion(df, label, prediction)
+    return _f1_from_confusion(confusion(df, label, prediction), scale)
+
+
+def _f1_from_confusion(conf: DataFrame, scale: int | None = 12) -> DataFrame:
     hit = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(F.lit(0))
     parts = F.explode(F.array(
         F.struct(F.col("label").alias("cls"), F.col("n").alias("support"), hit.alias("tp"),
@@ -155,3 +163,26 @@ def mllib_f1(df: DataFrame, label: str, prediction: str = "prediction") -> float
     data = df.withColumn(label, F.col(label).cast("double"))
     return MulticlassClassificationEvaluator(labelCol=label, predictionCol=prediction,
                                              metricName="f1").evaluate(data)
+
+
+def evaluate(df: DataFrame, label: str | Column, score: str | Column, prediction: str | Column,
+             buckets: int | None = None, scale: int | None = 12) -> tuple[float | None, float | None]:
+    """``(auc, weighted_f1)`` from one pass over scored rows.
+
+    The rows are reduced once to counts per ``(score, label, prediction)``
+    (checkpointed); both metrics are then derived from that small table, so
+    the model's predictions are computed a single time.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    lab, s, p = _c(label).cast("double"), _c(score).cast("double"), _c(prediction).cast("double")
+    cells = df.select(s.alias("score"), lab.alias("label"), p.alias("prediction")).filter(
+        F.col("label").isNotNull()).groupBy("score", "label", "prediction").agg(
+        F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
+    counts = cells.filter(F.col("score").isNotNull() & ~F.isnan("score")).groupBy("score").agg(
+        F.sum(F.when(F.col("label") == 1.0, F.col("n")).otherwise(0)).cast("double").alias("pos"),
+        F.sum(F.when(F.col("label") == 1.0, 0).otherwise(F.col("n"))).cast("double").alias("neg"))
+    area = auc_from_counts(counts, buckets, scale=scale).first()["auc"]
+    conf = cells.filter(F.col("prediction").isNotNull()).groupBy("label", "prediction").agg(
+        F.sum("n").alias("n"))
+    f1 = _f1_from_confusion(conf, scale).first()["weighted_f1"]
+    return area, f1

@@ -17,7 +17,7 @@ from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.ml.evaluate import auc, weighted_f1
+from tarmac.ml.evaluate import evaluate
 from tarmac.ml.sampling import hash_split, undersample
 from tarmac.operators.clean import prepare_features
 from tarmac.schema import DEFAULT_THRESHOLD, PREDICTION_COL
@@ -114,15 +114,9 @@ def train_model(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str
         balanced.unpersist()
     with_threshold(model, threshold)
     scored = model.transform(test)
-    scored = scored.withColumn("_p1", positive_probability())
-    result = TrainResult(
-        model=model,
-        sample_fraction=fraction,
-        auc=auc(scored, label, "_p1").first()["auc"],
-        f1=weighted_f1(scored, label, "prediction").first()["weighted_f1"],
-        n_train=n_train,
-    )
-    return result, scored.drop("_p1")
+    area, f1 = evaluate(scored, label, positive_probability(), "prediction")  # one pass over the hold-out
+    result = TrainResult(model=model, sample_fraction=fraction, auc=area, f1=f1, n_train=n_train)
+    return result, scored
 
 
 def load_model(path: str) -> PipelineModel | None:
