@@ -1,6 +1,7 @@
 from tarmac.functions.scalar import (  # noqa: F401
     coerce_to,
     epoch_seconds,
+    exact_mean,
     event_time_of,
     instant_to_ntz,
     ntz_to_instant,

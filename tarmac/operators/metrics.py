@@ -13,6 +13,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tarmac.functions.scalar import exact_mean
 from tarmac.roles import col_of, require_columns
 from tarmac.schema import DELAY_COUNT_COL, GROUP_COUNT_COL
 
@@ -104,16 +105,17 @@ def top_n_by(df: DataFrame, key: str | Column | Sequence[str | Column], label: P
 
 
 def group_stats(df: DataFrame, key: str, measure: str, scale: int = 2,
-                count_col: str = GROUP_COUNT_COL) -> DataFrame:
+                count_col: str = GROUP_COUNT_COL, mean_decimals: int | None = None) -> DataFrame:
     """Rounded mean/min/max/sample stddev of ``measure`` and row count per key.
 
     Sorted by row count (descending), then key. A one-row group has a NULL
-    stddev. Unknown columns raise ``ValueError``.
+    stddev. Unknown columns raise ``ValueError``. ``mean_decimals``: exact
+    fixed-point mean (see :func:`tarmac.functions.scalar.exact_mean`).
     """
     require_columns(df, key, measure)
     m = F.col(measure)
     stats = df.groupBy(key).agg(
-        F.round(F.avg(m), scale).alias(f"average_{measure}"),
+        F.round(exact_mean(m, mean_decimals), scale).alias(f"average_{measure}"),
         F.round(F.min(m), scale).alias(f"min_{measure}"),
         F.round(F.max(m), scale).alias(f"max_{measure}"),
         F.round(F.stddev_samp(m), scale).alias(f"stddev_{measure}"),
@@ -139,28 +141,30 @@ def summary(df: DataFrame, measure: str, scale: int | None = None) -> DataFrame:
 
 
 def avg_by_period(df: DataFrame, period: str | Column, measures: Sequence[str], label: Predicate | None = None,
-                  scale: int = 2, aliases: dict[str, str] | None = None) -> DataFrame:
+                  scale: int = 2, aliases: dict[str, str] | None = None,
+                  mean_decimals: int | None = None) -> DataFrame:
     """Rounded means of ``measures`` per period over positive-class rows, ordered by period."""
     aliases = aliases or {}
     rows = df.filter(label_is(label, 1)) if label is not None else df
     out = rows.groupBy(col_of(period)).agg(
-        *[F.round(F.avg(m), scale).alias(aliases.get(m, f"avg_{m}")) for m in measures]
+        *[F.round(exact_mean(F.col(m), mean_decimals), scale).alias(aliases.get(m, f"avg_{m}")) for m in measures]
     )
     return out.orderBy(out.columns[0])
 
 
 def avg_by_keys(df: DataFrame, keys: Sequence[str | Column], measure: str, n: int | None = 10,
-                scale: int = 2, alias: str | None = None) -> DataFrame:
+                scale: int = 2, alias: str | None = None, mean_decimals: int | None = None) -> DataFrame:
     """Rounded mean of ``measure`` per key combination, highest first, top ``n``."""
     name = alias or f"avg_{measure}"
-    out = df.groupBy(*_key_cols(keys)).agg(F.round(F.avg(measure), scale).alias(name))
+    out = df.groupBy(*_key_cols(keys)).agg(F.round(exact_mean(F.col(measure), mean_decimals), scale).alias(name))
     key_names = out.columns[:-1]
     ordered = out.orderBy(F.col(name).desc_nulls_last(), *[F.col(k).asc() for k in key_names])
     return ordered.limit(n) if n else ordered
 
 
 def contrast(df: DataFrame, label: Predicate, measures: Sequence[str], scale: int = 2,
-             suffixes: tuple[str, str] = ("delayed", "on_time"), stems: dict[str, str] | None = None) -> DataFrame:
+             suffixes: tuple[str, str] = ("delayed", "on_time"), stems: dict[str, str] | None = None,
+             mean_decimals: int | None = None) -> DataFrame:
     """Means of ``measures`` for the positive and the negative class, in one pass.
 
     ``avg(when(positive, m))`` and ``avg(when(negative, m))`` side by side: a
@@ -173,8 +177,10 @@ def contrast(df: DataFrame, label: Predicate, measures: Sequence[str], scale: in
     aggs = []
     for m in measures:
         stem = stems.get(m, m)
-        aggs.append(F.round(F.avg(F.when(pos, F.col(m))), scale).alias(f"avg_{stem}_{suffixes[0]}"))
-        aggs.append(F.round(F.avg(F.when(neg, F.col(m))), scale).alias(f"avg_{stem}_{suffixes[1]}"))
+        aggs.append(F.round(exact_mean(F.when(pos, F.col(m)), mean_decimals), scale
+                            ).alias(f"avg_{stem}_{suffixes[0]}"))
+        aggs.append(F.round(exact_mean(F.when(neg, F.col(m)), mean_decimals), scale
+                            ).alias(f"avg_{stem}_{suffixes[1]}"))
     return df.agg(*aggs)
 
 

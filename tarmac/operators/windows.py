@@ -21,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.functions.scalar import percent, window_bounds
+from tarmac.functions.scalar import exact_mean, percent, window_bounds
 from tarmac.roles import WindowSpec, col_of
 from tarmac.schema import PLACE_COL, QUALITY_COLUMNS
 
@@ -33,20 +33,6 @@ def _with_watermark(df: DataFrame, ts: str, watermark: str | None) -> DataFrame:
     return df.withWatermark(ts, watermark) if watermark else df
 
 
-def exact_mean(m: Column, decimals: int | None) -> Column:
-    """Mean of ``m``; with ``decimals``, summed exactly as a fixed-point decimal.
-
-    A double sum depends on summation order in its last bit, which decides
-    HALF_UP rounding on exact ties (``33.325`` may come out as ``33.3249...``).
-    For fixed-point measures (money, 2-decimal readings) summing as a decimal
-    gives the true mean. ``None`` keeps Spark's double ``avg``.
-    """
-    if decimals is None:
-        return F.avg(m)
-    total = F.sum(m.cast(f"decimal(28,{decimals})")).cast("double")
-    return F.try_divide(total, F.count(m).cast("double"))
-
-
 def _use_panes(df: DataFrame, spec: WindowSpec, method: str, exact: bool = True) -> bool:
     """Whether to aggregate per pane. ``exact`` says whether every aggregate
     merges without loss; ``auto`` only uses panes then."""

@@ -249,3 +249,13 @@ def test_large_mean_small_spread_stays_accurate(spark):
         got = window_stats(df, spec, "k", "v", ts="ts", mean_decimals=decimals)
         for r in got.collect():
             assert r.std_value == truth[r.window.start], (decimals, r)
+
+
+def test_exact_fixed_point_mean_on_half_ties(spark):
+    # 53.62 and 30.61 average to 42.115 exactly, but to 42.114999999999995 in doubles
+    df = spark.createDataFrame([("a", 53.62, 1), ("a", 30.61, 1)], "k string, v double, y int").coalesce(1)
+    assert M.group_stats(df, "k", "v").first().average_v == 42.11
+    assert M.group_stats(df, "k", "v", mean_decimals=2).first().average_v == 42.12
+    assert M.contrast(df, "y", ["v"], mean_decimals=2).first().avg_v_delayed == 42.12
+    assert M.avg_by_keys(df, ["k"], "v", mean_decimals=2).first().avg_v == 42.12
+    assert M.avg_by_period(df, "k", ["v"], "y", mean_decimals=2).first().avg_v == 42.12
