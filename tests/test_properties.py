@@ -36,3 +36,41 @@ def test_counts_and_top_n_match_brute_force(spark, rows, n):
     assert got == sorted(counts.items())
     top = [tuple(r) for r in top_n_by(df, "k", F.expr(label), n=n).collect()]
     assert top == sorted(counts.items(), key=lambda kv: (-kv[1], kv[0]))[:n]
+
+
+events_st = st.lists(st.tuples(st.integers(0, 3600), st.sampled_from(["x", "y"]), st.integers(0, 9999)),
+                     min_size=1, max_size=30)
+
+
+@settings(max_examples=12, deadline=None)
+@given(rows=events_st, dur=st.sampled_from([600, 900]), slide=st.sampled_from([300, 600]),
+       method=st.sampled_from(["panes", "expand"]))
+def test_window_stats_match_brute_force(spark, rows, dur, slide, method):
+    import datetime
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from pyspark.sql import functions as F
+
+    from tarmac.operators.windows import flatten_window, window_stats
+    from tarmac.roles import WindowSpec
+
+    data = [(datetime.datetime(2024, 1, 1) + datetime.timedelta(seconds=t), k, v / 100) for t, k, v in rows]
+    df = spark.createDataFrame(data, "ts timestamp_ntz, k string, v double")
+    spec = WindowSpec(dur, min(slide, dur))
+    got = {(r.window_start, r.k): (r["count"], r.min_value, r.max_value, r.avg_value) for r in
+           flatten_window(window_stats(df, spec, "k", "v", ts="ts", mean_decimals=2, method=method)).collect()}
+    s = spec.slide_seconds
+    want = {}
+    for t, k, v in rows:
+        last = t - t % s
+        start = last
+        while start > t - dur:
+            want.setdefault((start, k), []).append(Decimal(v) / 100)
+            start -= s
+    base = datetime.datetime(2024, 1, 1)
+    expect = {}
+    for (start, k), vals in want.items():
+        mean = (sum(vals) / len(vals)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
+        expect[(base + datetime.timedelta(seconds=start), k)] = (len(vals), float(min(vals)), float(max(vals)),
+                                                                 float(mean))
+    assert got == expect
