@@ -74,3 +74,37 @@ def test_window_stats_match_brute_force(spark, rows, dur, slide, method):
         expect[(base + datetime.timedelta(seconds=start), k)] = (len(vals), float(min(vals)), float(max(vals)),
                                                                  float(mean))
     assert got == expect
+
+
+quality_st = st.lists(st.tuples(st.integers(0, 1800), st.sampled_from(["A", "B"]),
+                                st.sampled_from([0, 1, None]), st.sampled_from([0.0, 1.0])),
+                      min_size=1, max_size=30)
+
+
+@settings(max_examples=12, deadline=None)
+@given(rows=quality_st, method=st.sampled_from(["panes", "expand"]))
+def test_window_quality_match_brute_force(spark, rows, method):
+    import datetime
+
+    from tarmac.operators.windows import quality_rows, window_quality
+    from tarmac.roles import WindowSpec
+
+    base = datetime.datetime(2024, 1, 1)
+    data = [(base + datetime.timedelta(seconds=t), p, y, pr) for t, p, y, pr in rows]
+    df = spark.createDataFrame(data, "ts timestamp_ntz, place string, y int, pr double")
+    got = {(r.window_start, r.airport_name): (r.total_flights, r.actual_delays, r.predicted_delays_count,
+                                               r.accuracy_percent)
+           for r in quality_rows(window_quality(df, WindowSpec(600, 300), "place", "y", "pr", ts="ts",
+                                                watermark=None, method=method)).collect()}
+    groups = {}
+    for t, p, y, pr in rows:
+        start = t - t % 300
+        for w in (start, start - 300):
+            groups.setdefault((base + datetime.timedelta(seconds=w), p), []).append((y, pr))
+    expect = {}
+    for key, vals in groups.items():
+        labelled = [y for y, _ in vals if y is not None]
+        correct = sum(1 for y, pr in vals if y is not None and y == int(pr))
+        acc = round(correct / len(labelled) * 100, 2) if labelled else None
+        expect[key] = (len(labelled), sum(labelled) if labelled else None, sum(pr for _, pr in vals), acc)
+    assert got == expect
