@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarmac.llm import decontaminate, linededup, pii, shard
+from tarmac.llm import decontaminate, language, linededup, pack, pii, shard
 from tarmac.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -16,10 +16,18 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predict_languages(table(spark, sf_dir, "documents"))
+
+
 def op7_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard.shard_documents(table(spark, sf_dir, "documents"), shards=8)
 
 
+def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack.pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
 
@@ -28,5 +36,6 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op4_decontaminate, op7_shard, op9_line_dedup, op10_pii)}
+QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
+    op4_decontaminate, op5_language, op7_shard, op8_pack, op9_line_dedup, op10_pii)}
 ORACLES: dict[str, str] = {"op9_line_dedup": linededup.LINE_DEDUP_SQL}
