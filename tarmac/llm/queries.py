@@ -6,12 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarmac.llm import decontaminate, language, linededup, pack, pii, shard
+from tarmac.llm import decontaminate, language, linededup, pack, pii, quality, shard, toxicity
 from tarmac.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -37,5 +45,5 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
-    op4_decontaminate, op5_language, op7_shard, op8_pack, op9_line_dedup, op10_pii)}
+    op1_quality, op2_toxicity, op4_decontaminate, op5_language, op7_shard, op8_pack, op9_line_dedup, op10_pii)}
 ORACLES: dict[str, str] = {"op9_line_dedup": linededup.LINE_DEDUP_SQL}
