@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarmac.llm import decontaminate, language, linededup, pack, pii, quality, shard, toxicity
+from tarmac.llm import decontaminate, embeddings, language, linededup, nearcopies, pack, pii, quality, shard, toxicity
 from tarmac.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearcopies.near_copies(table(spark, sf_dir, "documents"), k=2, percent=80)
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -28,6 +32,10 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict_languages(table(spark, sf_dir, "documents"))
 
 
+def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op7_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard.shard_documents(table(spark, sf_dir, "documents"), shards=8)
 
@@ -45,5 +53,5 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
-    op1_quality, op2_toxicity, op4_decontaminate, op5_language, op7_shard, op8_pack, op9_line_dedup, op10_pii)}
+    op1_quality, op2_toxicity, op3_near_copies, op4_decontaminate, op5_language, op6_embeddings, op7_shard, op8_pack, op9_line_dedup, op10_pii)}
 ORACLES: dict[str, str] = {"op9_line_dedup": linededup.LINE_DEDUP_SQL}
