@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.plans.tables import table
 from tarmac.session import scratch_path
 
-__all__ = ["is_held_out", "fits_broadcast", "small", "stored", "table"]
+__all__ = ["fits_broadcast", "importable", "is_held_out", "passing", "small", "stored", "table"]
 
 FOLDS = 5
 
@@ -41,5 +43,20 @@ def fits_broadcast(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if small(df, rows) else df
 
 
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    return scratch_path(spark, name)
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package when it is run from a checkout.
+
+    On a cluster the package is installed or shipped with ``--py-files``; the entry then
+    points nowhere and does nothing.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
+def passing(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """All columns of ``docs`` under names of our own plus ``text``, and which is which."""
+    names = {f"c{i}": c for i, c in enumerate(docs.columns)}
+    return docs.select(*(F.col(f"`{c}`").alias(n) for n, c in names.items()), "text"), names

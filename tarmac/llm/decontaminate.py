@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import stored
+from tarmac.llm.common import passing, stored
 
 WINDOW = 10
 #: Benchmark words in one broadcast part (about 100 bytes each in a task).
@@ -173,8 +173,6 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame, part_words: int
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, part_words: int = PART_WORDS) -> DataFrame:
     """The rows of ``docs``, all columns, that hold no benchmark window."""
-    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
-    plain = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in names.items()), F.col("text"))
-    found = find_contamination(plain, benchmark, list(names.values()), part_words)
-    return found.where(F.size("spans") == 0).select(*(F.col(n).alias(c) for c, n in names.items()))
-
+    plain, names = passing(docs)
+    found = find_contamination(plain, benchmark, list(names), part_words)
+    return found.where(F.size("spans") == 0).select(*(F.col(n).alias(c) for n, c in names.items()))

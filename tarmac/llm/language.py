@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import is_held_out, stored
+from tarmac.llm.common import is_held_out, passing, stored
 
 UNKNOWN = "und"
 BITS = 14
@@ -146,6 +146,14 @@ def identify(docs: DataFrame, training: DataFrame, keep: list[str]) -> DataFrame
     return docs.select(*keep, F.col("text").alias("_scan")).mapInArrow(run, schema)
 
 
+def keep_identified(docs: DataFrame, training: DataFrame, least_share: float) -> DataFrame:
+    """The rows of ``docs``, all columns, of which one language holds ``least_share`` or more."""
+    plain, names = passing(docs)
+    found = identify(plain, training, list(names))
+    return (found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_share))
+            .select(*(F.col(n).alias(c) for n, c in names.items())))
+
+
 def predict_languages(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score, languages and shares for each row of
     ``docs`` (doc_id, text, lang), learned from the rows that are not held out."""

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from tarmac.llm import decontaminate, embeddings, language, linededup, nearcopies, pack, pii, quality, shard, toxicity
-from tarmac.llm.common import table
+from tarmac.llm.common import importable, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -52,6 +54,21 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
-    op1_quality, op2_toxicity, op3_near_copies, op4_decontaminate, op5_language, op6_embeddings, op7_shard, op8_pack, op9_line_dedup, op10_pii)}
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+def _ready(query: QueryFn) -> QueryFn:
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        importable(spark)
+        return query(spark, sf_dir)
+    return run
+
+
+QUERIES: dict[str, QueryFn] = {f.__name__: _ready(f) for f in (
+    op1_quality, op2_toxicity, op3_near_copies, op4_decontaminate, op5_language, op6_embeddings, op7_shard, op8_pack,
+    op9_line_dedup, op10_pii, pipeline)}
 ORACLES: dict[str, str] = {"op9_line_dedup": linededup.LINE_DEDUP_SQL}
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
