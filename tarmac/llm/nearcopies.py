@@ -9,9 +9,11 @@ confirmed on the full sets, recomputed from the texts.
 
 Groups of copies are kept from filling nodes in two ways. Documents with equal sets are
 one class from the start. And before the trees are searched, every class is compared with
-the first member, by hash order, of each node it is in: the confirmed links of this pass
+the first member, by hash order, of each node it is in; the closest of these and the first
+likely one are confirmed, at most two a class. The links of this pass
 label most of any group, however large, and nodes that hold one label only are done.
-Later passes look only for links between labels, which is all that components need.
+Later passes look only for links between labels, which is all that components need; the
+few other members of a node that one label fills are compared with all of it.
 """
 
 from __future__ import annotations
@@ -36,6 +38,8 @@ LEAF = 200
 LEVELS = 24
 #: Equal four-bit tokens, of 64, that a pair must show: 5 deviations under what 0.8 gives.
 MIN_MATCHES = 36
+#: Equal tokens of a pair that is more likely than not at the threshold.
+LIKELY_MATCHES = 52
 #: Ids of documents to confirm that may be broadcast (8 bytes each).
 BROADCAST_IDS = 2_000_000
 
@@ -235,10 +239,14 @@ def near_links(reps: DataFrame, docs: DataFrame, k: int, percent: int, trees: in
     heads = rows.groupBy("node").agg(
         F.count("*").alias("n"), F.min(F.struct(F.xxhash64("rep").alias("rank"), "rep", tokens.alias("s")))
         .alias("head")).where("n > 1").select("node", "head")
-    first = (rows.join(heads, "node")
-             .where((F.col("rep") != F.col("head.rep")) & (_matches(tokens, F.col("head.s")) >= MIN_MATCHES))
-             .groupBy("rep").agg(F.min(F.struct("head.rank", "head.rep")).alias("h"))
-             .select(F.least("rep", "h.rep").alias("a"), F.greatest("rep", "h.rep").alias("b")).distinct())
+    same = _matches(tokens, F.col("head.s"))
+    met = (rows.join(heads, "node").where(F.col("rep") != F.col("head.rep")).withColumn("same", same)
+           .where(F.col("same") >= MIN_MATCHES)
+           .groupBy("rep").agg(F.max(F.struct("same", "head.rank", "head.rep")).alias("best"),
+                               F.min(F.when(F.col("same") >= LIKELY_MATCHES, F.struct("head.rank", "head.rep")))
+                               .alias("common")))
+    first = (met.select("rep", F.explode(F.array("best.rep", "common.rep")).alias("other")).where("other IS NOT NULL")
+             .select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct())
     links = _confirmed(first, docs, k, percent)
     labels = components(links)
     plain = stored(reps.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
@@ -253,12 +261,18 @@ def near_links(reps: DataFrame, docs: DataFrame, k: int, percent: int, trees: in
                              "left_semi")
         # A class reaches a node once: two of its paths never meet again.
         rows = stored(rows.drop("parent"), "near-level")
-        nodes = stored(rows.groupBy("node").agg(F.count("*").alias("n"), F.min("label").alias("l1"),
-                                                F.max("label").alias("l2")).where("l1 < l2").select("node", "n"),
-                       "near-nodes")
+        nodes = (rows.groupBy("node", "label").agg(F.count("*").alias("n"))
+                 .groupBy("node").agg(F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("most"))
+                 .select("node", "n", F.col("most.label").alias("main"), (F.col("n") - F.col("most.n")).alias("others"))
+                 .where("others > 0"))
+        nodes = stored(nodes, "near-nodes")
         of_small = rows.join(nodes.where(F.col("n") <= leaf).select("node"), "node")
         candidates.append(stored(_leaf_pairs(of_small), "near-candidates"))
-        mixed = nodes.where(F.col("n") > leaf)
+        large = nodes.where(F.col("n") > leaf)
+        few = large.where(F.col("others") <= leaf // 4)
+        if not few.isEmpty():
+            candidates.append(stored(_few_pairs(rows, few), "near-candidates"))
+        mixed = large.where(F.col("others") > leaf // 4).select("node", "n")
         if mixed.isEmpty():
             break
         if level == levels:
@@ -272,6 +286,20 @@ def near_links(reps: DataFrame, docs: DataFrame, k: int, percent: int, trees: in
     return links.unionByName(_confirmed(pairs.distinct(), docs, k, percent))
 
 
+def _few_pairs(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Candidate pairs of large nodes with few members outside their main label.
+
+    Those few, at most ``LEAF / 4``, meet every member: a number of rows in proportion to
+    the node, in a join that is split where a node is large.
+    """
+    tokens = ("s0", "s1", "s2", "s3")
+    of = rows.join(nodes.select("node", "main"), "node")
+    few = of.where("label <> main").select("node", F.struct("rep", "label", *tokens).alias("x"))
+    return (of.select("node", F.struct("rep", "label", *tokens).alias("y")).join(few, "node")
+            .where((F.col("x.label") != F.col("y.label")) & (_matches(F.col("x"), F.col("y")) >= MIN_MATCHES))
+            .select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct())
+
+
 def _block_pairs(rows: DataFrame, nodes: DataFrame, leaf: int) -> DataFrame:
     """Exhaustive comparison of large nodes, a pair of blocks at a time."""
     half = max(1, leaf // 2)

@@ -4,10 +4,11 @@ Documents are tokenised once; a document longer than a sequence is cut into piec
 and the small piece records (no text, no ids) are packed. Pieces are dealt to
 partitions of bounded size and each partition runs best-fit decreasing. Dual-feasible
 functions give a lower bound on the sequences that any packing of a partition needs:
-where the count meets the bound the partition is certified and settled. Partitions
-with a gap keep their full sequences, exchange the documents of all others and run
-best-fit decreasing again over larger pools; a pool's new packing is taken only if it
-needs fewer sequences.
+where the count meets the bound the partition is certified. While all partitions
+together use more than the bound of all pieces, those with a gap keep their full
+sequences and exchange the documents of all others, and certified ones exchange only
+those of sequences with room to spare. Best-fit decreasing runs again over these
+pools, larger each time; a new packing is taken only if it needs fewer sequences.
 """
 
 from __future__ import annotations
@@ -30,9 +31,9 @@ CAPACITY = 2048
 END_ID = 0
 #: Pieces in one partition: what one task packs in memory, about 100 bytes each.
 PIECES_PER_PARTITION = 100_000
-ROUNDS = 3
+ROUNDS = 2
 #: Distinct words whose ids a worker remembers, about 200 bytes each.
-REMEMBERED = 800_000
+REMEMBERED = 1_200_000
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -64,22 +65,27 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
 
-    def encode(self, text: str) -> bytes:
-        data = text.encode()
-        if b"<|" in data:
-            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-        words = data.translate(_LOWER).split()
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known = self.known
-        new = [w for w in set(words) if w not in known]
+    def encode(self, text: bytes) -> bytes:
+        if b"<|" in text:
+            return array("I", self.tokenizer.encode(text.decode(), add_special_tokens=False).ids).tobytes()
+        words = text.translate(_LOWER).split()
+        new = set(words).difference(self.known)
         if new:
-            cut = [(w, _stem(w)) for w in new]
-            parts = list({p for w, stem in cut for p in (stem, w[len(stem):]) if p not in known})
-            found = self.tokenizer.encode_batch_fast([p.decode() for p in parts], add_special_tokens=False)
-            known.update((p, array("I", e.ids).tobytes()) for p, e in zip(parts, found, strict=True))
-            known.update((w, known[stem] + known[w[len(stem):]]) for w, stem in cut)
-        return b"".join([known[w] for w in words])
+            if len(self.known) > REMEMBERED:
+                self.known.clear()
+                new = set(words)
+            self._learn(new)
+        return b"".join(map(self.known.__getitem__, words))
+
+    def _learn(self, words: set[bytes]) -> None:
+        known = self.known
+        cut = [(w, _stem(w)) for w in words]
+        parts = {stem for _, stem in cut}
+        parts.update(w[len(stem):] for w, stem in cut)
+        new = list(parts.difference(known))
+        found = self.tokenizer.encode_batch_fast([p.decode() for p in new], add_special_tokens=False)
+        known.update(zip(new, (array("I", e.ids).tobytes() for e in found), strict=True))
+        known.update((w, known[stem] + known[w[len(stem):]]) for w, stem in cut if len(stem) < len(w))
 
 
 def _pieces(path: str | None, capacity: int):
@@ -89,7 +95,7 @@ def _pieces(path: str | None, capacity: int):
         for batch in batches:
             cols: tuple[list, ...] = ([], [], [], [], [])
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = encoder.encode(text or "") + end
+                ids = encoder.encode(text or b"") + end
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at:at + 4 * capacity]
                     for c, v in zip(cols, (doc_id, k, at // 4, len(part) // 4, zlib.crc32(part)), strict=True):
@@ -129,10 +135,13 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[
 
 
 def lower_bound(lengths: np.ndarray, capacity: int = CAPACITY) -> int:
-    """Sequences that any packing needs: the best of three families of dual-feasible functions."""
-    if not len(lengths):
-        return 0
-    count = np.bincount(lengths, minlength=capacity + 1).astype(np.int64)
+    """Sequences that any packing of these lengths needs."""
+    return bound_of_counts(np.bincount(np.asarray(lengths, dtype=np.int64), minlength=capacity + 1), capacity)
+
+
+def bound_of_counts(count: np.ndarray, capacity: int = CAPACITY) -> int:
+    """The best bound of three families of dual-feasible functions, from how many pieces have each length."""
+    count = count.astype(np.int64)
     x = np.arange(capacity + 1, dtype=np.int64)
     total, upto, heavy = int((count * x).sum()), np.cumsum(count * x), np.cumsum(count)
     best = -(-total // capacity)
@@ -175,25 +184,30 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, capacity: int
     token. Rows that repeat a doc_id, or have none, are packed as rows of their own.
     Ties are broken by doc_id and piece. An empty table gives an empty result.
     """
-    pieces = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    pieces = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary"))
                     .mapInArrow(_pieces(tokenizer, capacity), _PIECES), "pack-pieces")
-    todo, settled = pieces, []
+    todo, settled, before = pieces, [], None
     for r in range(rounds + 1):
-        rows = todo.count()
-        # Each exchange deals the released documents to pools of more pieces.
-        parts = max(1, -(-rows // (per_partition * (1 + r))))
+        # Each exchange deals what was released to fewer, larger partitions.
+        parts = max(1, -(-todo.count() // (per_partition * 4 ** r)))
         dealt = todo.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(r)), F.lit(parts)))
         packed = stored(dealt.groupBy("part").applyInPandas(_pack(r, capacity), _PACKED), "pack-round")
-        if settled:
-            old = todo.agg(F.count_distinct("sequence_id")).first()[0]
-            if packed.agg(F.count_distinct("sequence_id")).first()[0] >= old:
-                packed, parts = todo, 1
-        loose = packed.where("gap > 0 AND room > 0")
-        if r == rounds or packed is todo or parts == 1 or loose.isEmpty():
+        used = packed.select("sequence_id").distinct().count()
+        if before is not None and used >= before:
+            settled.append(todo)  # the exchange gained nothing
+            break
+        of_length = np.zeros(capacity + 1, dtype=np.int64)
+        for x in packed.groupBy("length").count().collect():  # at most ``capacity`` rows
+            of_length[x["length"]] = x["count"]
+        needed = bound_of_counts(of_length, capacity)
+        # With a gap all sequences with room are released, without one those that an exchange may help.
+        loose = (F.col("room") > 0) & ((F.col("gap") > 0) | (F.col("room") > capacity // 64))
+        if parts == 1 or r == rounds or used <= needed:
             settled.append(packed)
             break
-        settled.append(packed.where("gap <= 0 OR room = 0"))
-        todo = loose
+        settled.append(packed.where(~loose))
+        todo = packed.where(loose)
+        before = todo.select("sequence_id").distinct().count()
     out = settled[0]
     for more in settled[1:]:
         out = out.unionByName(more, allowMissingColumns=True)

@@ -235,6 +235,9 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
             score = score + F.when(c[name] == 1, w[k + j]).when(c[name] == -1, w[k + len(LABELERS) + j]).otherwise(0.0)
         return score >= 0
 
+    def of_kind(i: int):
+        return lambda c: c["kind"] == i
+
     base = F.filter("found", lambda c: c["base"])
     plain = lambda a: F.transform(a, lambda c: F.struct(c["start"].alias("start"), c["kind"].alias("kind"),
                                                         c["end"].alias("end")))
@@ -247,8 +250,7 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     out = out.select("doc_id", "bases", F.array_distinct(plain(added)).alias("extra"))
     return out.select(
         "doc_id",
-        *(F.size(F.filter("bases", lambda c, i=i: c["kind"] == i)).cast("long").alias(f"n_{kind}")
-          for i, kind in enumerate(KINDS)),
+        *(F.size(F.filter("bases", of_kind(i))).cast("long").alias(f"n_{kind}") for i, kind in enumerate(KINDS)),
         F.sha2(listed(plain(F.col("bases"))), 256).alias("base_sha256"),
         listed(F.concat(plain(F.col("bases")), F.col("extra"))).alias("spans"),
         F.size("extra").cast("long").alias("n_added"))

@@ -19,15 +19,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import is_held_out
+from tarmac.llm.common import is_held_out, stored
 from tarmac.llm.sample import labelled_sample
 
 #: Bound of the labelled sample, kept features, and the penalties' weights.
-EXAMPLES = 8000
-FEATURES = 4096
-SPARSITY = 4e-4
+EXAMPLES = 40_000
+FEATURES = 2048
+SPARSITY = 5e-5
 FAIRNESS = 1.0
-ROUNDS = 400
+#: Weight of a toxic example against another.
+BALANCE = 5.0
+ROUNDS = 250
 THRESHOLD = 0.5
 BITS = 20
 
@@ -83,26 +85,63 @@ def counterfactuals(text: str) -> tuple[str, str] | None:
     return " ".join(words), " ".join([*words[:at], terms[pick % len(terms)], *words[at + 1:]])
 
 
-def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    n, pos = np.zeros(1 << BITS, dtype=np.int32), np.zeros(1 << BITS, dtype=np.int32)
     for batch in batches:
-        own, before, after = [], [], []
-        for text in batch.column("text").to_pylist():
-            pair = counterfactuals(text or "") or ("", "")
-            for out, t in zip((own, before, after), (text, *pair), strict=True):
-                out.append(np.unique(grams(t)).astype("<i4").tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column("label").cast(pa.int32()),
-                                          *(pa.array(x, pa.binary()) for x in (own, before, after))],
-                                         names=["label", "own", "before", "after"])
+        for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
+            g = np.unique(grams(text))
+            n[g] += 1
+            if label:
+                pos[g] += 1
+    used = np.flatnonzero(n)
+    yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(n[used]), pa.array(pos[used])],
+                                     names=["gram", "n", "pos"])
+
+
+def _kept_grams(sample: DataFrame, features: int) -> np.ndarray:
+    """The ``features`` grams with the largest chi-square against the label and those of all identity terms."""
+    total, pos = sample.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
+    terms = [grams(t) for t in sorted(_KIND)]
+    if not 0 < pos < total:
+        return np.unique(np.concatenate(terms))
+    expect = F.col("n") * (pos / total)
+    chi = (F.col("pos") - expect) ** 2 / (expect * (1 - F.col("n") / total))
+    best = (sample.mapInArrow(_gram_counts, "gram int, n int, pos int")
+            .groupBy("gram").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos")).where((F.col("n") >= 3) & (F.col("n") < total))
+            .select("gram", chi.alias("chi")).orderBy(F.desc("chi"), "gram").limit(features).collect())
+    return np.unique(np.concatenate([np.array([r.gram for r in best], dtype=np.int64), *terms]))
+
+
+def _examples(kept):
+    """Each example and its counterfactual pair as places of the kept grams they hold."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = _places(kept.value)
+        for batch in batches:
+            cols: tuple[list, ...] = ([], [], [])
+            for text in batch.column("text").to_pylist():
+                pair = counterfactuals(text or "") or ("", "")
+                for out, t in zip(cols, (text, *pair), strict=True):
+                    at = place[grams(t)]
+                    out.append(np.unique(at[at >= 0]).astype("<i4").tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("label").cast(pa.int32()),
+                                              *(pa.array(x, pa.binary()) for x in cols)],
+                                             names=["label", "own", "before", "after"])
+    return run
+
+
+def _places(kept: np.ndarray) -> np.ndarray:
+    place = np.full(1 << BITS, -1, dtype=np.int32)
+    place[kept] = np.arange(len(kept))
+    return place
 
 
 class _Rows:
-    """Sparse 0/1 rows over kept features, with the two products that fitting needs."""
+    """Sparse 0/1 rows over kept grams, with the two products that fitting needs."""
 
-    def __init__(self, rows: list[np.ndarray], place: np.ndarray):
-        kept = [place[r][place[r] >= 0] for r in rows]
+    def __init__(self, rows: list[np.ndarray]):
         self.n = len(rows)
-        self.row = np.repeat(np.arange(len(rows)), [len(k) for k in kept])
-        self.col = np.concatenate(kept) if kept else np.zeros(0, dtype=np.int64)
+        self.row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+        self.col = np.concatenate(rows) if rows else np.zeros(0, dtype=np.int32)
 
     def times(self, w: np.ndarray) -> np.ndarray:
         return np.bincount(self.row, weights=w[self.col], minlength=self.n)
@@ -111,33 +150,18 @@ class _Rows:
         return np.bincount(self.col, weights=e[self.row], minlength=width)
 
 
-def fit_weights(own: list[np.ndarray], before: list[np.ndarray], after: list[np.ndarray], y: np.ndarray,
-                features: int = FEATURES, sparsity: float = SPARSITY, fairness: float = FAIRNESS,
-                rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, float]:
-    """Kept feature hashes, their weights and the intercept, by accelerated proximal gradient steps."""
-    size = 1 << BITS
+def fit_weights(own: list[np.ndarray], before: list[np.ndarray], after: list[np.ndarray], y: np.ndarray, width: int,
+                sparsity: float = SPARSITY, fairness: float = FAIRNESS, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
+    """Weights of ``width`` features and the intercept, by accelerated proximal gradient steps."""
     n, pos = len(y), float(y.sum())
     if n == 0 or pos in (0.0, float(n)):
-        return np.zeros(0, dtype=np.int64), np.zeros(0), 0.0 if n == 0 else (6.0 if pos else -6.0)
-    has = np.zeros(size)
-    in_pos = np.zeros(size)
-    for r, label in zip(own, y, strict=True):
-        has[r] += 1
-        if label:
-            in_pos[r] += 1
-    # Chi-square of each feature with the label; identity terms always stay.
-    expect = has * pos / n
-    chi = (in_pos - expect) ** 2 / np.maximum(expect * (1 - has / n), 1e-9)
-    chi[has < 3] = 0
-    keep = np.argsort(-chi, kind="stable")[:features]
-    keep = np.unique(np.concatenate([keep[chi[keep] > 0], *(grams(t) for t in sorted(_KIND))]))
-    place = np.full(size, -1, dtype=np.int64)
-    place[keep] = np.arange(len(keep))
-    x, a, b = _Rows(own, place), _Rows(before, place), _Rows(after, place)
-    width = len(keep)
+        return np.zeros(width), 0.0 if n == 0 else (6.0 if pos else -6.0)
+    x, a, b = _Rows(own), _Rows(before), _Rows(after)
+    weight = np.where(y > 0, BALANCE, 1.0)
+    weight /= weight.sum()
 
     def grad(w: np.ndarray, c: float) -> tuple[np.ndarray, float]:
-        e = (1 / (1 + np.exp(-np.clip(x.times(w) + c, -30, 30))) - y) / n
+        e = (1 / (1 + np.exp(-np.clip(x.times(w) + c, -30, 30))) - y) * weight
         d = (a.times(w) - b.times(w)) * (2 * fairness / n)
         return x.back(e, width) + a.back(d, width) - b.back(d, width), float(e.sum())
 
@@ -145,11 +169,11 @@ def fit_weights(own: list[np.ndarray], before: list[np.ndarray], after: list[np.
     v = np.ones(width)
     for _ in range(20):
         d = (a.times(v) - b.times(v)) * (2 * fairness / n)
-        u = x.back(x.times(v) / (4 * n), width) + a.back(d, width) - b.back(d, width)
+        u = x.back(x.times(v) * weight / 4, width) + a.back(d, width) - b.back(d, width)
         top = float(np.linalg.norm(u))
         v = u / max(top, 1e-12)
     step = 1 / (1.1 * top + 0.25)
-    w, c, wm, cm, t = np.zeros(width), float(np.log(pos / (n - pos))), np.zeros(width), 0.0, 1.0
+    w, c, t = np.zeros(width), float(np.log(pos / (n - pos))), 1.0
     wm, cm = w, c
     for _ in range(rounds):
         g, gc = grad(wm, cm)
@@ -159,15 +183,15 @@ def fit_weights(own: list[np.ndarray], before: list[np.ndarray], after: list[np.
         nt = (1 + np.sqrt(1 + 4 * t * t)) / 2
         wm, cm = new + (t - 1) / nt * (new - w), new_c + (t - 1) / nt * (new_c - c)
         w, c, t = new, new_c, nt
-    return keep, w, c
+    return w, c
 
 
 class Classifier:
-    def __init__(self, keep: np.ndarray, w: np.ndarray, c: float):
-        used = w != 0
-        self.hashes, self.w, self.c = keep[used], w[used], c
-        self.place = np.full(1 << BITS, -1, dtype=np.int32)
-        self.place[self.hashes] = np.arange(len(self.hashes))
+    """Grams with a weight, their weights and the intercept."""
+
+    def __init__(self, kept: np.ndarray, w: np.ndarray, c: float):
+        self.w, self.c = w[w != 0], c
+        self.place = _places(kept[w != 0])
 
     def score(self, text: str | None) -> float:
         at = self.place[grams(text)]
@@ -175,13 +199,16 @@ class Classifier:
         return float(1 / (1 + np.exp(-max(-30.0, min(30.0, z)))))
 
 
-def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Classifier:
-    """Fit on at most ``examples`` labelled documents; the driver holds their hashed features only."""
-    found = (labelled_sample(docs, labels, "toxic", examples)
-             .mapInArrow(_examples, "label int, own binary, before binary, after binary").collect())
+def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, features: int = FEATURES) -> Classifier:
+    """Fit on at most ``examples`` labelled documents; the driver holds which kept grams they have."""
+    spark = docs.sparkSession
+    sample = stored(labelled_sample(docs, labels, "toxic", examples), "toxicity-sample")
+    kept = _kept_grams(sample, features)
+    found = (sample.mapInArrow(_examples(spark.sparkContext.broadcast(kept)),
+                               "label int, own binary, before binary, after binary").collect())
     found.sort(key=lambda r: (bytes(r.own), r.label))
-    rows = [[np.frombuffer(r[k], "<i4").astype(np.int64) for r in found] for k in ("own", "before", "after")]
-    return Classifier(*fit_weights(*rows, np.array([r.label for r in found], dtype=float)))
+    rows = [[np.frombuffer(r[k], "<i4") for r in found] for k in ("own", "before", "after")]
+    return Classifier(kept, *fit_weights(*rows, np.array([r.label for r in found], dtype=float), len(kept)))
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
