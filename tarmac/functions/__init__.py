@@ -1,16 +1 @@
-from tarmac.functions.scalar import (  # noqa: F401
-    coerce_to,
-    epoch_seconds,
-    exact_mean,
-    event_time_of,
-    instant_to_ntz,
-    ntz_to_instant,
-    flag,
-    geo_point,
-    marker_size,
-    percent,
-    round2,
-    try_cast_to,
-    unit_hash,
-    window_bounds,
-)
+"""Column-level helpers."""

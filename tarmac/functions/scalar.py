@@ -9,38 +9,23 @@ from pyspark.sql import types as T
 from tarmac.roles import col_of
 
 
-def round2(c: str | Column, scale: int = 2) -> Column:
-    """HALF_UP rounding, as Spark's ``round``."""
-    return F.round(col_of(c), scale)
-
-
-def flag(predicate: Column) -> Column:
-    """0/1 integer label from a boolean predicate (NULL stays NULL)."""
-    return predicate.cast("int")
-
-
 def percent(numerator: str | Column, denominator: str | Column, scale: int = 2) -> Column:
     """``numerator / denominator * 100`` rounded; NULL instead of an error on 0."""
     ratio = F.try_divide(col_of(numerator).cast("double"), col_of(denominator).cast("double"))
     return F.round(ratio * F.lit(100.0), scale)
 
 
-def try_cast_to(c: str | Column, dtype: T.DataType | str) -> Column:
-    """Cast that yields NULL on malformed input instead of raising (ANSI mode)."""
-    target = dtype if isinstance(dtype, str) else dtype.simpleString()
-    return col_of(c).try_cast(target)
-
-
 def coerce_to(c: str | Column, dtype: T.DataType) -> Column:
     """Typed coercion of a raw text value.
 
-    Integral targets go through double first and truncate toward zero, so
-    ``"65.7"`` becomes 65 (a plain int cast would give NULL); blank and
-    malformed text become NULL.
+    Integral targets truncate toward zero, so ``"65.7"`` becomes 65 (a plain
+    int cast would give NULL); whole numbers are taken as they are, so ids
+    beyond 2^53 stay exact. Blank and malformed text become NULL.
     """
     raw = col_of(c)
     if isinstance(dtype, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
-        return raw.try_cast("double").try_cast(dtype.simpleString())
+        whole = dtype.simpleString()
+        return F.coalesce(raw.try_cast(whole), raw.try_cast("double").try_cast(whole))
     if isinstance(dtype, T.StringType):
         return raw.cast("string")
     return raw.try_cast(dtype.simpleString())

@@ -1,4 +1,4 @@
-"""Feature preparation and typed coercion (PRJ4-PRJ8, PRJ12, PRJ15).
+"""Feature preparation and typed coercion (PRJ4-PRJ8, PRJ15).
 
 One function prepares features for both training and scoring, so the two
 paths cannot drift apart (same casts, same fills, same types).
@@ -56,10 +56,3 @@ def coerce_rows(df: DataFrame, schema: T.StructType) -> DataFrame:
     types = {f.name: f.dataType for f in schema.fields}
     return df.select(*[coerce_to(c, types[c]).alias(c) if c in types else F.col(c) for c in df.columns])
 
-
-def select_output(df: DataFrame, columns: Sequence[str], renames: dict[str, str] | None = None) -> DataFrame:
-    """Rename then project to a fixed output column list (PRJ12)."""
-    for old, new in (renames or {}).items():
-        df = df.withColumnRenamed(old, new)
-    require_columns(df, *columns)
-    return df.select(*columns)

@@ -11,7 +11,7 @@ from tarmac.plans.registry import register
 from tarmac.plans.tables import events, lineitem
 from tarmac.session import scratch_path
 from tarmac.sources.events import decode_events, encode_events
-from tarmac.sources.tables import read_table, spread
+from tarmac.sources.tables import read_table
 
 LINEITEM_SCHEMA = T.StructType([
     T.StructField("l_orderkey", T.LongType()),
@@ -38,7 +38,19 @@ def csv_scan(spark, sf_dir):
     """lineitem staged as header CSV (a Spark write under the shared checkpoint
     dir), then read back with the declared schema instead of inference."""
     path = scratch_path(spark, "csv")
-    spread(lineitem(spark, sf_dir)).write.option("header", True).csv(path)
+    lineitem(spark, sf_dir).write.option("header", True).csv(path)
+    return read_table(spark, path, schema=LINEITEM_SCHEMA, fmt="csv")
+
+
+@register("csv_by_name", ("SRC1", "PRJ15"), sql="SELECT * FROM lineitem")
+def csv_by_name(spark, sf_dir):
+    """lineitem staged as CSV with its columns in another order and whole numbers
+    written as ``17.0``, then bound by header name and coerced."""
+    path = scratch_path(spark, "csv-by-name")
+    li = lineitem(spark, sf_dir)
+    text = [F.concat(F.col(f.name).cast("string"), F.lit(".0")).alias(f.name)
+            if isinstance(f.dataType, (T.IntegerType, T.LongType)) else F.col(f.name) for f in LINEITEM_SCHEMA.fields]
+    li.select(*text[5:], *reversed(text[:5])).write.option("header", True).csv(path)
     return read_table(spark, path, schema=LINEITEM_SCHEMA, fmt="csv")
 
 
@@ -47,7 +59,7 @@ def json_round_trip(spark, sf_dir):
     """lineitem -> typed JSON events (ship date as epoch seconds) -> decoded rows."""
     wire = T.StructType([f if f.name != "l_shipdate" else T.StructField("l_shipdate", T.TimestampType())
                          for f in LINEITEM_SCHEMA.fields])
-    encoded = encode_events(spread(lineitem(spark, sf_dir)), wire, ts_col="l_shipdate", ts_name="l_shipdate")
+    encoded = encode_events(lineitem(spark, sf_dir), wire, ts_col="l_shipdate", ts_name="l_shipdate")
     decoded = decode_events(encoded, wire)
     return decoded.withColumn("l_shipdate", instant_to_ntz("l_shipdate"))
 

@@ -87,8 +87,12 @@ def struct_of(fields: list[tuple[str, str]]) -> T.StructType:
 
 
 FLIGHT_SCHEMA = struct_of(FLIGHT_FIELDS)
-# The CSV form carries every field but the producer-stamped ``timestamp``.
-FLIGHT_CSV_SCHEMA = struct_of([f for f in FLIGHT_FIELDS if f[0] != "timestamp"])
+# The table form carries every field but the producer-stamped ``timestamp``.
+# Measures that the wire cuts to whole numbers keep their fraction in a table.
+FLIGHT_MEASURES = ("TMAX", "AWND", "FLT_ATTENDANTS_PER_PASS", "GROUND_SERV_PER_PASS", "LATITUDE", "LONGITUDE",
+                   "PRCP", "SNOW", "SNWD")
+FLIGHT_CSV_SCHEMA = struct_of([(n, "double" if n in FLIGHT_MEASURES else t) for n, t in FLIGHT_FIELDS
+                               if n != "timestamp"])
 
 # Result schemas -----------------------------------------------------------
 

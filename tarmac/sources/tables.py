@@ -5,15 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tarmac.operators.clean import coerce_rows
+from tarmac.roles import require_columns
+
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
                fmt: str = "parquet", header: bool = True, **options) -> DataFrame:
     """Read a static table from any Hadoop-compatible path (local, HDFS, object store).
 
-    CSV is read with an explicit schema when one is given: inference costs a
-    full extra pass over the input and may drift between files. Parquet keeps
-    its own schema; a given schema then acts as a projection contract.
+    CSV with a header and a schema is bound by column *name*: the text columns
+    are read as the header names them, coerced to the schema's types (an
+    integer field holding ``17.0`` is 17, blank or malformed text is NULL) and
+    put in the schema's order; columns the schema does not name follow as
+    text. A missing column is an error, and so is a file of the folder whose
+    header differs from the others. Inference costs a full extra pass and is
+    used only without a schema. Parquet keeps its own schema; a given schema
+    then acts as a projection contract.
     """
+    if fmt == "csv" and header and schema is not None:
+        return _csv_by_name(spark, path, schema, options)
     reader = spark.read.format(fmt)
     if fmt == "csv":
         reader = reader.option("header", header)
@@ -26,6 +36,16 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None
     return reader.load(path)
 
 
+def _csv_by_name(spark: SparkSession, path: str, schema: T.StructType | str, options: dict) -> DataFrame:
+    wanted = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    # With inference off every column is text under its own header name;
+    # enforceSchema=False checks that name against the header of each file.
+    raw = spark.read.options(**{"header": True, "enforceSchema": False, "mode": "FAILFAST", **options}).csv(path)
+    require_columns(raw, *wanted.fieldNames())
+    extra = [c for c in raw.columns if c not in set(wanted.fieldNames())]
+    return coerce_rows(raw.select(*[f"`{c}`" for c in [*wanted.fieldNames(), *extra]]), wanted)
+
+
 def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """An empty DataFrame with a declared schema (the no-input case)."""
     return spark.createDataFrame([], schema)
@@ -41,19 +61,3 @@ def stage_parquet(df: DataFrame, path: str, partitions: int | None = None) -> st
     out.write.mode("overwrite").parquet(path)
     return path
 
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a scan that yields fewer partitions than the cluster has
-    task slots, before CPU-heavy per-row work (JSON codec, window expansion).
-
-    A large input (many files or row groups) already scans in parallel and is
-    returned untouched, so no shuffle is added at scale; only small or
-    single-row-group inputs are fanned out.
-    """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= target:
-            return df
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave as is
-        return df
-    return df.repartition(target)
