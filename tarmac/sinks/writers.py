@@ -4,15 +4,16 @@ Both writers are ``foreachBatch`` callbacks keyed by the batch id. A batch that
 is re-run after a failure or a restart overwrites exactly its own output, so
 replays never duplicate rows.
 
-The keyed table is log-structured: each batch lands in its own
-``log/upsert_batch=<id>`` partition (a cheap, parallel, O(batch) write) and
-the current state per key is resolved on read by a map-side-combined max over
-``(batch, row)``. Every few batches the state is folded into
-``snapshot/as_of=<id>``, which bounds what a read has to scan.
+The keyed table is a log: each batch lands in a folder of its own,
+``log/upsert_run=<run>/upsert_batch=<id>`` (a parallel, O(batch) write), and
+the state per key is resolved on read by a map-side-combined max over
+``(run, batch, row)``. Every few batches the state is folded into a snapshot and
+the log entries it covers go, which bounds what a read lists and scans.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,7 @@ from tarmac.sources.results import path_has_files
 from tarmac.sources.tables import empty_table
 
 BatchFn = Callable[[DataFrame, int], None]
+RUN_COL = "upsert_run"
 BATCH_COL = "upsert_batch"
 
 
@@ -71,24 +73,34 @@ def _log(path: str) -> str:
     return f"{path.rstrip('/')}/log"
 
 
-def _snapshots(path: str) -> str:
-    return f"{path.rstrip('/')}/snapshot"
+def _list(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders under ``path``; none if it does not exist."""
+    hpath, fs = _fs(spark, path)
+    return [st.getPath().getName() for st in fs.listStatus(hpath) if st.isDirectory()] if fs.exists(hpath) else []
+
+
+def _entries(spark: SparkSession, path: str) -> list[tuple[int, int]]:
+    """(run, batch) of every log entry."""
+    runs = [int(r.split("=", 1)[1]) for r in _list(spark, _log(path)) if r.startswith(RUN_COL)]
+    return [(r, int(b.split("=", 1)[1])) for r in runs for b in _list(spark, f"{_log(path)}/{RUN_COL}={r}")
+            if b.startswith(BATCH_COL)]
 
 
-def latest_snapshot(spark: SparkSession, path: str) -> int | None:
-    """Batch id of the newest complete snapshot (one with ``_SUCCESS``), if any."""
-    hpath, fs = _fs(spark, _snapshots(path))
-    if not fs.exists(hpath):
-        return None
-    best = None
-    for st in fs.listStatus(hpath):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("as_of="):
-            done = st.getPath().toString() + "/_SUCCESS"
-            if fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(done)):
-                n = int(name.split("=", 1)[1])
-                best = n if best is None or n > best else best
-    return best
+def snapshots(spark: SparkSession, path: str) -> list[tuple[int, int, str]]:
+    """(run, batch, folder) of every complete snapshot (one with ``_SUCCESS``), oldest first."""
+    found = []
+    for name in _list(spark, f"{path.rstrip('/')}/snapshot"):
+        folder = f"{path.rstrip('/')}/snapshot/{name}"
+        done, fs = _fs(spark, f"{folder}/_SUCCESS")
+        if fs.exists(done):
+            run, batch, _ = name.split("_", 2)
+            found.append((int(run), int(batch), folder))
+    return sorted(found)
+
+
+def _next_run(spark: SparkSession, path: str) -> int:
+    seen = [r for r, _ in _entries(spark, path)] + [r for r, *_ in snapshots(spark, path)]
+    return max(seen, default=-1) + 1
 
 
 def reset_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
@@ -96,7 +108,7 @@ def reset_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
     hpath, fs = _fs(spark, path)
     if fs.exists(hpath):
         fs.delete(hpath, True)
-    empty_table(spark, schema).write.mode("overwrite").parquet(f"{_log(path)}/{BATCH_COL}=-1")
+    empty_table(spark, schema).write.mode("overwrite").parquet(f"{_log(path)}/{RUN_COL}=0/{BATCH_COL}=-1")
 
 
 def upsert_writer(path: str, keys: Sequence[str], transform: Callable[[DataFrame], DataFrame] | None = None,
@@ -104,59 +116,74 @@ def upsert_writer(path: str, keys: Sequence[str], transform: Callable[[DataFrame
                   compact_every: int | None = 50) -> BatchFn:
     """``foreachBatch`` callback appending each batch to the keyed log at ``path``.
 
-    ``keys`` is the upsert key (checked on every batch); last write wins, where
-    "last" is the highest batch id. Every ``compact_every`` batches the state
-    is folded into a snapshot, so reads never scan more than one snapshot plus
-    ``compact_every`` log entries. ``reset_schema`` (with ``spark``) drops and
-    recreates the table before the first batch.
+    ``keys`` is the upsert key (checked on every batch); last write wins. The
+    order of writes is (run, batch): every writer is a run of its own, one
+    above all runs in the table, so a query on a fresh checkpoint, whose
+    batches count from 0 again, writes after everything before it. Every
+    ``compact_every`` batches the state is folded into a snapshot and the log
+    entries it covers are removed. ``reset_schema`` (with ``spark``) drops and
+    recreates the table before the first batch. One writer runs at a time.
     """
     keys = list(keys)
     if reset_schema is not None:
         if spark is None:
             raise ValueError("reset needs the session")
         reset_table(spark, path, reset_schema)
+    run: list[int] = []
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
         out = transform(batch_df) if transform else batch_df
         require_columns(out, *keys)
-        out.write.mode("overwrite").parquet(f"{_log(path)}/{BATCH_COL}={batch_id}")
+        session = out.sparkSession
+        if not run:
+            run.append(_next_run(session, path))
+        out.write.mode("overwrite").parquet(f"{_log(path)}/{RUN_COL}={run[0]}/{BATCH_COL}={batch_id}")
         if compact_every and (batch_id + 1) % compact_every == 0:
-            compact_upserts(out.sparkSession, path, keys, out.schema, as_of=batch_id)
+            compact_upserts(session, path, keys, out.schema, (run[0], batch_id))
 
     return write
 
 
 def read_upserted(spark: SparkSession, path: str, keys: Sequence[str], schema: T.StructType) -> DataFrame:
-    """Current state of the keyed table: per key, the row of the latest batch.
+    """Current state of the keyed table: per key, the row of the latest write.
 
-    Reads the newest complete snapshot plus the log entries after it (older
-    log partitions are pruned). Ties inside one batch are broken by the row
-    values, so the result never depends on arrival order within a batch.
+    Reads the newest complete snapshot plus the log entries after it. Ties
+    inside one batch are broken by the row values, so the result never depends
+    on arrival order within a batch.
     """
     keys = list(keys)
-    if not path_has_files(spark, path):
-        return empty_table(spark, schema)
-    full = T.StructType(list(schema.fields) + [T.StructField(BATCH_COL, T.LongType())])
-    snap_id = latest_snapshot(spark, path)
-    log = spark.read.schema(full).parquet(_log(path))
-    if snap_id is not None:
-        snap = spark.read.schema(schema).parquet(f"{_snapshots(path)}/as_of={snap_id}") \
-            .withColumn(BATCH_COL, F.lit(snap_id).cast("long"))
-        log = snap.unionByName(log.filter(F.col(BATCH_COL) > F.lit(snap_id)))
     rest = [f.name for f in schema.fields if f.name not in keys]
-    latest = log.groupBy(*keys).agg(F.max(F.struct(F.col(BATCH_COL), *[F.col(c) for c in rest])).alias("_row"))
+    order = [T.StructField(RUN_COL, T.LongType()), T.StructField(BATCH_COL, T.LongType())]
+    rows = empty_table(spark, T.StructType([*schema.fields, *order]))
+    done = snapshots(spark, path)
+    after = done[-1][:2] if done else (-1, -1)
+    if done:
+        at_run, at_batch, folder = done[-1]
+        rows = spark.read.schema(schema).parquet(folder) \
+            .withColumns({RUN_COL: F.lit(at_run).cast("long"), BATCH_COL: F.lit(at_batch).cast("long")})
+    if path_has_files(spark, _log(path)):
+        log = spark.read.schema(T.StructType([*schema.fields, *order])).parquet(_log(path))
+        rows = rows.unionByName(log.filter((F.col(RUN_COL) > after[0]) | ((F.col(RUN_COL) == after[0])
+                                                                          & (F.col(BATCH_COL) > after[1]))))
+    latest = rows.groupBy(*keys).agg(F.max(F.struct(RUN_COL, BATCH_COL, *rest)).alias("_row"))
     return latest.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in schema.fieldNames()])
 
 
 def compact_upserts(spark: SparkSession, path: str, keys: Sequence[str], schema: T.StructType,
-                    as_of: int) -> str:
-    """Write the resolved state as snapshot ``as_of`` (the last batch it covers).
+                    as_of: tuple[int, int]) -> str:
+    """Fold the state into a snapshot ``as_of`` (run, batch), the last write it covers.
 
-    The snapshot only counts once its ``_SUCCESS`` marker exists, so a failed
-    compaction is ignored and simply redone later.
+    It is written to a folder of its own, so a replayed compaction never
+    overwrites what it reads, and counts once its ``_SUCCESS`` marker exists. Then the
+    log entries it covers go, and all older snapshots but one; a reader that had
+    listed them has to read again.
     """
-    target = f"{_snapshots(path)}/as_of={as_of}"
-    read_upserted(spark, path, keys, schema).write.mode("overwrite").parquet(target)
+    target = f"{path.rstrip('/')}/snapshot/{as_of[0]}_{as_of[1]}_{uuid.uuid4().hex}"
+    read_upserted(spark, path, keys, schema).write.parquet(target)
+    covered = [f"{_log(path)}/{RUN_COL}={r}/{BATCH_COL}={b}" for r, b in _entries(spark, path) if (r, b) <= as_of]
+    for old in [*covered, *(folder for *_, folder in snapshots(spark, path)[:-2])]:
+        hpath, fs = _fs(spark, old)
+        fs.delete(hpath, True)
     return target
 
 
