@@ -19,6 +19,10 @@ from pyspark.sql import functions as F
 from tarmac.session import ensure_checkpoint_dir
 
 
+#: Distinct values in a range, on average.
+VALUES_PER_RANGE = 1_000_000
+
+
 def frequency_index(df: DataFrame, col: str | Column, out_col: str = "index",
                     partitions: int | None = None) -> DataFrame:
     """``(value, count, <out_col>)`` for every distinct non-NULL value, the
@@ -27,16 +31,10 @@ def frequency_index(df: DataFrame, col: str | Column, out_col: str = "index",
     c = F.col(col) if isinstance(col, str) else col
     counts = df.select(c.cast("string").alias("value")).filter(F.col("value").isNotNull()) \
         .groupBy("value").agg(F.count(F.lit(1)).alias("count"))
-    if partitions is None:
-        # at least one range per task slot and per input split, so a range
-        # never holds more distinct values than one split could carry
-        partitions = df.sparkSession.sparkContext.defaultParallelism
-        try:
-            partitions = max(partitions, df.rdd.getNumPartitions())
-        except Exception:  # noqa: BLE001 - no RDD view: task slots only
-            pass
-    n = max(1, partitions)
     ensure_checkpoint_dir(df.sparkSession)
+    counts = counts.checkpoint(eager=True)
+    # Ranges are sized from the distinct values, not from the input.
+    n = max(1, partitions or -(-counts.count() // VALUES_PER_RANGE))
     ranged = counts.repartitionByRange(n, F.col("count").desc(), F.col("value").asc()) \
         .withColumn("_part", F.spark_partition_id()).checkpoint(eager=True)
     local = Window.partitionBy("_part").orderBy(F.col("count").desc(), F.col("value").asc())
@@ -46,7 +44,7 @@ def frequency_index(df: DataFrame, col: str | Column, out_col: str = "index",
         "_part",
         F.coalesce(F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("_offset"))
-    return numbered.join(F.broadcast(offsets), "_part").select(
+    return numbered.join(offsets, "_part").select(
         "value", "count", (F.col("_offset") + F.col("_local")).cast("double").alias(out_col))
 
 
@@ -61,5 +59,7 @@ def apply_index(df: DataFrame, index: DataFrame, col: str, out_col: str, index_c
     """
     unseen = float(index.count())  # one scalar: the extra index for NULL and unseen values
     keyed = index.select(F.col("value").alias("_v"), F.col(index_col).alias(out_col))
-    joined = df.join(keyed, df[col].cast("string") == keyed["_v"], "left").drop("_v")
+    # NULLs match nothing; spread by the row they would not meet in one task.
+    spread = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*df.columns), F.lit(1000)).cast("string"))
+    joined = df.join(keyed, F.coalesce(df[col].cast("string"), spread) == keyed["_v"], "left").drop("_v")
     return joined.withColumn(out_col, F.coalesce(F.col(out_col), F.lit(unseen)))
