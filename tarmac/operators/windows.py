@@ -9,9 +9,10 @@ A sliding window puts each row into ``duration / slide`` windows. On batch
 frames the default plan aggregates once per *pane* (a slice of
 ``gcd(duration, slide)``) and then merges the pane aggregates into the
 windows that contain them, so only one small row per pane and key is copied
-instead of every input row. Counts, sums, minima and maxima merge exactly;
-for fixed-point measures the mean and variance merge exactly from decimal
-pane sums and sums of squares.
+instead of every input row. Counts, sums, minima and maxima merge exactly,
+the mean of a fixed-point measure from decimal pane sums; variances merge
+from pane counts, means and squared deviations by the parallel-variance
+formula, which does not cancel.
 """
 
 from __future__ import annotations
@@ -58,6 +59,13 @@ def _merge_window(spec: WindowSpec, pane_col: str = "pane") -> Column:
     return spec.column(F.col(f"{pane_col}.start")).alias("window")
 
 
+def _merge_spread(a: Column, b: Column) -> Column:
+    """Count, mean and sum of squared deviations of two disjoint parts together."""
+    n, delta = a["n"] + b["n"], b["mean"] - a["mean"]
+    return F.struct(n.alias("n"), (a["mean"] + delta * b["n"] / n).alias("mean"),
+                    (a["m2"] + b["m2"] + delta * delta * a["n"] * b["n"] / n).alias("m2"))
+
+
 def window_stats(df: DataFrame, spec: WindowSpec, key: str, measure: str, ts: str = "timestamp",
                  scale: int = 2, watermark: str | None = None, mean_decimals: int | None = None,
                  method: str = "auto") -> DataFrame:
@@ -69,11 +77,10 @@ def window_stats(df: DataFrame, spec: WindowSpec, key: str, measure: str, ts: st
     exact fixed-point mean (see :func:`exact_mean`). ``method``: ``"auto"``,
     ``"panes"`` or ``"expand"`` (copy each row into its windows, as Spark's
     ``window`` does). ``auto`` aggregates sliding windows of a batch frame
-    per pane when ``mean_decimals`` is given: pane sums and sums of squares
-    are then exact decimals, so mean and variance merge without loss. For
-    plain doubles it keeps Spark's numerically stable expanded form (a
-    variance rebuilt from double sums of squares cancels badly when the mean
-    is large next to the spread); ``"panes"`` forces the pane form anyway.
+    per pane when ``mean_decimals`` is given: pane sums are then exact
+    decimals, so the mean merges without loss. For plain doubles it keeps
+    Spark's expanded form, whose sums add up in input order; ``"panes"``
+    forces the pane form anyway.
     """
     m = F.col(measure)
     pruned = df.select(ts, key, measure) if measure != key else df.select(ts, key)
@@ -86,21 +93,23 @@ def window_stats(df: DataFrame, spec: WindowSpec, key: str, measure: str, ts: st
             F.round(F.stddev_samp(m), scale).alias("std_value"),
             F.count(m).alias("count"),
         )
-    # Fixed-point measures: exact decimal sums (moderate magnitudes: the
-    # squared total must stay below 1e34). Doubles: plain sums.
+    # Fixed-point measures: exact decimal sums. Doubles: plain sums.
     x = m.cast(f"decimal(28,{mean_decimals})") if mean_decimals is not None else m.cast("double")
     panes = pruned.groupBy(F.window(ts, _pane(spec)).alias("pane"), F.col(key)).agg(
-        F.min(m).alias("p_min"), F.max(m).alias("p_max"), F.count(m).alias("p_n"),
-        F.sum(x).alias("p_sum"), F.sum(x * x).alias("p_sq"),
+        F.min(m).alias("p_min"), F.max(m).alias("p_max"), F.count(m).alias("p_n"), F.sum(x).alias("p_sum"),
+        F.avg(m.cast("double")).alias("p_mean"), (F.var_pop(m) * F.count(m)).alias("p_m2"),
     )
+    # A window's list holds one entry per pane, at most duration / pane width of them.
+    spread = F.struct(F.col("p_n").cast("double").alias("n"), F.col("p_mean").alias("mean"), F.col("p_m2").alias("m2"))
     merged = panes.groupBy(_merge_window(spec), F.col(key)).agg(
         F.min("p_min").alias("mn"), F.max("p_max").alias("mx"), F.sum("p_n").alias("n"),
-        F.sum("p_sum").alias("s"), F.sum("p_sq").alias("q"),
+        F.sum("p_sum").alias("s"), F.collect_list(F.when(F.col("p_n") > 0, spread)).alias("parts"),
     )
     n = F.col("n")
     nd = n.cast("double")
-    m2 = (F.col("q") - F.col("s") * F.col("s") / n).cast("double")  # exact when decimal
-    std = F.when(n > 1, F.sqrt(F.greatest(m2, F.lit(0.0)) / (nd - F.lit(1.0))))
+    m2 = F.aggregate("parts", F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2")),
+                     _merge_spread, lambda t: t["m2"])
+    std = F.when(n > 1, F.sqrt(m2 / (nd - F.lit(1.0))))
     return merged.select(
         "window", key,
         F.round(F.col("mn"), scale).alias("min_value"),
@@ -142,8 +151,7 @@ def window_quality(df: DataFrame, spec: WindowSpec, place: StrOrCol, label: StrO
         F.count("_label").alias("total_flights"),
         F.sum("_label").alias("actual_delays"),
         F.sum("_pred").alias("predicted_delays_count"),
-        F.sum(F.when(F.col("_label").cast("int") == F.col("_pred").cast("int"), 1).otherwise(0)
-              ).alias("correct_predictions"),
+        F.count_if(F.col("_label").cast("int") == F.col("_pred").cast("int")).alias("correct_predictions"),
     ]
     merges = [F.sum(c).alias(c) for c in ("total_flights", "actual_delays", "predicted_delays_count",
                                            "correct_predictions")]

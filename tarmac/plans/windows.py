@@ -8,7 +8,6 @@ from tarmac.operators.windows import flatten_window, quality_rows, window_qualit
 from tarmac.plans.registry import register, sql_round
 from tarmac.plans.tables import events, is_error
 from tarmac.roles import WindowSpec
-from tarmac.sources.tables import spread
 
 # events.value is a 2-decimal fixed-point reading: means are summed exactly.
 VALUE_DECIMALS = 2
@@ -29,13 +28,13 @@ def sql_windowed(source: str, ts: str, spec: WindowSpec) -> str:
     WHERE {ts} >= {start} AND {ts} < {start} + INTERVAL '{d} seconds'"""
 
 
-def _stats_sql(spec: WindowSpec) -> str:
+def _stats_sql(spec: WindowSpec, scale: int = 2) -> str:
     return f"""
 SELECT window_start, window_end, event_type,
-       {sql_round('min(value)')} AS min_value,
-       {sql_round('max(value)')} AS max_value,
-       {sql_round('sum(value::DECIMAL(28,2))::DOUBLE / count(value)')} AS avg_value,
-       {sql_round('stddev_samp(value)')} AS std_value,
+       {sql_round('min(value)', scale)} AS min_value,
+       {sql_round('max(value)', scale)} AS max_value,
+       {sql_round('sum(value::DECIMAL(28,2))::DOUBLE / count(value)', scale)} AS avg_value,
+       {sql_round('stddev_samp(value)', scale)} AS std_value,
        count(value) AS count
 FROM ({sql_windowed('SELECT ts, event_type, value FROM events', 'ts', spec)})
 GROUP BY 1, 2, 3"""
@@ -49,7 +48,14 @@ def window_stats_tumbling(spark, sf_dir):
 
 @register("window_stats_sliding", ("AGG10", "STR2", "STR10"), headline=True, sql=_stats_sql(SLIDING))
 def window_stats_sliding(spark, sf_dir):
-    return flatten_window(window_stats(spread(events(spark, sf_dir)), SLIDING, "event_type", "value", ts="ts",
+    return flatten_window(window_stats(events(spark, sf_dir), SLIDING, "event_type", "value", ts="ts",
+                                       mean_decimals=VALUE_DECIMALS))
+
+
+@register("window_stats_sliding_6", ("AGG10", "STR2"), sql=_stats_sql(SLIDING, 6))
+def window_stats_sliding_6(spark, sf_dir):
+    """The sliding statistics to six places: what the merged panes give beyond two."""
+    return flatten_window(window_stats(events(spark, sf_dir), SLIDING, "event_type", "value", ts="ts", scale=6,
                                        mean_decimals=VALUE_DECIMALS))
 
 
@@ -58,7 +64,7 @@ QUALITY_SOURCE = """SELECT ts, user_id::VARCHAR AS airport_name,
        (value > 50)::INTEGER::DOUBLE AS pred, value AS lat, event_id::DOUBLE AS lon FROM events"""
 
 
-def quality_sql(spec: WindowSpec, extra_where: str = "") -> str:
+def quality_sql(spec: WindowSpec, extra_where: str = "", source: str = QUALITY_SOURCE) -> str:
     return f"""
 SELECT window_start, window_end, airport_name,
        max(lat) AS LATITUDE, max(lon) AS LONGITUDE,
@@ -67,7 +73,7 @@ SELECT window_start, window_end, airport_name,
        sum(pred) AS predicted_delays_count,
        {sql_round('sum(CASE WHEN label = pred::INTEGER THEN 1 ELSE 0 END)::DOUBLE / count(label) * 100')}
            AS accuracy_percent
-FROM ({sql_windowed(QUALITY_SOURCE, 'ts', spec)})
+FROM ({sql_windowed(source, 'ts', spec)})
 {extra_where}
 GROUP BY 1, 2, 3"""
 
@@ -86,6 +92,6 @@ def quality_input(df):
 
 @register("window_quality", ("AGG11", "STR2"), headline=True, sql=quality_sql(QUALITY))
 def window_quality_batch(spark, sf_dir):
-    scored = quality_input(spread(events(spark, sf_dir)))
+    scored = quality_input(events(spark, sf_dir))
     q = window_quality(scored, QUALITY, "place", "label", "pred", ts="ts", lat="lat", lon="lon", watermark=None)
     return quality_rows(q)
