@@ -7,6 +7,7 @@ transforms batch and streaming frames alike.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -14,7 +15,7 @@ from pyspark import StorageLevel
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.ml.evaluate import evaluate
@@ -119,25 +120,33 @@ def train_model(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str
     return result, scored
 
 
-def load_model(path: str) -> PipelineModel | None:
-    """Load a fitted pipeline; ``None`` when it cannot be loaded."""
-    try:
-        return PipelineModel.load(path)
-    except Exception:  # noqa: BLE001 - any load failure means "no model"
+def load_model(spark: SparkSession, path: str) -> PipelineModel | None:
+    """Load a fitted pipeline; ``None`` when there is nothing at ``path``. Whatever
+    else goes wrong (unreadable storage, a broken or half-written model) is raised."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath):
         return None
+    return PipelineModel.load(path)
 
 
 def score(df: DataFrame, model: PipelineModel | str | None, output_cols: Sequence[str],
-          prediction_alias: str = PREDICTION_COL, sentinel: float = -1.0) -> DataFrame:
+          prediction_alias: str = PREDICTION_COL, sentinel: float = -1.0, on_missing: str = "sentinel") -> DataFrame:
     """Score rows (batch or stream) and project to ``output_cols``.
 
-    ``model`` may be a fitted pipeline or a path. If no model can be loaded,
-    every row gets ``sentinel`` as its prediction, with the very same output
-    schema, so downstream aggregates keep working.
+    ``model`` may be a fitted pipeline or a path. Without a model (``None``, or
+    nothing at the path) ``on_missing="sentinel"`` gives every row ``sentinel`` as
+    its prediction, with the very same output schema, and logs a warning;
+    ``"error"`` raises. A model that is there but cannot be loaded always raises.
     """
+    if on_missing not in ("sentinel", "error"):
+        raise ValueError("on_missing must be 'sentinel' or 'error'")
+    where = model
     if isinstance(model, str):
-        model = load_model(model)
+        model = load_model(df.sparkSession, model)
+    if model is None and on_missing == "error":
+        raise FileNotFoundError(f"no model at {where!r}")
     if model is None:
+        logging.getLogger(__name__).warning("no model at %r: every prediction is %s", where, sentinel)
         out = df.withColumn(prediction_alias, F.lit(float(sentinel)))
     else:
         out = model.transform(df).withColumnRenamed("prediction", prediction_alias)
