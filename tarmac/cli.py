@@ -2,31 +2,35 @@
 
     python -m tarmac.cli batch --input data.csv [--month 3] [--carrier Delta]
            [--stats_col PLANE_AGE] [--group_by_col CARRIER_NAME]
-    python -m tarmac.cli produce --input data.csv --output events/ [--files 10]
+    python -m tarmac.cli produce --input data.csv (--output events/ [--files 10] | --kafka_servers host:9092
+           [--topic flights_topic]) [--interval 1.0] [--start EPOCH] [--ts_col COLUMN]
     python -m tarmac.cli stream-stats --input events/ --window_duration 60 --window_type tumbling
            --group_by DEPARTING_AIRPORT [--target_col PLANE_AGE] [--filter "CARRIER_NAME=='Delta'"]...
            --checkpoint ckpt/ (--table stats/ | --kafka_servers host:9092 --topic statistics_topic)
+    python -m tarmac.cli stats-table (--input payloads/ | --kafka_servers host:9092 [--input_topic statistics_topic])
+           --checkpoint ckpt/ --table stats/ [--reset]
     python -m tarmac.cli train --input data.csv --model model/
     python -m tarmac.cli stream-predict --input events/ --model model/ --window_duration 30
            --window_type sliding --slide_duration 5 --output predictions/ --checkpoint ckpt/
     python -m tarmac.cli report --output predictions/
 
-Streams read JSON event files (one record per line) from ``--input`` with
-``maxFilesPerTrigger``, or a topic with ``--kafka_servers``/``--topic``.
+Streams read JSON event files (one record per line) from ``--input``, or a topic with ``--kafka_servers``/``--topic``.
 """
 
 from __future__ import annotations
 
 import argparse
 import sys
+import time
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tarmac import flights as app
 from tarmac.roles import WindowSpec
 from tarmac.schema import FLIGHT_CSV_SCHEMA, FLIGHT_SCHEMA
 from tarmac.sinks.writers import batch_writer
-from tarmac.sources.events import decode_events, encode_events
+from tarmac.sources.events import arrival_times, decode_events, encode_events
 from tarmac.sources.streams import read_topic, stream_table, topic_options, topic_sink_options
 from tarmac.sources.tables import read_table, stage_parquet
 from tarmac.streaming.runner import run_stream, state_slots
@@ -70,8 +74,16 @@ def cmd_batch(spark, args):
 
 def cmd_produce(spark, args):
     df = _table(spark, args.input, args.format)
-    out = encode_events(df, FLIGHT_SCHEMA, stamp_now=True)
-    (out.repartition(args.files) if args.files else out).write.mode("overwrite").text(args.output)
+    if args.ts_col:
+        out = encode_events(df, FLIGHT_SCHEMA, ts_col=args.ts_col)
+    else:
+        start = int(time.time()) if args.start is None else args.start
+        stamped = arrival_times(df, start, args.interval)
+        out = encode_events(stamped, FLIGHT_SCHEMA, ts_col=F.timestamp_seconds("timestamp"))
+    if args.kafka_servers:
+        out.write.format("kafka").options(**topic_sink_options(args.kafka_servers, args.topic)).save()
+    else:
+        (out.repartition(args.files) if args.files else out).write.mode("overwrite").text(args.output)
 
 
 def cmd_stream_stats(spark, args):
@@ -88,6 +100,16 @@ def cmd_stream_stats(spark, args):
     q.awaitTermination()
 
 
+def cmd_stats_table(spark, args):
+    if args.kafka_servers:
+        raw = read_topic(spark, topic_options(args.kafka_servers, args.input_topic, args.starting_offsets))
+    else:
+        raw = stream_table(spark, args.input, "value string", fmt="text", max_files=args.max_files)
+    q = run_stream(raw.select(F.col("value").cast("string").alias("value")), args.checkpoint, mode="append",
+                   trigger=args.trigger, writer=app.statistics_table_writer(args.table, spark, reset=args.reset))
+    q.awaitTermination()
+
+
 def cmd_train(spark, args):
     result, _ = app.train_delay_model(_table(spark, args.input, args.format), args.model,
                                       classifier=args.classifier, threshold=args.threshold)
@@ -96,7 +118,8 @@ def cmd_train(spark, args):
 
 
 def cmd_stream_predict(spark, args):
-    rows = app.predict_stream(_events(spark, args), args.model, _window(args), watermark=args.watermark)
+    rows = app.predict_stream(_events(spark, args), args.model, _window(args), watermark=args.watermark,
+                              on_missing=args.on_missing)
     q = run_stream(rows, args.checkpoint, mode="append", trigger=args.trigger,
                    writer=batch_writer(args.output, files=args.files_per_batch),
                    state_partitions=_state_partitions(spark, args))
@@ -115,13 +138,13 @@ def parser() -> argparse.ArgumentParser:
         sp.add_argument("--input", required=True, help="table path (local, HDFS or object store)")
         sp.add_argument("--format", default="csv", choices=["csv", "parquet"])
 
-    def stream_args(sp):
+    def stream_args(sp, start, offsets=None):
         sp.add_argument("--input", help="folder of JSON event files")
-        sp.add_argument("--max_files", type=int, default=1)
+        sp.add_argument("--max_files", type=int, help="files in a micro-batch (default: all that are there)")
         sp.add_argument("--kafka_servers")
         sp.add_argument("--input_topic", default="flights_topic")
-        sp.add_argument("--starting_offsets", default="latest")
-        sp.add_argument("--max_offsets", type=int)
+        sp.add_argument("--starting_offsets", default=start)
+        sp.add_argument("--max_offsets", type=int, default=offsets)
         sp.add_argument("--window_duration", type=int, required=True, help="seconds")
         sp.add_argument("--window_type", required=True, choices=["tumbling", "sliding"])
         sp.add_argument("--slide_duration", default=None, help="seconds (sliding only)")
@@ -142,12 +165,17 @@ def parser() -> argparse.ArgumentParser:
 
     pr = sub.add_parser("produce")
     table_args(pr)
-    pr.add_argument("--output", required=True)
+    pr.add_argument("--output", help="folder for event files")
     pr.add_argument("--files", type=int, default=None)
+    pr.add_argument("--kafka_servers")
+    pr.add_argument("--topic", default="flights_topic")
+    pr.add_argument("--interval", type=float, default=1.0, help="seconds between events")
+    pr.add_argument("--start", type=int, help="epoch second of the first event (default: now)")
+    pr.add_argument("--ts_col", help="take event times from this column instead")
     pr.set_defaults(fn=cmd_produce)
 
     s = sub.add_parser("stream-stats")
-    stream_args(s)
+    stream_args(s, "latest")
     s.add_argument("--group_by", required=True)
     s.add_argument("--target_col", default="DEP_DEL15")
     s.add_argument("--filter", action="append", default=[])
@@ -157,6 +185,18 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--topic")
     s.set_defaults(fn=cmd_stream_stats)
 
+    st = sub.add_parser("stats-table")
+    st.add_argument("--input", help="folder of statistics payload files")
+    st.add_argument("--max_files", type=int)
+    st.add_argument("--kafka_servers")
+    st.add_argument("--input_topic", default="statistics_topic")
+    st.add_argument("--starting_offsets", default="earliest")
+    st.add_argument("--checkpoint", required=True)
+    st.add_argument("--trigger", default="5 seconds")
+    st.add_argument("--table", required=True)
+    st.add_argument("--reset", action="store_true")
+    st.set_defaults(fn=cmd_stats_table)
+
     t = sub.add_parser("train")
     table_args(t)
     t.add_argument("--model", required=True)
@@ -165,8 +205,10 @@ def parser() -> argparse.ArgumentParser:
     t.set_defaults(fn=cmd_train)
 
     sp = sub.add_parser("stream-predict")
-    stream_args(sp)
+    stream_args(sp, "earliest", 50)
     sp.add_argument("--model", required=True)
+    sp.add_argument("--on_missing", default="sentinel", choices=["sentinel", "error"],
+                    help="without a model at --model: predict -1, or stop")
     sp.add_argument("--output", required=True)
     sp.add_argument("--watermark", default="3 minutes")
     sp.add_argument("--files_per_batch", type=int, default=None)
@@ -183,7 +225,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     args = parser().parse_args(argv)
     if args.command in ("stream-stats",) and not (args.table or (args.kafka_servers and args.topic)):
         raise SystemExit("stream-stats needs --table or --kafka_servers with --topic")
-    if args.command in ("stream-stats", "stream-predict") and not (args.input or args.kafka_servers):
+    if args.command == "produce" and not (args.output or args.kafka_servers):
+        raise SystemExit("produce needs --output or --kafka_servers")
+    if args.command in ("stream-stats", "stream-predict", "stats-table") and not (args.input or args.kafka_servers):
         raise SystemExit("give --input (event files) or --kafka_servers")
     spark = spark or SparkSession.builder.appName(f"tarmac-{args.command}").getOrCreate()
     args.fn(spark, args)

@@ -65,8 +65,6 @@ def delay_report(df: DataFrame, month: int | None = None, carrier: str | None =
         "delays_per_month": M.count_by(df, "MONTH", label),
         "delays_per_carrier": M.count_by(df, "CARRIER_NAME", label),
         "top_delay_airports": M.top_n_by(df, "DEPARTING_AIRPORT", label, n=top_n),
-        # the three counts above in one scan and one shuffle (long format)
-        "delays_by_dimension": M.count_by_dimensions(df, ["MONTH", "CARRIER_NAME", "DEPARTING_AIRPORT"], label),
     }
     if spark is not None:
         out["schema"] = schema_table(spark, df)
@@ -120,15 +118,15 @@ def train_delay_model(df: DataFrame, model_path: str | None = None, classifier="
 
 
 def predict_stream(events: DataFrame, model, window: WindowSpec, ts: str = "timestamp",
-                   watermark: str = "3 minutes", numeric: Sequence[str] = FLIGHT_NUMERIC_FEATURES,
+                   watermark: str = "3 minutes", on_missing: str = "sentinel", numeric: Sequence[str] = FLIGHT_NUMERIC_FEATURES,
                    categorical: Sequence[str] = FLIGHT_CATEGORICAL_FEATURES) -> DataFrame:
     """Decoded flight events -> shared feature preparation -> model scores ->
     windowed prediction quality per airport (flat result rows; run in
     ``append`` mode). A missing model yields predictions of -1 with the same
-    schema."""
+    schema, or an error with ``on_missing="error"``."""
     timed = events.withColumn("event_timestamp", event_time_of(events, ts))
     prepared = prepare_features(timed, numeric, categorical)
-    scored = score(prepared, model, SCORED_OUTPUT_COLUMNS)
+    scored = score(prepared, model, SCORED_OUTPUT_COLUMNS, on_missing=on_missing)
     quality = window_quality(scored, window, "DEPARTING_AIRPORT", FLIGHT_LABEL, PREDICTION_COL,
                              ts="event_timestamp", lat="LATITUDE", lon="LONGITUDE", watermark=watermark)
     return quality_rows(quality)

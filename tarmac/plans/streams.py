@@ -10,20 +10,23 @@ key, every window.
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarmac.functions.scalar import instant_to_ntz, ntz_to_instant
 from tarmac.operators.dedupe import dedupe
-from tarmac.operators.windows import quality_rows, window_quality, window_stats
+from tarmac.operators.windows import flatten_window, quality_rows, window_quality, window_stats
 from tarmac.plans.registry import register
 from tarmac.plans.tables import events
 from tarmac.plans.windows import QUALITY, TUMBLING, VALUE_DECIMALS, _stats_sql, quality_input, quality_sql
 from tarmac.schema import KEYED_STATISTICS_SCHEMA, WINDOW_QUALITY_SCHEMA
 from tarmac.session import scratch_path
 from tarmac.sinks.payload import from_stat_json, to_stat_json
-from tarmac.sinks.writers import batch_writer, read_upserted, upsert_writer
+from tarmac.sinks.writers import batch_writer, read_upserted, reset_table, upsert_writer
+from tarmac.sources.events import arrival_times, decode_events, encode_events
 from tarmac.sources.results import read_results
 from tarmac.sources.streams import stage_event_batches, stream_table
-from tarmac.streaming.runner import run_to_completion, state_slots, with_event_time
+from tarmac.streaming.runner import run_stream, run_to_completion, state_slots, with_event_time
 
 EVENT_BATCHES = 5
 WATERMARK = "3 minutes"
@@ -93,3 +96,81 @@ def stream_stats_upsert(spark, sf_dir):
     _, table = run_stats_stream(spark, sf_dir)
     out = read_upserted(spark, table, UPSERT_KEYS, KEYED_STATISTICS_SCHEMA)
     return _ntz(out, "window_start", "window_end")
+
+
+@register("stream_upsert_rerun", ("SNK4", "STR7"), sql=f"""
+SELECT window_start, window_end, event_type AS group_value, min_value, max_value, avg_value, std_value, count
+FROM ({_stats_sql(TUMBLING).replace('SELECT ts, event_type, value FROM events',
+                                    'SELECT ts, event_type, value * 2 AS value FROM events')})""")
+def stream_upsert_rerun(spark, sf_dir):
+    """Two runs into one keyed table, the second on a fresh checkpoint with doubled
+    values and a processing-time trigger. Both fold the table into snapshots on their
+    way, and the last run must win whatever its batch numbers."""
+    root, src, schema, per_batch = stage_events(spark, sf_dir, "upsert-rerun")
+    table = f"{root}/table"
+    reset_table(spark, table, KEYED_STATISTICS_SCHEMA)
+    for run, factor in ((1, 1), (2, 2)):
+        stream = stream_table(spark, src, schema, max_files=per_batch)
+        rows = stream.select("ts", "event_type", (F.col("value") * factor).alias("value"))
+        stats = window_stats(with_event_time(rows, "ts", WATERMARK), TUMBLING, "event_type", "value", ts="ts",
+                             mean_decimals=VALUE_DECIMALS)
+        q = run_stream(to_stat_json(stats, "event_type"), f"{root}/checkpoint-{run}", mode="update",
+                       trigger="availableNow" if run == 1 else "1 second", state_partitions=state_slots(spark),
+                       writer=upsert_writer(table, UPSERT_KEYS, transform=from_stat_json, compact_every=3))
+        if run == 1:
+            q.awaitTermination()
+        else:
+            q.processAllAvailable()
+            q.stop()
+    return _ntz(read_upserted(spark, table, UPSERT_KEYS, KEYED_STATISTICS_SCHEMA), "window_start", "window_end")
+
+
+@register("stream_late_resumed", ("STR4", "STR8"), sql="""
+WITH half AS (SELECT min(ts) + (max(ts) - min(ts)) / 2 AS mid, max(ts) - INTERVAL 3 MINUTE AS mark FROM events),
+w AS (
+  SELECT time_bucket(INTERVAL '1 hour', ts, TIMESTAMP '1970-01-01') AS window_start, ts, event_type, value FROM events)
+SELECT window_start, window_start + INTERVAL '1 hour' AS window_end, event_type, count(value) AS count
+FROM w, half
+WHERE window_start + INTERVAL '1 hour' <= mark AND ts >= mid
+GROUP BY 1, 2, 3
+""")
+def stream_late_resumed(spark, sf_dir):
+    """The later half of the events first; then, resumed on the same checkpoint, the
+    earlier half, which is late by more than the watermark allows and is dropped. A window
+    that the halves share lost its early rows too, since it closed in the first run."""
+    root = scratch_path(spark, "late-stream")
+    ev = events(spark, sf_dir)
+    lo, hi = ev.agg(F.min("ts"), F.max("ts")).first()
+    mid = F.lit(str(lo + (hi - lo) / 2)).cast("timestamp_ntz")
+    for half in (F.col("ts") >= mid, F.col("ts") < mid):
+        ev.where(half).write.mode("append").parquet(f"{root}/input")
+        stream = stream_table(spark, f"{root}/input", ev.schema, max_files=None)
+        timed = with_event_time(stream.select("ts", "event_type", "value"), "ts", WATERMARK)
+        counts = window_stats(timed, TUMBLING, "event_type", "value", ts="ts")
+        rows = flatten_window(counts).select("window_start", "window_end", "event_type", "count")
+        run_to_completion(rows, f"{root}/checkpoint", writer=batch_writer(f"{root}/output", fmt="parquet"),
+                          mode="append", state_partitions=state_slots(spark))
+    schema = T.StructType([T.StructField("window_start", T.TimestampType()), T.StructField("window_end", T.TimestampType()),
+                           T.StructField("event_type", T.StringType()), T.StructField("count", T.LongType())])
+    return _ntz(read_results(spark, f"{root}/output", schema, fmt="parquet"), "window_start", "window_end")
+
+
+@register("replayed_windows", ("SRC5", "PRJ16", "PRJ2", "STR1"), sql="""
+SELECT window_start, event_type, count(*) AS count, min(event_id) AS first_id, max(event_id) AS last_id
+FROM (SELECT event_type, event_id, time_bucket(INTERVAL '10 minutes',
+        TIMESTAMP '2024-01-01' + to_seconds(floor((row_number() OVER (ORDER BY event_id) - 1) * 0.5)::BIGINT),
+        TIMESTAMP '1970-01-01') AS window_start FROM events)
+GROUP BY 1, 2
+""")
+def replayed_windows(spark, sf_dir):
+    """Events produced half a second apart, decoded, and counted in ten-minute windows."""
+    wire = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("event_type", T.StringType()),
+                         T.StructField("timestamp", T.TimestampType())])
+    rows = events(spark, sf_dir).select("event_id", "event_type")
+    stamped = arrival_times(rows, 1_704_067_200, 0.5, order_by=["event_id"])
+    encoded = encode_events(stamped, wire, ts_col=F.timestamp_seconds("timestamp"))
+    decoded = decode_events(encoded, wire)
+    out = decoded.groupBy(F.window("timestamp", "10 minutes").alias("window"), "event_type").agg(
+        F.count("*").alias("count"), F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id"))
+    return _ntz(out.select(F.col("window.start").alias("window_start"), "event_type", "count", "first_id", "last_id"),
+                "window_start")

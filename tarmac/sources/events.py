@@ -10,12 +10,35 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarmac.functions.scalar import coerce_to, epoch_seconds, event_time_of
 from tarmac.roles import col_of
+from tarmac.session import ensure_checkpoint_dir
+
+
+def arrival_times(df: DataFrame, start: int, interval: float = 1.0, order_by: Sequence[str] = (),
+                  ts_name: str = "timestamp") -> DataFrame:
+    """Stamp each row with the epoch second at which a producer would send it.
+
+    Row ``i`` gets ``floor(start + i * interval)``. Rows are numbered in the order
+    of ``order_by``, or as the table is read, without gathering them: within each
+    partition by Spark's own row ids, across partitions by their sizes (one small
+    row for each partition). The table is checkpointed first, so that both passes see
+    the same partitions.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    ordered = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by) if order_by else df
+    placed = ordered.withColumns({"_part": F.spark_partition_id(), "_id": F.monotonically_increasing_id()}) \
+        .checkpoint(eager=True)
+    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    row = F.col("_offset") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    stamp = F.floor(F.lit(float(start)) + row * F.lit(float(interval))).cast("long")
+    return placed.join(offsets, "_part").withColumn(ts_name, stamp).drop("_part", "_id", "_offset")
 
 
 def encode_events(df: DataFrame, schema: T.StructType | None = None, ts_col: str | Column | None = None,
@@ -27,8 +50,8 @@ def encode_events(df: DataFrame, schema: T.StructType | None = None, ts_col: str
       to a NULL at decode time; blank text becomes NULL and is omitted.
     * ``ts_col``: event time, written as epoch seconds under ``ts_name``,
       replacing a column of that name (a ``timestamp_ntz`` wall clock is read
-      as UTC). ``stamp_now`` stamps the processing time instead, as a live
-      producer does.
+      as UTC). ``stamp_now`` stamps the processing time instead: one instant for
+      all rows of a batch frame; :func:`arrival_times` spaces them.
     NULL fields are omitted from the JSON text.
     """
     types = {f.name: f.dataType for f in schema.fields} if schema is not None else {}

@@ -7,6 +7,8 @@ tested twin: ``maxFilesPerTrigger`` plays the role of ``maxOffsetsPerTrigger``.
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -69,7 +71,7 @@ def stage_event_files(df: DataFrame, path: str, ts: str, files: int, fmt: str =
     in event-time order, one slice per micro-batch. Rows are ranged on
     ``(ts, row hash)``, so even a single timestamp holding a large share of the
     rows is spread over several files instead of one. The write is one
-    parallel job; only file metadata is touched on the driver.
+    parallel job; only file times are set from the driver, and checked.
     """
     tie = F.xxhash64(*[F.col(c) for c in df.columns])
     (df.repartitionByRange(files, F.col(ts), tie).sortWithinPartitions(ts)
@@ -78,31 +80,46 @@ def stage_event_files(df: DataFrame, path: str, ts: str, files: int, fmt: str =
     return path
 
 
-def stage_event_batches(df: DataFrame, path: str, ts: str, batches: int, fmt: str = "parquet") -> int:
+def stage_event_batches(df: DataFrame, path: str, ts: str, batches: int, fmt: str = "parquet",
+                        bytes_per_file: int = 1 << 30) -> int:
     """Stage ``df`` for a replay in ``batches`` event-time-ordered micro-batches.
 
-    The number of files grows with the input (about one per input partition,
-    rounded up to a multiple of ``batches``), so no writer task and no
-    micro-batch task ever holds more than one input split's worth of rows.
-    Returns the files per micro-batch, to be used as ``maxFilesPerTrigger``.
+    The number of files follows the input's size in bytes as the optimiser knows it
+    (at least one per batch), so the range shuffle has far fewer reducers than the
+    scan has splits. Returns the files per micro-batch, to be used as
+    ``maxFilesPerTrigger``.
     """
-    try:
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view: one file per batch
-        parts = batches
-    per_batch = max(1, -(-parts // batches))
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    per_batch = max(1, -(-size // (bytes_per_file * batches)))
     stage_event_files(df, path, ts, batches * per_batch, fmt)
     return per_batch
 
 
 def pin_file_order(spark: SparkSession, path: str, base_ms: int = 1_000_000_000_000, step_ms: int = 1000) -> None:
-    """Set modification times of the data files under ``path`` in name order."""
+    """Set modification times of the data files under ``path`` in name order.
+
+    A store may ignore the request (Hadoop's base file system does); the times are
+    listed again, and an order that did not hold raises instead of letting a replay
+    deliver rows late. Times are set over several connections at once.
+    """
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = sorted(
-        st.getPath().toString() for st in fs.listStatus(hpath)
-        if st.isFile() and not st.getPath().getName().startswith(("_", "."))
-    )
-    for i, name in enumerate(names):
-        fs.setTimes(jvm.org.apache.hadoop.fs.Path(name), base_ms + i * step_ms, -1)
+
+    def listed() -> list[tuple[str, int]]:
+        return sorted((st.getPath().toString(), st.getModificationTime()) for st in fs.listStatus(hpath)
+                      if st.isFile() and not st.getPath().getName().startswith(("_", ".")))
+
+    wanted = [(name, base_ms + i * step_ms) for i, (name, _) in enumerate(listed())]
+    with ThreadPool(16) as pool:
+        pool.map(lambda f: fs.setTimes(jvm.org.apache.hadoop.fs.Path(f[0]), f[1], -1), wanted)
+    check_file_order(wanted, listed())
+
+
+def check_file_order(wanted: list[tuple[str, int]], found: list[tuple[str, int]]) -> None:
+    """Raise unless the files' modification times rise in the wanted order."""
+    times = dict(found)
+    order = [times.get(name) for name, _ in wanted]
+    if None in order or any(a >= b for a, b in zip(order, order[1:])):
+        raise RuntimeError("the file system does not keep modification times; a file replay in event-time order "
+                           "needs one that does")
