@@ -31,8 +31,8 @@ from tarmac.plans.registry import all_queries  # noqa: E402
 from tarmac.session import local_session, scratch_path  # noqa: E402
 
 # Queries that write their own intermediate files or fit a model: one warm-up, one timed run.
-HEAVY = {"model_scores", "stream_scored_quality", "stream_scored_totals", "stream_window_quality",
-         "stream_stats_upsert", "csv_scan"}
+HEAVY = {"model_scores", "stream_scored_quality", "stream_window_quality", "stream_stats_upsert",
+         "stream_upsert_rerun", "stream_late_resumed", "csv_scan", "csv_by_name"}
 
 
 def run_noop(df) -> None:

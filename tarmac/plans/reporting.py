@@ -7,11 +7,10 @@ from tarmac.operators.windows import quality_rows, window_quality
 from tarmac.plans.registry import register
 from tarmac.plans.tables import events
 from tarmac.plans.windows import QUALITY, quality_input, quality_sql
-from tarmac.sources.tables import spread
 
 
 def _quality(spark, sf_dir):
-    scored = quality_input(spread(events(spark, sf_dir)))
+    scored = quality_input(events(spark, sf_dir))
     q = window_quality(scored, QUALITY, "place", "label", "pred", ts="ts", lat="lat", lon="lon", watermark=None)
     return quality_rows(q)
 
@@ -30,5 +29,5 @@ def latest_place_report(spark, sf_dir):
 
 @register("sorted_results", ("SET1", "SET3", "SRT1"), sql=f"SELECT * FROM ({quality_sql(QUALITY)}) ORDER BY window_end")
 def sorted_results(spark, sf_dir):
-    doubled = _quality(spark, sf_dir).unionByName(_quality(spark, sf_dir))  # every row delivered twice
-    return clean_results(doubled)
+    results = _quality(spark, sf_dir).checkpoint()  # aggregated once, like a written result
+    return clean_results(results.unionByName(results))  # every row delivered twice

@@ -8,7 +8,9 @@ lineage cuts), which always comes from ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -84,9 +86,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
-        if not sc.master.startswith("local"):
+        if not (sc.master == "local" or sc.master.startswith("local[")):
             raise RuntimeError("spark.checkpoint.dir is not set; point it at shared storage (HDFS, object store)")
         conf_dir = tempfile.mkdtemp(prefix="tarmac-ckpt-")
+        atexit.register(shutil.rmtree, conf_dir, ignore_errors=True)  # our own folder, for this process only
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     spark.sparkContext.setCheckpointDir(conf_dir)
     return spark.sparkContext.getCheckpointDir() or conf_dir

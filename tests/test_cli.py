@@ -2,9 +2,11 @@
 
 import os
 
+from pyspark.sql import functions as F
+
 from test_flights import make_flights, write_wire_batches
 from tarmac import cli
-from tarmac.schema import KEYED_STATISTICS_SCHEMA
+from tarmac.schema import FLIGHT_CSV_SCHEMA, KEYED_STATISTICS_SCHEMA
 from tarmac.sinks.writers import read_upserted
 
 
@@ -20,8 +22,11 @@ def test_cli_end_to_end(spark, tmp_dir, capsys):
         assert f"--- {name} ---" in out
 
     produced = os.path.join(tmp_dir, "produced")
-    cli.main(["produce", "--input", csv, "--output", produced, "--files", "2"], spark=spark)
-    assert spark.read.text(produced).count() == 1500
+    cli.main(["produce", "--input", csv, "--output", produced, "--files", "2", "--interval", "2", "--start", "1000"],
+             spark=spark)
+    times = spark.read.json(produced).agg({"timestamp": "min"}).first()[0], spark.read.json(produced).agg(
+        {"timestamp": "max"}).first()[0]
+    assert spark.read.text(produced).count() == 1500 and times == (1000, 1000 + 2 * 1499)
 
     events = write_wire_batches(flights, os.path.join(tmp_dir, "events"))
     table = os.path.join(tmp_dir, "stats")
@@ -42,3 +47,43 @@ def test_cli_end_to_end(spark, tmp_dir, capsys):
               "--checkpoint", os.path.join(tmp_dir, "c2"), "--trigger", "availableNow"], spark=spark)
     cli.main(["report", "--output", preds, "--rows", "3"], spark=spark)
     assert "--- latest_by_airport ---" in capsys.readouterr().out
+
+
+def test_reordered_header_and_fractions(spark, tmp_dir, capsys):
+    names = [f.name for f in FLIGHT_CSV_SCHEMA.fields]
+    flights = make_flights(spark, 200).drop("timestamp")
+    text = flights.select(*[F.lit("65.7").alias(c) if c == "TMAX" else F.concat(F.col(c).cast("string"), F.lit(".0"))
+                            .alias(c) if c in ("MONTH", "DISTANCE_GROUP") else F.col(c) for c in reversed(names)])
+    csv = os.path.join(tmp_dir, "reordered.csv")
+    text.write.option("header", True).csv(csv)
+    table = cli._table(spark, csv, "csv")
+    assert table.columns == names
+    assert {r.TMAX for r in table.select("TMAX").collect()} == {65.7}
+    same = [c for c in names if c not in ("TMAX", "LATITUDE", "LONGITUDE", "PRCP", "SNOW", "SNWD", "AWND",
+                                          "FLT_ATTENDANTS_PER_PASS", "GROUND_SERV_PER_PASS")]
+    assert table.select(*same).exceptAll(flights.select(*same)).count() == 0
+    cli.main(["batch", "--input", csv, "--rows", "3"], spark=spark)
+    assert "65.7" in capsys.readouterr().out
+    out = os.path.join(tmp_dir, "out")
+    cli.main(["produce", "--input", csv, "--output", out], spark=spark)
+    assert {r.TMAX for r in spark.read.json(out).select("TMAX").collect()} == {65}  # the wire field is an int
+
+
+def test_payload_files_into_the_table(spark, tmp_dir):
+    payload = ('{"window_start":"2024-01-01T00:00:00.000Z","window_end":"2024-01-01T01:00:00.000Z","group":"A",'
+               '"statistics":{"min_value":1.0,"max_value":2.0,"avg_value":1.5,"std_value":0.5,"count":2}}')
+    src, table = os.path.join(tmp_dir, "payloads"), os.path.join(tmp_dir, "table")
+    spark.createDataFrame([(payload,)], "value string").write.text(src)
+    cli.main(["stats-table", "--input", src, "--table", table, "--reset", "--checkpoint",
+              os.path.join(tmp_dir, "c"), "--trigger", "availableNow"], spark=spark)
+    rows = read_upserted(spark, table, ["window_start", "group_value"], KEYED_STATISTICS_SCHEMA).collect()
+    assert [(r.group_value, r.avg_value, r["count"]) for r in rows] == [("A", 1.5, 2)]
+
+
+def test_stream_defaults():
+    args = cli.parser().parse_args(["stream-predict", "--window_duration", "30", "--window_type", "tumbling",
+                                    "--checkpoint", "c", "--model", "m", "--output", "o"])
+    assert (args.starting_offsets, args.max_offsets, args.on_missing) == ("earliest", 50, "sentinel")
+    args = cli.parser().parse_args(["stream-stats", "--window_duration", "30", "--window_type", "tumbling",
+                                    "--checkpoint", "c", "--group_by", "g"])
+    assert (args.starting_offsets, args.max_offsets) == ("latest", None)

@@ -50,10 +50,10 @@ def test_undersample_ratio_bounds(learnable):
 
 def test_rank_sum_auc_equals_mllib(spark, learnable):
     scored = learnable.withColumn("s", F.round(F.col("x1") + F.col("x2") / 3, 1))  # many ties
-    ours = auc(scored, "y", "s", buckets=16).first()["auc"]
+    ours = auc(scored, "y", "s", rows_per_bucket=7).first()["auc"]
     ev = BinaryClassificationEvaluator(labelCol="y", rawPredictionCol="s", metricName="areaUnderROC", numBins=0)
     assert abs(ours - ev.evaluate(scored.withColumn("y", F.col("y").cast("double")))) < 1e-9
-    assert auc(scored, "y", "s", buckets=1).first()["auc"] == ours
+    assert auc(scored, "y", "s").first()["auc"] == ours
 
 
 def test_confusion_f1_equals_mllib(learnable):
@@ -76,7 +76,7 @@ def test_pipeline_fit_threshold_and_round_trip(spark, learnable, tmp_dir):
     assert check.filter(F.col("prediction") != F.col("mine")).count() == 0
     path = os.path.join(tmp_dir, "model")
     save_model(result.model, path)
-    loaded = load_model(path)
+    loaded = load_model(spark, path)
     assert loaded is not None and loaded.stages[-1].getThresholds() == [0.75, 0.25]
     again = loaded.transform(learnable).select("prediction").collect()
     assert again == result.model.transform(learnable).select("prediction").collect()
@@ -140,3 +140,48 @@ def test_distributed_frequency_index_equals_string_indexer(spark):
     new = spark.createDataFrame([("hot",), ("never-seen",), (None,)], "c string")
     out = {r.c: r.i for r in apply_index(new, idx, "c", "i").collect()}
     assert out == {"hot": 0.0, "never-seen": float(len(labels)), None: float(len(labels))}
+
+
+def test_on_missing_modes(spark, learnable, tmp_dir, caplog):
+    cols = [*learnable.columns, "predicted_delay"]
+    nowhere = os.path.join(tmp_dir, "no-model")
+    with caplog.at_level("WARNING"):
+        out = score(learnable, nowhere, cols)
+    assert {r.predicted_delay for r in out.collect()} == {-1.0} and "no model" in caplog.text
+    for model in (nowhere, None):
+        with pytest.raises(FileNotFoundError):
+            score(learnable, model, cols, on_missing="error")
+    with pytest.raises(ValueError):
+        score(learnable, None, cols, on_missing="maybe")
+    broken = os.path.join(tmp_dir, "broken")
+    os.makedirs(broken)
+    for mode in ("sentinel", "error"):
+        with pytest.raises(Exception) as e:
+            score(learnable, broken, cols, on_missing=mode)
+        assert not isinstance(e.value, FileNotFoundError)
+
+
+def test_f1_of_many_classes(spark):
+    df = spark.range(24_000).selectExpr("id % 12000 AS y", "CASE WHEN id < 12000 THEN id ELSE 0 END AS p")
+    got = weighted_f1(df, "y", "p").first()
+    assert got.accuracy == round(12_001 / 24_000, 12) and 0.5 < got.weighted_f1 < 0.7
+
+
+def test_auc_buckets_are_bounded(spark):
+    from tarmac.ml.evaluate import auc_from_counts, score_counts
+
+    df = spark.range(20_000).selectExpr("cast(sqrt(id) AS double) AS s", "cast(id % 3 = 0 AS int) AS y")
+    counts = score_counts(df, "y", "s").checkpoint()
+    one = auc_from_counts(counts, rows_per_bucket=10**6).first()
+    assert auc_from_counts(counts, rows_per_bucket=100).first() == one
+    empty = auc_from_counts(counts.limit(0)).first()
+    assert empty.auc is None
+
+
+def test_index_of_nulls_and_unseen(spark):
+    from tarmac.ml.indexing import apply_index, frequency_index
+
+    index = frequency_index(spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "v string"), "v", partitions=2)
+    got = apply_index(spark.createDataFrame([("a",), ("b",), ("z",), (None,), (None,)], "v string"), index, "v", "i")
+    assert sorted((str(r.v), r.i) for r in got.collect()) == [("None", 2.0), ("None", 2.0), ("a", 0.0), ("b", 1.0),
+                                                              ("z", 2.0)]

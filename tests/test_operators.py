@@ -251,6 +251,27 @@ def test_large_mean_small_spread_stays_accurate(spark):
             assert r.std_value == truth[r.window.start], (decimals, r)
 
 
+@pytest.mark.parametrize("decimals, values", [
+    (4, [1e-4, 3e-4, 7e-4]), (2, [0.0, 0.0, 0.01]), (0, [1.0, 5.0, 9.0]), (6, [1e-6, 2e-6, 4e-6]), (2, [1e15, 3e15, 6e15]),
+    (1, [5e17, 5e17, 1.0]), (3, [1.5]), (2, [None, None])])
+def test_pane_stddev_equals_expanded(spark, decimals, values):
+    """Small values, large sums and lone rows: merged panes give what expanded rows give."""
+    from tarmac.operators.windows import window_stats
+
+    rows = [(i * 250, v) for i, v in enumerate(values * 4)]
+    df = spark.createDataFrame(rows, "s long, v double").select(
+        F.timestamp_seconds(F.lit(1704067200) + F.col("s")).alias("ts"), F.lit("k").alias("k"), "v")
+    spec = WindowSpec("10 minutes", "2 minutes")
+    got = {m: {r.window.start: r for r in window_stats(df, spec, "k", "v", ts="ts", scale=9, mean_decimals=decimals,
+                                                       method=m).collect()} for m in ("panes", "expand")}
+    assert got["panes"].keys() == got["expand"].keys()
+    for w, r in got["panes"].items():
+        e = got["expand"][w]
+        assert (r.min_value, r.max_value, r["count"]) == (e.min_value, e.max_value, e["count"])
+        for a, b in ((r.std_value, e.std_value), (r.avg_value, e.avg_value)):
+            assert a == b or abs(a - b) <= max(1e-9, 1e-9 * abs(b)), (w, r, e)
+
+
 def test_exact_fixed_point_mean_on_half_ties(spark):
     # 53.62 and 30.61 average to 42.115 exactly, but to 42.114999999999995 in doubles
     df = spark.createDataFrame([("a", 53.62, 1), ("a", 30.61, 1)], "k string, v double, y int").coalesce(1)

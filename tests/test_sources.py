@@ -2,15 +2,16 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from tarmac.plans.prep import LINEITEM_SCHEMA
 from tarmac.sinks.writers import batch_writer
-from tarmac.sources.events import decode_events, encode_events
+from tarmac.sources.events import arrival_times, decode_events, encode_events
 from tarmac.sources.results import read_results
-from tarmac.sources.streams import stream_table, topic_sink_options
-from tarmac.sources.tables import read_table, spread, stage_parquet
+from tarmac.sources.streams import check_file_order, stage_event_batches, stream_table, topic_sink_options
+from tarmac.sources.tables import read_table, stage_parquet
 from tarmac.streaming.runner import run_stream
 
 
@@ -33,11 +34,47 @@ def test_inferred_csv(spark, tmp_dir):
     assert dict(got.dtypes) == {"x": "int", "y": "string", "z": "double"}
 
 
-def test_spread_only_fans_out_small_scans(spark):
-    df = spark.read.parquet(f"{SF_SMALL}/events.parquet")
-    assert spread(df, 4).rdd.getNumPartitions() == 4
-    wide = spark.range(100).repartition(16)
-    assert spread(wide, 4) is wide
+def test_csv_is_bound_by_header_name(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "c.csv")
+    with open(p, "w") as fh:
+        fh.write("z,extra,y,x\n2.91,e,text,65.0\n,,,\nbad,e,t,9007199254740993\n")
+    got = read_table(spark, p, schema="x long, y string, z double", fmt="csv")
+    assert got.columns == ["x", "y", "z", "extra"]
+    assert [tuple(r) for r in got.collect()] == [(65, "text", 2.91, "e"), (None, None, None, None),
+                                                 (9007199254740993, "t", None, "e")]
+    with pytest.raises(ValueError):
+        read_table(spark, p, schema="x long, w string", fmt="csv")
+
+
+def test_csv_files_with_different_headers_raise(spark, tmp_dir):
+    for name, text in (("a", "x,y\n1,2\n"), ("b", "y,x\n2,1\n")):
+        with open(os.path.join(tmp_dir, f"{name}.csv"), "w") as fh:
+            fh.write(text)
+    with pytest.raises(Exception, match="(?i)header"):
+        read_table(spark, tmp_dir, schema="x int, y int", fmt="csv").collect()
+
+
+def test_arrival_times_are_spaced(spark):
+    rows = spark.range(100_000).repartition(7)
+    got = arrival_times(rows, 1_000, 0.5, order_by=["id"])
+    assert got.where(F.col("timestamp") != 1_000 + F.floor(F.col("id") * 0.5)).count() == 0
+    kept = arrival_times(spark.range(0, 1000, 1, 4), 0, 1.0)
+    assert kept.where("timestamp <> id").count() == 0 and kept.count() == 1000
+
+
+def test_replay_order_is_verified(spark, tmp_dir):
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    path = os.path.join(tmp_dir, "staged")
+    per_batch = stage_event_batches(ev, path, "ts", 5, bytes_per_file=3_000)
+    files = sorted(f for f in os.listdir(path) if f.startswith("part-"))
+    assert per_batch > 1 and len(files) <= 5 * per_batch
+    times = [os.path.getmtime(os.path.join(path, f)) for f in files]
+    assert times == sorted(times) and len(set(times)) == len(times)
+    wanted = [("a", 1), ("b", 2)]
+    check_file_order(wanted, [("a", 10), ("b", 20)])
+    for ignored in ([("a", 10), ("b", 10)], [("a", 20), ("b", 10)], [("a", 10)]):
+        with pytest.raises(RuntimeError, match="modification times"):
+            check_file_order(wanted, ignored)
 
 
 def test_processing_time_trigger(spark, tmp_dir):
@@ -83,8 +120,6 @@ def test_event_time_from_epoch_seconds(spark):
 
 
 def test_missing_kafka_connector_is_explained(spark):
-    import pytest
-
     from tarmac.sources.streams import read_topic, topic_options
 
     with pytest.raises(RuntimeError, match="Kafka connector"):
