@@ -1,6 +1,6 @@
 """Deterministic de-duplication and latest-row-per-key (SET3, SET4).
 
-Both are one hash aggregate over the key with ``min``/``max`` of a struct
+Both are one aggregate over the key with ``min``/``max`` of a struct
 that leads with the ordering columns. The aggregate combines partially on the
 map side, so a key that holds a large share of the rows costs one row per
 task in the shuffle (a ``row_number`` window would sort the whole hot key in

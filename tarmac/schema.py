@@ -67,6 +67,8 @@ PLACE_COL = "airport_name"
 FLIGHT_WEATHER_STEMS = {"PRCP": "prcp", "SNOW": "snow", "TMAX": "temp", "AWND": "wind"}
 MONTHLY_WEATHER_ALIASES = {"TMAX": "AvgTMAX", "PRCP": "AvgPRCP"}
 CARRIER_FLIGHTS_ALIAS = "AvgMonthlyFlightsPerCarrier"
+# fields of the nested statistics record on the wire
+STAT_FIELDS = ["min_value", "max_value", "avg_value", "std_value", "count"]
 QUALITY_COLUMNS = ["window_start", "window_end", "airport_name", "LATITUDE", "LONGITUDE",
                    "total_flights", "actual_delays", "predicted_delays_count", "accuracy_percent"]
 # ------------------------------------------------------------------------------

@@ -7,9 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarmac.functions.scalar import ntz_to_instant
-from tarmac.schema import stat_payload_schema
-
-STAT_FIELDS = ["min_value", "max_value", "avg_value", "std_value", "count"]
+from tarmac.schema import STAT_FIELDS, stat_payload_schema
 
 
 def to_stat_json(df: DataFrame, group_col: str, window_col: str = "window") -> DataFrame:
