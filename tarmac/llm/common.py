@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.plans.tables import table
 from tarmac.session import scratch_path
 
-__all__ = ["fits_broadcast", "importable", "is_held_out", "passing", "small", "stored", "table"]
+__all__ = ["fits_broadcast", "importable", "is_held_out", "passing", "slices", "small", "stored", "table"]
 
 FOLDS = 5
 
@@ -43,6 +45,13 @@ def fits_broadcast(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if small(df, rows) else df
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most ``rows`` rows, so that few texts are Python objects at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def importable(spark: SparkSession) -> None:
     """Let Python workers import this package when it is run from a checkout.
 

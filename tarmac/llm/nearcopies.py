@@ -4,8 +4,9 @@ A document is its set of word shingles, reduced to ``COORDINATES`` minwise token
 Independent trees branch it: a node picks, from its own path, one coordinate and
 sometimes a second (``1 / similarity`` on average), and a document goes down with the
 token it has there, so similar sets stay together. Small nodes are compared
-exhaustively on four-bit sketches, larger ones branch again. What looks similar is
-confirmed on the full sets, recomputed from the texts.
+exhaustively, larger ones branch again. Members whose four-bit sketch matches none of
+another label drop out; those left are compared on their full sets, recomputed from the
+texts, and a group returns only as many links as connect it, never its pairs.
 
 Groups of copies are kept from filling nodes in two ways. Documents with equal sets are
 one class from the start. And before the trees are searched, every class is compared with
@@ -13,7 +14,8 @@ the first member, by hash order, of each node it is in; the closest of these and
 likely one are confirmed, at most two a class. The links of this pass
 label most of any group, however large, and nodes that hold one label only are done.
 Later passes look only for links between labels, which is all that components need; the
-few other members of a node that one label fills are compared with all of it.
+few other members of a node that one label fills are compared with all of it, and large nodes
+that are cheap to compare in blocks branch no further.
 """
 
 from __future__ import annotations
@@ -26,25 +28,32 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import fits_broadcast, small, stored
-from tarmac.llm.components import components
+from tarmac.llm.common import fits_broadcast, slices, small, stored
+from tarmac.llm.components import components, spanning_roots
 
 #: A pair at the threshold survives four levels of one tree with 0.57, so ten miss 2 in 10,000.
 TREES = 10
 COORDINATES = 64
 #: Classes that a node may have to be compared exhaustively.
 LEAF = 200
-#: Levels after which a node that still has several labels is compared in blocks of ``LEAF``.
+#: Once the large nodes of a level hold at most so many pairs for each class of the corpus, comparing
+#: them all costs about what the classes' own tokens did, and they branch no more.
+PAIRS_EACH = 1000
+#: Members of a block in that comparison.
+BLOCK = 1000
+#: Level on which the search begins: above it, most nodes hold many unlike members.
+FIRST_LEVEL = 3
+#: Levels after which large nodes are compared whatever they cost.
 LEVELS = 24
-#: Equal four-bit tokens, of 64, that a pair must show: 5 deviations under what 0.8 gives.
-MIN_MATCHES = 36
+#: Equal four-bit tokens, of 64, that a pair must show: 4 deviations under what 0.8 gives.
+MIN_MATCHES = 40
 #: Equal tokens of a pair that is more likely than not at the threshold.
 LIKELY_MATCHES = 52
 #: Ids of documents to confirm that may be broadcast (8 bytes each).
 BROADCAST_IDS = 2_000_000
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-_REMEMBERED = 500_000
+_REMEMBERED = 200_000
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -62,9 +71,9 @@ class Shingles:
     def __init__(self, k: int):
         self.k, self.known = k, {}
 
-    def of(self, text: str | None) -> np.ndarray:
+    def of(self, text: bytes | None) -> np.ndarray:
         """The sorted set of a whole text: empty without words, one element for fewer than k."""
-        words = (text or "").encode().translate(_LOWER).split()
+        words = (text or b"").translate(_LOWER).split()
         if not words:
             return np.zeros(0, dtype=np.uint64)
         known = self.known
@@ -102,7 +111,7 @@ _SIGNED = "doc_id long, n_shingles long, f1 long, f2 long, sig binary"
 def _sign(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles(k)
-        for batch in batches:
+        for batch in slices(batches):
             n, f1, f2, sigs = [], [], [], []
             for text in batch.column(1).to_pylist():
                 s = shingles.of(text)
@@ -119,37 +128,35 @@ def _sign(k: int):
 _NODES = "node long, parent long, rep long, label long, s0 long, s1 long, s2 long, s3 long"
 
 
-def _nodes(level: int, trees: int, similarity: float):
-    """The nodes of every class on one level of all trees (the root on level 0)."""
+def _nodes(level: int, trees: int, similarity: float, above: int = 0):
+    """The nodes of every class on one level of all trees (the root on level 0), each
+    with the node it is under on level ``above``."""
     second = np.uint64(int((1 / similarity - 1) * 2.0 ** 64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roots = _mix(np.arange(1, trees + 1, dtype=np.uint64) << np.uint64(20))
-        for whole in batches:
-            for at in range(0, whole.num_rows, 1024):
-                batch = whole.slice(at, 1024)
-                if not batch.num_rows:
-                    continue
-                sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), "<u4").reshape(batch.num_rows, -1)
-                row = np.repeat(np.arange(batch.num_rows), trees)
-                node = np.tile(roots, batch.num_rows)
-                parent = np.zeros_like(node)
-                for _ in range(level):
-                    pick = _mix(node + np.uint64(1))
-                    one = (pick % np.uint64(COORDINATES)).astype(np.int64)
-                    two = (one + 1 + ((pick >> np.uint64(32)) % np.uint64(COORDINATES - 1)).astype(np.int64)) % COORDINATES
-                    also = _mix(node + np.uint64(2)) < second
-                    row = np.concatenate([row, row[also]])
-                    parent = np.concatenate([node, node[also]])
-                    at_c = np.concatenate([one, two[also]])
-                    token = sig[row, at_c].astype(np.uint64) | (at_c.astype(np.uint64) << np.uint64(32))
-                    node = _mix(_mix(parent) + token)
-                words = sketch(sig)[row].view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(node.view(np.int64)), pa.array(parent.view(np.int64)),
-                     batch.column("rep").take(pa.array(row)), batch.column("label").take(pa.array(row)),
-                     *(pa.array(np.ascontiguousarray(words[:, j])) for j in range(4))],
-                    names=["node", "parent", "rep", "label", "s0", "s1", "s2", "s3"])
+        for batch in slices(batches, 1024):
+            sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), "<u4").reshape(batch.num_rows, -1)
+            row = np.repeat(np.arange(batch.num_rows), trees)
+            node = np.tile(roots, batch.num_rows)
+            parent = node
+            for depth in range(level):
+                pick = _mix(node + np.uint64(1))
+                one = (pick % np.uint64(COORDINATES)).astype(np.int64)
+                two = (one + 1 + ((pick >> np.uint64(32)) % np.uint64(COORDINATES - 1)).astype(np.int64)) % COORDINATES
+                also = _mix(node + np.uint64(2)) < second
+                row = np.concatenate([row, row[also]])
+                node = np.concatenate([node, node[also]])
+                parent = node if depth == above else np.concatenate([parent, parent[also]])
+                at_c = np.concatenate([one, two[also]])
+                token = sig[row, at_c].astype(np.uint64) | (at_c.astype(np.uint64) << np.uint64(32))
+                node = _mix(_mix(node) + token)
+            words = sketch(sig)[row].view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(node.view(np.int64)), pa.array(parent.view(np.int64)),
+                 batch.column("rep").take(pa.array(row)), batch.column("label").take(pa.array(row)),
+                 *(pa.array(np.ascontiguousarray(words[:, j])) for j in range(4))],
+                names=["node", "parent", "rep", "label", "s0", "s1", "s2", "s3"])
     return run
 
 
@@ -164,37 +171,97 @@ def _matches(a: Column, b: Column) -> Column:
     return F.lit(COORDINATES) - different
 
 
-def _compare(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of different labels in each small node whose sketches match."""
+_GROUPED = "node long, rep long, label long"
+
+
+def _flag(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Members of each group whose sketch matches one of another label in it."""
     nibble = np.uint64(0x1111111111111111)
-    for batch in frames:
+    for batch in slices(frames):
         members = batch.column("members")
         flat = members.flatten()
         rep, label = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("rep", "label"))
         s = np.stack([flat.field(f"s{j}").to_numpy(zero_copy_only=False) for j in range(4)], axis=1).view(np.uint64)
-        ends = np.cumsum(np.array(members.value_lengths()))
-        left, right = [], []
-        for lo, hi in zip(np.append(0, ends[:-1]).tolist(), ends.tolist(), strict=True):
-            x = s[lo:hi, None, :] ^ s[None, lo:hi, :]
-            x |= x >> np.uint64(1)
-            x |= x >> np.uint64(2)
-            same = COORDINATES - np.bitwise_count(x & nibble).sum(axis=2, dtype=np.int64)
-            i, j = np.nonzero((same >= MIN_MATCHES) & (label[lo:hi, None] != label[None, lo:hi])
-                              & (rep[lo:hi, None] < rep[None, lo:hi]))
-            left.append(rep[lo + i])
-            right.append(rep[lo + j])
-        if left:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))],
-                                             names=["a", "b"])
+        sizes = np.array(members.value_lengths())
+        ends = np.cumsum(sizes)
+        hit = np.zeros(len(rep), dtype=bool)
+        for lo, hi in zip((ends - sizes).tolist(), ends.tolist(), strict=True):
+            for at in range(lo, hi, 128):
+                to = min(hi, at + 128)
+                same = COORDINATES
+                for w in range(4):
+                    x = s[at:to, None, w] ^ s[None, lo:hi, w]
+                    x |= x >> np.uint64(1)
+                    x |= x >> np.uint64(2)
+                    same = same - np.bitwise_count(x & nibble)
+                hit[at:to] = ((same >= MIN_MATCHES) & (label[at:to, None] != label[None, lo:hi])).any(axis=1)
+        node = np.repeat(batch.column("node").to_numpy(zero_copy_only=False), sizes)
+        yield pa.RecordBatch.from_arrays([pa.array(x[hit]) for x in (node, rep, label)], names=["node", "rep", "label"])
+
+
+def _sets(k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingles(k)
+        for batch in slices(batches):
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([shingles.of(t).tobytes() for t in batch.column(1).to_pylist()], pa.binary())],
+                names=["rep", "members"])
+    return run
+
+
+def links_of(sets: list[np.ndarray], label: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of different labels whose sets reach the similarity, exactly.
+
+    All intersection sizes come from products of 0/1 rows over the shingles that two
+    or more of the sets have, a few thousand columns at a time.
+    """
+    m, size = len(sets), np.array([len(x) for x in sets])
+    flat, row = np.concatenate(sets), np.repeat(np.arange(m), size)
+    _, col, count = np.unique(flat, return_inverse=True, return_counts=True)
+    shared = count > 1
+    place = np.cumsum(shared) - 1
+    row, col = row[shared[col]], place[col[shared[col]]]
+    order = np.argsort(col, kind="stable")
+    row, col = row[order], col[order]
+    both = np.zeros((m, m), dtype=np.float32)  # whole numbers, exact below 2^24
+    width = max(256, 4_000_000 // max(m, 1))
+    for at in range(0, int(shared.sum()), width):
+        lo, hi = np.searchsorted(col, [at, at + width])
+        x = np.zeros((m, min(width, int(shared.sum()) - at)), dtype=np.float32)
+        x[row[lo:hi], col[lo:hi] - at] = 1
+        both += x @ x.T
+    linked = 100 * both.astype(np.int64) >= percent * (size[:, None] + size[None, :] - both.astype(np.int64))
+    return np.nonzero(np.triu(linked, 1) & (label[:, None] != label[None, :]))
+
+
+def _link(percent: int):
+    """Confirmed links of each group, only as many as connect what they connect."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 16):
+            out_a, out_b = [], []
+            for members in batch.column(0):
+                rep = np.array([r["rep"].as_py() for r in members.values])
+                label = np.array([r["label"].as_py() for r in members.values])
+                sets = [np.frombuffer(r["members"].as_py(), dtype=np.uint64) for r in members.values]
+                i, j = links_of(sets, label, percent)
+                if len(i):
+                    root = spanning_roots(len(rep), i, j, rep)
+                    linked = root != np.arange(len(rep))
+                    out_a.append(rep[linked])
+                    out_b.append(rep[root[linked]])
+            if out_a:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))],
+                                                 names=["a", "b"])
+    return run
 
 
 def _confirm(k: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles(k)
-        for batch in batches:
-            seen: dict[int, tuple[str, np.ndarray]] = {}
+        for batch in slices(batches):
+            seen: dict[int, tuple[bytes, np.ndarray]] = {}
 
-            def of(i: int, text: str) -> np.ndarray:
+            def of(i: int, text: bytes) -> np.ndarray:
                 if i not in seen or seen[i][0] != text:  # noqa: B023
                     if len(seen) > 64:  # noqa: B023
                         seen.clear()  # noqa: B023
@@ -221,24 +288,34 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataF
     return stored(both.mapInArrow(_confirm(k, percent), "a long, b long").distinct(), "near-links")
 
 
-def _leaf_pairs(rows: DataFrame) -> DataFrame:
-    """Candidate pairs of nodes that are known to be small."""
+def _flagged(rows: DataFrame) -> DataFrame:
+    """(node, rep, label) of the members of bounded groups that may have a link to another label."""
     members = F.collect_list(F.struct("rep", "label", "s0", "s1", "s2", "s3")).alias("members")
-    return (rows.groupBy("node").agg(members).select("members")
-            .mapInArrow(_compare, "a long, b long").distinct())
+    return stored(rows.groupBy("node").agg(members).mapInArrow(_flag, _GROUPED), "near-flagged")
+
+
+def _linked(flagged: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links (a, b) confirmed on the full sets of the members of each group."""
+    ids = flagged.select(F.col("rep").alias("doc_id")).distinct()
+    sets = stored(docs.select("doc_id", "text").join(fits_broadcast(ids, BROADCAST_IDS), "doc_id", "left_semi")
+                  .mapInArrow(_sets(k), "rep long, members binary"), "near-sets")
+    groups = flagged.join(sets, "rep").groupBy("node").agg(
+        F.collect_list(F.struct("rep", "label", "members")).alias("group")).select("group")
+    return stored(groups.mapInArrow(_link(percent), "a long, b long").where("a <> b").distinct(), "near-links")
 
 
 def near_links(reps: DataFrame, docs: DataFrame, k: int, percent: int, trees: int = TREES, leaf: int = LEAF,
-               levels: int = LEVELS) -> DataFrame:
+               levels: int = LEVELS, pairs_each: int = PAIRS_EACH, block: int = BLOCK) -> DataFrame:
     """Confirmed links (a, b) between classes (rep, sig), enough to connect every component."""
     similarity = percent / 100
     tokens = F.struct("s0", "s1", "s2", "s3")
     plain = reps.select("rep", "sig", F.col("rep").alias("label"))
-    # First pass: every class against the first one of each of its nodes on level 2.
-    rows = stored(plain.mapInArrow(_nodes(2, trees, similarity), _NODES).drop("parent", "label"), "near-first")
+    # First pass: every class against the first one of each of its nodes on the first level.
+    rows = plain.mapInArrow(_nodes(FIRST_LEVEL, trees, similarity), _NODES).drop("parent", "label")
+    shared = rows.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").select("node")
+    rows = stored(rows.join(fits_broadcast(stored(shared, "near-shared"), BROADCAST_IDS), "node"), "near-first")
     heads = rows.groupBy("node").agg(
-        F.count("*").alias("n"), F.min(F.struct(F.xxhash64("rep").alias("rank"), "rep", tokens.alias("s")))
-        .alias("head")).where("n > 1").select("node", "head")
+        F.min(F.struct(F.xxhash64("rep").alias("rank"), "rep", tokens.alias("s"))).alias("head"))
     same = _matches(tokens, F.col("head.s"))
     met = (rows.join(heads, "node").where(F.col("rep") != F.col("head.rep")).withColumn("same", same)
            .where(F.col("same") >= MIN_MATCHES)
@@ -252,66 +329,66 @@ def near_links(reps: DataFrame, docs: DataFrame, k: int, percent: int, trees: in
     plain = stored(reps.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
                    .select("rep", "sig", F.coalesce("component", "rep").alias("label")), "near-labelled")
 
-    candidates, active, mixed = [], plain, None
-    start = 0 if small(plain, leaf) else 1
-    for level in range(start, levels + 1):
-        rows = active.mapInArrow(_nodes(level, 1 if level == 0 else trees, similarity), _NODES)
+    flagged, active, mixed = [], plain, None
+    budget = pairs_each * plain.count()
+    # On the first levels most nodes are large; below, every other level is looked at.
+    for level in [0] if small(plain, leaf) else range(FIRST_LEVEL, levels + 1, 2):
+        rows = active.mapInArrow(_nodes(level, 1 if level == 0 else trees, similarity, level - 2), _NODES)
         if mixed is not None:
             rows = rows.join(fits_broadcast(mixed.select(F.col("node").alias("parent")), BROADCAST_IDS), "parent",
                              "left_semi")
         # A class reaches a node once: two of its paths never meet again.
-        rows = stored(rows.drop("parent"), "near-level")
-        nodes = (rows.groupBy("node", "label").agg(F.count("*").alias("n"))
-                 .groupBy("node").agg(F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("most"))
-                 .select("node", "n", F.col("most.label").alias("main"), (F.col("n") - F.col("most.n")).alias("others"))
-                 .where("others > 0"))
-        nodes = stored(nodes, "near-nodes")
-        of_small = rows.join(nodes.where(F.col("n") <= leaf).select("node"), "node")
-        candidates.append(stored(_leaf_pairs(of_small), "near-candidates"))
-        large = nodes.where(F.col("n") > leaf)
-        few = large.where(F.col("others") <= leaf // 4)
-        if not few.isEmpty():
-            candidates.append(stored(_few_pairs(rows, few), "near-candidates"))
-        mixed = large.where(F.col("others") > leaf // 4).select("node", "n")
-        if mixed.isEmpty():
+        rows = rows.drop("parent")
+        nodes = stored(rows.groupBy("node").agg(F.count("*").alias("n"), F.min("label").alias("l1"),
+                                                F.max("label").alias("l2")).where("l1 < l2").select("node", "n"),
+                       "near-nodes")
+        rows = stored(rows.join(fits_broadcast(nodes, BROADCAST_IDS), "node"), "near-level")
+        flagged.append(_flagged(rows.where(F.col("n") <= leaf)))
+        large = (rows.where(F.col("n") > leaf).groupBy("node", "label").agg(F.count("*").alias("of"), F.max("n").alias("n"))
+                 .groupBy("node").agg(F.max("n").alias("n"), F.max(F.struct("of", "label")).alias("most"))
+                 .select("node", "n", F.col("most.label").alias("main"), (F.col("n") - F.col("most.of")).alias("others")))
+        large = stored(large, "near-large")
+        few, many = F.col("others") <= leaf // 4, F.col("others") > leaf // 4
+        totals = large.agg(F.count_if(few), F.sum(F.when(many, F.col("n").cast("double") ** 2))).first()
+        rows = rows.drop("n")
+        if totals[0]:
+            flagged.append(_flagged(_around_main(rows, large.where(few), block)))
+        mixed = large.where(many).select("node", "n")
+        if not totals[1]:
             break
-        if level == levels:
-            candidates.append(stored(_block_pairs(rows, mixed, leaf), "near-candidates"))
+        if totals[1] <= budget or level + 2 > levels:
+            flagged.append(_flagged(_block_pairs(rows, mixed, block)))
             break
         touched = rows.join(mixed.select("node"), "node", "left_semi").select("rep").distinct()
         active = stored(active.join(touched, "rep", "left_semi"), "near-active")
-    pairs = candidates[0]
-    for more in candidates[1:]:
-        pairs = pairs.unionByName(more)
-    return links.unionByName(_confirmed(pairs.distinct(), docs, k, percent))
-
-
-def _few_pairs(rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Candidate pairs of large nodes with few members outside their main label.
-
-    Those few, at most ``LEAF / 4``, meet every member: a number of rows in proportion to
-    the node, in a join that is split where a node is large.
-    """
-    tokens = ("s0", "s1", "s2", "s3")
-    of = rows.join(nodes.select("node", "main"), "node")
-    few = of.where("label <> main").select("node", F.struct("rep", "label", *tokens).alias("x"))
-    return (of.select("node", F.struct("rep", "label", *tokens).alias("y")).join(few, "node")
-            .where((F.col("x.label") != F.col("y.label")) & (_matches(F.col("x"), F.col("y")) >= MIN_MATCHES))
-            .select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct())
-
-
-def _block_pairs(rows: DataFrame, nodes: DataFrame, leaf: int) -> DataFrame:
-    """Exhaustive comparison of large nodes, a pair of blocks at a time."""
-    half = max(1, leaf // 2)
-    dealt = (rows.join(nodes, "node").withColumn("m", F.ceil(F.col("n") / half).cast("int"))
+    every = flagged[0]
+    for more in flagged[1:]:
+        every = every.unionByName(more)
+    return links.unionByName(_linked(every, docs, k, percent))
+
+
+def _around_main(rows: DataFrame, nodes: DataFrame, block: int) -> DataFrame:
+    """Large nodes with few members outside their main label: the main ones in blocks,
+    the few, at most ``LEAF / 4``, in each of them."""
+    dealt = (rows.join(nodes.select("node", "n", "main"), "node")
+             .withColumn("m", F.ceil(F.col("n") / block).cast("int"))
+             .withColumn("to", F.when(F.col("label") == F.col("main"), F.array(
+                 F.pmod(F.xxhash64("rep"), F.col("m")).cast("int"))).otherwise(F.sequence(F.lit(0), F.col("m") - 1)))
+             .withColumn("to", F.explode("to")))
+    return dealt.withColumn("node", F.xxhash64("node", "to")).select("node", "rep", "label", "s0", "s1", "s2", "s3")
+
+
+def _block_pairs(rows: DataFrame, nodes: DataFrame, block: int) -> DataFrame:
+    """Large nodes as groups of two blocks each, so that every two members meet in one."""
+    dealt = (rows.join(nodes, "node").withColumn("m", F.ceil(F.col("n") / block).cast("int"))
              .withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("m")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("m") - 1))))
     met = dealt.withColumn("node", F.xxhash64("node", F.least("mine", "other"), F.greatest("mine", "other")))
-    return _leaf_pairs(met.select("node", "rep", "label", "s0", "s1", "s2", "s3"))
+    return met.select("node", "rep", "label", "s0", "s1", "s2", "s3")
 
 
 def near_copies(docs: DataFrame, k: int = 5, percent: int = 80, trees: int = TREES, leaf: int = LEAF,
-                levels: int = LEVELS) -> DataFrame:
+                levels: int = LEVELS, pairs_each: int = PAIRS_EACH, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for each row of ``docs`` (doc_id, text).
 
     Documents whose sets of ``k``-word shingles have a Jaccard similarity of
@@ -322,11 +399,11 @@ def near_copies(docs: DataFrame, k: int = 5, percent: int = 80, trees: int = TRE
     its own n_shingles. A row without doc_id has no component, links with nothing and
     is kept. An empty table gives an empty result.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     signed = stored(docs.mapInArrow(_sign(k), _SIGNED), "near-signed")
     reps = stored(signed.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("n_shingles", "f1", "f2")
                   .agg(F.min("doc_id").alias("rep"), F.any_value("sig").alias("sig")), "near-classes")
-    links = near_links(reps.select("rep", "sig"), docs, k, percent, trees, leaf, levels)
+    links = near_links(reps.select("rep", "sig"), docs, k, percent, trees, leaf, levels, pairs_each, block)
     whole = components(links)
     class_of = (reps.select("n_shingles", "f1", "f2", "rep").join(whole.withColumnRenamed("node", "rep"), "rep", "left")
                 .select("n_shingles", "f1", "f2", F.coalesce("component", "rep").alias("component_id")))

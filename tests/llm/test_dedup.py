@@ -35,19 +35,22 @@ def variants(seed, families, copies):
     return docs
 
 
-@pytest.mark.parametrize("leaf, levels", [(200, 24), (8, 24), (4, 3)])
-def test_near_copies_through_the_trees(docs_of, leaf, levels):
-    """Small leaves force branching; few levels force the comparison in blocks."""
+@pytest.mark.parametrize("leaf, levels, pairs_each, block", [(200, 24, 10_000, 1000), (8, 24, 0, 5), (4, 3, 0, 5),
+                                                             (4, 24, 10_000, 4)])
+def test_near_copies_through_the_trees(docs_of, leaf, levels, pairs_each, block):
+    """Small leaves force branching; few levels or a large budget the comparison in blocks."""
     docs = variants(leaf, 14, 9)
-    got = as_dict(nearcopies.near_copies(docs_of(docs), k=2, leaf=leaf, levels=levels), "doc_id")
+    got = as_dict(nearcopies.near_copies(docs_of(docs), k=2, leaf=leaf, levels=levels, pairs_each=pairs_each,
+                                         block=block), "doc_id")
     assert {i: (r.n_shingles, r.component_id) for i, r in got.items()} == brute.near_copies(docs, 2)
 
 
-@pytest.mark.parametrize("leaf, missed", [(200, 0), (16, 3)])
-def test_large_group_of_near_copies(docs_of, leaf, missed):
+@pytest.mark.parametrize("leaf, pairs_each, missed", [(200, 0, 0), (16, 10_000, 0), (16, 0, 3)])
+def test_large_group_of_near_copies(docs_of, leaf, pairs_each, missed):
     """A group spread about the threshold; leaves far smaller than it may miss a lone link at 0.8."""
     docs = variants(7, 1, 300)
-    got = {r.doc_id: r.component_id for r in nearcopies.near_copies(docs_of(docs), k=2, leaf=leaf).collect()}
+    got = {r.doc_id: r.component_id for r in nearcopies.near_copies(docs_of(docs), k=2, leaf=leaf,
+                                                                       pairs_each=pairs_each).collect()}
     assert sum(got[i] != c for i, (_, c) in brute.near_copies(docs, 2).items()) <= missed
 
 
@@ -66,9 +69,10 @@ def test_near_copies_odd_rows(clashing, no_docs):
 
 def test_shingles_of_words():
     s = nearcopies.Shingles(2)
-    assert len(s.of("A b a B")) == 2 and len(s.of("a b\x0bc d")) == 2  #   is no separator
-    assert list(s.of("a b")) == list(s.of("A\tB")) != list(s.of("b a"))
-    assert list(s.of("ab")) != list(s.of("ab ab"))
+    assert len(s.of(b"A b a B")) == 2 and len(s.of(b"a b\x0bc")) == 2
+    assert len(s.of("a b\xa0c".encode())) == 1  # a no-break space is part of a word
+    assert list(s.of(b"a b")) == list(s.of(b"A\tB")) != list(s.of(b"b a"))
+    assert list(s.of(b"ab")) != list(s.of(b"ab ab"))
 
 
 def test_embeddings_on_the_tables(spark):
