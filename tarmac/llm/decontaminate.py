@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import passing, stored
+from tarmac.llm.common import passing, slices, stored
 
 WINDOW = 10
 #: Benchmark words in one broadcast part (about 100 bytes each in a task).
@@ -100,7 +100,7 @@ _FOUND = "n_words long, spans array<struct<s:long,e:long>>, items array<string>"
 def _scan(keep: list[str], packed) -> object:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = Windows(packed.value)
-        for batch in batches:
+        for batch in slices(batches):
             n_words, spans, items = [], [], []
             for text in batch.column("_scan").to_pylist():
                 n, s, i = part.scan(text or b"")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import is_held_out, passing, stored
+from tarmac.llm.common import is_held_out, passing, slices, stored
 
 UNKNOWN = "und"
 BITS = 14
@@ -46,7 +46,7 @@ def has_letter(text: str | None) -> bool:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(1 << BITS, dtype=np.int64))
-    for batch in batches:
+    for batch in slices(batches):
         for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             if has_letter(text):
                 sums[lang] += np.bincount(trigrams(text), minlength=1 << BITS)
@@ -133,7 +133,7 @@ def identify(docs: DataFrame, training: DataFrame, keep: list[str]) -> DataFrame
     model = spark.sparkContext.broadcast(_model(stored(train(training), "language-counts")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = [model.value.mixture(t) for t in batch.column("_scan").to_pylist()]
             yield pa.RecordBatch.from_pydict({
                 **{c: batch.column(c) for c in keep},

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import is_held_out, stored
+from tarmac.llm.common import is_held_out, slices, stored
 from tarmac.llm.sample import labelled_sample
 
 #: Bound of the labelled sample, latent dimensions, voters and documents in a block.
@@ -76,7 +76,7 @@ def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     df, docs = np.zeros(TERMS, dtype=np.int64), 0
-    for batch in batches:
+    for batch in slices(batches):
         for text in batch.column(0).to_pylist():
             df += term_counts(text) > 0
             docs += 1
@@ -94,7 +94,7 @@ def inverse_frequencies(docs: DataFrame) -> np.ndarray:
 
 
 def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         rows = [term_counts(t) for t in batch.column("text").to_pylist()]
         bins = [np.flatnonzero(r).astype("<i4") for r in rows]
         yield pa.RecordBatch.from_arrays([
@@ -165,12 +165,10 @@ def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, BLOCK):
-                part = batch.slice(at, BLOCK)
-                scores = model.value.score(part.column(1).to_pylist())
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scores, pa.float64())],
-                                                 names=["doc_id", "score"])
+        for batch in slices(batches, BLOCK):
+            scores = model.value.score(batch.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())],
+                                             names=["doc_id", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return (docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import is_held_out, stored
+from tarmac.llm.common import is_held_out, slices, stored
 from tarmac.llm.sample import labelled_sample
 
 #: Bound of the labelled sample, kept features, and the penalties' weights.
@@ -87,7 +87,7 @@ def counterfactuals(text: str) -> tuple[str, str] | None:
 
 def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     n, pos = np.zeros(1 << BITS, dtype=np.int32), np.zeros(1 << BITS, dtype=np.int32)
-    for batch in batches:
+    for batch in slices(batches):
         for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
             g = np.unique(grams(text))
             n[g] += 1
@@ -116,7 +116,7 @@ def _examples(kept):
     """Each example and its counterfactual pair as places of the kept grams they hold."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = _places(kept.value)
-        for batch in batches:
+        for batch in slices(batches):
             cols: tuple[list, ...] = ([], [], [])
             for text in batch.column("text").to_pylist():
                 pair = counterfactuals(text or "") or ("", "")
@@ -221,7 +221,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             scores = [model.value.score(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())],
                                              names=["doc_id", "score"])
