@@ -25,15 +25,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import stored
+from tarmac.llm.common import slices, stored
 
 CAPACITY = 2048
 END_ID = 0
 #: Pieces in one partition: what one task packs in memory, about 100 bytes each.
 PIECES_PER_PARTITION = 100_000
 ROUNDS = 2
-#: Distinct words whose ids a worker remembers, about 200 bytes each.
-REMEMBERED = 1_200_000
+#: Distinct words in each of the two generations that a worker remembers, about 200 bytes each.
+REMEMBERED = 600_000
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -64,21 +64,25 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def encode(self, text: bytes) -> bytes:
         if b"<|" in text:
             return array("I", self.tokenizer.encode(text.decode(), add_special_tokens=False).ids).tobytes()
         words = text.translate(_LOWER).split()
+        if len(self.known) > REMEMBERED:
+            self.known, self.older = {}, self.known  # what is used again moves back, the rest goes
         new = set(words).difference(self.known)
         if new:
-            if len(self.known) > REMEMBERED:
-                self.known.clear()
-                new = set(words)
             self._learn(new)
         return b"".join(map(self.known.__getitem__, words))
 
     def _learn(self, words: set[bytes]) -> None:
-        known = self.known
+        known, older = self.known, self.older
+        if older:
+            back = [w for w in words if w in older]
+            known.update((w, older[w]) for w in back)
+            words.difference_update(back)
         cut = [(w, _stem(w)) for w in words]
         parts = {stem for _, stem in cut}
         parts.update(w[len(stem):] for w, stem in cut)
@@ -92,7 +96,7 @@ def _pieces(path: str | None, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordIds(path or public_tokenizers.path("word_bpe_49k.json"))
         end = array("I", [END_ID]).tobytes()
-        for batch in batches:
+        for batch in slices(batches):
             cols: tuple[list, ...] = ([], [], [], [], [])
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 ids = encoder.encode(text or b"") + end
