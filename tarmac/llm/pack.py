@@ -92,9 +92,19 @@ class WordIds:
         known.update((w, known[stem] + known[w[len(stem):]]) for w, stem in cut if len(stem) < len(w))
 
 
+_ENCODERS: dict[str, WordIds] = {}
+
+
+def encoder_of(path: str) -> WordIds:
+    """The worker's encoder for a tokenizer file; it stays for the worker's next tasks."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = WordIds(path)
+    return _ENCODERS[path]
+
+
 def _pieces(path: str | None, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordIds(path or public_tokenizers.path("word_bpe_49k.json"))
+        encoder = encoder_of(path or public_tokenizers.path("word_bpe_49k.json"))
         end = array("I", [END_ID]).tobytes()
         for batch in slices(batches):
             cols: tuple[list, ...] = ([], [], [], [], [])
