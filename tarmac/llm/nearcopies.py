@@ -41,12 +41,12 @@ LEAF = 200
 PAIRS_EACH = 1000
 #: Members of a block in that comparison.
 BLOCK = 1000
-#: Level on which the search begins: above it, most nodes hold many unlike members.
+#: Level of the first pass, which only labels groups; the search looks at every level from 1.
 FIRST_LEVEL = 3
 #: Levels after which large nodes are compared whatever they cost.
 LEVELS = 24
-#: Equal four-bit tokens, of 64, that a pair must show: 4 deviations under what 0.8 gives.
-MIN_MATCHES = 40
+#: Equal four-bit tokens, of 64, that a pair must show: 5 deviations under what 0.8 gives, 1 in a million fails.
+MIN_MATCHES = 36
 #: Equal tokens of a pair that is more likely than not at the threshold.
 LIKELY_MATCHES = 52
 #: Ids of documents to confirm that may be broadcast (8 bytes each).
@@ -331,9 +331,8 @@ def near_links(reps: DataFrame, docs: DataFrame, k: int, percent: int, trees: in
 
     flagged, active, mixed = [], plain, None
     budget = pairs_each * plain.count()
-    # On the first levels most nodes are large; below, every other level is looked at.
-    for level in [0] if small(plain, leaf) else range(FIRST_LEVEL, levels + 1, 2):
-        rows = active.mapInArrow(_nodes(level, 1 if level == 0 else trees, similarity, level - 2), _NODES)
+    for level in [0] if small(plain, leaf) else range(1, levels + 1):
+        rows = active.mapInArrow(_nodes(level, 1 if level == 0 else trees, similarity, level - 1), _NODES)
         if mixed is not None:
             rows = rows.join(fits_broadcast(mixed.select(F.col("node").alias("parent")), BROADCAST_IDS), "parent",
                              "left_semi")
@@ -356,7 +355,7 @@ def near_links(reps: DataFrame, docs: DataFrame, k: int, percent: int, trees: in
         mixed = large.where(many).select("node", "n")
         if not totals[1]:
             break
-        if totals[1] <= budget or level + 2 > levels:
+        if totals[1] <= budget or level == levels:
             flagged.append(_flagged(_block_pairs(rows, mixed, block)))
             break
         touched = rows.join(mixed.select("node"), "node", "left_semi").select("rep").distinct()

@@ -54,6 +54,27 @@ def test_large_group_of_near_copies(docs_of, leaf, pairs_each, missed):
     assert sum(got[i] != c for i, (_, c) in brute.near_copies(docs, 2).items()) <= missed
 
 
+def test_near_copies_looks_at_every_level(docs_of, monkeypatch):
+    """No level between the first and the last one is left out: a node may be small there only."""
+    seen, nodes = [], nearcopies._nodes
+    monkeypatch.setattr(nearcopies, "_nodes", lambda level, *a, **b: (seen.append(level), nodes(level, *a, **b))[1])
+    nearcopies.near_copies(docs_of(variants(4, 14, 9)), k=2, leaf=4, levels=4, pairs_each=0, block=5).collect()
+    search = sorted(set(seen[1:]))
+    assert search == list(range(1, search[-1] + 1)) and search[-1] > 1
+
+
+def test_sketches_far_under_the_expected_matches_are_flagged():
+    """A pair at 0.8 has 52 equal tokens of 64 on average; 37 are not too few, 30 are."""
+    import pyarrow as pa
+
+    for equal, flagged in ((37, [1, 2]), (30, [])):
+        bits = ["0" * equal + "f" * (64 - equal), "0" * 64]
+        words = [[int.from_bytes(bytes.fromhex(b[i:i + 16]), "little", signed=True) for i in range(0, 64, 16)] for b in bits]
+        members = [{"rep": i + 1, "label": i + 1, **{f"s{j}": w[j] for j in range(4)}} for i, w in enumerate(words)]
+        batch = pa.RecordBatch.from_pylist([{"node": 7, "members": members}])
+        assert [r for b in nearcopies._flag(iter([batch])) for r in b.column("rep").to_pylist()] == flagged
+
+
 def test_near_copies_odd_rows(clashing, no_docs):
     got = nearcopies.near_copies(clashing, k=2).collect()
     assert len(got) == 14
