@@ -14,13 +14,15 @@ the first member, by hash order, of each node it is in; the closest of these and
 likely one are confirmed, at most two a class. The links of this pass
 label most of any group, however large, and nodes that hold one label only are done.
 Later passes look only for links between labels, which is all that components need; the
-few other members of a node that one label fills are compared with all of it, and large nodes
-that are cheap to compare in blocks branch no further.
+few other members of a node that one label fills are compared with all of it. Other large
+nodes branch on, each by its own size, and the deeper they do, the more trees their members
+get: a pair at the threshold misses all trees of any level with at most ``MISS``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -31,13 +33,15 @@ from pyspark.sql import functions as F
 from tarmac.llm.common import fits_broadcast, slices, small, stored
 from tarmac.llm.components import components, spanning_roots
 
-#: A pair at the threshold survives four levels of one tree with 0.57, so ten miss 2 in 10,000.
+#: Share of pairs at the threshold that may be apart in all trees of a level, see ``trees_on``.
+MISS = 2e-4
+#: Trees that there are at least.
 TREES = 10
 COORDINATES = 64
 #: Classes that a node may have to be compared exhaustively.
 LEAF = 200
-#: Once the large nodes of a level hold at most so many pairs for each class of the corpus, comparing
-#: them all costs about what the classes' own tokens did, and they branch no more.
+#: A node with at most so many members is compared in blocks: that costs each of them less than
+#: to branch on.
 PAIRS_EACH = 1000
 #: Members of a block in that comparison.
 BLOCK = 1000
@@ -125,19 +129,45 @@ def _sign(k: int):
     return run
 
 
-_NODES = "node long, parent long, rep long, label long, s0 long, s1 long, s2 long, s3 long"
+def miss_on(level: int, trees: int, similarity: float) -> float:
+    """Probability that a pair of the similarity is apart in all trees on a level.
+
+    How many of the ``COORDINATES`` tokens agree is binomial and the same for all trees; with
+    it given, a tree is a branching process whose paths go on with one or two tokens.
+    """
+    agree = np.arange(COORDINATES + 1) / COORDINATES
+    of_agree = np.array([comb(COORDINATES, a) * similarity ** a * (1 - similarity) ** (COORDINATES - a)
+                         for a in range(COORDINATES + 1)])
+    apart, two = np.zeros(COORDINATES + 1), 1 / similarity - 1
+    for _ in range(level):
+        ends = 1 - agree + agree * apart
+        apart = ends * (1 - two + two * ends)
+    return float(of_agree @ apart ** trees)
+
+
+def trees_on(level: int, least: int, similarity: float, miss: float = MISS) -> int:
+    """Trees that a level needs, so that at most ``miss`` of the pairs of the similarity are apart in all."""
+    trees = least
+    while miss_on(level, trees, similarity) > miss:
+        trees += 1
+    return trees
+
+
+_NODES = "node long, parent long, rep long, label long"
+_SKETCHED = _NODES + ", s0 long, s1 long, s2 long, s3 long"
 
 
-def _nodes(level: int, trees: int, similarity: float, above: int = 0):
-    """The nodes of every class on one level of all trees (the root on level 0), each
+def _nodes(level: int, trees: int, similarity: float, above: int = 0, first: int = 0, sketched: bool = True):
+    """The nodes of every class on one level of all trees from ``first`` (the root on level 0), each
     with the node it is under on level ``above``."""
     second = np.uint64(int((1 / similarity - 1) * 2.0 ** 64))
+    at_once = min(1024, max(1, int(400_000 * similarity ** level) // max(1, trees - first)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        roots = _mix(np.arange(1, trees + 1, dtype=np.uint64) << np.uint64(20))
-        for batch in slices(batches, 1024):
+        roots = _mix(np.arange(first + 1, trees + 1, dtype=np.uint64) << np.uint64(20))
+        for batch in slices(batches, at_once):
             sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), "<u4").reshape(batch.num_rows, -1)
-            row = np.repeat(np.arange(batch.num_rows), trees)
+            row = np.repeat(np.arange(batch.num_rows), trees - first)
             node = np.tile(roots, batch.num_rows)
             parent = node
             for depth in range(level):
@@ -151,15 +181,30 @@ def _nodes(level: int, trees: int, similarity: float, above: int = 0):
                 at_c = np.concatenate([one, two[also]])
                 token = sig[row, at_c].astype(np.uint64) | (at_c.astype(np.uint64) << np.uint64(32))
                 node = _mix(_mix(node) + token)
-            words = sketch(sig)[row].view(np.int64)
+            words = sketch(sig)[row].view(np.int64) if sketched else np.zeros((0, 0))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(node.view(np.int64)), pa.array(parent.view(np.int64)),
                  batch.column("rep").take(pa.array(row)), batch.column("label").take(pa.array(row)),
-                 *(pa.array(np.ascontiguousarray(words[:, j])) for j in range(4))],
-                names=["node", "parent", "rep", "label", "s0", "s1", "s2", "s3"])
+                 *(pa.array(np.ascontiguousarray(words[:, j])) for j in range(words.shape[1]))],
+                names=["node", "parent", "rep", "label", *(f"s{j}" for j in range(words.shape[1]))])
     return run
 
 
+def _level(active: DataFrame, level: int, trees: int, old: int, similarity: float, mixed: DataFrame | None,
+           sketched: bool) -> DataFrame:
+    """The rows of a level: all nodes of the trees from ``old`` on, and of the others those under ``mixed``."""
+    schema = _SKETCHED if sketched else _NODES
+    parts = []
+    if mixed is not None:
+        rows = active.mapInArrow(_nodes(level, old, similarity, level - 1, sketched=sketched), schema)
+        parts.append(rows.join(fits_broadcast(mixed.select(F.col("node").alias("parent")), BROADCAST_IDS), "parent",
+                               "left_semi").select(rows.columns))
+    if trees > old:
+        parts.append(active.mapInArrow(_nodes(level, trees, similarity, first=old, sketched=sketched), schema))
+    # A class reaches a node once: two of its paths never meet again.
+    return (parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])).drop("parent")
+
+
 def _matches(a: Column, b: Column) -> Column:
     """Equal four-bit tokens of two sketches given as structs of s0 to s3."""
     different = F.lit(0)
@@ -311,7 +356,7 @@ def near_links(reps: DataFrame, docs: DataFrame, k: int, percent: int, trees: in
     tokens = F.struct("s0", "s1", "s2", "s3")
     plain = reps.select("rep", "sig", F.col("rep").alias("label"))
     # First pass: every class against the first one of each of its nodes on the first level.
-    rows = plain.mapInArrow(_nodes(FIRST_LEVEL, trees, similarity), _NODES).drop("parent", "label")
+    rows = plain.mapInArrow(_nodes(FIRST_LEVEL, trees, similarity), _SKETCHED).drop("parent", "label")
     shared = rows.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").select("node")
     rows = stored(rows.join(fits_broadcast(stored(shared, "near-shared"), BROADCAST_IDS), "node"), "near-first")
     heads = rows.groupBy("node").agg(
@@ -329,37 +374,43 @@ def near_links(reps: DataFrame, docs: DataFrame, k: int, percent: int, trees: in
     plain = stored(reps.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
                    .select("rep", "sig", F.coalesce("component", "rep").alias("label")), "near-labelled")
 
-    flagged, active, mixed = [], plain, None
-    budget = pairs_each * plain.count()
-    for level in [0] if small(plain, leaf) else range(1, levels + 1):
-        rows = active.mapInArrow(_nodes(level, 1 if level == 0 else trees, similarity, level - 1), _NODES)
-        if mixed is not None:
-            rows = rows.join(fits_broadcast(mixed.select(F.col("node").alias("parent")), BROADCAST_IDS), "parent",
-                             "left_semi")
-        # A class reaches a node once: two of its paths never meet again.
-        rows = rows.drop("parent")
+    flagged, active, last, old = [], plain, None, 0
+    n_active, whole = plain.count(), small(plain, leaf)
+    for level in [0] if whole else range(1, levels + 1):
+        now = 1 if whole else trees_on(level, max(trees, old), similarity)
+        rows = _level(active, level, now, old, similarity, last, False)
         nodes = stored(rows.groupBy("node").agg(F.count("*").alias("n"), F.min("label").alias("l1"),
                                                 F.max("label").alias("l2")).where("l1 < l2").select("node", "n"),
                        "near-nodes")
-        rows = stored(rows.join(fits_broadcast(nodes, BROADCAST_IDS), "node"), "near-level")
-        flagged.append(_flagged(rows.where(F.col("n") <= leaf)))
-        large = (rows.where(F.col("n") > leaf).groupBy("node", "label").agg(F.count("*").alias("of"), F.max("n").alias("n"))
+        large = (rows.join(fits_broadcast(nodes.where(F.col("n") > leaf), BROADCAST_IDS), "node")
+                 .groupBy("node", "label").agg(F.count("*").alias("of"), F.max("n").alias("n"))
                  .groupBy("node").agg(F.max("n").alias("n"), F.max(F.struct("of", "label")).alias("most"))
                  .select("node", "n", F.col("most.label").alias("main"), (F.col("n") - F.col("most.of")).alias("others")))
         large = stored(large, "near-large")
         few, many = F.col("others") <= leaf // 4, F.col("others") > leaf // 4
-        totals = large.agg(F.count_if(few), F.sum(F.when(many, F.col("n").cast("double") ** 2))).first()
+        # A node branches on if that makes fewer rows of each member than it has pairs.
+        most = max(pairs_each, trees_on(level + 1, now, similarity) / similarity ** (level + 1))
+        branches = many & (F.col("n") > most) if level < levels else F.lit(False)
+        mixed = stored(large.where(branches).select("node", "n"), "near-mixed")
+        compared = nodes.join(fits_broadcast(mixed.select("node"), BROADCAST_IDS), "node", "left_anti")
+        rows = _level(active, level, now, old, similarity, last, True)
+        rows = stored(rows.join(fits_broadcast(compared, BROADCAST_IDS), "node"), "near-level")
+        flagged.append(_flagged(rows.where(F.col("n") <= leaf)))
         rows = rows.drop("n")
-        if totals[0]:
+        if not large.where(few).isEmpty():
             flagged.append(_flagged(_around_main(rows, large.where(few), block)))
-        mixed = large.where(many).select("node", "n")
-        if not totals[1]:
-            break
-        if totals[1] <= budget or level == levels:
-            flagged.append(_flagged(_block_pairs(rows, mixed, block)))
+        blocks = large.where(many & ~branches).select("node", "n")
+        if not blocks.isEmpty():
+            flagged.append(_flagged(_block_pairs(rows, blocks, block)))
+        if mixed.isEmpty():
             break
-        touched = rows.join(mixed.select("node"), "node", "left_semi").select("rep").distinct()
-        active = stored(active.join(touched, "rep", "left_semi"), "near-active")
+        touched = _level(active, level, now, old, similarity, last, False)
+        touched = stored(touched.join(fits_broadcast(mixed.select("node"), BROADCAST_IDS), "node", "left_semi")
+                         .select("rep").distinct(), "near-touched")
+        n_touched = touched.count()
+        if n_touched < 0.8 * n_active:
+            active, n_active = stored(active.join(touched, "rep", "left_semi"), "near-active"), n_touched
+        last, old = mixed, now
     every = flagged[0]
     for more in flagged[1:]:
         every = every.unionByName(more)

@@ -58,11 +58,35 @@ def test_near_copies_looks_at_every_level(docs_of, monkeypatch):
     """No level between the first and the last one is left out: a node may be small there only."""
     seen, nodes = [], nearcopies._nodes
     monkeypatch.setattr(nearcopies, "_nodes", lambda level, *a, **b: (seen.append(level), nodes(level, *a, **b))[1])
-    nearcopies.near_copies(docs_of(variants(4, 14, 9)), k=2, leaf=4, levels=4, pairs_each=0, block=5).collect()
+    rnd = random.Random(4)
+    docs = [(i, " ".join(f"w{j}" if rnd.random() < 0.85 else f"x{rnd.randrange(5000)}" for j in range(80)))
+            for i in range(200)]
+    nearcopies.near_copies(docs_of(docs), k=2, leaf=4, levels=4, pairs_each=0, block=5).collect()
     search = sorted(set(seen[1:]))
     assert search == list(range(1, search[-1] + 1)) and search[-1] > 1
 
 
+@pytest.mark.parametrize("level", [4, 9, 12])
+def test_pairs_at_the_threshold_meet_on_deep_levels(level):
+    """Ten trees part 3 of 100 lone pairs on level 9: a deeper level must have more trees."""
+    import numpy as np
+    import pyarrow as pa
+
+    rnd, pairs = np.random.default_rng(level), 1500
+    one = rnd.integers(0, 2 ** 32, (pairs, 64), dtype=np.uint32)
+    other = np.where(rnd.random((pairs, 64)) < 0.8, one, rnd.integers(0, 2 ** 32, (pairs, 64), dtype=np.uint32))
+    rows = [{"rep": i, "label": i, "sig": x.astype("<u4").tobytes()} for i, x in enumerate(np.concatenate([one, other]))]
+    trees = nearcopies.trees_on(level, nearcopies.TREES, 0.8)
+    met = np.zeros(pairs, dtype=bool)
+    for at in range(0, pairs, 100):
+        part = rows[at:at + 100] + rows[pairs + at:pairs + at + 100]
+        made = list(nearcopies._nodes(level, trees, 0.8)(iter([pa.RecordBatch.from_pylist(part)])))
+        node, rep = (np.concatenate([b.column(c).to_numpy() for b in made]) for c in ("node", "rep"))
+        for i in range(at, at + 100):
+            met[i] = np.intersect1d(node[rep == i], node[rep == pairs + i]).size > 0
+    assert (~met).sum() <= 3  # 0.3 expected
+
+
 def test_sketches_far_under_the_expected_matches_are_flagged():
     """A pair at 0.8 has 52 equal tokens of 64 on average; 37 are not too few, 30 are."""
     import pyarrow as pa
