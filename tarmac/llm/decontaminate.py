@@ -116,15 +116,22 @@ def _scan(keep: list[str], packed) -> object:
 
 
 def _parts(benchmark: DataFrame, part_words: int) -> Iterator[list[tuple[object, bytes]]]:
-    """Benchmark items in parts of about ``part_words`` words, one on the driver at a time."""
-    part, size = [], 0
+    """Benchmark items in parts of about ``part_words`` words, each read when it is asked for.
+
+    A longer item comes in pieces of its words that overlap by all but one word of a window.
+    """
+    part, size, step = [], 0, max(part_words, WINDOW)
     for r in benchmark.select("item_id", F.col("text").cast("binary").alias("text")).toLocalIterator():
         text = bytes(r.text or b"")
-        part.append((r.item_id, text))
-        size += len(words_of(text))
-        if size >= part_words:
-            yield part
-            part, size = [], 0
+        words = words_of(text)
+        pieces = [text] if len(words) <= step else (
+            b" ".join(words[at:at + step + WINDOW - 1]) for at in range(0, len(words) - WINDOW + 1, step))
+        for piece in pieces:
+            part.append((r.item_id, piece))
+            size += min(len(words), step)
+            if size >= part_words:
+                yield part
+                part, size = [], 0
     if part:
         yield part
 
@@ -148,11 +155,15 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, keep: list[str],
         return rows.mapInArrow(_scan(keep, spark.sparkContext.broadcast(first)), schema)
     # More than one part: scan rows with an id of their own once for each part, then merge.
     rows = stored(rows.withColumn("_row", F.monotonically_increasing_id()), "decontaminate-rows")
-    every = None
-    for part in [first, second, *parts]:
-        found = stored(rows.mapInArrow(_scan([*keep, "_row"], spark.sparkContext.broadcast(part)),
+    every, ahead = None, [second, first]
+    del first, second
+    while part := ahead.pop() if ahead else next(parts, None):
+        packed = spark.sparkContext.broadcast(part)
+        del part
+        found = stored(rows.mapInArrow(_scan([*keep, "_row"], packed),
                                        schema.replace(", " + _FOUND, ", _row long, " + _FOUND))
                        .select("_row", "n_words", "spans", "items"), "decontaminate-part")
+        packed.destroy()
         every = found if every is None else every.unionByName(found)
     words = F.array_distinct(F.flatten(F.transform(
         F.flatten(F.collect_list("spans")), lambda x: F.sequence(x.s, x.e - 1))))

@@ -23,6 +23,32 @@ def test_decontamination_on_the_tables(spark):
     assert sorted(got) == sorted(want)
 
 
+def test_benchmark_parts_are_read_one_after_the_other(spark, docs_of, monkeypatch):
+    """From the third on, a part is read when the scan of the one before is stored; long items are split."""
+    words = [f"b{i}" for i in range(130)]
+    bench = spark.createDataFrame([("long", " ".join(words)), *((f"i{j}", f"some item number {j} of few words") for j in range(9))],
+                                  "item_id string, text string")
+    docs = docs_of([(1, "x " + " ".join(words[17:60]) + " y"), (2, " ".join(words[38:48])), (3, "some item number 7 of few words"),
+                    (4, "nothing at all"), (5, " ".join(words[120:]) + " z")])
+    want = sorted(map(tuple, decontaminate.contamination_report(docs, bench).collect()))
+    assert [r[2] for r in want] == [43, 10, 7, 0, 10]
+    events, parts, stored = [], decontaminate._parts, decontaminate.stored
+
+    def read(*a):
+        for part in parts(*a):
+            assert sum(len(t.split()) for _, t in part) < 2 * 20 + 9
+            events.append("part")
+            yield part
+
+    monkeypatch.setattr(decontaminate, "_parts", read)
+    monkeypatch.setattr(decontaminate, "stored", lambda df, name: (events.append(name), stored(df, name))[1])
+    got = sorted(map(tuple, decontaminate.contamination_report(docs, bench, 20).collect()))
+    assert got == want and events.count("part") > 5
+    assert events[:3] == ["part", "part", "decontaminate-rows"]
+    assert events[3:6] == ["decontaminate-part"] * 2 + ["part"]
+    assert all(a != b for a, b in zip(events[5:], events[6:], strict=False))
+
+
 @pytest.mark.parametrize("part_words", [1_000_000, 3])
 def test_decontamination_odd_rows(spark, clashing, no_docs, part_words):
     items = [(10, "Same text, here again!"), (9, "TWO words"), (9, "two WORDS"), (None, "déjà vu"), (3, None), (4, ""),
