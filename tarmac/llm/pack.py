@@ -8,7 +8,8 @@ where the count meets the bound the partition is certified. While all partitions
 together use more than the bound of all pieces, those with a gap keep their full
 sequences and exchange the documents of all others, and certified ones exchange only
 those of sequences with room to spare. Best-fit decreasing runs again over these
-pools, larger each time; a new packing is taken only if it needs fewer sequences.
+pools; a new packing is taken only if it needs fewer sequences. Rounds go on until the
+bound is met, one partition is left or a round gains nothing.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ import os
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -31,6 +33,7 @@ CAPACITY = 2048
 END_ID = 0
 #: Pieces in one partition: what one task packs in memory, about 100 bytes each.
 PIECES_PER_PARTITION = 100_000
+#: Rounds in which the partitions grow by four; later ones deal anew to partitions of that size.
 ROUNDS = 2
 #: Distinct words in each of the two generations that a worker remembers, about 200 bytes each.
 REMEMBERED = 600_000
@@ -178,7 +181,7 @@ def _pack(round_no: int, capacity: int):
         rows = rows.sort_values(["length", "doc_id", "piece", "ids_crc32"], ignore_index=True)
         lengths = rows["length"].to_numpy()
         where, offset, room = best_fit_decreasing(lengths, capacity)
-        return rows.assign(sequence_id=(np.int64(round_no) << 58) + (np.int64(key[0]) << 28) + where, offset=offset,
+        return rows.assign(sequence_id=(np.int64(round_no) << 52) + (np.int64(key[0]) << 28) + where, offset=offset,
                            room=room[where], gap=len(room) - lower_bound(lengths, capacity))
     return run
 
@@ -201,9 +204,9 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, capacity: int
     pieces = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary"))
                     .mapInArrow(_pieces(tokenizer, capacity), _PIECES), "pack-pieces")
     todo, settled, before = pieces, [], None
-    for r in range(rounds + 1):
-        # Each exchange deals what was released to fewer, larger partitions.
-        parts = max(1, -(-todo.count() // (per_partition * 4 ** r)))
+    for r in count():
+        # An exchange deals what was released to fewer partitions, at first also to larger ones.
+        parts = max(1, -(-todo.count() // (per_partition * 4 ** min(r, rounds))))
         dealt = todo.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(r)), F.lit(parts)))
         packed = stored(dealt.groupBy("part").applyInPandas(_pack(r, capacity), _PACKED), "pack-round")
         used = packed.select("sequence_id").distinct().count()
@@ -216,7 +219,7 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, capacity: int
         needed = bound_of_counts(of_length, capacity)
         # With a gap all sequences with room are released, without one those that an exchange may help.
         loose = (F.col("room") > 0) & ((F.col("gap") > 0) | (F.col("room") > capacity // 64))
-        if parts == 1 or r == rounds or used <= needed:
+        if parts == 1 or used <= needed:
             settled.append(packed)
             break
         settled.append(packed.where(~loose))

@@ -212,6 +212,15 @@ def test_packing_exchanges_between_partitions(docs_of, per_partition):
     assert least <= n <= least + (0 if per_partition > 200 else 4)
 
 
+def test_packing_exchanges_until_nothing_is_gained(docs_of):
+    rnd = random.Random(604)
+    docs = [(i, "word " * rnd.randrange(8, 45)) for i in range(600)]
+    rows = pack.pack_documents(docs_of(docs), capacity=64, per_partition=4).collect()
+    n, least = check_packing(rows, docs, 64)
+    # Two exchanges leave 7 more than the bound of 260, six leave 2.
+    assert least <= n <= least + 4
+
+
 def test_packing_odd_rows(clashing, no_docs):
     docs = [(r.doc_id, r.text) for r in clashing.select("doc_id", "text").collect()]
     check_packing(pack.pack_documents(clashing).collect(), docs, pack.CAPACITY)
