@@ -80,14 +80,15 @@ class Languages:
         w = seen[bins] / PER_OBSERVATION
         p = self.p[bins]
         total = w.sum()
-        share = self._share(p, w, np.full(len(self.names), 1 / len(self.names)), 12)
+        share = self._share(p, w, np.full(len(self.names), 1 / len(self.names)))
         order = np.lexsort((np.arange(len(share)), -share))
         best, chosen, last = -np.inf, None, 1
         for k in range(1, len(order) + 1):
-            if k > 1 and share[order[k - 1]] < 0.01:
+            # A small share ends the search only if the language before it gained nothing.
+            if k > 1 and (share[order[k - 1]] <= 0 or share[order[k - 1]] < 0.01 and last < k - 1):
                 break
             sub = p[:, order[:k]]
-            s = self._share(sub, w, share[order[:k]] / share[order[:k]].sum(), 8) if k > 1 else np.ones(1)
+            s = self._share(sub, w, share[order[:k]] / share[order[:k]].sum()) if k > 1 else np.ones(1)
             fit = float(w @ np.log(sub @ s)) - PENALTY * (k - 1) * np.log(1 + total)
             if fit > best:
                 best, chosen, last = fit, s, k
@@ -95,16 +96,15 @@ class Languages:
         return [(self.names[order[i]], float(chosen[i])) for i in top]
 
     @staticmethod
-    def _share(p: np.ndarray, w: np.ndarray, share: np.ndarray, rounds: int) -> np.ndarray:
-        """Expectation-maximisation of the shares of fixed languages."""
-        for _ in range(rounds):
+    def _share(p: np.ndarray, w: np.ndarray, share: np.ndarray) -> np.ndarray:
+        """Expectation-maximisation of the shares of fixed languages, until none moves by 1e-4."""
+        while True:
             resp = p * share
             new = (w / resp.sum(axis=1)) @ resp
             new /= new.sum()
             if np.abs(new - share).max() < 1e-4:
                 return new
             share = new
-        return share
 
 
 def _model(counts: DataFrame) -> Languages:

@@ -250,6 +250,19 @@ def test_word_ids_equal_the_tokenizer(text):
 
 
 # -- language
+def test_a_small_share_of_a_long_text_is_found():
+    """Half a percent of 8,000 words is 40 words: enough evidence, whatever the share."""
+    rnd = random.Random(5)
+    words = {k: ["".join(rnd.choice(letters) for _ in range(5)) for _ in range(200)]
+             for k, letters in (("aa", "abcdefg"), ("bb", "hijklmn"), ("cc", "opqrstu"))}
+    model = language.Languages({k: np.bincount(language.trigrams(" ".join(w)), minlength=1 << language.BITS) * 5000.0
+                                for k, w in words.items()})
+    text = " ".join([rnd.choice(words["aa"]) for _ in range(7960)] + [rnd.choice(words["bb"]) for _ in range(40)])
+    got = model.mixture(text)
+    assert [k for k, _ in got] == ["aa", "bb"] and 0.003 < got[1][1] < 0.008
+    assert [k for k, _ in model.mixture(" ".join(words["aa"]))] == ["aa"]
+
+
 
 def test_language_held_out_accuracy(spark):
     got = {r.doc_id: r for r in QUERIES["op5_language"](spark, "/root/testdata/sf0.01").collect()}
