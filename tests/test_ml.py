@@ -6,7 +6,7 @@ import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from tables import SF_SMALL
 from tarmac.ml.evaluate import auc, weighted_f1
 from tarmac.ml.model import (build_pipeline, decide, load_model, positive_probability, score, train_model,
                              with_threshold)

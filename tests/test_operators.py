@@ -195,7 +195,7 @@ def test_pane_method_rejected_on_streams(spark, tmp_dir):
 
 @pytest.mark.parametrize("method", ["panes", "expand"])
 def test_window_count_properties(spark, method):
-    from conftest import SF_SMALL
+    from tables import SF_SMALL
     from tarmac.operators.windows import window_stats
 
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")

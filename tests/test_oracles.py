@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SF_MID, SF_SMALL
+from tables import SF_MID, SF_SMALL
 from oracle_compare import compare, duck
 from tarmac.plans.registry import all_queries
 

@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from conftest import SF_SMALL
+from tables import SF_SMALL
 from tarmac.plans.registry import all_queries
 
 QUERIES = all_queries()

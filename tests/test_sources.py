@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from tables import SF_SMALL
 from tarmac.plans.prep import LINEITEM_SCHEMA
 from tarmac.sinks.writers import batch_writer
 from tarmac.sources.events import arrival_times, decode_events, encode_events

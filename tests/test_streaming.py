@@ -6,7 +6,7 @@ import os
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import SF_SMALL
+from tables import SF_SMALL
 from tarmac.operators.windows import flatten_window, window_stats
 from tarmac.roles import WindowSpec
 from tarmac.schema import KEYED_STATISTICS_SCHEMA
