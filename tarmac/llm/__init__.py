@@ -1,5 +1,6 @@
 """Training-data operators: quality, toxicity, near-duplicates, decontamination,
-language identification, sharding, packing, line dedup and personal data.
+language identification, sharding, packing, line dedup, personal data, mixing, vector codes
+and the audit of filters.
 
 Nothing else in the package imports this subpackage.
 """

@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tarmac.llm import decontaminate, embeddings, language, linededup, nearcopies, pack, pii, quality, shard, toxicity
+from tarmac.llm import (audit, codes, decontaminate, embeddings, language, linededup, mixing, nearcopies, pack, pii,
+                        quality, shard, toxicity)
 from tarmac.llm.common import importable, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +55,18 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(table(spark, sf_dir, "documents"))
 
 
+def op11_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(table(spark, sf_dir, "documents"), percent=150, max_epochs=2).drop("copies", "source")
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -68,7 +81,8 @@ def _ready(query: QueryFn) -> QueryFn:
 
 QUERIES: dict[str, QueryFn] = {f.__name__: _ready(f) for f in (
     op1_quality, op2_toxicity, op3_near_copies, op4_decontaminate, op5_language, op6_embeddings, op7_shard, op8_pack,
-    op9_line_dedup, op10_pii, pipeline)}
-ORACLES: dict[str, str] = {"op9_line_dedup": linededup.LINE_DEDUP_SQL}
+    op9_line_dedup, op10_pii, op11_mix, op12_vector_codes, op13_filter_audit, pipeline)}
+ORACLES: dict[str, str] = {"op9_line_dedup": linededup.LINE_DEDUP_SQL, "op11_mix": mixing.MIX_SQL,
+                           "op12_vector_codes": codes.CODES_SQL, "op13_filter_audit": audit.AUDIT_SQL}
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

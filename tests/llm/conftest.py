@@ -7,7 +7,8 @@ DOCUMENTS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("
                           T.StructField("n_chars", T.LongType())])
 #: Columns whose names the operators use inside or return.
 CLASHES = ("shard", "slot", "key", "size", "n", "rep", "node", "label", "score", "spans", "items", "n_lines", "piece",
-           "component_id", "kept", "pos", "c0", "_scan", "row", "held_out", "found", "sequence_id")
+           "component_id", "kept", "pos", "c0", "_scan", "row", "held_out", "found", "sequence_id",
+           "src", "part", "target", "taken", "copies", "b", "h", "words", "start", "rest", "first", "good", "toxic", "mask")
 
 
 @pytest.fixture(scope="session")

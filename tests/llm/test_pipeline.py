@@ -37,6 +37,6 @@ def test_entry_lists_every_query(spark):
     import __spark_entry__ as e
 
     names = set(e.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     assert "pipeline" in names and set(e.oracle_sql()) <= names
