@@ -15,6 +15,9 @@ def percent(numerator: str | Column, denominator: str | Column, scale: int = 2)
     return F.round(ratio * F.lit(100.0), scale)
 
 
+_WHOLE = r"^\s*[+-]?[0-9]+\s*$"
+
+
 def coerce_to(c: str | Column, dtype: T.DataType) -> Column:
     """Typed coercion of a raw text value.
 
@@ -25,7 +28,9 @@ def coerce_to(c: str | Column, dtype: T.DataType) -> Column:
     raw = col_of(c)
     if isinstance(dtype, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
         whole = dtype.simpleString()
-        return F.coalesce(raw.try_cast(whole), raw.try_cast("double").try_cast(whole))
+        # Only what reads as a whole number is cast to one: a failed cast throws and catches for every value.
+        return F.when(raw.cast("string").rlike(_WHOLE), raw.try_cast(whole)).otherwise(
+            raw.try_cast("double").try_cast(whole))
     if isinstance(dtype, T.StringType):
         return raw.cast("string")
     return raw.try_cast(dtype.simpleString())

@@ -1,6 +1,6 @@
 """Deterministic de-duplication and latest-row-per-key (SET3, SET4).
 
-Both are one aggregate over the key with ``min``/``max`` of a struct
+The batch forms are one aggregate over the key with ``min``/``max`` of a struct
 that leads with the ordering columns. The aggregate combines partially on the
 map side, so a key that holds a large share of the rows costs one row per
 task in the shuffle (a ``row_number`` window would sort the whole hot key in
@@ -38,3 +38,16 @@ def latest_by(df: DataFrame, key: str | Sequence[str], ts: str) -> DataFrame:
     """The row with the greatest ``ts`` per key."""
     keys = [key] if isinstance(key, str) else list(key)
     return dedupe(df, keys, order=[ts], keep="last")
+
+
+def dedupe_within_watermark(df: DataFrame, keys: Sequence[str], ts: str, watermark: str) -> DataFrame:
+    """One row per ``keys`` of a stream: the first to arrive; later ones go as they arrive.
+
+    The state holds a key until the watermark has passed its event time by the delay, so it is
+    bounded by the events of that span; copies must not be further apart than the watermark's
+    delay. On a batch frame this is :func:`dedupe` by event time.
+    """
+    require_columns(df, *keys, ts)
+    if not df.isStreaming:
+        return dedupe(df, keys, order=[ts])
+    return df.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(list(keys))

@@ -10,7 +10,11 @@ frames the default plan aggregates once per *pane* (a slice of
 ``gcd(duration, slide)``) and then merges the pane aggregates into the
 windows that contain them, so only one small row per pane and key is copied
 instead of every input row. Counts, sums, minima and maxima merge exactly,
-the mean of a fixed-point measure from decimal pane sums; variances merge
+the mean of a fixed-point measure from decimal pane sums. On a stream
+``method="panes"`` chains two stateful aggregates in append mode: a pane goes on to its windows
+when the watermark closes it, and windows close by the same watermark. The state then
+holds each row's pane once instead of each of its windows. A row that is too late for its
+pane is dropped, while the expanded form would still count it in the windows that are open. Variances merge
 from pane counts, means and squared deviations by the parallel-variance
 formula, which does not cancel.
 """
@@ -42,9 +46,7 @@ def _use_panes(df: DataFrame, spec: WindowSpec, method: str, exact: bool = True)
     if method == "expand" or not spec.is_sliding:
         return False
     if df.isStreaming:
-        if method == "panes":
-            raise ValueError("pane aggregation needs two aggregations, which a stream cannot chain here")
-        return False
+        return method == "panes"
     return method == "panes" or exact
 
 
@@ -52,11 +54,13 @@ def _pane(spec: WindowSpec) -> str:
     return f"{math.gcd(spec.duration_seconds, spec.slide_seconds)} seconds"
 
 
-def _merge_window(spec: WindowSpec, pane_col: str = "pane") -> Column:
-    # Every window that contains a pane's start contains the whole pane (both
+def _merge_window(spec: WindowSpec, panes: DataFrame) -> Column:
+    # Every window that contains an instant of a pane contains the whole pane (both
     # are aligned to the pane width), so Spark's own window assignment applied
-    # to the pane start gives exactly the windows the pane belongs to.
-    return spec.column(F.col(f"{pane_col}.start")).alias("window")
+    # to the pane start gives exactly the windows the pane belongs to. On a stream it is
+    # applied to the pane's event time (its last instant), which carries the watermark on
+    # to this second aggregate.
+    return spec.column(F.window_time("pane") if panes.isStreaming else F.col("pane.start")).alias("window")
 
 
 def _merge_spread(a: Column, b: Column) -> Column:
@@ -76,7 +80,7 @@ def window_stats(df: DataFrame, spec: WindowSpec, key: str, measure: str, ts: st
     ``avg_value``, ``std_value``, ``count``. ``mean_decimals`` selects the
     exact fixed-point mean (see :func:`exact_mean`). ``method``: ``"auto"``,
     ``"panes"`` or ``"expand"`` (copy each row into its windows, as Spark's
-    ``window`` does). ``auto`` aggregates sliding windows of a batch frame
+    ``window`` does). ``auto`` expands on a stream and aggregates sliding windows of a batch frame
     per pane when ``mean_decimals`` is given: pane sums are then exact
     decimals, so the mean merges without loss. For plain doubles it keeps
     Spark's expanded form, whose sums add up in input order; ``"panes"``
@@ -101,7 +105,7 @@ def window_stats(df: DataFrame, spec: WindowSpec, key: str, measure: str, ts: st
     )
     # A window's list holds one entry per pane, at most duration / pane width of them.
     spread = F.struct(F.col("p_n").cast("double").alias("n"), F.col("p_mean").alias("mean"), F.col("p_m2").alias("m2"))
-    merged = panes.groupBy(_merge_window(spec), F.col(key)).agg(
+    merged = panes.groupBy(_merge_window(spec, panes), F.col(key)).agg(
         F.min("p_min").alias("mn"), F.max("p_max").alias("mx"), F.sum("p_n").alias("n"),
         F.sum("p_sum").alias("s"), F.collect_list(F.when(F.col("p_n") > 0, spread)).alias("parts"),
     )
@@ -163,7 +167,7 @@ def window_quality(df: DataFrame, spec: WindowSpec, place: StrOrCol, label: StrO
         merges.append(F.max("LONGITUDE").alias("LONGITUDE"))
     if _use_panes(df, spec, method):
         panes = pruned.groupBy(F.window(ts, _pane(spec)).alias("pane"), F.col(place_alias)).agg(*aggs)
-        out = panes.groupBy(_merge_window(spec), F.col(place_alias)).agg(*merges)
+        out = panes.groupBy(_merge_window(spec, panes), F.col(place_alias)).agg(*merges)
     else:
         out = pruned.groupBy(spec.column(ts).alias("window"), F.col(place_alias)).agg(*aggs)
     return out.withColumn("accuracy_percent", percent("correct_predictions", "total_flights", scale))

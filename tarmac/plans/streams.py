@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarmac.functions.scalar import instant_to_ntz, ntz_to_instant
-from tarmac.operators.dedupe import dedupe
+from tarmac.operators.dedupe import dedupe, dedupe_within_watermark
 from tarmac.operators.windows import flatten_window, quality_rows, window_quality, window_stats
 from tarmac.plans.registry import register
 from tarmac.plans.tables import events
@@ -22,7 +22,7 @@ from tarmac.plans.windows import QUALITY, TUMBLING, VALUE_DECIMALS, _stats_sql,
 from tarmac.schema import KEYED_STATISTICS_SCHEMA, WINDOW_QUALITY_SCHEMA
 from tarmac.session import scratch_path
 from tarmac.sinks.payload import from_stat_json, to_stat_json
-from tarmac.sinks.writers import batch_writer, read_upserted, reset_table, upsert_writer
+from tarmac.sinks.writers import batch_writer, fold_upserts, read_upserted, reset_table, upsert_writer
 from tarmac.sources.events import arrival_times, decode_events, encode_events
 from tarmac.sources.results import read_results
 from tarmac.sources.streams import stage_event_batches, stream_table
@@ -34,6 +34,8 @@ QUALITY_KEYS = ["window_start", "window_end", "airport_name"]
 UPSERT_KEYS = ["window_start", "group_value"]
 
 QUALITY_RESULT_SCHEMA = WINDOW_QUALITY_SCHEMA
+CLOSED = "WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 3 MINUTE"
+CLOSED_QUALITY_SQL = quality_sql(QUALITY, CLOSED)
 
 
 def stage_events(spark, sf_dir, tag: str, batches: int = EVENT_BATCHES):
@@ -49,12 +51,12 @@ def _ntz(df, *cols):
     return df.withColumns({c: instant_to_ntz(c) for c in cols})
 
 
-def run_quality_stream(spark, sf_dir, staged=None, checkpoint=None, output=None):
+def run_quality_stream(spark, sf_dir, staged=None, checkpoint=None, output=None, method="auto"):
     root, src, schema, per_batch = staged or stage_events(spark, sf_dir, "quality-stream")
     stream = stream_table(spark, src, schema, max_files=per_batch)
     scored = quality_input(stream).withColumn("ts", ntz_to_instant("ts"))
     q = window_quality(scored, QUALITY, "place", "label", "pred", ts="ts", lat="lat", lon="lon",
-                       watermark=WATERMARK)
+                       watermark=WATERMARK, method=method)
     output = output or f"{root}/output"
     run_to_completion(quality_rows(q), checkpoint or f"{root}/checkpoint-quality",
                       writer=batch_writer(output, fmt="csv"), mode="append",
@@ -64,13 +66,41 @@ def run_quality_stream(spark, sf_dir, staged=None, checkpoint=None, output=None)
 
 @register("stream_window_quality",
           ("STR4", "STR5", "STR7", "STR8", "STR9", "SNK2", "SNK3", "SRC4", "SRC6", "SET2", "SET3", "PRJ14"),
-          sql=quality_sql(QUALITY, "WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 3 MINUTE"))
+          sql=CLOSED_QUALITY_SQL)
 def stream_window_quality(spark, sf_dir):
     _, output = run_quality_stream(spark, sf_dir)
     results = read_results(spark, output, QUALITY_RESULT_SCHEMA, key_as_string="airport_name")
     return _ntz(dedupe(results, QUALITY_KEYS), "window_start", "window_end")
 
 
+@register("stream_sliding_panes", ("STR2", "AGG11", "STR5"), sql=CLOSED_QUALITY_SQL)
+def stream_sliding_panes(spark, sf_dir):
+    """The same windows by two chained stateful aggregates: panes, then the windows that hold them."""
+    _, output = run_quality_stream(spark, sf_dir, method="panes")
+    results = read_results(spark, output, QUALITY_RESULT_SCHEMA, key_as_string="airport_name")
+    return _ntz(results, "window_start", "window_end")
+
+
+@register("stream_deduplicated", ("SET3", "STR4"), sql=CLOSED_QUALITY_SQL)
+def stream_deduplicated(spark, sf_dir):
+    """Every event is delivered twice, the second time two minutes later and often in
+    another micro-batch; the copies go in the stream, before the windows."""
+    root = scratch_path(spark, "twice")
+    ev = events(spark, sf_dir)
+    again = ev.withColumn("arrived", F.col("ts") + F.expr("INTERVAL 2 MINUTES"))
+    twice = ev.withColumn("arrived", F.col("ts")).unionByName(again)
+    per_batch = stage_event_batches(twice, f"{root}/input", "arrived", EVENT_BATCHES)
+    stream = stream_table(spark, f"{root}/input", twice.schema, max_files=per_batch)
+    timed = stream.withColumn("ts", ntz_to_instant("ts"))
+    once = dedupe_within_watermark(timed, ["event_id"], "ts", WATERMARK)
+    # The watermark is set where copies go and holds for the windows too.
+    q = window_quality(quality_input(once), QUALITY, "place", "label", "pred", ts="ts", lat="lat", lon="lon", watermark=None)
+    run_to_completion(quality_rows(q), f"{root}/checkpoint", writer=batch_writer(f"{root}/output"), mode="append",
+                      state_partitions=state_slots(spark))
+    results = read_results(spark, f"{root}/output", QUALITY_RESULT_SCHEMA, key_as_string="airport_name")
+    return _ntz(results, "window_start", "window_end")
+
+
 def run_stats_stream(spark, sf_dir, staged=None, checkpoint=None, table=None, reset=True):
     root, src, schema, per_batch = staged or stage_events(spark, sf_dir, "stats-stream")
     stream = stream_table(spark, src, schema, max_files=per_batch)
@@ -104,11 +134,11 @@ FROM ({_stats_sql(TUMBLING).replace('SELECT ts, event_type, value FROM events',
                                     'SELECT ts, event_type, value * 2 AS value FROM events')})""")
 def stream_upsert_rerun(spark, sf_dir):
     """Two runs into one keyed table, the second on a fresh checkpoint with doubled
-    values and a processing-time trigger. Both fold the table into snapshots on their
-    way, and the last run must win whatever its batch numbers."""
+    values and a processing-time trigger. The table, partitioned by window day, is folded after
+    each of them, and the last run must win whatever its batch numbers."""
     root, src, schema, per_batch = stage_events(spark, sf_dir, "upsert-rerun")
     table = f"{root}/table"
-    reset_table(spark, table, KEYED_STATISTICS_SCHEMA)
+    reset_table(spark, table, KEYED_STATISTICS_SCHEMA, day_of="window_start")
     for run, factor in ((1, 1), (2, 2)):
         stream = stream_table(spark, src, schema, max_files=per_batch)
         rows = stream.select("ts", "event_type", (F.col("value") * factor).alias("value"))
@@ -116,12 +146,13 @@ def stream_upsert_rerun(spark, sf_dir):
                              mean_decimals=VALUE_DECIMALS)
         q = run_stream(to_stat_json(stats, "event_type"), f"{root}/checkpoint-{run}", mode="update",
                        trigger="availableNow" if run == 1 else "1 second", state_partitions=state_slots(spark),
-                       writer=upsert_writer(table, UPSERT_KEYS, transform=from_stat_json, compact_every=3))
+                       writer=upsert_writer(table, UPSERT_KEYS, transform=from_stat_json, day_of="window_start"))
         if run == 1:
             q.awaitTermination()
         else:
             q.processAllAvailable()
             q.stop()
+        fold_upserts(spark, table, UPSERT_KEYS, KEYED_STATISTICS_SCHEMA, "window_start")
     return _ntz(read_upserted(spark, table, UPSERT_KEYS, KEYED_STATISTICS_SCHEMA), "window_start", "window_end")
 
 

@@ -2,18 +2,17 @@
 
 Both writers are ``foreachBatch`` callbacks keyed by the batch id. A batch that
 is re-run after a failure or a restart overwrites exactly its own output, so
-replays never duplicate rows.
+replays never duplicate rows in what is read.
 
-The keyed table is a log: each batch lands in a folder of its own,
-``log/upsert_run=<run>/upsert_batch=<id>`` (a parallel, O(batch) write), and
-the state per key is resolved on read by a map-side-combined max over
-``(run, batch, row)``. Every few batches the state is folded into a snapshot and
-the log entries it covers go, which bounds what a read lists and scans.
+The keyed table is a plain Parquet table. Each batch appends its rows, stamped with the
+time of the write and the batch id, and a read takes the last write per key: one
+``groupBy`` with a ``max`` that combines in the tasks. :func:`fold_upserts` is the
+ordinary job that replaces the appended rows by the last ones, day by day.
 """
 
 from __future__ import annotations
 
-import uuid
+import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,12 +20,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarmac.roles import require_columns
+from tarmac.session import scratch_path
 from tarmac.sources.results import path_has_files
 from tarmac.sources.tables import empty_table
 
 BatchFn = Callable[[DataFrame, int], None]
-RUN_COL = "upsert_run"
-BATCH_COL = "upsert_batch"
+#: When a row was written (microseconds) and by which batch; the day its table partition is named by.
+WRITTEN_COL, BATCH_COL, DAY_COL = "upsert_written", "upsert_batch", "upsert_day"
 
 
 def batch_writer(path: str, fmt: str = "csv", files: int | None = None, skip_empty: bool = True,
@@ -63,128 +63,93 @@ def batch_writer(path: str, fmt: str = "csv", files: int | None = None, skip_emp
     return write
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return hpath, hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+def _stamped(schema: T.StructType, day_of: str | None) -> T.StructType:
+    day = [T.StructField(DAY_COL, T.DateType())] if day_of else []
+    return T.StructType([*schema.fields, T.StructField(WRITTEN_COL, T.LongType()),
+                         T.StructField(BATCH_COL, T.LongType()), *day])
 
 
-def _log(path: str) -> str:
-    return f"{path.rstrip('/')}/log"
+def _save(rows: DataFrame, path: str, mode: str, day_of: str | None, overwrite: str = "static") -> None:
+    w = rows.write.mode(mode).option("partitionOverwriteMode", overwrite)
+    (w.partitionBy(DAY_COL) if day_of else w).parquet(path)
 
 
-def _list(spark: SparkSession, path: str) -> list[str]:
-    """Names of the folders under ``path``; none if it does not exist."""
-    hpath, fs = _fs(spark, path)
-    return [st.getPath().getName() for st in fs.listStatus(hpath) if st.isDirectory()] if fs.exists(hpath) else []
-
-
-def _entries(spark: SparkSession, path: str) -> list[tuple[int, int]]:
-    """(run, batch) of every log entry."""
-    runs = [int(r.split("=", 1)[1]) for r in _list(spark, _log(path)) if r.startswith(RUN_COL)]
-    return [(r, int(b.split("=", 1)[1])) for r in runs for b in _list(spark, f"{_log(path)}/{RUN_COL}={r}")
-            if b.startswith(BATCH_COL)]
-
-
-def snapshots(spark: SparkSession, path: str) -> list[tuple[int, int, str]]:
-    """(run, batch, folder) of every complete snapshot (one with ``_SUCCESS``), oldest first."""
-    found = []
-    for name in _list(spark, f"{path.rstrip('/')}/snapshot"):
-        folder = f"{path.rstrip('/')}/snapshot/{name}"
-        done, fs = _fs(spark, f"{folder}/_SUCCESS")
-        if fs.exists(done):
-            run, batch, _ = name.split("_", 2)
-            found.append((int(run), int(batch), folder))
-    return sorted(found)
-
-
-def _next_run(spark: SparkSession, path: str) -> int:
-    seen = [r for r, _ in _entries(spark, path)] + [r for r, *_ in snapshots(spark, path)]
-    return max(seen, default=-1) + 1
-
-
-def reset_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
+def reset_table(spark: SparkSession, path: str, schema: T.StructType, day_of: str | None = None) -> None:
     """Drop the keyed table at ``path`` and recreate it empty with ``schema``."""
-    hpath, fs = _fs(spark, path)
-    if fs.exists(hpath):
-        fs.delete(hpath, True)
-    empty_table(spark, schema).write.mode("overwrite").parquet(f"{_log(path)}/{RUN_COL}=0/{BATCH_COL}=-1")
+    _save(empty_table(spark, _stamped(schema, day_of)), path, "overwrite", day_of)
 
 
 def upsert_writer(path: str, keys: Sequence[str], transform: Callable[[DataFrame], DataFrame] | None = None,
                   spark: SparkSession | None = None, reset_schema: T.StructType | None = None,
-                  compact_every: int | None = 50) -> BatchFn:
-    """``foreachBatch`` callback appending each batch to the keyed log at ``path``.
-
-    ``keys`` is the upsert key (checked on every batch); last write wins. The
-    order of writes is (run, batch): every writer is a run of its own, one
-    above all runs in the table, so a query on a fresh checkpoint, whose
-    batches count from 0 again, writes after everything before it. Every
-    ``compact_every`` batches the state is folded into a snapshot and the log
-    entries it covers are removed. ``reset_schema`` (with ``spark``) drops and
-    recreates the table before the first batch. One writer runs at a time.
+                  day_of: str | None = None) -> BatchFn:
+    """``foreachBatch`` callback appending each batch to the keyed table at ``path``.
+
+    ``keys`` is the upsert key (checked on every batch); the last write wins, by the
+    driver's clock and then by batch id, so a query on a fresh checkpoint writes after
+    all before it. A batch that is run again appends the same rows with a later stamp, which
+    changes nothing that is read. ``day_of`` names a timestamp of the key by whose UTC day the table is
+    partitioned, so that reads of some days and folds touch only those. ``reset_schema`` (with
+    ``spark``) drops and recreates the table first. One writer runs at a time.
     """
     keys = list(keys)
+    if day_of is not None and day_of not in keys:
+        raise ValueError("day_of must be part of the key, so that a key stays in one day")
     if reset_schema is not None:
         if spark is None:
             raise ValueError("reset needs the session")
-        reset_table(spark, path, reset_schema)
-    run: list[int] = []
+        reset_table(spark, path, reset_schema, day_of)
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
         out = transform(batch_df) if transform else batch_df
         require_columns(out, *keys)
-        session = out.sparkSession
-        if not run:
-            run.append(_next_run(session, path))
-        out.write.mode("overwrite").parquet(f"{_log(path)}/{RUN_COL}={run[0]}/{BATCH_COL}={batch_id}")
-        if compact_every and (batch_id + 1) % compact_every == 0:
-            compact_upserts(session, path, keys, out.schema, (run[0], batch_id))
+        out = out.withColumns({WRITTEN_COL: F.lit(time.time_ns() // 1000), BATCH_COL: F.lit(batch_id).cast("long")})
+        if day_of:
+            out = out.withColumn(DAY_COL, F.date_from_unix_date(F.floor(F.unix_timestamp(day_of) / 86400).cast("int")))
+        _save(out, path, "append", day_of)
 
     return write
 
 
+def _last(rows: DataFrame, keys: Sequence[str], schema: T.StructType, by: Sequence[str] = ()) -> DataFrame:
+    rest = [f.name for f in schema.fields if f.name not in keys]
+    return rows.groupBy(*keys, *by).agg(F.max(F.struct(WRITTEN_COL, BATCH_COL, *rest)).alias("_row"))
+
+
 def read_upserted(spark: SparkSession, path: str, keys: Sequence[str], schema: T.StructType) -> DataFrame:
     """Current state of the keyed table: per key, the row of the latest write.
 
-    Reads the newest complete snapshot plus the log entries after it. Ties
-    inside one batch are broken by the row values, so the result never depends
+    Ties inside one batch are broken by the row values, so the result never depends
     on arrival order within a batch.
     """
     keys = list(keys)
-    rest = [f.name for f in schema.fields if f.name not in keys]
-    order = [T.StructField(RUN_COL, T.LongType()), T.StructField(BATCH_COL, T.LongType())]
-    rows = empty_table(spark, T.StructType([*schema.fields, *order]))
-    done = snapshots(spark, path)
-    after = done[-1][:2] if done else (-1, -1)
-    if done:
-        at_run, at_batch, folder = done[-1]
-        rows = spark.read.schema(schema).parquet(folder) \
-            .withColumns({RUN_COL: F.lit(at_run).cast("long"), BATCH_COL: F.lit(at_batch).cast("long")})
-    if path_has_files(spark, _log(path)):
-        log = spark.read.schema(T.StructType([*schema.fields, *order])).parquet(_log(path))
-        rows = rows.unionByName(log.filter((F.col(RUN_COL) > after[0]) | ((F.col(RUN_COL) == after[0])
-                                                                          & (F.col(BATCH_COL) > after[1]))))
-    latest = rows.groupBy(*keys).agg(F.max(F.struct(RUN_COL, BATCH_COL, *rest)).alias("_row"))
-    return latest.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in schema.fieldNames()])
-
-
-def compact_upserts(spark: SparkSession, path: str, keys: Sequence[str], schema: T.StructType,
-                    as_of: tuple[int, int]) -> str:
-    """Fold the state into a snapshot ``as_of`` (run, batch), the last write it covers.
-
-    It is written to a folder of its own, so a replayed compaction never
-    overwrites what it reads, and counts once its ``_SUCCESS`` marker exists. Then the
-    log entries it covers go, and all older snapshots but one; a reader that had
-    listed them has to read again.
+    rows = empty_table(spark, _stamped(schema, None))
+    if path_has_files(spark, path):
+        rows = spark.read.schema(rows.schema).parquet(path)
+    return _last(rows, keys, schema).select(
+        *[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in schema.fieldNames()])
+
+
+def fold_upserts(spark: SparkSession, path: str, keys: Sequence[str], schema: T.StructType, day_of: str,
+                 days: Sequence[str] | None = None) -> None:
+    """Leave one row per key in the keyed table, partitioned by the day of ``day_of``.
+
+    An ordinary batch job for times when no stream writes: the last rows, with their stamps, are
+    written to the shared scratch folder and from there over the days they belong to (dynamic partition
+    overwrite). ``days`` (``yyyy-mm-dd``) restricts it to some days, which the scan prunes to.
     """
-    target = f"{path.rstrip('/')}/snapshot/{as_of[0]}_{as_of[1]}_{uuid.uuid4().hex}"
-    read_upserted(spark, path, keys, schema).write.parquet(target)
-    covered = [f"{_log(path)}/{RUN_COL}={r}/{BATCH_COL}={b}" for r, b in _entries(spark, path) if (r, b) <= as_of]
-    for old in [*covered, *(folder for *_, folder in snapshots(spark, path)[:-2])]:
-        hpath, fs = _fs(spark, old)
-        fs.delete(hpath, True)
-    return target
+    if not path_has_files(spark, path):
+        return
+    stamped = _stamped(schema, day_of)
+    rows = spark.read.schema(stamped).parquet(path)
+    if days is not None:
+        rows = rows.where(F.col(DAY_COL).isin([F.lit(d).cast("date") for d in days]))
+    keys = list(keys)
+    last = _last(rows, keys, schema, [DAY_COL]).select(
+        *[F.col(c) if c in (*keys, DAY_COL) else F.col(f"_row.{c}").alias(c) for c in stamped.fieldNames()])
+    folded = scratch_path(spark, "folded")
+    last.write.parquet(folded)
+    # One task for each day, or a few for a large one, so that a fold leaves few files.
+    _save(spark.read.schema(stamped).parquet(folded).repartition(DAY_COL), path, "overwrite", day_of, "dynamic")
 
 
 def save_model(model, path: str) -> str:

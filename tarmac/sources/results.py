@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import csv
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,18 +27,51 @@ def path_has_files(spark: SparkSession, path: str) -> bool:
     return False
 
 
+def headers_of(spark: SparkSession, path: str, sep: str = ",") -> list[tuple[list[str], list[str]]]:
+    """The different headers of the CSV files below ``path``, each with its files in order.
+
+    The first line of every file is found by one distributed scan of the text. What reaches the driver is
+    a line and a path a file, as a listing of the folder has.
+    """
+    lines = (spark.read.option("recursiveFileLookup", True).text(path)
+             .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
+             .where("at = 0 AND trim(value) <> ''"))
+    # The split that starts a file has its first line first, and only that split is left.
+    first = lines.groupBy("file").agg(F.first("value").alias("header"))
+    groups: dict[str, list[str]] = {}
+    for r in first.orderBy("header", "file").toLocalIterator():
+        groups.setdefault(r.header, []).append(unquote(r.file))  # a path again, not a URI
+    return [(next(csv.reader([header], delimiter=sep), []), files) for header, files in groups.items()]
+
+
 def read_results(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv",
                  key_as_string: str | None = None) -> DataFrame:
     """Union of every result file below ``path`` (any depth, e.g. ``batch_<id>``
     folders), read with a declared schema so window bounds come back as
     timestamps. No files yields an empty frame with that schema.
+
+    Columns are bound by name, also across CSV files with different headers: files of one
+    header are read together, the groups are united by name, a column that a file lacks is NULL
+    and one that the schema does not name is left out. Files without any line have no rows.
     """
     if not path_has_files(spark, path):
         return empty_table(spark, schema)
-    reader = spark.read.format(fmt).schema(schema).option("recursiveFileLookup", True)
     if fmt == "csv":
-        reader = reader.option("header", True)
-    df = reader.load(path)
+        df = _union_by_name(spark, path, schema)
+    else:
+        df = spark.read.format(fmt).schema(schema).option("recursiveFileLookup", True).load(path)
     if key_as_string:
         df = df.withColumn(key_as_string, F.col(key_as_string).cast("string"))
     return df
+
+
+def _union_by_name(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    types = {f.name: f.dataType for f in schema.fields}
+    out = empty_table(spark, schema)
+    for header, files in headers_of(spark, path):
+        # In the order of this header; what the schema does not name is read as text, under a name of its own, and dropped.
+        bound = T.StructType([T.StructField(c if c in types else f"_unnamed_{i}", types.get(c, T.StringType()))
+                              for i, c in enumerate(header)])
+        part = spark.read.schema(bound).option("header", True).csv(files)
+        out = out.unionByName(part.select(*(c for c in header if c in types)), allowMissingColumns=True)
+    return out

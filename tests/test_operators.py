@@ -182,15 +182,19 @@ def test_pane_windows_equal_expanded_windows(spark, duration, slide):
     assert qa.exceptAll(qb.select(*qa.columns)).count() == 0 and qa.count() == qb.count()
 
 
-def test_pane_method_rejected_on_streams(spark, tmp_dir):
+def test_panes_on_streams_are_chained(spark, tmp_dir):
     from tarmac.operators.windows import window_stats
 
     spark.range(3).selectExpr("timestamp_seconds(id) AS ts", "'a' AS k", "1.0 AS v").write.parquet(tmp_dir + "/p")
     stream = spark.readStream.schema("ts timestamp, k string, v double").parquet(tmp_dir + "/p")
-    with pytest.raises(ValueError):
-        window_stats(stream, WindowSpec("10 seconds", "5 seconds"), "k", "v", ts="ts", method="panes")
-    # auto falls back to the expanded form on a stream
-    assert window_stats(stream, WindowSpec("10 seconds", "5 seconds"), "k", "v", ts="ts").isStreaming
+    spec = WindowSpec("10 seconds", "5 seconds")
+
+    def aggregates(method):
+        df = window_stats(stream, spec, "k", "v", ts="ts", watermark="1 minute", method=method)
+        assert df.isStreaming
+        return df._jdf.queryExecution().analyzed().toString().count("Aggregate [")
+
+    assert aggregates("panes") == 2 and aggregates("auto") == aggregates("expand") == 1
 
 
 @pytest.mark.parametrize("method", ["panes", "expand"])

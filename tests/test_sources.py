@@ -124,3 +124,48 @@ def test_missing_kafka_connector_is_explained(spark):
 
     with pytest.raises(RuntimeError, match="Kafka connector"):
         read_topic(spark, topic_options("localhost:9", "flights_topic"))
+
+
+def test_results_are_bound_by_name_across_headers(spark, tmp_dir):
+    """Files with other column orders, a missing and an unknown column, a quoted name, a header alone, nothing at all."""
+    folder = os.path.join(tmp_dir, "batch 1")
+    os.makedirs(folder)
+    files = {"a.csv": "place,LATITUDE,n\nx,20.5,1\ny,,2\n", "b.csv": "n,place,LATITUDE\n3,z,1.5\n", "c.csv": "n,place\n4,w\n",
+             "d.csv": '"LATITUDE","extra, one",place,n\n9.0,what,"q,r",5\n', "e.csv": "place,n\n", "f.csv": "",
+             "g.csv": "\nplace,LATITUDE,n\nv,7.0,6\n"}
+    for name, text in files.items():
+        with open(os.path.join(folder, name), "w") as fh:
+            fh.write(text)
+    from tarmac.sources.results import headers_of
+
+    got = read_results(spark, tmp_dir, spark.createDataFrame([], "place string, LATITUDE double, n int").schema)
+    assert got.columns == ["place", "LATITUDE", "n"]
+    assert sorted(map(tuple, got.collect()), key=lambda r: r[2]) == [
+        ("x", 20.5, 1), ("y", None, 2), ("z", 1.5, 3), ("w", None, 4), ("q,r", 9.0, 5), ("v", 7.0, 6)]
+    assert len(headers_of(spark, tmp_dir)) == 5
+
+
+def test_large_result_file_has_one_header(spark, tmp_dir):
+    """A file of several splits: only the first line of the first one is a header."""
+    spark.range(200_000).selectExpr("id", "id % 7 AS b").coalesce(1).write.option("header", True).csv(tmp_dir + "/r")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
+    try:
+        got = read_results(spark, tmp_dir + "/r", spark.createDataFrame([], "b long, id long").schema)
+        assert got.agg(F.count("*"), F.sum("id"), F.sum("b")).first()[:2] == (200_000, 199_999 * 100_000)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_coercion_of_odd_numbers(spark):
+    from pyspark.sql import types as T
+
+    from tarmac.functions.scalar import coerce_to
+
+    df = spark.createDataFrame([(x,) for x in ("17", " 17 ", "-3.9", "+4", "9007199254740993", "1e3", "", " ", "x", None, "99999999999999999999",
+                                               "3000000000", "NaN", "0017", "1_0")], "s string")
+    got = df.select(coerce_to("s", T.LongType()).alias("l"), coerce_to("s", T.IntegerType()).alias("i")).collect()
+    assert [r.l for r in got] == [17, 17, -3, 4, 9007199254740993, 1000, None, None, None, None, None, 3000000000, None, 17, None]
+    assert [r.i for r in got] == [17, 17, -3, 4, None, 1000, None, None, None, None, None, None, None, 17, None]
+    numbers = spark.createDataFrame([(2.9, 5, True)], "d double, l long, b boolean")
+    assert tuple(numbers.select(*(coerce_to(c, T.IntegerType()) for c in numbers.columns)).first()) == (2, 5, 1)

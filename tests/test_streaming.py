@@ -142,64 +142,66 @@ def state(spark, path):
     return sorted(tuple(r) for r in read_upserted(spark, path, ["k"], KV).collect())
 
 
-def log_entries(path):
-    return sorted(b for _, names, _ in os.walk(os.path.join(path, "log")) for b in names if b.startswith("upsert_batch"))
+DAYS = T.StructType([T.StructField("at", T.TimestampType()), T.StructField("k", T.StringType()),
+                     T.StructField("v", T.LongType())])
 
 
-def test_upsert_log_compaction(spark, tmp_dir):
-    from tarmac.sinks.writers import snapshots, upsert_writer
+def test_upsert_last_write_wins_and_replays_change_nothing(spark, tmp_dir):
+    from tarmac.sinks.writers import upsert_writer
 
     path = os.path.join(tmp_dir, "table")
-    w = upsert_writer(path, ["k"], spark=spark, reset_schema=KV, compact_every=2)
-    for batch_id in range(5):
-        rows = [("a", batch_id), ("b", 10 + batch_id)] if batch_id % 2 == 0 else [("a", 100 + batch_id)]
-        if batch_id == 4:
-            rows = [("c", 7)]
-        w(spark.createDataFrame(rows, KV), batch_id)
-    assert [b for _, b, _ in snapshots(spark, path)] == [1, 3]
-    assert log_entries(path) == ["upsert_batch=4"]  # what a snapshot covers is gone
+    w = upsert_writer(path, ["k"], spark=spark, reset_schema=KV)
+    assert state(spark, path) == []
+    for batch_id in range(4):
+        w(spark.createDataFrame([("a", batch_id), ("b", 10 + batch_id)] if batch_id % 2 == 0 else [("a", 100)], KV), batch_id)
     got = state(spark, path)
-    assert got == [("a", 103), ("b", 12), ("c", 7)]
-    # replaying a batch rewrites only its own entry
-    w(spark.createDataFrame([("c", 7)], KV), 4)
+    assert got == [("a", 100), ("b", 12)]
+    w(spark.createDataFrame([("a", 100)], KV), 3)
     assert state(spark, path) == got
+    # Two rows of one key in one batch: the larger one, whatever their order.
+    w(spark.createDataFrame([("a", 5), ("a", 7)], KV).repartition(2), 4)
+    assert state(spark, path) == [("a", 7), ("b", 12)]
 
 
-def test_fresh_checkpoint_writes_after_a_snapshot(spark, tmp_dir):
+def test_fresh_checkpoint_writes_last(spark, tmp_dir):
     from tarmac.sinks.writers import upsert_writer
 
     path = os.path.join(tmp_dir, "table")
-    first = upsert_writer(path, ["k"], spark=spark, reset_schema=KV, compact_every=2)
-    for batch_id in range(2):
+    first = upsert_writer(path, ["k"], spark=spark, reset_schema=KV)
+    for batch_id in range(3):
         first(spark.createDataFrame([("a", batch_id)], KV), batch_id)
-    second = upsert_writer(path, ["k"], spark=spark, compact_every=2)  # batches count from 0 again
+    second = upsert_writer(path, ["k"], spark=spark)  # batches count from 0 again
     second(spark.createDataFrame([("a", 999), ("new", 1)], KV), 0)
     assert state(spark, path) == [("a", 999), ("new", 1)]
 
 
-def test_old_higher_batch_does_not_win(spark, tmp_dir):
-    from tarmac.sinks.writers import upsert_writer
+def test_fold_leaves_one_row_a_key_and_touches_only_its_days(spark, tmp_dir):
+    import datetime as dt
 
-    path = os.path.join(tmp_dir, "table")
-    first = upsert_writer(path, ["k"], spark=spark, reset_schema=KV, compact_every=None)
-    for batch_id in range(3):
-        first(spark.createDataFrame([("a", batch_id)], KV), batch_id)
-    upsert_writer(path, ["k"], spark=spark, compact_every=None)(spark.createDataFrame([("a", 777)], KV), 0)
-    assert state(spark, path) == [("a", 777)]
+    from tarmac.sinks.writers import fold_upserts, reset_table, upsert_writer
 
+    path, keys = os.path.join(tmp_dir, "table"), ["at", "k"]
+    day = lambda d, h=0: dt.datetime(2024, 1, d, h, tzinfo=dt.timezone.utc)
+    reset_table(spark, path, DAYS, day_of="at")
+    w = upsert_writer(path, keys, day_of="at")
+    for batch_id in range(3):
+        w(spark.createDataFrame([(day(1), "a", batch_id), (day(1, 23), "a", 9), (day(2), "b", batch_id * 2)], DAYS), batch_id)
+    read = lambda: sorted((r.k, r.v) for r in read_upserted(spark, path, keys, DAYS).collect())
+    raw = lambda: spark.read.parquet(path).groupBy("upsert_day").count().orderBy("upsert_day").collect()
+    want = [("a", 2), ("a", 9), ("b", 4)]
+    assert read() == want and [r["count"] for r in raw()] == [6, 3]
+    fold_upserts(spark, path, keys, DAYS, "at", days=["2024-01-01"])
+    assert read() == want and [r["count"] for r in raw()] == [2, 3]
+    fold_upserts(spark, path, keys, DAYS, "at")
+    assert read() == want and [r["count"] for r in raw()] == [2, 1]
+    w(spark.createDataFrame([(day(1), "a", -1)], DAYS), 0)  # after a fold, on a fresh checkpoint
+    assert read() == [("a", -1), ("a", 9), ("b", 4)]
+    reset_table(spark, path, DAYS, day_of="at")
+    assert read() == []
+    import pytest
 
-def test_replayed_compaction_batch(spark, tmp_dir):
-    from tarmac.sinks.writers import snapshots, upsert_writer
-
-    path = os.path.join(tmp_dir, "table")
-    w = upsert_writer(path, ["k"], spark=spark, reset_schema=KV, compact_every=2)
-    w(spark.createDataFrame([("a", 0), ("b", 5)], KV), 0)
-    for _ in range(3):
-        w(spark.createDataFrame([("a", 1)], KV), 1)
-        assert state(spark, path) == [("a", 1), ("b", 5)]
-    assert len(snapshots(spark, path)) <= 2
-    w(spark.createDataFrame([("b", 6)], KV), 2)
-    assert state(spark, path) == [("a", 1), ("b", 6)]
+    with pytest.raises(ValueError):
+        upsert_writer(path, ["k"], day_of="at")
 
 
 def test_staged_files_scale_with_input(spark, tmp_dir):
