@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.ml.evaluate import evaluate
+from tarmac.ml.indexing import TableIndexer
 from tarmac.ml.sampling import hash_split, undersample
 from tarmac.operators.clean import prepare_features
 from tarmac.schema import DEFAULT_THRESHOLD, PREDICTION_COL
@@ -45,9 +46,9 @@ def classifier_for(kind: str | Estimator, label: str, seed: int = 42) -> Estimat
 
 
 def build_pipeline(numeric: Sequence[str], categorical: Sequence[str], label: str,
-                   classifier: str | Estimator = "gbt", seed: int = 42) -> Pipeline:
-    """Index categories (by frequency; unseen and NULL share one extra index),
-    assemble numeric + indexed inputs (rows with invalid values skipped),
+                   classifier: str | Estimator = "gbt", seed: int = 42, large: Sequence[str] = ()) -> Pipeline:
+    """Index categories (by frequency; unseen and NULL share one extra index; those named in
+    ``large``, of any cardinality, by a :class:`TableIndexer`, the others by StringIndexer), assemble numeric + indexed inputs (rows with invalid values skipped),
     standardise to mean 0 / std 1, then classify.
 
     The scaler stays before the trees on purpose: it drops the nominal
@@ -55,7 +56,8 @@ def build_pipeline(numeric: Sequence[str], categorical: Sequence[str], label: st
     ordered values instead of exceeding the tree's bin limit.
     """
     indexed = [f"{c}_indexed" for c in categorical]
-    stages = [StringIndexer(inputCol=c, outputCol=o, handleInvalid="keep") for c, o in zip(categorical, indexed)]
+    stages = [TableIndexer(inputCol=c, outputCol=o) if c in large else
+              StringIndexer(inputCol=c, outputCol=o, handleInvalid="keep") for c, o in zip(categorical, indexed)]
     stages.append(VectorAssembler(inputCols=[*numeric, *indexed], outputCol=UNSCALED, handleInvalid="skip"))
     stages.append(StandardScaler(inputCol=UNSCALED, outputCol=FEATURES, withMean=True, withStd=True))
     stages.append(classifier_for(classifier, label, seed))
@@ -74,6 +76,19 @@ def with_threshold(model: PipelineModel, threshold: float = DEFAULT_THRESHOLD) -
     return model
 
 
+def without_summary(model: PipelineModel) -> PipelineModel:
+    """Let go of the training summaries of a fitted pipeline.
+
+    A summary holds the scored training rows and their session, and travels with the model to every
+    task. A session that has observed a query (``stage_observed``) cannot be shipped, so
+    a model with a summary could no longer score.
+    """
+    for stage in model.stages:
+        if getattr(stage, "hasSummary", False):
+            stage._java_obj.setSummary(SparkSession.getActiveSession().sparkContext._jvm.scala.Option.empty())
+    return model
+
+
 def decide(score: str | Column, threshold: float = DEFAULT_THRESHOLD) -> Column:
     """The thresholded decision as a 0.0/1.0 prediction, from a positive-class score."""
     s = F.col(score) if isinstance(score, str) else score
@@ -98,7 +113,7 @@ class TrainResult:
 def train_model(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], label: str, key: str | None,
                 classifier: str | Estimator = "gbt", threshold: float = DEFAULT_THRESHOLD,
                 weights: Sequence[float] = (0.8, 0.2), ratio: float = 3.0, hash_method: str = "xxhash64",
-                seed: int = 42) -> tuple[TrainResult, DataFrame]:
+                seed: int = 42, large: Sequence[str] = ()) -> tuple[TrainResult, DataFrame]:
     """Prepare, split by key hash (``key=None``: whole-row hash), undersample
     the majority, fit, set the threshold and evaluate on the hold-out. Returns
     the result and the scored hold-out rows."""
@@ -110,10 +125,10 @@ def train_model(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str
     balanced = balanced.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         n_train = balanced.count()
-        model = build_pipeline(numeric, categorical, label, classifier, seed).fit(balanced)
+        model = build_pipeline(numeric, categorical, label, classifier, seed, large).fit(balanced)
     finally:
         balanced.unpersist()
-    with_threshold(model, threshold)
+    with_threshold(without_summary(model), threshold)
     scored = model.transform(test)
     area, f1 = evaluate(scored, label, positive_probability(), "prediction")  # one pass over the hold-out
     result = TrainResult(model=model, sample_fraction=fraction, auc=area, f1=f1, n_train=n_train)

@@ -6,14 +6,15 @@ that any SQL engine can reproduce them; the library default is ``xxhash64``.
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tarmac.functions.scalar import event_time_of, instant_to_ntz
 from tarmac.ml.evaluate import auc, weighted_f1
-from tarmac.ml.indexing import frequency_index
-from tarmac.ml.model import decide, score, train_model
+from tarmac.ml.indexing import TableIndexer, frequency_index
+from tarmac.ml.model import decide, load_model, score, train_model
 from tarmac.ml.sampling import SAMPLE_SEED, SPLIT_SEED, hash_split, split_column, undersample
 from tarmac.operators.clean import prepare_features
 from tarmac.operators.dedupe import dedupe
@@ -80,6 +81,42 @@ def user_frequency_index(spark, sf_dir):
     return frequency_index(events(spark, sf_dir), "user_id", "index")
 
 
+@register("saved_user_index", ("ML3", "ML8", "SNK6"), sql="""
+WITH f AS (SELECT user_id::VARCHAR AS v, count(*) AS c FROM events WHERE event_id % 2 = 0 GROUP BY 1),
+idx AS (SELECT v, (row_number() OVER (ORDER BY c DESC, v ASC) - 1)::DOUBLE AS i FROM f)
+SELECT event_id, coalesce(i, (SELECT count(*) FROM idx)::DOUBLE) AS user_indexed, value
+FROM events LEFT JOIN idx ON user_id::VARCHAR = v
+""")
+def saved_user_index(spark, sf_dir):
+    """A pipeline that indexes user ids, fitted on every second event, saved, loaded and applied to all: the
+    fitted index is a table, and users that it has not seen share the extra index."""
+    ev = events(spark, sf_dir).select("event_id", "value", F.col("user_id").cast("string").alias("user"))
+    path = scratch_path(spark, "user-index")
+    stages = [TableIndexer("user", "user_indexed"), VectorAssembler(inputCols=["value", "user_indexed"], outputCol="features")]
+    save_model(Pipeline(stages=stages).fit(ev.where("event_id % 2 = 0")), path)
+    out = load_model(spark, path).transform(ev)
+    return out.select("event_id", vector_to_array("features")[1].alias("user_indexed"), "value")
+
+
+CLASSIFIERS = ["lr", "rf", "rf_shallow"]
+
+
+@register("classifier_predictions", ("ML7", "ML6", "ML9"), sql=f"""
+SELECT kind, event_id, (hour(ts) < 12)::INTEGER AS label, (hour(ts) < 12)::INTEGER::DOUBLE AS predicted_delay
+FROM events, (VALUES ('lr'), ('rf'), ('rf_shallow')) c(kind) WHERE {sql_unit('event_id', SPLIT_SEED)} >= 0.8
+""")
+def classifier_predictions(spark, sf_dir):
+    """The other classifiers on inputs that each say which half of the day it is, so that every one of them, whichever
+    inputs its trees are given, must learn the label."""
+    ev = event_features(events(spark, sf_dir)).withColumns({
+        "early": F.col(LABEL), "late": 1 - F.col(LABEL), "half": F.when(F.col(LABEL) == 1, "am").otherwise("pm")})
+    parts = []
+    for kind in CLASSIFIERS:
+        _, held = train_model(ev, ["early", "late"], ["half"], LABEL, "event_id", classifier=kind, hash_method="md5")
+        parts.append(held.select(F.lit(kind).alias("kind"), "event_id", LABEL, F.col("prediction").alias("predicted_delay")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @register("standardized_price", "ML5", sql=f"""
 SELECT l_orderkey, l_linenumber,
        {sql_round('(l_extendedprice - avg(l_extendedprice) OVER ()) / stddev_samp(l_extendedprice) OVER ()', 6)}

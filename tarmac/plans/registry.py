@@ -45,7 +45,7 @@ def register(name: str, ids: str | tuple[str, ...], sql: str | None = None, head
 
 def all_queries() -> dict[str, Query]:
     # Importing the plan modules fills the registry.
-    from tarmac.plans import batch, ml, prep, reporting, streams, windows  # noqa: F401
+    from tarmac.plans import batch, live, ml, prep, reporting, streams, windows  # noqa: F401
 
     return dict(_QUERIES)
 

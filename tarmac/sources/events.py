@@ -19,13 +19,9 @@ from tarmac.roles import col_of
 from tarmac.session import ensure_checkpoint_dir
 
 
-def arrival_times(df: DataFrame, start: int, interval: float = 1.0, order_by: Sequence[str] = (),
-                  ts_name: str = "timestamp") -> DataFrame:
-    """Stamp each row with the epoch second at which a producer would send it.
-
-    Row ``i`` gets ``floor(start + i * interval)``. Rows are numbered in the order
-    of ``order_by``, or as the table is read, without gathering them: within each
-    partition by Spark's own row ids, across partitions by their sizes (one small
+def number_rows(df: DataFrame, order_by: Sequence[str] = (), row_name: str = "row") -> DataFrame:
+    """Number the rows from 0 in the order of ``order_by``, or as the table is read, without gathering
+    them: within each partition by Spark's own row ids, across partitions by their sizes (one small
     row for each partition). The table is checkpointed first, so that both passes see
     the same partitions.
     """
@@ -37,8 +33,39 @@ def arrival_times(df: DataFrame, start: int, interval: float = 1.0, order_by: Se
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     row = F.col("_offset") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
-    stamp = F.floor(F.lit(float(start)) + row * F.lit(float(interval))).cast("long")
-    return placed.join(offsets, "_part").withColumn(ts_name, stamp).drop("_part", "_id", "_offset")
+    return placed.join(offsets, "_part").withColumn(row_name, row).drop("_part", "_id", "_offset")
+
+
+def arrival_times(df: DataFrame, start: int, interval: float = 1.0, order_by: Sequence[str] = (),
+                  ts_name: str = "timestamp") -> DataFrame:
+    """Stamp each row with the epoch second at which a producer would send it:
+    row ``i`` (see :func:`number_rows`) gets ``floor(start + i * interval)``."""
+    return number_rows(df, order_by, "_row").withColumn(ts_name, send_time("_row", start, interval)).drop("_row")
+
+
+def send_time(row: str | Column, start: int, interval: float = 1.0) -> Column:
+    """The epoch second at which a producer that began at ``start`` sends row ``row``."""
+    return F.floor(F.lit(float(start)) + col_of(row) * F.lit(float(interval))).cast("long")
+
+
+def paced_rows(numbered: DataFrame, rows_per_batch: int, row_name: str = "row", first: int = 0,
+               partitions: int | None = None) -> DataFrame:
+    """A live replay of a numbered table: every micro-batch delivers the next ``rows_per_batch`` rows.
+
+    The clock is Spark's ``rate-micro-batch`` source, whose offsets are in the checkpoint, so that a
+    resumed replay goes on with the next rows; the pace is ``rows_per_batch`` times the query's trigger. Its
+    counter is joined with the table (a stream-static join). The counter's rows, at most ``rows_per_batch``,
+    are what is broadcast; the table is scanned by every micro-batch and never shuffled, so write it as
+    Parquet sorted by its number (as :func:`number_rows` leaves it), and take batches that are a
+    fair part of it. Rows before ``first`` are left out. When the table is through, batches are empty.
+    """
+    if not 0 < rows_per_batch <= 5_000_000:
+        raise ValueError("rows_per_batch must be between 1 and 5,000,000: the counter's rows are broadcast")
+    spark = numbered.sparkSession
+    clock = (spark.readStream.format("rate-micro-batch").option("rowsPerBatch", rows_per_batch)
+             .option("numPartitions", partitions or spark.sparkContext.defaultParallelism).load()
+             .select((F.col("value") + first).alias(row_name)))
+    return F.broadcast(clock).join(numbered, row_name)
 
 
 def encode_events(df: DataFrame, schema: T.StructType | None = None, ts_col: str | Column | None = None,

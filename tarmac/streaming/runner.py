@@ -7,6 +7,7 @@ replaying from the start.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -32,7 +33,7 @@ def with_event_time(df: DataFrame, ts: str, watermark: str | None) -> DataFrame:
 def run_stream(df: DataFrame, checkpoint: str, writer: Callable[[DataFrame, int], None] | None = None,
                mode: str = "append", trigger: str = "availableNow", fmt: str | None = None,
                path: str | None = None, options: dict | None = None, name: str | None = None,
-               state_partitions: int | None = None) -> StreamingQuery:
+               state_partitions: int | None = None, state_conf: dict[str, str] | None = None) -> StreamingQuery:
     """Start ``df`` towards a ``foreachBatch`` ``writer`` or a ``fmt`` sink.
 
     ``trigger``: ``"availableNow"`` (process what is there, then stop),
@@ -40,7 +41,8 @@ def run_stream(df: DataFrame, checkpoint: str, writer: Callable[[DataFrame, int]
     ``state_partitions`` fixes the number of state-store partitions of a new
     query (every micro-batch commits each of them, so it should follow the
     cluster's task slots rather than a batch-job shuffle width; a restarted
-    query keeps the number recorded in its checkpoint).
+    query keeps the number recorded in its checkpoint). ``state_conf`` holds further settings of
+    the state store for this query, such as ``streaming.state.ROCKSDB``.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
@@ -66,17 +68,20 @@ def run_stream(df: DataFrame, checkpoint: str, writer: Callable[[DataFrame, int]
             w = w.option(k, v)
         if path:
             w = w.option("path", path)
-    if not state_partitions:
-        return w.start()
-    # The query clones the session when it starts, so the setting applies to
+    settings = dict(state_conf or {})
+    if state_partitions:
+        settings["spark.sql.shuffle.partitions"] = str(int(state_partitions))
+    # The query clones the session when it starts, so the settings apply to
     # this query only and the caller's session is restored right away.
     conf = df.sparkSession.conf
-    before = conf.get("spark.sql.shuffle.partitions")
-    conf.set("spark.sql.shuffle.partitions", str(int(state_partitions)))
+    before = {k: conf.get(k, None) for k in settings}
     try:
+        for k, v in settings.items():
+            conf.set(k, v)
         return w.start()
     finally:
-        conf.set("spark.sql.shuffle.partitions", before)
+        for k, v in before.items():
+            conf.unset(k) if v is None else conf.set(k, v)
 
 
 def run_to_completion(df: DataFrame, checkpoint: str, timeout_s: int | None = None, **kwargs) -> StreamingQuery:
@@ -92,6 +97,27 @@ def run_to_completion(df: DataFrame, checkpoint: str, timeout_s: int | None = No
     return q
 
 
+def run_batches(df: DataFrame, checkpoint: str, batches: int, trigger: str = "1 second", timeout_s: int = 3600,
+                **kwargs) -> StreamingQuery:
+    """Run a stream without an end, such as a paced one, until ``batches`` micro-batches are done, then stop it.
+
+    Batches are counted over the life of the checkpoint. One more may have begun, so the source must have nothing
+    to add by then or the caller must not mind.
+    """
+    q = run_stream(df, checkpoint, trigger=trigger, **kwargs)
+    end = time.monotonic() + timeout_s
+    try:
+        while q.isActive and (q.lastProgress is None or q.lastProgress["batchId"] < batches - 1):
+            if time.monotonic() > end:
+                raise TimeoutError(f"{batches} micro-batches took over {timeout_s}s")
+            time.sleep(0.1)
+    finally:
+        q.stop()
+    if q.exception() is not None:
+        raise RuntimeError(f"stream failed: {q.exception()}")
+    return q
+
+
 def state_slots(spark) -> int:
     """State-store partitions matching the cluster's task slots."""
     try:

@@ -185,3 +185,58 @@ def test_index_of_nulls_and_unseen(spark):
     got = apply_index(spark.createDataFrame([("a",), ("b",), ("z",), (None,), (None,)], "v string"), index, "v", "i")
     assert sorted((str(r.v), r.i) for r in got.collect()) == [("None", 2.0), ("None", 2.0), ("a", 0.0), ("b", 1.0),
                                                               ("z", 2.0)]
+
+
+def test_table_indexer_equals_string_indexer_after_a_round_trip(spark, tmp_dir):
+    """Skewed, tied, NULL, blank and unseen values; the state is a table, and no label list is on the driver."""
+    from pyspark.ml import Pipeline, PipelineModel
+    from pyspark.ml.feature import StringIndexer
+
+    from tarmac.ml.indexing import TableIndexer, TableIndexerModel
+
+    rows = [("hot",)] * 50 + [(f"v{i % 7}",) for i in range(40)] + [("",), (None,), ("lone",)]
+    fit = spark.createDataFrame(rows, "c string")
+    new = spark.createDataFrame([*set(rows), ("unseen",)], "c string")
+    saved = os.path.join(tmp_dir, "m")
+    Pipeline(stages=[TableIndexer("c", "i")]).fit(fit).write().overwrite().save(saved)
+    model = PipelineModel.load(saved)
+    assert isinstance(model.stages[0], TableIndexerModel) and model.stages[0].known == fit.dropna().distinct().count()
+    want = StringIndexer(inputCol="c", outputCol="i", handleInvalid="keep").fit(fit).transform(new)
+    key = lambda r: (r[0] is None, r[0])
+    assert sorted(map(tuple, model.transform(new).collect()), key=key) == sorted(map(tuple, want.collect()), key=key)
+    model.write().overwrite().save(os.path.join(tmp_dir, "again"))  # a loaded model can be saved again
+    assert PipelineModel.load(os.path.join(tmp_dir, "again")).transform(fit).count() == len(rows)
+
+
+def test_training_with_a_category_of_any_cardinality(spark, tmp_dir):
+    """More values than a label list should hold: the trees split the frequency index, and the saved pipeline scores a stream."""
+    from tarmac.ml.indexing import TableIndexerModel
+    from tarmac.ml.model import load_model, train_model
+    from tarmac.sinks.writers import save_model
+
+    # The most frequent user is the label.
+    df = spark.range(4000).selectExpr("id", "CASE WHEN id % 2 = 0 THEN 'often' ELSE concat('u', id) END AS user", "rand(1) AS x",
+                                      "CAST(id % 2 = 0 AS INT) AS y")
+    result, held = train_model(df, ["x"], ["user"], "y", "id", large=["user"])
+    assert any(isinstance(s, TableIndexerModel) for s in result.model.stages) and result.auc == 1.0
+    path = save_model(result.model, os.path.join(tmp_dir, "model"))
+    df.write.parquet(os.path.join(tmp_dir, "in"))
+    stream = spark.readStream.schema(df.schema).parquet(os.path.join(tmp_dir, "in"))
+    q = load_model(spark, path).transform(stream).select("id", "y", "prediction").writeStream.format("parquet") \
+        .option("path", os.path.join(tmp_dir, "out")).option("checkpointLocation", os.path.join(tmp_dir, "c")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    out = spark.read.parquet(os.path.join(tmp_dir, "out"))
+    assert out.count() == 4000 and out.where("y <> prediction").count() == 0
+
+
+def test_models_score_in_a_session_that_has_observed(spark, tmp_dir):
+    from tarmac.ml.model import train_model
+    from tarmac.operators.profile import audit_columns, stage_observed
+
+    df = spark.range(400).selectExpr("id", "CAST(id % 2 AS DOUBLE) AS x", "CAST(id % 2 AS INT) AS y", "nullif(id % 5, 3) AS z")
+    staged, seen = stage_observed(df, os.path.join(tmp_dir, "staged"), audit_columns(df, {"y": [0, 1, 9]}))
+    assert seen == {"n_rows": 400, "missing_id": 0, "missing_x": 0, "missing_y": 0, "missing_z": 80, "count_y_0": 200,
+                    "count_y_1": 200, "count_y_9": 0}
+    assert staged.dtypes == df.dtypes and staged.count() == 400
+    result, held = train_model(staged, ["x"], [], "y", "id", classifier="lr")
+    assert held.where("prediction <> y").count() == 0 and result.f1 == 1.0

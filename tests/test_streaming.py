@@ -278,3 +278,64 @@ def test_interrupted_stream_resumes_to_the_same_result(spark):
     assert partial < single.count()
     assert resumed.count() == single.count()
     assert resumed.exceptAll(single).count() == 0 and single.exceptAll(resumed).count() == 0
+
+
+def test_paced_replay_resumes_and_ends(spark, tmp_dir):
+    """Two runs on one checkpoint deliver every row once, in batches of the stated size."""
+    from tarmac.sources.events import number_rows, paced_rows
+    from tarmac.streaming.runner import run_batches
+
+    number_rows(spark.range(0, 1000, 1, 7).withColumn("x", F.col("id") * 3), ["id"]).write.parquet(tmp_dir + "/n")
+    numbered = spark.read.parquet(tmp_dir + "/n")
+    assert numbered.where("row <> id").count() == 0
+    for batches in (2, 5):
+        run_batches(paced_rows(numbered, 300), tmp_dir + "/c", batches, writer=batch_writer(tmp_dir + "/out", fmt="parquet"))
+        if batches == 2:
+            first = spark.read.option("recursiveFileLookup", True).parquet(tmp_dir + "/out").count()
+    out = spark.read.option("recursiveFileLookup", True).parquet(tmp_dir + "/out")
+    assert 600 <= first <= 1000 and out.count() == 1000 and out.where("x <> 3 * row").count() == 0
+    import pytest
+
+    with pytest.raises(ValueError):
+        paced_rows(numbered, 10**9)
+
+
+def test_state_holds_open_windows_only(spark, tmp_dir):
+    """What the watermark has closed is gone from the store, batch by batch."""
+    from tarmac.streaming.state import ROCKSDB, open_windows, read_state, state_operators
+
+    src = write_files(os.path.join(tmp_dir, "in"), [["00:00:00", "00:20:00"], ["00:30:00", "00:31:00"], ["00:40:00"]])
+    stream = with_event_time(stream_table(spark, src, SCHEMA, fmt="json", max_files=1), "ts", "3 minutes")
+    stats = flatten_window(window_stats(stream, WindowSpec("5 minutes"), "k", "v", ts="ts", mean_decimals=2))
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    run_to_completion(stats, tmp_dir + "/c", writer=batch_writer(tmp_dir + "/out"), mode="append", state_partitions=2, state_conf=ROCKSDB)
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
+    left = open_windows(spark, tmp_dir + "/c", "k").collect()
+    assert [(r.window.start.strftime("%H:%M"), r.min_value, r.avg_value, r.std_value, r["count"]) for r in left] == [
+        ("00:40", 1.0, 1.0, None, 1)]
+    op = state_operators(spark, tmp_dir + "/c").first()
+    assert op.operatorName == "stateStoreSave" and op.numPartitions == 2
+    assert read_state(spark, tmp_dir + "/c", batch=1).count() == 2  # 00:20 and 00:30: the first file closed 00:00
+    done = {r.window_start.strftime("%H:%M") for r in read_results(spark, tmp_dir + "/out", STATS_SCHEMA).collect()}
+    assert done == {"00:00", "00:20", "00:30"}
+
+
+def test_copies_go_in_the_stream_and_state_stays_bounded(spark, tmp_dir):
+    from tarmac.operators.dedupe import dedupe_within_watermark
+
+    rows = [[("00:00:00", 1), ("00:00:10", 2), ("00:00:00", 1)], [("00:02:00", 3), ("00:00:10", 2)], [("01:00:00", 4)], [("01:00:01", 5), ("01:00:00", 4)]]
+    folder = os.path.join(tmp_dir, "in")
+    os.makedirs(folder)
+    for i, batch in enumerate(rows):
+        p = os.path.join(folder, f"b{i}.json")
+        with open(p, "w") as fh:
+            fh.writelines(json.dumps({"ts": f"2024-01-01T{t}Z", "k": str(k), "v": 1.0}) + "\n" for t, k in batch)
+        os.utime(p, (1_000_000 + i, 1_000_000 + i))
+    stream = stream_table(spark, folder, SCHEMA, fmt="json", max_files=1)
+    q = run_to_completion(dedupe_within_watermark(stream, ["k"], "ts", "3 minutes"), tmp_dir + "/c", state_partitions=2,
+                          writer=batch_writer(tmp_dir + "/out", fmt="parquet"))
+    got = read_results(spark, tmp_dir + "/out", SCHEMA, fmt="parquet")
+    assert sorted(r.k for r in got.collect()) == ["1", "2", "3", "4", "5"]
+    assert q.lastProgress["stateOperators"][0]["numRowsTotal"] <= 2  # keys of the first minutes have gone
+    batch = spark.createDataFrame([("2024-01-01 00:00:05", "a", 2.0), ("2024-01-01 00:00:01", "a", 1.0)], "ts string, k string, v double")
+    assert [r.v for r in dedupe_within_watermark(batch, ["k"], "ts", "3 minutes").collect()] == [1.0]
