@@ -9,6 +9,7 @@ from tarmac.functions.scalar import instant_to_ntz
 from tarmac.operators.clean import coerce_rows, prepare_features
 from tarmac.plans.registry import register
 from tarmac.plans.tables import events, lineitem
+from tarmac.schema import FLIGHT_FIELDS, FLIGHT_SCHEMA
 from tarmac.session import scratch_path
 from tarmac.sources.events import decode_events, encode_events
 from tarmac.sources.tables import read_table
@@ -121,3 +122,40 @@ def coerced_rows(spark, sf_dir):
         T.StructField("l_returnflag", T.StringType()),
     ])
     return coerce_rows(raw, target)
+
+
+# What each field of the 27-field record is taken from, as SQL that both engines read alike.
+FLIGHT_FROM_LINEITEM = {
+    "MONTH": "month(l_shipdate)", "DAY_OF_WEEK": "l_linenumber", "DEP_DEL15": "CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END",
+    "DISTANCE_GROUP": "l_linenumber", "DEP_BLOCK": "l_linestatus", "SEGMENT_NUMBER": "l_linenumber",
+    "CONCURRENT_FLIGHTS": "l_quantity", "NUMBER_OF_SEATS": "l_partkey", "CARRIER_NAME": "l_suppkey",
+    "AIRPORT_FLIGHTS_MONTH": "l_suppkey", "AIRLINE_FLIGHTS_MONTH": "l_partkey", "AIRLINE_AIRPORT_FLIGHTS_MONTH": "l_suppkey",
+    "AVG_MONTHLY_PASS_AIRPORT": "l_extendedprice", "AVG_MONTHLY_PASS_AIRLINE": "l_quantity",
+    "FLT_ATTENDANTS_PER_PASS": "l_tax", "GROUND_SERV_PER_PASS": "l_discount", "PLANE_AGE": "nullif(l_linenumber, 7)",
+    "DEPARTING_AIRPORT": "l_partkey", "LATITUDE": "l_discount", "LONGITUDE": "l_tax", "PREVIOUS_AIRPORT": "l_returnflag",
+    "PRCP": "l_discount", "SNOW": "l_tax", "SNWD": "l_discount", "TMAX": "l_quantity", "AWND": "l_linenumber",
+}
+_SQL_TYPE = {"int": "BIGINT", "float": "FLOAT", "string": "VARCHAR"}
+
+
+def _flight_field_sql(name: str, kind: str) -> str:
+    if kind == "timestamp":
+        return f"l_shipdate AS {name}"
+    expr = f"trunc({FLIGHT_FROM_LINEITEM[name]})" if kind == "int" else f"({FLIGHT_FROM_LINEITEM[name]})"
+    return f"{expr}::{_SQL_TYPE[kind]}{'::DOUBLE' if kind == 'float' else ''} AS {name}"
+
+
+@register("flight_records", ("PRJ1", "PRJ2", "PRJ3", "PRJ15"), sql=f"""
+SELECT l_orderkey, {', '.join(_flight_field_sql(n, k) for n, k in FLIGHT_FIELDS)} FROM lineitem
+""")
+def flight_records(spark, sf_dir):
+    """Whole lineitem as raw text in the shape of the 27-field flight record, encoded by its schema
+    and decoded again: whole-number fields hold fractions as text, PLANE_AGE is blank at times."""
+    raw = lineitem(spark, sf_dir).select(
+        "l_orderkey", "l_shipdate",
+        *[F.coalesce(F.expr(e).cast("string"), F.lit("")).alias(n) for n, e in FLIGHT_FROM_LINEITEM.items()])
+    sent = encode_events(raw.withColumnRenamed("l_orderkey", "key"), FLIGHT_SCHEMA, ts_col="l_shipdate")
+    schema = T.StructType([*FLIGHT_SCHEMA.fields, T.StructField("key", T.LongType())])
+    out = decode_events(sent, schema).withColumn("timestamp", instant_to_ntz("timestamp"))
+    return out.select(F.col("key").alias("l_orderkey"), *[
+        F.col(n).cast({"int": "long", "float": "double"}[k]).alias(n) if k in ("int", "float") else F.col(n) for n, k in FLIGHT_FIELDS])
