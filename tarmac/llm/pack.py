@@ -14,7 +14,9 @@ bound is met, one partition is left or a round gains nothing.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -44,56 +46,107 @@ _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 # A-Z to lower case, as the tokenizer does first; all else as it is.
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _MARKS = b".,!?;:%&$#*|"
+#: Lower-case letters that normalisation leaves as they are: a-z, and U+00DF to U+00FF but for the division sign.
+_PLAIN = rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])"
+_PLAIN_AND_MARKS = re.compile(b"(" + _PLAIN + b"+)([" + re.escape(_MARKS) + b"]*)").fullmatch
+_BEFORE_MARKS = re.compile(rb"(?:[0-9]|" + _PLAIN + b")$").search
+_LATIN = [chr(c) for c in range(0xDF, 0x100) if c != 0xF7]
+
+# What a tokenizer file must say for its ids to be found word by word.
+_NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 
 
 def _stem(word: bytes) -> bytes:
-    """``word`` without marks at its end if a letter or digit comes before them."""
+    """``word`` without marks at its end if a digit or a letter of ``_PLAIN`` comes before them.
+
+    Other letters stay with their marks: composing or lower-casing may turn them into a letter and
+    a combining mark, which the tokenizer joins with what follows.
+    """
     stem = word.rstrip(_MARKS)
-    return stem if stem and stem[-1:].isalnum() or stem.decode()[-1:].isalpha() else word
+    return stem if len(stem) < len(word) and _BEFORE_MARKS(stem) else word
 
 
 class WordIds:
     """Token ids of texts, as little-endian bytes, one look-up a word.
 
-    The tokenizer lower-cases, drops white space and never joins characters across it,
-    so a text's ids are those of its words in order, and those of a word are those of
-    its stem and of the marks at its end. Only new stems go to the tokenizer. A text
-    that may hold a special token's string goes there whole.
+    A tokenizer that composes, lower-cases, drops white space and never joins characters across it
+    gives a text the ids of its words in order, and a word those of
+    its stem and of the marks at its end. Only new stems go to the tokenizer, and those of plain
+    lower-case letters, which its steps before the merges leave as they are, to its merges at once. A text
+    that may hold a special token's string goes there whole, and so do all texts if the file
+    describes any other tokenizer.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.by_word = _is_by_word(json.loads(self.tokenizer.to_str()))
+        self.special = re.compile("|".join(re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values())
+                                  or "(?!)", re.IGNORECASE)
+        self.merges = self.tokenizer.model.tokenize if self.by_word else None
+        byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.byte_chars = {ord(c): byte_level.pre_tokenize_str(c)[0][0] for c in _LATIN}
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
     def encode(self, text: bytes) -> bytes:
-        if b"<|" in text:
+        if not self.by_word or b"<|" in text and self.special.search(text.decode()):
             return array("I", self.tokenizer.encode(text.decode(), add_special_tokens=False).ids).tobytes()
         words = text.translate(_LOWER).split()
         if len(self.known) > REMEMBERED:
             self.known, self.older = {}, self.known  # what is used again moves back, the rest goes
-        new = set(words).difference(self.known)
-        if new:
-            self._learn(new)
+        found = list(map(self.known.get, words))
+        if None not in found:
+            return b"".join(found)
+        self._learn({w for w, ids in zip(words, found, strict=True) if ids is None})
         return b"".join(map(self.known.__getitem__, words))
 
     def _learn(self, words: set[bytes]) -> None:
-        known, older = self.known, self.older
-        if older:
-            back = [w for w in words if w in older]
-            known.update((w, older[w]) for w in back)
-            words.difference_update(back)
-        cut = [(w, _stem(w)) for w in words]
+        known, older, merges = self.known, self.older, self.merges
+        rest = []
+        for w in words:
+            if w in older:
+                known[w] = older[w]
+                continue
+            plain = _PLAIN_AND_MARKS(w)
+            if not plain:
+                rest.append(w)
+                continue
+            stem, marks = plain.groups()
+            ids = known.get(stem) or older.get(stem)
+            if ids is None:
+                letters = stem.decode() if stem.isascii() else stem.decode().translate(self.byte_chars)
+                ids = array("I", [t.id for t in merges(letters)]).tobytes()
+            known[stem] = ids
+            if marks:
+                if marks not in known:
+                    self._encode([marks])
+                known[w] = ids + known[marks]
+        cut = [(w, _stem(w)) for w in rest]
         parts = {stem for _, stem in cut}
-        parts.update(w[len(stem):] for w, stem in cut)
-        new = list(parts.difference(known))
-        found = self.tokenizer.encode_batch_fast([p.decode() for p in new], add_special_tokens=False)
-        known.update(zip(new, (array("I", e.ids).tobytes() for e in found), strict=True))
+        parts.update(w[len(stem):] for w, stem in cut if len(stem) < len(w))
+        self._encode(list(parts.difference(known)))
         known.update((w, known[stem] + known[w[len(stem):]]) for w, stem in cut if len(stem) < len(w))
 
+    def _encode(self, parts: list[bytes]) -> None:
+        found = self.tokenizer.encode_batch_fast([p.decode() for p in parts], add_special_tokens=False)
+        self.known.update(zip(parts, (array("I", e.ids).tobytes() for e in found), strict=True))
+
+
+def _is_by_word(d: dict) -> bool:
+    """Whether a tokenizer's description is of the kind that ``WordIds`` looks up by words."""
+    split, model = d["pre_tokenizer"] or {}, d["model"]
+    steps = split.get("pretokenizers") or [{}, {}]
+    return (d["normalizer"] == _NORMALIZER and split.get("type") == "Sequence" and len(steps) == 2
+            and steps[0].get("pattern") == {"Regex": _SPLIT} and steps[0].get("behavior") == "Removed" and steps[0].get("invert") is True
+            and steps[1].get("type") == "ByteLevel" and not steps[1]["add_prefix_space"] and not steps[1]["use_regex"]
+            and model["type"] == "BPE" and model["dropout"] is None and d["truncation"] is None and d["padding"] is None
+            and all(t["content"].startswith("<|") for t in d["added_tokens"]))
+
 
 _ENCODERS: dict[str, WordIds] = {}
 

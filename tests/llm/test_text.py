@@ -249,6 +249,30 @@ def test_word_ids_equal_the_tokenizer(text):
     assert np.frombuffer(ids, "<u4").tolist() == tokens([text])[0][:-1]
 
 
+@pytest.mark.parametrize("mark", [",", ".", "!;", "%"])
+def test_every_letter_before_a_mark(mark):
+    """Letters that compose or lower-case to a letter and a combining mark included."""
+    import public_tokenizers
+    import unicodedata
+
+    words = [w for c in map(chr, range(0x110000)) if unicodedata.category(c)[0] in "LN" and not "\u4e00" <= c <= "\ud7ff"
+             and ord(c) < 0x17000 or 0xF900 <= ord(c) < 0xFB50 for w in (c + mark, "a" + c + mark, c + "a" + mark)]
+    words += ["হয়, যায়।", "पहाड़,", "שׁשׁ.", "GAZİ.", "e\u0301, E\u0301.", "ſ, ı.", "ǅ.", "ß. ÷. ÿ, Ÿ."]
+    w = pack.WordIds(public_tokenizers.path("word_bpe_49k.json"))
+    want = w.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+    wrong = [x for x, e in zip(words, want, strict=True) if np.frombuffer(w.encode(x.encode()), "<u4").tolist() != e.ids]
+    assert len(words) > 20_000 and wrong == []
+
+
+def test_other_tokenizers_encode_whole_texts():
+    import public_tokenizers
+
+    w = pack.WordIds(public_tokenizers.path("byte_bpe_50k.json"))
+    text = "Two  words, and\nCAPITALS <|endoftext|> 12"
+    assert not w.by_word and w.tokenizer.decode(np.frombuffer(w.encode(text.encode()), "<u4").tolist(), skip_special_tokens=False) == text
+    assert pack.WordIds(public_tokenizers.path("word_bpe_49k.json")).by_word
+
+
 # -- language
 def test_a_small_share_of_a_long_text_is_found():
     """Half a percent of 8,000 words is 40 words: enough evidence, whatever the share."""
