@@ -27,6 +27,8 @@ SEED = "mix-1"
 #: Sources that one range of the numbering, and rows that one bucket of the running totals, should hold on average.
 SOURCES_PER_RANGE = 1_000_000
 ROWS_PER_BUCKET = 100_000
+#: Buckets that there are at least, so that a source is dealt to many tasks at any size.
+LEAST_BUCKETS = 256
 #: Sources (a key of some ten bytes and four numbers each) that are broadcast at most.
 BROADCAST_SOURCES = 200_000
 #: Weights that sources take in turn.
@@ -115,7 +117,7 @@ def mix_sources(docs: DataFrame, percent: int = 150, max_epochs: int = 2, seed:
                   .select("src", "source_size", "target", "whole", "rest"), "mix-plan")
 
     # Equal rows as one, in the order of a seeded hash within each source.
-    buckets = -(-rows.count() // ROWS_PER_BUCKET) or 1
+    buckets = max(LEAST_BUCKETS, -(-rows.count() // ROWS_PER_BUCKET))
     units = (rows.groupBy("src", "source", "doc_id", "size").agg(F.count("*").alias("n"))
              .withColumn("h", F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
                                              F.lit(":"), F.col("size").cast("string"))))

@@ -70,7 +70,7 @@ def test_mix_on_the_tables(spark):
 def test_mix_does_not_depend_on_buckets_or_ranges(spark, monkeypatch):
     docs = spark.read.parquet(f"{brute.SF}/documents.parquet")
     want = Counter(map(tuple, mixing.mix_sources(docs).collect()))
-    monkeypatch.setattr(mixing, "ROWS_PER_BUCKET", 7)
+    monkeypatch.setattr(mixing, "LEAST_BUCKETS", 3)
     monkeypatch.setattr(mixing, "SOURCES_PER_RANGE", 3)
     monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
     assert Counter(map(tuple, mixing.mix_sources(docs.repartition(13)).collect())) == want
