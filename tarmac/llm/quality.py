@@ -118,7 +118,11 @@ class Voters:
         return v / np.maximum(np.linalg.norm(v, axis=1), 1e-12)[:, None]
 
     def score(self, texts: list[str | None]) -> np.ndarray:
-        """Weighted votes of the nearest examples; ties at the last voter go to the earlier example."""
+        """Weighted votes of the nearest examples.
+
+        Among equal cosines at the last voter any may vote. Cosines are in single precision, whose last bits
+        depend on the block a text is in, so that scores of equal texts may differ by some 1e-7.
+        """
         if not len(self.labels) or not texts:
             return np.full(len(texts), self.prior)
         counts = np.stack([term_counts(t) for t in texts])

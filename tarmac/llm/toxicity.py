@@ -45,7 +45,7 @@ IDENTITY = {
     "condition": ["deaf", "blind", "disabled", "autistic", "elderly", "young"],
 }
 _KIND = {t: k for k, terms in IDENTITY.items() for t in terms}
-_TERM = re.compile(r"(?<!\w)(" + "|".join(sorted(_KIND, key=len, reverse=True)) + r")(?!\w)", re.IGNORECASE)
+_TERM = re.compile(r"(?<!\w)(" + "|".join(sorted(_KIND, key=len, reverse=True)) + r")(?!\w)")
 
 _LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
@@ -64,18 +64,19 @@ def grams(text: str | None) -> np.ndarray:
 
 
 def counterfactuals(text: str) -> tuple[str, str] | None:
-    """A sentence of the text and the same sentence with an identity term swapped.
+    """A sentence of the text and the same sentence with an identity term swapped, both in lower case.
 
     The choice is fixed by the text's checksum: among sentences with a term if there
     are any, else a word of some sentence gives way to a term.
     """
     pick = zlib.crc32(text.encode())
-    sentences = [s for s in re.split(r"(?<=[.!?\n])\s+", text) if s.strip()]
+    # Lower case first: letters that only a case-insensitive search would match are no terms.
+    sentences = [s for s in re.split(r"(?<=[.!?\n])\s+", text.lower()) if s.strip()]
     with_term = [s for s in sentences if _TERM.search(s)]
     if with_term:
         s = with_term[pick % len(with_term)]
         m = _TERM.search(s)
-        others = [t for t in IDENTITY[_KIND[m[0].lower()]] if t != m[0].lower()]
+        others = [t for t in IDENTITY[_KIND[m[0]]] if t != m[0]]
         return s, s[:m.start()] + others[pick % len(others)] + s[m.end():]
     if not sentences:
         return None

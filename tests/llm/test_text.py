@@ -323,6 +323,18 @@ def test_language_odd_rows(clashing, no_docs):
 
 
 # -- quality and toxicity
+def test_letters_that_only_a_caseless_search_matches(docs_of, labels_of):
+    """U+017F, U+0131 and U+0130 in and around identity terms, in labelled texts."""
+    texts = ["The Chri\u017ftian faith.", "an \u0131ndian man", "\u0130NDIAN women. ASIAN \u0130 men", "MUSL\u0130M", "Gay men and A\u017fian women!"]
+    docs = docs_of([(i, texts[i % 5] + f" {i}") for i in range(60)])
+    rows = toxicity.score_toxicity(docs, labels_of([(i, None, i % 2) for i in range(60)])).collect()
+    assert len(rows) == 60 and all(0 <= r.score <= 1 for r in rows)
+    for t in texts:
+        before, after = toxicity.counterfactuals(t)
+        assert before != after and before == before.lower()
+    assert toxicity.counterfactuals(texts[2])[0] == "asian i\u0307 men"
+
+
 
 def area(score, y):
     order = np.argsort(np.argsort(score, kind="stable"), kind="stable") + 1
