@@ -12,15 +12,18 @@ Groups of copies are kept from filling nodes in two ways. Documents with equal s
 one class from the start. And before the trees are searched, every class is compared with
 the first member, by hash order, of each node it is in; the closest of these and the first
 likely one are confirmed, at most two a class. The links of this pass
-label most of any group, however large, and nodes that hold one label only are done.
+label most of any group, however large. While a large node still holds many members outside its
+main label, the pass is repeated with other first members as long as that links many. Nodes that hold one label only are done.
 Later passes look only for links between labels, which is all that components need; the
 few other members of a node that one label fills are compared with all of it. Other large
-nodes branch on, each by its own size, and the deeper they do, the more trees their members
+nodes are compared in blocks, and the largest branch on, each by its own size, under the labels that the links
+found so far give; the deeper they do, the more trees their members
 get: a pair at the threshold misses all trees of any level with at most ``MISS``.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from math import comb
 
@@ -40,9 +43,15 @@ TREES = 10
 COORDINATES = 64
 #: Classes that a node may have to be compared exhaustively.
 LEAF = 200
-#: A node with at most so many members is compared in blocks: that costs each of them less than
-#: to branch on.
-PAIRS_EACH = 1000
+#: A node with at most so many members is compared in blocks: so many sketch comparisons cost a member
+#: less than its rows on all the levels below.
+PAIRS_EACH = 8000
+#: Passes that only label groups, at most; more would change the work and not the result.
+HEAD_PASSES = 6
+#: Another pass is made if the last one linked more than one in so many of the classes that it would look at.
+PASS_LINKS = 10
+#: Shingles (8 bytes each) of the full sets that are compared in one group, on average.
+GROUP_SHINGLES = 8_000_000
 #: Members of a block in that comparison.
 BLOCK = 1000
 #: Level of the first pass, which only labels groups; the search looks at every level from 1.
@@ -326,7 +335,8 @@ def _confirm(k: int, percent: int):
 def _confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets reach the similarity."""
     pairs = stored(pairs, "near-pairs")
-    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    ids = stored(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct(),
+                 "near-ids")
     texts = stored(docs.select("doc_id", "text").join(fits_broadcast(ids, BROADCAST_IDS), "doc_id", "left_semi"),
                    "near-texts")
     both = (pairs.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b").select("a", "b", "ta", "tb"))
@@ -340,11 +350,24 @@ def _flagged(rows: DataFrame) -> DataFrame:
 
 
 def _linked(flagged: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Links (a, b) confirmed on the full sets of the members of each group."""
-    ids = flagged.select(F.col("rep").alias("doc_id")).distinct()
+    """Links (a, b) confirmed on the full sets of the members of each group.
+
+    A group whose sets hold too many shingles together is dealt out, so that every two of its
+    parts meet in a group that holds few enough.
+    """
+    ids = stored(flagged.select(F.col("rep").alias("doc_id")).distinct(), "near-ids")
     sets = stored(docs.select("doc_id", "text").join(fits_broadcast(ids, BROADCAST_IDS), "doc_id", "left_semi")
                   .mapInArrow(_sets(k), "rep long, members binary"), "near-sets")
-    groups = flagged.join(sets, "rep").groupBy("node").agg(
+    sizes = sets.select("rep", (F.octet_length("members") / 8).alias("size"))
+    heavy = (flagged.join(sizes, "rep").groupBy("node").agg(F.sum("size").alias("size"))
+             .select("node", F.ceil(F.col("size") / GROUP_SHINGLES).cast("int").alias("m")).where("m > 1"))
+    dealt = flagged.join(fits_broadcast(stored(heavy, "near-heavy"), BROADCAST_IDS), "node", "left")
+    mine = F.pmod(F.xxhash64("rep"), F.col("m")).cast("int")
+    dealt = (dealt.withColumn("other", F.explode(F.when(F.col("m").isNull(), F.array(F.lit(0)))
+                                                 .otherwise(F.sequence(F.lit(0), F.col("m") - 1))))
+             .withColumn("node", F.when(F.col("m").isNull(), F.col("node")).otherwise(
+                 F.xxhash64("node", F.least(mine, "other"), F.greatest(mine, "other")))).select("node", "rep", "label"))
+    groups = dealt.join(sets, "rep").groupBy("node").agg(
         F.collect_list(F.struct("rep", "label", "members")).alias("group")).select("group")
     return stored(groups.mapInArrow(_link(percent), "a long, b long").where("a <> b").distinct(), "near-links")
 
@@ -353,26 +376,24 @@ def near_links(reps: DataFrame, docs: DataFrame, k: int, percent: int, trees: in
                levels: int = LEVELS, pairs_each: int = PAIRS_EACH, block: int = BLOCK) -> DataFrame:
     """Confirmed links (a, b) between classes (rep, sig), enough to connect every component."""
     similarity = percent / 100
-    tokens = F.struct("s0", "s1", "s2", "s3")
     plain = reps.select("rep", "sig", F.col("rep").alias("label"))
-    # First pass: every class against the first one of each of its nodes on the first level.
+    # First passes: every class against the first one of each of its nodes on the first level.
     rows = plain.mapInArrow(_nodes(FIRST_LEVEL, trees, similarity), _SKETCHED).drop("parent", "label")
-    shared = rows.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").select("node")
+    shared = rows.groupBy("node").agg(F.count("*").alias("n")).where("n > 1")
     rows = stored(rows.join(fits_broadcast(stored(shared, "near-shared"), BROADCAST_IDS), "node"), "near-first")
-    heads = rows.groupBy("node").agg(
-        F.min(F.struct(F.xxhash64("rep").alias("rank"), "rep", tokens.alias("s"))).alias("head"))
-    same = _matches(tokens, F.col("head.s"))
-    met = (rows.join(heads, "node").where(F.col("rep") != F.col("head.rep")).withColumn("same", same)
-           .where(F.col("same") >= MIN_MATCHES)
-           .groupBy("rep").agg(F.max(F.struct("same", "head.rank", "head.rep")).alias("best"),
-                               F.min(F.when(F.col("same") >= LIKELY_MATCHES, F.struct("head.rank", "head.rep")))
-                               .alias("common")))
-    first = (met.select("rep", F.explode(F.array("best.rep", "common.rep")).alias("other")).where("other IS NOT NULL")
-             .select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct())
-    links = _confirmed(first, docs, k, percent)
-    labels = components(links)
-    plain = stored(reps.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-                   .select("rep", "sig", F.coalesce("component", "rep").alias("label")), "near-labelled")
+    links, current = None, rows.withColumn("label", F.col("rep"))
+    for r in range(HEAD_PASSES):
+        found = _confirmed(_head_pairs(current, r), docs, k, percent)
+        links = found if links is None else links.unionByName(found)
+        labels = components(links)
+        # On with large nodes that have many members outside their main label.
+        current = _labelled(rows.where(F.col("n") > leaf), labels)
+        split = stored(_main_labels(current).where(F.col("others") > leaf // 4).select("node"), "near-split")
+        current = stored(current.join(fits_broadcast(split, BROADCAST_IDS), "node"), "near-current")
+        # Large nodes also come from frequent words; they stay split, so passes end that link few.
+        if found.count() <= current.select("rep").distinct().count() // PASS_LINKS:
+            break
+    plain = stored(_labelled(reps, labels).select("rep", "sig", "label"), "near-labelled")
 
     flagged, active, last, old = [], plain, None, 0
     n_active, whole = plain.count(), small(plain, leaf)
@@ -382,11 +403,8 @@ def near_links(reps: DataFrame, docs: DataFrame, k: int, percent: int, trees: in
         nodes = stored(rows.groupBy("node").agg(F.count("*").alias("n"), F.min("label").alias("l1"),
                                                 F.max("label").alias("l2")).where("l1 < l2").select("node", "n"),
                        "near-nodes")
-        large = (rows.join(fits_broadcast(nodes.where(F.col("n") > leaf), BROADCAST_IDS), "node")
-                 .groupBy("node", "label").agg(F.count("*").alias("of"), F.max("n").alias("n"))
-                 .groupBy("node").agg(F.max("n").alias("n"), F.max(F.struct("of", "label")).alias("most"))
-                 .select("node", "n", F.col("most.label").alias("main"), (F.col("n") - F.col("most.of")).alias("others")))
-        large = stored(large, "near-large")
+        large = stored(_main_labels(rows.join(fits_broadcast(nodes.where(F.col("n") > leaf), BROADCAST_IDS), "node")),
+                       "near-large")
         few, many = F.col("others") <= leaf // 4, F.col("others") > leaf // 4
         # A node branches on if that makes fewer rows of each member than it has pairs.
         most = max(pairs_each, trees_on(level + 1, now, similarity) / similarity ** (level + 1))
@@ -410,11 +428,41 @@ def near_links(reps: DataFrame, docs: DataFrame, k: int, percent: int, trees: in
         n_touched = touched.count()
         if n_touched < 0.8 * n_active:
             active, n_active = stored(active.join(touched, "rep", "left_semi"), "near-active"), n_touched
-        last, old = mixed, now
-    every = flagged[0]
-    for more in flagged[1:]:
-        every = every.unionByName(more)
-    return links.unionByName(_linked(every, docs, k, percent))
+        # What this level has found gives those that go deeper their labels.
+        links = links.unionByName(_linked(functools.reduce(DataFrame.unionByName, flagged), docs, k, percent))
+        active = stored(_labelled(active.drop("label"), components(links)), "near-active")
+        flagged, last, old = [], mixed, now
+    return links.unionByName(_linked(functools.reduce(DataFrame.unionByName, flagged), docs, k, percent)) if flagged else links
+
+
+def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """``rows`` with the label of their class: its component so far, or itself."""
+    known = labels.select(F.col("node").alias("rep"), F.col("component").alias("label"))
+    return rows.join(known, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+
+
+def _main_labels(rows: DataFrame) -> DataFrame:
+    """For each node of ``rows`` (node, label, n): n, its most frequent label and the members outside that."""
+    return (rows.groupBy("node", "label").agg(F.count("*").alias("of"), F.max("n").alias("n"))
+            .groupBy("node").agg(F.max("n").alias("n"), F.max(F.struct("of", "label")).alias("most"))
+            .select("node", "n", F.col("most.label").alias("main"), (F.col("n") - F.col("most.of")).alias("others")))
+
+
+def _head_pairs(rows: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b), at most two a class, of classes and the first members of their nodes, other labels each.
+
+    First is first by a hash that ``turn`` changes.
+    """
+    tokens = F.struct("s0", "s1", "s2", "s3")
+    heads = rows.groupBy("node").agg(
+        F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("rank"), "rep", "label", tokens.alias("s"))).alias("head"))
+    met = (rows.join(heads, "node").where(F.col("label") != F.col("head.label"))
+           .withColumn("same", _matches(tokens, F.col("head.s"))).where(F.col("same") >= MIN_MATCHES)
+           .groupBy("rep").agg(F.max(F.struct("same", "head.rank", "head.rep")).alias("best"),
+                               F.min(F.when(F.col("same") >= LIKELY_MATCHES, F.struct("head.rank", "head.rep")))
+                               .alias("common")))
+    return (met.select("rep", F.explode(F.array("best.rep", "common.rep")).alias("other")).where("other IS NOT NULL")
+            .select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct())
 
 
 def _around_main(rows: DataFrame, nodes: DataFrame, block: int) -> DataFrame:
