@@ -38,7 +38,7 @@ PIECES_PER_PARTITION = 100_000
 #: Rounds in which the partitions grow by four; later ones deal anew to partitions of that size.
 ROUNDS = 2
 #: Distinct words in each of the two generations that a worker remembers, about 200 bytes each.
-REMEMBERED = 600_000
+REMEMBERED = 250_000
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
