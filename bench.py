@@ -32,7 +32,9 @@ from tarmac.session import local_session, scratch_path  # noqa: E402
 
 # Queries that write their own intermediate files or fit a model: one warm-up, one timed run.
 HEAVY = {"model_scores", "stream_scored_quality", "stream_window_quality", "stream_stats_upsert",
-         "stream_upsert_rerun", "stream_late_resumed", "csv_scan", "csv_by_name"}
+         "stream_upsert_rerun", "stream_late_resumed", "csv_scan", "csv_by_name", "stream_sliding_panes",
+         "stream_deduplicated", "stream_without_model", "paced_windows", "chained_payloads", "open_windows_in_state",
+         "results_by_name", "results_or_nothing", "saved_user_index", "classifier_predictions", "observed_training_set"}
 
 
 def run_noop(df) -> None:
@@ -59,6 +61,7 @@ def comparisons(spark, sf_dir: str, repeat: int) -> dict:
     from tarmac.plans.tables import LINEITEM_MEASURES, lineitem, returned
     from tarmac.roles import WindowSpec
     from tarmac.sources.events import decode_events, encode_events
+    from tarmac.sources.tables import read_table
 
     out = {}
     li = lineitem(spark, sf_dir)
@@ -98,7 +101,7 @@ def comparisons(spark, sf_dir: str, repeat: int) -> dict:
     # 2. CSV scan vs Parquet for the group statistics query
     csv_dir = scratch_path(spark, "bench-csv")
     li.write.option("header", True).csv(csv_dir)
-    csv_df = spark.read.schema(LINEITEM_SCHEMA).option("header", True).csv(csv_dir)
+    csv_df = read_table(spark, csv_dir, LINEITEM_SCHEMA, "csv")
     out["group_stats_csv_sec"] = round(median_of(lambda: run_noop(group_stats(csv_df, "l_suppkey", "l_quantity")),
                                                  repeat), 3)
     out["group_stats_parquet_sec"] = round(median_of(lambda: run_noop(group_stats(li, "l_suppkey", "l_quantity")),
