@@ -386,3 +386,15 @@ def test_mentions_do_not_move_the_score():
         gap[fairness] = c.score(neutral)
         assert c.score(bad) > 0.5
     assert gap[toxicity.FAIRNESS] < 0.5 * gap[0.0] and gap[toxicity.FAIRNESS] < 0.5
+
+
+def test_word_ids_after_words_are_forgotten(monkeypatch):
+    """With room for few words they move between the generations and go; the ids stay right."""
+    import public_tokenizers
+
+    monkeypatch.setattr(pack, "REMEMBERED", 40)
+    w = pack.WordIds(public_tokenizers.path("word_bpe_49k.json"))
+    texts = [t for _, t in brute.rows("documents", "doc_id, text") if t] * 2
+    want = w.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    assert all(np.frombuffer(w.encode(t.encode()), "<u4").tolist() == e.ids for t, e in zip(texts, want, strict=True))
+    assert w.older
