@@ -3,7 +3,8 @@
 Unit vectors have cosine ``c`` or more exactly if they are ``sqrt(2 - 2c)`` or less
 apart. Vectors are turned to their principal axes and sorted by the grid cells, as wide as
 that distance, of the leading ones. Runs of this order are blocks; two blocks are
-compared only if cells of theirs touch, and then recursively: an interval pair whose
+compared only if cells of theirs touch and their bounding boxes over all axes are not
+farther apart than that distance, and then recursively: an interval pair whose
 bounding boxes are farther apart than the distance is skipped, a long one is halved,
 and a short one compared exactly in double precision.
 
@@ -19,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm.common import stored
@@ -71,11 +72,13 @@ def _blocks(frames: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]
 
     def pack(rows: pd.DataFrame) -> pd.DataFrame:
         v = b"".join(rows["v"])
+        x = np.frombuffer(v, np.float64).reshape(len(rows), -1)
         two = sorted({(int(c[0]), int(c[1]) if len(c) > 1 else 0) for c in rows["cells"]})
         return pd.DataFrame({"block": [int(rows["rep"].iloc[0])], "grp": [rows["grp"].iloc[0]],
                              "reps": [rows["rep"].to_numpy(np.int64).tobytes()],
                              "ms": [rows["m"].to_numpy(np.int64).tobytes()], "vs": [v],
-                             "xs": [[a for a, _ in two]], "ys": [[b for _, b in two]]})
+                             "xs": [[a for a, _ in two]], "ys": [[b for _, b in two]],
+                             "lo": [x.min(axis=0)], "hi": [x.max(axis=0)]})
 
     for frame in frames:
         for _, part in frame.groupby((frame["grp"] != frame["grp"].shift()).cumsum(), sort=False):
@@ -91,6 +94,18 @@ def _blocks(frames: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]
         yield pack(pd.concat(held))
 
 
+def _reach(cosine: float) -> float:
+    """Squared distance, with room for rounding, beyond which no two unit vectors link."""
+    return 2 - 2 * cosine + 1e-9
+
+
+def box_gap(lo: str, hi: str, lo2: str, hi2: str) -> Column:
+    """Squared distance of two boxes given by arrays of their least and largest coordinates."""
+    apart = F.zip_with(F.zip_with(lo, hi2, lambda a, b: a - b), F.zip_with(lo2, hi, lambda a, b: a - b),
+                       lambda a, b: F.greatest(a, b, F.lit(0.0)))
+    return F.aggregate(apart, F.lit(0.0), lambda total, x: total + x * x)
+
+
 class Side:
     """One block as arrays."""
 
@@ -102,7 +117,7 @@ class Side:
 def link_blocks(a: Side, b: Side | None, cosine: float, leaf: int = LEAF) -> tuple[np.ndarray, np.ndarray]:
     """Links between two blocks, or within one if ``b`` is None, as places in a and b."""
     other = a if b is None else b
-    eps2 = 2 - 2 * cosine + 1e-9
+    eps2 = _reach(cosine)
     left, right = [], []
     box_a: dict[tuple[int, int], tuple] = {}
     box_b = box_a if b is None else {}
@@ -195,7 +210,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, block: int = BLO
                .repartitionByRange("grp", "cells", "rep").sortWithinPartitions("grp", "cells", "rep"))
     blocks = stored(ordered.mapInPandas(
         lambda frames: _blocks(frames, block),
-        "block long, grp string, reps binary, ms binary, vs binary, xs array<int>, ys array<int>"), "vector-blocks")
+        "block long, grp string, reps binary, ms binary, vs binary, xs array<int>, ys array<int>, "
+        "lo array<double>, hi array<double>"), "vector-blocks")
     # Blocks meet where a cell of one is a cell of the other or next to it, on the first two axes.
     cell = blocks.select("block", "grp", F.explode(F.arrays_zip("xs", "ys")).alias("c"))
     home = cell.select("block", "grp", F.col("c.xs").alias("x"), F.col("c.ys").alias("y"))
@@ -204,6 +220,10 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, block: int = BLO
             .select(F.col("block").alias("block2"), "grp", (F.col("x") + F.col("dx")).alias("x"),
                     (F.col("y") + F.col("dy")).alias("y")).distinct())
     pairs = home.join(near, ["grp", "x", "y"]).where("block <= block2").select("block", "block2").distinct()
+    # Of these, the pairs with boxes too far apart go before any vectors travel; a box is two rows of a block's vectors.
+    boxes = blocks.select("block", "lo", "hi")
+    pairs = (pairs.join(boxes, "block").join(boxes.toDF("block2", "lo2", "hi2"), "block2")
+             .where(box_gap("lo", "hi", "lo2", "hi2") <= _reach(cosine)).select("block", "block2"))
     data = blocks.select("block", "reps", "ms", "vs")
     both = pairs.join(data, "block").join(data.toDF("block2", "reps2", "ms2", "vs2"), "block2")
     both = both.select("block", "block2", "reps", "ms", "vs",

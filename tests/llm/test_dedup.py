@@ -4,6 +4,8 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import brute
 from oracle_compare import compare, duck
 from tarmac.llm import embeddings, linededup, nearcopies
@@ -141,6 +143,38 @@ def test_embeddings_in_many_blocks(spark, block):
     assert {i: (r.n_links, r.component_id) for i, r in got.items()} == brute.embedding_links(rows)
 
 
+def test_far_boxes_are_left_out_before_vectors_travel(spark, monkeypatch):
+    """Blocks that touch on the grid's two axes but lie apart on others are never joined; the links stay."""
+    import numpy as np
+
+    rnd = np.random.default_rng(3)
+    rows = []
+    for i in range(400):
+        x = rnd.standard_normal(12) * 0.03
+        x[i % 12] += 1.0
+        rows.append((i, [float(v) for v in x], 1))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    compared = spark.sparkContext.accumulator(0)
+    plain = embeddings._links
+
+    def counting(cosine):
+        run = plain(cosine)
+
+        def count(batches):
+            for batch in batches:
+                compared.add(batch.num_rows)
+                yield from run(iter([batch]))
+        return count
+
+    monkeypatch.setattr(embeddings, "_links", counting)
+    got = as_dict(embeddings.near_duplicates(df, block=10, sample=400), "vec_id")
+    assert {i: (r.n_links, r.component_id) for i, r in got.items()} == brute.embedding_links(rows)
+    pruned, compared.value = compared.value, 0
+    monkeypatch.setattr(embeddings, "box_gap", lambda *_: F.lit(0.0))
+    assert as_dict(embeddings.near_duplicates(df, block=10, sample=400), "vec_id") == got
+    assert pruned < 0.7 * compared.value
+
+
 def test_embeddings_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [1.0, 0.0], 1), (2, [2.0, 0.0], 1), (2, [2.0, 0.0], 1), (3, [1.0, 0.0], None), (4, None, 1),
