@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import brute
 from oracle_compare import compare, duck
 from tarmac.llm import embeddings, linededup, nearcopies
-from tarmac.llm.components import components
+from tarmac.llm.components import _with_least, components
 from tarmac.llm.queries import ORACLES, QUERIES
 
 
@@ -224,3 +224,24 @@ def test_components(spark):
     nodes = {n for a, b in links if a != b for n in (a, b)}
     assert got == brute.components(nodes, links)
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+@pytest.mark.parametrize("hot", [1, 3, 1000])
+def test_components_with_star_centres(spark, hot):
+    """Stars about their least, their largest and a middle node, joined by single links, odd links among them."""
+    stars = [(c, i) for c, at in ((1000, 1001), (2199, 2000), (3050, 3000)) for i in range(at, at + 120)]
+    links = stars + [(1100, 2005), (2100, 3111), (7, 7), (1000, 1001), (1001, 1000)] + [(9000 + i, 9001 + i) for i in range(9)]
+    odd = spark.createDataFrame([*links, (None, 5), (5, None)], "a long, b long")
+    got = [(r.node, r.component) for r in components(odd, hot).collect()]
+    nodes = {n for a, b in links if a != b for n in (a, b)}
+    assert len(got) == len(nodes) and dict(got) == brute.components(nodes, [x for x in links if x[0] != x[1]])
+
+
+def test_no_task_meets_all_links_of_a_centre(spark):
+    """The largest partition of a shuffled join holds a few links of a star, the broadcast part the rest as read."""
+    star = spark.createDataFrame([(0, i) for i in range(1, 2001)] + [(5000 + i, 8000 + i) for i in range(50)],
+                                 "u long, v long").repartition(8)
+    met, least = _with_least(star, 64)
+    at = met.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert met.count() == 2050 and at < 500 and {r.m for r in met.where("u = 0").select("m").distinct().collect()} == {1}
+    assert least.count() == 51
