@@ -31,7 +31,7 @@ def components(edges: DataFrame, hot_neighbours: int = HOT_NEIGHBOURS) -> DataFr
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = (_with_least(both, hot)[0].where("v > u")
                  .select(F.col("v").alias("u"), F.least("m", "u").alias("v")))
-        met, low = _with_least(large, hot)
+        met, low = _with_least(stored(large, "large"), hot)
         small = (met.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(low.select("u", F.col("m").alias("v"))).distinct())
         e = stored(small, "edges")
