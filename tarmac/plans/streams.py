@@ -1,7 +1,7 @@
 """Streaming queries on ``events`` replayed through the file source.
 
 Each query stages ``events`` as time-ordered files in a fresh folder under the
-shared checkpoint dir, runs the stream with ``availableNow`` and one file per
+shared checkpoint dir, runs the stream with ``availableNow`` and a bounded number of files per
 micro-batch, and returns the sink's content read back. The SQL twins state
 what the stream must produce: in append mode, every window closed by the
 final watermark (``end <= max(ts) - 3 minutes``); in update mode collapsed by
@@ -39,7 +39,7 @@ CLOSED_QUALITY_SQL = quality_sql(QUALITY, CLOSED)
 
 
 def stage_events(spark, sf_dir, tag: str, batches: int = EVENT_BATCHES):
-    """Fresh folder with ``events`` as time-ordered files for ``batches``
+    """Fresh folder with ``events`` as time-ordered files for at least ``batches``
     micro-batches; returns (root, input path, schema, files per micro-batch)."""
     root = scratch_path(spark, tag)
     src = events(spark, sf_dir)

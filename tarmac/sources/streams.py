@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tarmac.streaming.runner import state_slots
+
 
 def topic_options(servers: str, topic: str, start: str = "latest", max_offsets: int | None = None,
                   fail_on_data_loss: bool | None = None) -> dict[str, str]:
@@ -80,18 +82,26 @@ def stage_event_files(df: DataFrame, path: str, ts: str, files: int, fmt: str =
     return path
 
 
+#: Rows of a staged file at most, on average: a task of the replay reads one file, copies its rows into their windows and
+#: groups them in memory, however small the file is on disk.
+ROWS_PER_FILE = 100_000
+
+
 def stage_event_batches(df: DataFrame, path: str, ts: str, batches: int, fmt: str = "parquet",
-                        bytes_per_file: int = 1 << 30) -> int:
-    """Stage ``df`` for a replay in ``batches`` event-time-ordered micro-batches.
+                        bytes_per_file: int = 1 << 30, rows_per_file: int = ROWS_PER_FILE) -> int:
+    """Stage ``df`` for a replay in at least ``batches`` event-time-ordered micro-batches.
 
-    The number of files follows the input's size in bytes as the optimiser knows it
-    (at least one per batch), so the range shuffle has far fewer reducers than the
-    scan has splits. Returns the files per micro-batch, to be used as
+    The number of files follows the input's rows, and its size in bytes as the optimiser knows it
+    (at least one per batch). A micro-batch has no more files by rows than the cluster has task slots, so
+    that a task reads one of them and a state partition gets as many rows as one holds; a larger input is
+    replayed in more micro-batches. Returns the files per micro-batch, to be used as
     ``maxFilesPerTrigger``.
     """
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    per_batch = max(1, -(-size // (bytes_per_file * batches)))
-    stage_event_files(df, path, ts, batches * per_batch, fmt)
+    rows = df.count()
+    by_rows = min(-(-rows // (rows_per_file * batches)), state_slots(df.sparkSession))
+    per_batch = max(1, -(-size // (bytes_per_file * batches)), by_rows)
+    stage_event_files(df, path, ts, per_batch * max(batches, -(-rows // (rows_per_file * per_batch))), fmt)
     return per_batch
 
 

@@ -169,3 +169,14 @@ def test_coercion_of_odd_numbers(spark):
     assert [r.i for r in got] == [17, 17, -3, 4, None, 1000, None, None, None, None, None, None, None, 17, None]
     numbers = spark.createDataFrame([(2.9, 5, True)], "d double, l long, b boolean")
     assert tuple(numbers.select(*(coerce_to(c, T.IntegerType()) for c in numbers.columns)).first()) == (2, 5, 1)
+
+
+def test_staged_files_are_bounded_by_rows(spark, tmp_dir):
+    """Rows that take few bytes on disk are still dealt over several files a micro-batch: a replay task reads a whole file."""
+    rows = spark.range(1_200_000).select(F.timestamp_seconds(F.col("id") / 10).alias("ts"), (F.col("id") % 7).alias("k"))
+    path = os.path.join(tmp_dir, "staged")
+    per_batch = stage_event_batches(rows, path, "ts", 5)
+    staged = spark.read.parquet(path).groupBy(F.input_file_name().alias("file")).agg(
+        F.count("*").alias("n"), F.min("ts").alias("lo"), F.max("ts").alias("hi")).orderBy("file").collect()
+    assert sum(r.n for r in staged) == 1_200_000 and max(r.n for r in staged) <= 150_000
+    assert per_batch > 1 and all(a.hi <= b.lo for a, b in zip(staged, staged[1:]))

@@ -339,3 +339,27 @@ def test_copies_go_in_the_stream_and_state_stays_bounded(spark, tmp_dir):
     assert q.lastProgress["stateOperators"][0]["numRowsTotal"] <= 2  # keys of the first minutes have gone
     batch = spark.createDataFrame([("2024-01-01 00:00:05", "a", 2.0), ("2024-01-01 00:00:01", "a", 1.0)], "ts string, k string, v double")
     assert [r.v for r in dedupe_within_watermark(batch, ["k"], "ts", "3 minutes").collect()] == [1.0]
+
+
+def test_large_replays_take_more_micro_batches(spark, tmp_dir):
+    """No micro-batch has more files than there are task slots, and the windows are those of a batch job."""
+    from tarmac.sources.streams import stage_event_batches
+    from tarmac.streaming.runner import state_slots
+
+    n, rows_per_file = 12_000, 100
+    rows = spark.range(n).select(F.timestamp_seconds(F.col("id") * 10).alias("ts"), (F.col("id") % 3).cast("string").alias("k"),
+                                 (F.col("id") % 11).cast("double").alias("v"))
+    path, slots = os.path.join(tmp_dir, "staged"), state_slots(spark)
+    per_batch = stage_event_batches(rows, path, "ts", 5, rows_per_file=rows_per_file)
+    assert per_batch == min(slots, 24)
+    spec = WindowSpec("1 hour", "30 minutes")
+    stream = with_event_time(stream_table(spark, path, rows.schema, max_files=per_batch), "ts", "3 minutes")
+    out = os.path.join(tmp_dir, "out")
+    q = run_to_completion(flatten_window(window_stats(stream, spec, "k", "v", ts="ts")), os.path.join(tmp_dir, "ckpt"),
+                          writer=batch_writer(out, fmt="parquet"), mode="append", state_partitions=slots)
+    taken = [p["numInputRows"] for p in q.recentProgress if p["numInputRows"] > 0]
+    assert sum(taken) == n and max(taken) <= 2 * rows_per_file * per_batch and len(taken) >= n // (2 * rows_per_file * per_batch)
+    want = flatten_window(window_stats(rows, spec, "k", "v", ts="ts")).where(
+        F.col("window_end") <= F.lit(n * 10 - 10 - 180).cast("timestamp"))
+    got = read_results(spark, out, want.schema, fmt="parquet")
+    assert want.count() > 0 and got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
