@@ -240,3 +240,43 @@ def test_models_score_in_a_session_that_has_observed(spark, tmp_dir):
     assert staged.dtypes == df.dtypes and staged.count() == 400
     result, held = train_model(staged, ["x"], [], "y", "id", classifier="lr")
     assert held.where("prediction <> y").count() == 0 and result.f1 == 1.0
+
+
+def test_scored_stream_over_many_files(spark, tmp_dir, monkeypatch):
+    """The scored windows of a replay in micro-batches of several files, and more than five of them, are the batch job's."""
+    from functools import partial
+
+    from tarmac.functions.scalar import instant_to_ntz
+    from tarmac.operators.windows import quality_rows, window_quality
+    from tarmac.plans import streams
+    from tarmac.plans.ml import stream_scored_quality
+    from tarmac.plans.windows import QUALITY
+    from tarmac.streaming.runner import state_slots
+
+    at = F.timestamp_seconds(1_704_067_200 + F.col("id") * 20)
+    rows = spark.range(12_000).select(
+        F.col("id").alias("event_id"), instant_to_ntz(at).alias("ts"), (F.col("id") % 5).alias("user_id"),
+        F.when(F.col("id") % 2 == 0, "view").otherwise("click").alias("event_type"),
+        (F.col("id") % 90).cast("double").alias("value"), F.format_string('{"k": %d}', F.col("id") % 9).alias("props"))
+    rows.write.parquet(f"{tmp_dir}/events.parquet")
+    taken, stage, run = [], partial(streams.stage_event_batches, rows_per_file=100), streams.stage_events  # 120 files
+
+    def staged(*args):
+        taken.append(run(*args))
+        return taken[0]
+
+    monkeypatch.setattr(streams, "stage_event_batches", stage)
+    monkeypatch.setattr(streams, "stage_events", staged)
+    got = stream_scored_quality(spark, tmp_dir)
+    _, src, _, per_batch = taken[0]
+    files = spark.read.parquet(src).select(F.input_file_name().alias("f")).distinct().count()
+    assert per_batch == min(state_slots(spark), 24) and files > 60
+    ev = spark.read.parquet(f"{tmp_dir}/events.parquet")
+    early = (F.hour("ts") < 12).cast("int")
+    true = window_quality(ev.withColumns({"label": early, "pred": early.cast("double"), "ts": F.col("ts").cast("timestamp"),
+                                          "user": F.col("user_id").cast("string"), "k": (F.col("event_id") % 9).cast("double")}),
+                          QUALITY, "user", "label", "pred", ts="ts", lat="value", lon="k", watermark=None)
+    want = quality_rows(true, ntz=True).where(
+        F.col("window_end") <= instant_to_ntz(F.timestamp_seconds(F.lit(1_704_067_200 + 11_999 * 20 - 180))))
+    got, want = got.select(*want.columns), want.select(*[F.col(c).cast(got.schema[c].dataType) for c in want.columns])
+    assert want.count() > 0 and got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
