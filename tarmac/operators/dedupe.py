@@ -18,14 +18,21 @@ from pyspark.sql import functions as F
 from tarmac.roles import require_columns
 
 
-def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str] = (), keep: str = "first") -> DataFrame:
-    """One row per ``keys``: the first (smallest) or last (largest) by ``order``."""
+def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str] = (), keep: str = "first",
+           tasks: int | None = None) -> DataFrame:
+    """One row per ``keys``: the first (smallest) or last (largest) by ``order``.
+
+    ``tasks`` spreads the rows over that many tasks instead of the session's shuffle width, and sorts them
+    once, there. Rows then travel uncombined: it is meant for large tables whose keys have few copies each.
+    """
     if keep not in ("first", "last"):
         raise ValueError("keep must be 'first' or 'last'")
     keys = list(keys)
     order = [c for c in order if c not in keys]
     require_columns(df, *keys, *order)
     rest = [c for c in df.columns if c not in keys and c not in order]
+    if tasks:
+        df = df.repartition(tasks, *keys)
     if not order and not rest:
         return df.select(*keys).distinct()
     packed = F.struct(*[F.col(c) for c in [*order, *rest]])

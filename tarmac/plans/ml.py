@@ -24,7 +24,7 @@ from tarmac.plans.tables import events, is_error, lineitem, orders
 from tarmac.plans.windows import QUALITY, quality_sql
 from tarmac.session import scratch_path
 from tarmac.sinks.writers import batch_writer, save_model
-from tarmac.sources.results import read_results
+from tarmac.sources.results import read_results, result_tasks
 from tarmac.sources.streams import stream_table
 from tarmac.streaming.runner import run_to_completion, state_slots
 
@@ -243,5 +243,5 @@ def stream_scored_quality(spark, sf_dir):
     run_to_completion(quality_rows(q), f"{root}/checkpoint", writer=batch_writer(f"{root}/output"), mode="append",
                       state_partitions=state_slots(spark))
     res = read_results(spark, f"{root}/output", QUALITY_RESULT_SCHEMA, key_as_string="airport_name")
-    res = dedupe(res, ["window_start", "window_end", "airport_name"])
+    res = dedupe(res, ["window_start", "window_end", "airport_name"], tasks=result_tasks(spark, f"{root}/output"))
     return res.withColumns({c: instant_to_ntz(c) for c in ("window_start", "window_end")})

@@ -24,7 +24,7 @@ from tarmac.session import scratch_path
 from tarmac.sinks.payload import from_stat_json, to_stat_json
 from tarmac.sinks.writers import batch_writer, fold_upserts, read_upserted, reset_table, upsert_writer
 from tarmac.sources.events import arrival_times, decode_events, encode_events
-from tarmac.sources.results import read_results
+from tarmac.sources.results import read_results, result_tasks
 from tarmac.sources.streams import stage_event_batches, stream_table
 from tarmac.streaming.runner import run_stream, run_to_completion, state_slots, with_event_time
 
@@ -70,7 +70,7 @@ def run_quality_stream(spark, sf_dir, staged=None, checkpoint=None, output=None,
 def stream_window_quality(spark, sf_dir):
     _, output = run_quality_stream(spark, sf_dir)
     results = read_results(spark, output, QUALITY_RESULT_SCHEMA, key_as_string="airport_name")
-    return _ntz(dedupe(results, QUALITY_KEYS), "window_start", "window_end")
+    return _ntz(dedupe(results, QUALITY_KEYS, tasks=result_tasks(spark, output)), "window_start", "window_end")
 
 
 @register("stream_sliding_panes", ("STR2", "AGG11", "STR5"), sql=CLOSED_QUALITY_SQL)

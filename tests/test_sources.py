@@ -157,6 +157,34 @@ def test_large_result_file_has_one_header(spark, tmp_dir):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
+def test_first_lines_are_found_without_sorting(spark, tmp_dir):
+    from tarmac.sources.results import first_line_marks
+
+    spark.range(3000).selectExpr("id", "id % 7 AS b").repartition(3).write.option("header", True).csv(tmp_dir + "/r")
+    found = first_line_marks(spark, tmp_dir)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "Sort" not in plan
+    assert found.count() == 3 and found.select("h", "c").distinct().count() == 1
+
+
+def test_tasks_over_results_follow_their_size(spark, tmp_dir):
+    """More rows are brought together by more tasks, whatever the session's shuffle width; the rows are the same."""
+    from tarmac.operators.dedupe import dedupe
+    from tarmac.sources.results import result_tasks
+    from tarmac.streaming.runner import state_slots
+
+    rows = spark.range(20_000).selectExpr("id % 9000 AS k", "IF(id % 5 = 0, NULL, concat('p', id % 9000)) AS p", "id AS v")
+    rows.write.option("header", True).csv(tmp_dir + "/r")
+    size = sum(os.path.getsize(os.path.join(tmp_dir, "r", f)) for f in os.listdir(tmp_dir + "/r") if f.endswith(".csv"))
+    assert result_tasks(spark, tmp_dir + "/none") == result_tasks(spark, tmp_dir) == state_slots(spark)
+    tasks = result_tasks(spark, tmp_dir, bytes_per_task=size // 40)
+    assert max(state_slots(spark), 40) <= tasks <= max(state_slots(spark), 41)
+    back = read_results(spark, tmp_dir, rows.schema)
+    got, want = dedupe(back, ["k", "p"], tasks=40), dedupe(back, ["k", "p"])
+    assert got.rdd.getNumPartitions() == 40
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+
+
 def test_coercion_of_odd_numbers(spark):
     from pyspark.sql import types as T
 
